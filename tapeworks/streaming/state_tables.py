@@ -1,0 +1,91 @@
+"""Small keyed state kept as versioned files: version N is version N-1 and batch N.
+
+Reduction by key happens in ordinary aggregates that combine before the shuffle, so a hot symbol does not meet
+in one task, and all work stays in the JVM. A repeated batch builds the same version from the same
+predecessor again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from tapeworks.operators.enrich import with_quotes
+from tapeworks.operators.hot import to_quotes, to_trades
+from tapeworks.operators.marts import latest_price
+from tapeworks.schemas import QUOTE
+from tapeworks.sinks.files import prune_versions, version_path, versions, write_batch
+from tapeworks.streaming.runs import start_batches
+
+LATEST = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("price", T.DoubleType()),
+    T.StructField("trade_ts", T.TimestampType()),
+    T.StructField("trade_id", T.StringType()),
+])
+
+
+def read_state(spark: SparkSession, root: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """The newest complete version, or the newest older than a batch; empty if there is none."""
+    numbers = [n for n in versions(spark, root) if before is None or n < before]
+    if not numbers:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(version_path(root, numbers[-1]))
+
+
+def write_state(df: DataFrame, root: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(version_path(root, batch_id))
+    prune_versions(df.sparkSession, root, keep=3)
+
+
+def start_latest_price(
+    trades: DataFrame, root: str, checkpoint: str, ttl: str = "1 hour", trigger: dict | None = None
+) -> StreamingQuery:
+    """Newest price per symbol, symbols without a trade for ``ttl`` expired; read it with :func:`read_latest`."""
+    columns = LATEST.fieldNames()
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            known = read_state(spark, root, LATEST, before=batch_id)
+            write_state(latest_price(known.unionByName(batch.select(columns)), ttl).select(columns), root, batch_id)
+        finally:
+            batch.unpersist()
+
+    return start_batches(trades, step, checkpoint, trigger)
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    return read_state(spark, root, LATEST)
+
+
+def start_enrichment(
+    bronze: DataFrame, path: str, root: str, checkpoint: str, *, trades_topic: str = "trades_raw",
+    quotes_topic: str = "market_data_raw", within: str = "10 minutes", lateness: str = "10 minutes",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Trades of each micro-batch with the newest quote of the last ``within`` that has arrived by then.
+
+    Both topics come in one stream. The state holds the quotes of the last ``within`` plus ``lateness``, one
+    per symbol and time. This is an as-of lookup, linear in trades and quotes; an interval join would build
+    every pair of a trade and the quotes of its interval first. A quote that arrives after its trade's batch
+    is not seen; the batch operator over Bronze gives the final answer.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            trades = to_trades(batch.filter(F.col("kafka_topic") == trades_topic)).dropna()
+            arrived = to_quotes(batch.filter(F.col("kafka_topic") == quotes_topic)).dropna()
+            known = read_state(spark, root, QUOTE, before=batch_id).unionByName(arrived)
+            write_batch(with_quotes(trades, known, within), path, batch_id)
+            oldest = known.select(F.max("event_ts")).scalar() - F.expr(f"interval {within}") \
+                - F.expr(f"interval {lateness}")
+            write_state(known.filter(F.col("event_ts") >= oldest).distinct(), root, batch_id)
+        finally:
+            batch.unpersist()
+
+    return start_batches(bronze, step, checkpoint, trigger)
