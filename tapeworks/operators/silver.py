@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.payload import parse_payload
@@ -49,14 +49,13 @@ def clean(trades: DataFrame) -> DataFrame:
 
 
 def keep_newest(df: DataFrame, key: str = "trade_id", order: Sequence[str] = NEWEST) -> DataFrame:
-    """One row per key: the newest by ``order``, remaining ties decided by the other columns.
+    """One row per key: the largest by ``order``; rows equal in all of it are copies of one broker record.
 
-    ``max`` of a struct reduces every key to one row per task before the shuffle, so a key that fills a third
-    of the table costs no more than any other.
+    Spark keeps the first row of each key already in every task before the shuffle (WindowGroupLimit), so a key
+    that fills a third of the table costs no more than any other, and columns nobody reads later are pruned.
     """
-    rest = [c for c in df.columns if c != key and c not in order]
-    best = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("best"))
-    return best.select(key, "best.*").select(df.columns)
+    newest_first = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn("place", F.row_number().over(newest_first)).filter("place = 1").drop("place")
 
 
 def to_silver(bronze: DataFrame) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, time
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.operators.gold import daily_trade_metrics
+from tapeworks.operators.gold import daily_trade_metrics, trade_date
 from tapeworks.operators.quality import check, counted, not_null, raise_on_failure
 from tapeworks.operators.silver import to_silver, unseen_trades
 from tapeworks.session import workspace
@@ -62,17 +62,43 @@ def bronze_to_silver(
     return rows.get["rows"]
 
 
-def build_gold(spark: SparkSession, silver: str, gold: str, *, root: str | None = None) -> None:
-    replace_table(daily_trade_metrics(spark.table(silver)), gold, root)
+def refreshed_gold(silver: DataFrame, gold: DataFrame, since: datetime) -> DataFrame:
+    """Gold with the days recomputed that have Silver rows ingested after ``since``; other days are kept.
+
+    The days are literals (a calendar has few), so the scan of Silver skips files by their time range. A run
+    that is repeated finds the same days again.
+    """
+    touched = silver.filter(F.col("ingestion_time") > F.lit(since.isoformat(sep=" ")).cast("timestamp"))
+    days = [r.day for r in touched.select(trade_date().alias("day")).distinct().collect() if r.day is not None]
+    if not days:
+        return gold
+    first, end = F.lit(min(days)).cast("timestamp"), F.lit(max(days) + timedelta(days=1)).cast("timestamp")
+    in_span = F.col("source_ts").isNull() | ((F.col("source_ts") >= first) & (F.col("source_ts") < end))
+    again = daily_trade_metrics(silver.filter(in_span & trade_date().isin(days)))
+    return gold.filter(~F.col("trade_date").isin(days)).unionByName(again)
+
+
+def build_gold(
+    spark: SparkSession, silver: str, gold: str, *, root: str | None = None, since: datetime | None = None
+) -> None:
+    """Build Gold anew, or with ``since`` only the days that have changed."""
+    source = spark.table(silver)
+    if since is not None and spark.catalog.tableExists(gold):
+        result = refreshed_gold(source, spark.table(gold), since)
+    else:
+        result = daily_trade_metrics(source)
+    replace_table(result, gold, root)
 
 
 def check_gold(spark: SparkSession, gold: str) -> DataFrame:
     return check(spark.table(gold), not_null("trade_date", "symbol"))
 
 
-def build_and_check_gold(spark: SparkSession, silver: str, gold: str, *, root: str | None = None) -> DataFrame:
+def build_and_check_gold(
+    spark: SparkSession, silver: str, gold: str, *, root: str | None = None, since: datetime | None = None
+) -> DataFrame:
     """The checks follow the build and stop the run when one fails."""
-    build_gold(spark, silver, gold, root=root)
+    build_gold(spark, silver, gold, root=root, since=since)
     results = check_gold(spark, gold)
     raise_on_failure(results)
     return results
@@ -82,7 +108,12 @@ def run_daily(
     spark: SparkSession, bronze: DataFrame, silver: str, gold: str, *, day: date | None = None,
     mode: str = "full", root: str | None = None, since: datetime | None = None,
 ) -> None:
-    """Silver, then Gold, then the checks, over what had arrived at the day's cut-off."""
+    """Silver, then Gold, then the checks, over what had arrived at the day's cut-off.
+
+    An incremental run reads the records since the last cut-off and renews the days they belong to.
+    """
     as_of = cut_off(day) if day is not None else None
+    if mode == "incremental" and since is None and day is not None:
+        since = cut_off(day - timedelta(days=1))
     bronze_to_silver(spark, bronze, silver, mode=mode, root=root, since=since, as_of=as_of)
-    build_and_check_gold(spark, silver, gold, root=root)
+    build_and_check_gold(spark, silver, gold, root=root, since=since if mode == "incremental" else None)

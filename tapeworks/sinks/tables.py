@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tapeworks.sinks.files import prune_versions, version_path, versions
 
@@ -73,3 +74,11 @@ def replace_table(
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
     spark.catalog.refreshTable(name)
     prune_versions(spark, home)
+
+
+def table_batch_writer(name: str) -> Callable[[DataFrame, int], None]:
+    """Micro-batches into a table of a configured catalog: one atomic commit replaces the rows of the batch."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        numbered = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        numbered.writeTo(name).overwrite(F.col("batch_id") == batch_id)
+    return write

@@ -1,0 +1,61 @@
+from helpers import final_plan, naive, trades, utc
+
+from pyspark.sql import functions as F
+from tapeworks.operators import bars
+
+
+def test_ties_are_decided_by_the_trade_id(spark):
+    df = trades(
+        spark,
+        ("b", "S", 2.0, 1.0, "2024-05-01 10:00:00.100"),
+        ("a", "S", 1.0, 1.0, "2024-05-01 10:00:00.100"),
+        ("y", "S", 8.0, 1.0, "2024-05-01 10:00:59.999"),
+        ("z", "S", 5.0, 1.0, "2024-05-01 10:00:59.999"),
+        ("n", "S", 9.0, 1.0, "2024-05-01 10:01:00"),
+        ("u", "S", 9.0, 1.0, None),
+    )
+    rows = bars.ohlcv(df).orderBy("minute").collect()
+    first = rows[0]
+    assert naive(first.minute) == naive(utc("2024-05-01 10:00:00"))
+    assert (first.open, first.high, first.low, first.close, first.volume, first.trade_count) == (
+        1.0, 8.0, 1.0, 5.0, 4.0, 4)
+    assert len(rows) == 2
+
+
+def test_parts_merge_in_any_order(spark):
+    rows = [(f"{i:03}", f"S{i % 2}", float(i * 37 % 101), 0.1, f"2024-05-01 10:0{i % 3}:{i % 60:02}") for i in range(90)]
+    whole = trades(spark, *rows)
+    parts = None
+    for k in range(4):
+        part = bars.partial_bars(trades(spark, *[r for i, r in enumerate(rows) if i * 7 % 4 == k]))
+        parts = part if parts is None else part.unionByName(parts)
+    merged = bars.merge_bars(bars.merge_bars(parts)).select(bars.BAR_COLUMNS)
+    assert parts.count() > merged.count()
+    assert sorted(merged.collect()) == sorted(bars.ohlcv(whole).collect())
+    hours = bars.merge_bars(parts, "1 hour").select(bars.BAR_COLUMNS)
+    assert sorted(hours.collect()) == sorted(bars.ohlcv(whole, "1 hour").collect())
+
+
+def test_repair(spark):
+    full = trades(
+        spark,
+        ("a", "S", 1.0, 1.0, "2024-05-01 10:00:01"), ("b", "S", 2.0, 1.0, "2024-05-01 10:00:02"),
+        ("c", "S", 3.0, 1.0, "2024-05-01 10:01:00"), ("d", "T", 4.0, 1.0, "2024-05-01 10:02:00"),
+    )
+    stored = bars.ohlcv(full.filter("trade_id in ('b', 'c')"))
+    assert sorted(bars.repair_bars(stored, full).collect()) == sorted(bars.ohlcv(full).collect())
+
+
+def test_bars_combine_before_their_only_shuffle(spark):
+    df = bars.ohlcv(trades(spark, ("a", "S", 1.0, 1.0, "2024-05-01 10:00:01")))
+    plan = final_plan(df)
+    assert plan.count("Exchange") == 1 and "partial_min" in plan.split("Exchange")[1]
+    unordered = final_plan(bars.high_low_volume(trades(spark, ("a", "S", 1.0, 1.0, "2024-05-01 10:00:01"))))
+    assert "SortAggregate" not in unordered
+
+
+def test_open_close_skips_missing_prices(spark):
+    df = trades(spark, ("a", "S", None, 1.0, "2024-05-01 10:00:01"), ("b", "S", 2.0, 1.0, "2024-05-01 10:00:02"))
+    row = bars.open_close(df).first()
+    assert (row.open, row.close) == (2.0, 2.0)
+    assert df.filter(F.col("price").isNull()).count() == 1

@@ -1,0 +1,74 @@
+import pytest
+from helpers import bronze, final_plan, payload, silver
+
+from pyspark.sql import Observation
+from tapeworks.operators import quality
+from tapeworks.schemas import QUOTE_CONTRACT, TRADE_CONTRACT
+
+
+def lines(df):
+    return {r.rule: r.failures for r in df.collect()}
+
+
+def test_rules_share_one_pass(spark):
+    df = silver(spark, ("a", "", "buy", 1.0, -1.0, "1990-01-01 00:00:00"), ("b", "S", "x", 0.0, 1.0, "2024-01-01 00:00:00"))
+    rules = [*quality.trade_ranges("2000-01-01", "2030-01-01"), quality.accepted_values("side", ["buy", "sell"]),
+             *quality.not_null("symbol")]
+    result = quality.check(df, rules)
+    assert lines(result) == {"price_positive": 1, "quantity_positive": 1, "symbol_not_blank": 1,
+                             "event_time_in_bounds": 1, "accepted_values_side": 1, "not_null_symbol": 0}
+    assert {r.rule for r in result.filter("should_error").collect()} == set(lines(result)) - {"not_null_symbol"}
+    plan = final_plan(quality.check(df, rules))
+    assert plan.count("Scan ExistingRDD") == 1 and "partial_count" in plan
+
+
+def test_required_counts_nan(spark):
+    df = silver(spark, ("a", None, "buy", float("nan"), 1.0, "2024-01-01 00:00:00"))
+    assert lines(quality.check(df, quality.required("symbol", "price", "quantity"))) == {
+        "required_symbol": 1, "required_price": 1, "required_quantity": 0}
+
+
+def test_empty_table_passes(spark):
+    result = quality.check(silver(spark), quality.not_null("symbol"))
+    assert lines(result) == {"not_null_symbol": 0}
+    quality.raise_on_failure(result)
+    assert lines(quality.check_unique(silver(spark), "trade_id")) == {"unique_trade_id": 0}
+
+
+def test_failure_stops_the_run(spark):
+    df = silver(spark, ("a", None, "buy", 1.0, 1.0, "2024-01-01 00:00:00"))
+    with pytest.raises(quality.QualityError, match="not_null_symbol: 1 rows"):
+        quality.raise_on_failure(quality.check(df, quality.not_null("symbol")))
+
+
+def test_unique(spark):
+    row = lambda i: (i, "S", "buy", 1.0, 1.0, "2024-01-01 00:00:00")
+    df = silver(spark, row("a"), row("a"), row("a"), row("b"), row("c"), row("c"), row(None), row(None))
+    assert lines(quality.check_unique(df, "trade_id")) == {"unique_trade_id": 2}
+
+
+def test_contract(spark):
+    df = bronze(spark, payload(), payload(side="hold"), payload(price="1"), payload(symbol=None), payload(trade_ts=1.5), "{")
+    bad = {k: v for k, v in lines(quality.contract_violations(df, TRADE_CONTRACT)).items() if v}
+    assert bad == {"side:not_in_enum": 1, "price:wrong_type": 1, "symbol:missing": 1, "trade_ts:wrong_type": 1,
+                   "payload:unparsable": 1}
+    quote = '{"symbol":"S","bid":1.0,"ask":2.0,"event_ts":1}'
+    assert not any(lines(quality.contract_violations(bronze(spark, quote), QUOTE_CONTRACT)).values())
+
+
+def test_profile_shows_a_renamed_key(spark):
+    df = bronze(spark, payload(trade_ts=..., timestamp="2024-01-01"), payload(trade_ts=..., timestamp=None), "{")
+    got = {r.key: (r.rows, r.nulls, r.in_contract) for r in quality.schema_profile(df, TRADE_CONTRACT).collect()}
+    assert got["trade_ts"] == (0, 0, True) and got["timestamp"] == (2, 1, False) and got["price"] == (2, 0, True)
+
+
+def test_stage_counts_add_up(spark):
+    df = bronze(spark, payload(), payload(), payload(trade_id="b"), payload(side="x"), "{")
+    assert quality.stage_counts(df).first().asDict() == {
+        "bronze_rows": 5, "rejected_rows": 2, "clean_rows": 3, "duplicate_rows": 1, "silver_rows": 2}
+
+
+def test_counting_while_writing(spark, tmp_path):
+    seen = Observation()
+    quality.counted(spark.range(7), seen).write.parquet(str(tmp_path / "t"))
+    assert seen.get == {"rows": 7}
