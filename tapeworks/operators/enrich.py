@@ -8,41 +8,91 @@ from pyspark.sql import functions as F
 QUOTE_FIELDS = ("bid", "ask")
 
 
-def prevailing_quotes(moments: DataFrame, quotes: DataFrame, cell: str = "minute") -> DataFrame:
-    """For each (symbol, ts) in ``moments``, the newest quote at or before ts.
+# A cell of time with more trades than a ten-thousandth of all is hot; there can be no more than ten thousand.
+HOT_CELLS_AT_MOST = 10_000
+# Smaller cells are never cut.
+SLICE_ROWS = 1_000_000
 
-    No task ever holds all rows of a symbol:
 
-    * moments and quotes are first reduced to one row per symbol and timestamp, combined before the shuffle;
-    * the running "last quote" is taken inside one symbol and one ``cell`` of time. Timestamps are whole
-      milliseconds, so a one-minute cell holds at most 60,000 rows however hot the symbol is;
-    * what a cell inherits from earlier ones is worked out on one row per symbol and cell.
+def _cell(ts: str, seconds: int) -> Column:
+    return F.floor(F.unix_seconds(ts) / F.lit(seconds))
 
-    Several quotes of a symbol at the same time count as one: the largest (ask, bid), whatever their order.
+
+def _hot_cells(counts: DataFrame, slice_rows: int) -> DataFrame:
+    """Cells that one task should not hold, and into how many slices to cut each."""
+    per_slice = F.greatest(
+        F.lit(slice_rows).cast("double"), counts.select(F.sum("trades") / F.lit(HOT_CELLS_AT_MOST)).scalar()
+    )
+    return counts.filter(F.col("trades") > per_slice).select(
+        "symbol", "cell", F.ceil(F.col("trades") / per_slice).cast("int").alias("slices")
+    )
+
+
+def _inherited(counts: DataFrame, quotes: DataFrame) -> DataFrame:
+    """The quote with which each cell that has trades begins: the last one of any earlier cell.
+
+    The window is over one row per symbol and cell, so a symbol's share grows with the calendar only.
+    """
+    cells = counts.select("symbol", "cell", F.lit(True).alias("wanted")).unionByName(
+        quotes.groupBy("symbol", "cell").agg(F.max("quote").alias("quote")).withColumn("wanted", F.lit(False)),
+        allowMissingColumns=True,
+    )
+    earlier = Window.partitionBy("symbol").orderBy("cell").rangeBetween(Window.unboundedPreceding, -1)
+    begun = cells.withColumn("quote", F.last("quote", ignorenulls=True).over(earlier))
+    return begun.filter(F.col("wanted") & F.col("quote").isNotNull()).select("symbol", "cell", "quote")
+
+
+def _in_every_slice(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    cut = rows.join(F.broadcast(hot), ["symbol", "cell"], "left")
+    numbers = F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)
+    return cut.withColumn("slice", F.explode(numbers)).drop("slices")
+
+
+def prevailing_quotes(
+    trades: DataFrame, quotes: DataFrame, cell_seconds: int = 900, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Add ``quote``, the newest quote of the symbol at or before the trade, or NULL.
+
+    Trades are shuffled once, and no task holds all rows of a symbol:
+
+    * the running "last quote" is taken inside one symbol and one cell of time; what a cell inherits from
+      earlier ones comes in as one more quote at its beginning;
+    * trades of a hot cell are dealt out over slices, each of which gets the cell's quotes. The list of hot
+      cells is broadcast: by its definition it has at most ten thousand rows. Quotes are first reduced to one
+      per symbol and time, so that a cell has at most 1,000 a second, against a million trades a slice.
+
+    Several quotes of a symbol at the same time count as one: the one with the largest (ask, bid).
     """
-    newest = F.struct(F.col("event_ts"), *[F.col(c) for c in reversed(QUOTE_FIELDS)])
-    marks = (
-        moments.select("symbol", "ts", F.lit(None).cast("struct<event_ts:timestamp,ask:double,bid:double>").alias("quote"),
-                       F.lit(True).alias("wanted"))
-        .unionByName(quotes.select("symbol", F.col("event_ts").alias("ts"), newest.alias("quote"),
-                                   F.lit(False).alias("wanted")))
-        .filter(F.col("symbol").isNotNull() & F.col("ts").isNotNull())
-        .groupBy("symbol", "ts")
-        .agg(F.max("quote").alias("quote"), F.max("wanted").alias("wanted"))
-        .withColumn("cell", F.date_trunc(cell, "ts"))
+    newest = F.struct("event_ts", *reversed(QUOTE_FIELDS))
+    ticks = (
+        quotes.filter(F.col("symbol").isNotNull() & F.col("event_ts").isNotNull())
+        .groupBy("symbol", F.col("event_ts").alias("at")).agg(F.max(newest).alias("quote"))
+        .withColumn("cell", _cell("at", cell_seconds))
+    )
+    placed = trades.withColumn("cell", _cell("trade_ts", cell_seconds))
+    nowhere = F.col("symbol").isNull() | F.col("cell").isNull()
+    counts = placed.filter(~nowhere).groupBy("symbol", "cell").agg(F.count(F.lit(1)).alias("trades"))
+    hot = _hot_cells(counts, slice_rows)
+
+    # Also copies of one trade are dealt out, by the task that read them.
+    deal = F.xxhash64(F.spark_partition_id(), *trades.columns)
+    slices = F.when(nowhere, F.lit(HOT_CELLS_AT_MOST)).otherwise(F.coalesce("slices", F.lit(1)))
+    dealt = placed.join(F.broadcast(hot), ["symbol", "cell"], "left").select(
+        *trades.columns, "cell", F.pmod(deal, slices).cast("int").alias("slice"),
+        F.col("trade_ts").alias("at"), F.lit(2).alias("turn"),
     )
-    # Both uses of ``marks`` read the same columns, so that its shuffle is done once and read twice.
-    by_cell = marks.groupBy("symbol", "cell").agg(F.max("quote").alias("quote"), F.max("wanted").alias("wanted"))
-    earlier_cells = Window.partitionBy("symbol").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = by_cell.withColumn(
-        "inherited", F.last("quote", ignorenulls=True).over(earlier_cells)
-    ).filter("wanted").select("symbol", "cell", "inherited")
-    so_far = Window.partitionBy("symbol", "cell").orderBy("ts").rowsBetween(
+    first = F.timestamp_seconds(F.col("cell") * cell_seconds)
+    begins = _inherited(counts, ticks).withColumns({"at": first, "turn": F.lit(0)})
+    known = _in_every_slice(begins.unionByName(ticks.withColumn("turn", F.lit(1))), hot)
+
+    so_far = Window.partitionBy("symbol", "cell", "slice").orderBy("at", "turn").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    seen = marks.withColumn("seen", F.last("quote", ignorenulls=True).over(so_far)).filter("wanted")
-    return seen.join(inherited, ["symbol", "cell"], "left").select(
-        "symbol", "ts", F.coalesce("seen", "inherited").alias("quote")
+    return (
+        dealt.unionByName(known, allowMissingColumns=True)
+        .withColumn("quote", F.last("quote", ignorenulls=True).over(so_far))
+        .filter("turn = 2")
+        .select(*trades.columns, "quote")
     )
 
 
@@ -52,20 +102,18 @@ def _slippage(side: Column, price: Column, mid: Column) -> Column:
     return F.when(side == "buy", price - mid).when(side == "sell", mid - price)
 
 
-def with_quotes(trades: DataFrame, quotes: DataFrame, within: str | None = None, cell: str = "minute") -> DataFrame:
+def with_quotes(trades: DataFrame, quotes: DataFrame, within: str | None = None, **sizes: int) -> DataFrame:
     """Add bid, ask, mid, spread and slippage of the newest quote at or before the trade.
 
     Trades without such a quote, or with none in the last ``within`` (an interval such as ``10 minutes``),
-    stay with NULLs. Joining back is by symbol and time with one row per key on the quote side.
+    stay with NULLs.
     """
-    moments = trades.select("symbol", F.col("trade_ts").alias("ts"))
-    found = prevailing_quotes(moments, quotes, cell)
+    quote = F.col("quote")
     if within is not None:
-        found = found.filter(F.col("quote.event_ts") >= F.col("ts") - F.expr(f"interval {within}"))
-    found = found.select(F.col("symbol").alias("q_symbol"), F.col("ts").alias("q_ts"), "quote.bid", "quote.ask")
-    joined = trades.join(
-        found, (F.col("symbol") == F.col("q_symbol")) & (F.col("trade_ts") == F.col("q_ts")), "left"
-    ).drop("q_symbol", "q_ts")
+        recent = F.col("quote.event_ts") >= F.col("trade_ts") - F.expr(f"interval {within}")
+        quote = F.when(recent, quote)
+    found = prevailing_quotes(trades, quotes, **sizes).withColumn("quote", quote)
+    joined = found.select(*trades.columns, *[F.col(f"quote.{f}").alias(f) for f in QUOTE_FIELDS])
     mid = (F.col("bid") + F.col("ask")) / 2
     return joined.withColumns({
         "mid": mid,

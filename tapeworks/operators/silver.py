@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tapeworks.functions.payload import parse_payload
 from tapeworks.functions.times import event_time
 from tapeworks.schemas import SILVER, TRADE_PAYLOAD
+from tapeworks.sinks.files import staged
 
 REQUIRED = ("trade_id", "symbol", "side", "price", "quantity")
 SIDES = ("buy", "sell")
@@ -91,9 +92,12 @@ def reject_reasons(trades: DataFrame) -> Column:
     return F.when(nothing, F.array(F.lit("unparsable"))).otherwise(F.array_compact(F.array(*reasons)))
 
 
-def rejects(bronze: DataFrame) -> DataFrame:
+def rejects(bronze: DataFrame, stage: str | None = None) -> DataFrame:
     """Every Bronze record that does not reach Silver, with the reasons.
 
+    The parsed records are needed twice; with a ``stage`` folder they are written there, and the raw payload is
+    read and parsed only once.
+
     The newest record of every repeated trade comes from an aggregate that combines before its shuffle, and is
     joined back to the records. It has one row per trade, so adaptive execution can split a hot trade on the
     other side; records that are bad anyway get a key of their own, so that missing ids do not meet in one
@@ -101,7 +105,11 @@ def rejects(bronze: DataFrame) -> DataFrame:
     not listed.
     """
     parsed = parse_trades(bronze)
-    flagged = parsed.withColumn("reasons", reject_reasons(parsed))
+    flagged = parsed.select(
+        "trade_id", "symbol", "side", "price", "quantity", *NEWEST, reject_reasons(parsed).alias("reasons")
+    )
+    if stage is not None:
+        flagged = staged(flagged, stage)
     is_good = F.size("reasons") == 0
     place = F.struct(*NEWEST)
     repeated = (

@@ -183,7 +183,7 @@ def silver_dedupe(spark, sf_dir):
 
 @query
 def silver_rejects(spark, sf_dir):
-    lost = silver.rejects(fx.cold_bronze(spark, sf_dir))
+    lost = silver.rejects(fx.cold_bronze(spark, sf_dir), workspace(spark, "parsed-records"))
     return lost.withColumn("reasons", F.array_join("reasons", ","))
 
 

@@ -1,6 +1,6 @@
 import random
 
-from helpers import final_plan, naive, quotes, trades, utc
+from helpers import final_plan, quotes, trades, utc
 
 from pyspark.sql import functions as F
 from tapeworks.operators.enrich import to_payload, with_quotes
@@ -40,7 +40,10 @@ def found(df):
 def test_against_brute_force(spark):
     for seed, span in ((1, 20_000), (2, 4_000_000), (3, 60_000_000)):
         t, q = random_market(seed, 200, 150, span)
-        assert found(with_quotes(trades(spark, *t), quotes(spark, *q))) == brute_force(t, q)
+        wanted = brute_force(t, q)
+        assert found(with_quotes(trades(spark, *t), quotes(spark, *q))) == wanted
+        # Small cells, cut into slices of a few trades.
+        assert found(with_quotes(trades(spark, *t), quotes(spark, *q), cell_seconds=10, slice_rows=3)) == wanted
 
 
 def test_age_limit_against_brute_force(spark):
@@ -57,7 +60,7 @@ def test_trades_without_quote_or_time_stay(spark):
 def test_repeated_trades_are_all_kept(spark):
     t = [(f"t{i}", "HOT", 10.0, 1.0, "2024-05-01 10:00:00") for i in range(500)]
     q = [("HOT", 9.0, 11.0, "2024-05-01 09:00:00")] * 3
-    df = with_quotes(trades(spark, *t), quotes(spark, *q))
+    df = with_quotes(trades(spark, *t), quotes(spark, *q), slice_rows=20)
     assert df.count() == 500 and df.filter("bid = 9").count() == 500
 
 
@@ -76,11 +79,20 @@ def test_payload_keeps_nulls_and_key(spark):
     assert sent.key == "S" and '"bid":null' in sent.value
 
 
-def test_no_window_over_a_whole_symbol_of_rows(spark, sf_dir):
+def test_a_hot_cell_is_cut_into_slices(spark):
+    from tapeworks.operators.enrich import prevailing_quotes
+
+    t = trades(spark, *[("copy", "HOT", 10.0, 1.0, "2024-05-01 10:00:00")] * 400).repartition(8)
+    t = t.unionByName(trades(spark, ("n", None, 1.0, 1.0, "2024-05-01 10:00:00")))
+    q = quotes(spark, ("HOT", 9.0, 11.0, "2024-05-01 09:00:00"))
+    tasks = prevailing_quotes(t, q, slice_rows=40).filter("symbol = 'HOT'").groupBy(F.spark_partition_id()).count()
+    assert tasks.count() > 1 and tasks.agg(F.sum("count")).first()[0] == 400
+
+
+def test_trades_are_shuffled_once_and_only_small_lists_broadcast(spark, sf_dir):
     from tapeworks.plans import fixtures as fx
 
     plan = final_plan(with_quotes(fx.purchase_trades(spark, sf_dir), fx.event_quotes(spark, sf_dir)))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert naive(utc("2024-05-01 10:00:00")).hour == 10
-    row_windows = [line for line in plan.splitlines() if "Window [last(quote" in line]
-    assert len(row_windows) == 2
+    assert plan.count("Exchange hashpartitioning(symbol") >= 1
+    assert all("slice" in line for line in plan.splitlines() if "Exchange" in line and "price" in line)
