@@ -445,6 +445,7 @@ def ohlcv_late_repair(spark, sf_dir):
         lambda stream: runs.start_files(
             closed_bars(hot.to_trades(stream, "value"), "1 hour"), path, checkpoint, runs.CATCH_UP
         ),
+        batches=2,
     )
     trades = hot.to_trades(to_bronze(envelope))
     return bars.repair_bars(spark.read.parquet(path), trades)
@@ -460,6 +461,7 @@ def stream_dedupe(spark, sf_dir):
             drop_repeats(hot.to_trades(to_bronze(stream), keep=silver.LINEAGE), "3650 days").select("trade_id"),
             path, checkpoint, runs.CATCH_UP,
         ),
+        batches=2,
     )
     return spark.read.parquet(path)
 
