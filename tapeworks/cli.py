@@ -82,6 +82,3 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         jobs.run_daily(spark, _bronze(spark, args.bronze), args.silver, args.gold, day=args.day, mode=args.mode,
                        root=args.root, since=args.since)
 
-
-if __name__ == "__main__":
-    main()

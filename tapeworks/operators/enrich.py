@@ -33,7 +33,8 @@ def _inherited(counts: DataFrame, quotes: DataFrame) -> DataFrame:
 
     The window is over one row per symbol and cell, so a symbol's share grows with the calendar only.
     """
-    cells = counts.select("symbol", "cell", F.lit(True).alias("wanted")).unionByName(
+    # The count is read here too, so that the plan finds the counting shuffle it has already done.
+    cells = counts.select("symbol", "cell", (F.col("trades") > 0).alias("wanted")).unionByName(
         quotes.groupBy("symbol", "cell").agg(F.max("quote").alias("quote")).withColumn("wanted", F.lit(False)),
         allowMissingColumns=True,
     )

@@ -220,7 +220,7 @@ def daily_vwap(spark, sf_dir):
 # --- joins -----------------------------------------------------------------------------------------------
 
 def _enriched(spark, sf_dir):
-    return enrich.with_quotes(fx.purchase_trades(spark, sf_dir), fx.event_quotes(spark, sf_dir))
+    return enrich.with_quotes(fx.event_trades(spark, sf_dir), fx.event_quotes(spark, sf_dir))
 
 
 @query
@@ -481,7 +481,7 @@ def latest_price_stream(spark, sf_dir):
 @query
 def trades_enriched_stream(spark, sf_dir):
     path, root, checkpoint = (workspace(spark, p) for p in ("enriched", "quotes-state", "checkpoint"))
-    both = fx.trades_envelope(spark, sf_dir, "purchase").unionByName(fx.quotes_envelope(spark, sf_dir))
+    both = fx.trades_envelope(spark, sf_dir).unionByName(fx.quotes_envelope(spark, sf_dir))
     replay_in_order(
         both,
         lambda stream: start_enrichment(

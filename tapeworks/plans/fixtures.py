@@ -105,11 +105,6 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_trades(spark, sf_dir).select(HOT_TRADE.fieldNames())
 
 
-def purchase_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trades of the as-of tests."""
-    return _event_trades(spark, sf_dir).filter(F.col("event_type") == "purchase").select(HOT_TRADE.fieldNames())
-
-
 def _envelope(rows: DataFrame, topic: str, value: Column) -> DataFrame:
     return rows.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
@@ -121,10 +116,9 @@ def _envelope(rows: DataFrame, topic: str, value: Column) -> DataFrame:
     )
 
 
-def trades_envelope(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
-    """Broker records of the trades; of one event type only if named."""
+def trades_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broker records of the trades."""
     rows = _event_trades(spark, sf_dir)
-    rows = rows if kind is None else rows.filter(F.col("event_type") == kind)
     return _envelope(rows, TRADES_TOPIC, _payload(rows))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.operators.gold import daily_trade_metrics, trade_date
 from tapeworks.operators.quality import check, counted, not_null, raise_on_failure
-from tapeworks.operators.silver import to_silver, unseen_trades
+from tapeworks.operators.silver import rejects, to_silver, unseen_trades
 from tapeworks.session import workspace
 from tapeworks.sinks.files import staged
 from tapeworks.sinks.tables import append_table, replace_table
@@ -62,6 +62,18 @@ def bronze_to_silver(
     return rows.get["rows"]
 
 
+def quarantine(
+    spark: SparkSession, bronze: DataFrame, name: str, *, root: str | None = None,
+    since: datetime | None = None, as_of: datetime | None = None,
+) -> None:
+    """Keep the records of a period that Silver does not take, with the reasons.
+
+    Duplicates are those within the period. The reasons are stored as one comma-separated text.
+    """
+    lost = rejects(arrived(bronze, since, as_of), workspace(spark, "parsed-records"))
+    append_table(lost.withColumn("reasons", F.array_join("reasons", ",")), name, root)
+
+
 def refreshed_gold(silver: DataFrame, gold: DataFrame, since: datetime) -> DataFrame:
     """Gold with the days recomputed that have Silver rows ingested after ``since``; other days are kept.
 

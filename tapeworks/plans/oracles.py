@@ -57,7 +57,7 @@ q as (
          trade_ts as event_ts, event_id, user_id, ts, kafka_partition, kafka_offset
   from e where event_type = 'view'
 ),
-p as (select trade_id, symbol, side, price, quantity, trade_ts from e where event_type = 'purchase')
+p as (select trade_id, symbol, side, price, quantity, trade_ts from e)
 """
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from importlib import resources
 from pathlib import Path
 
 from pyspark.sql import types as T
@@ -116,8 +117,8 @@ def parse_contract(text: str) -> Contract:
 
 def load_contract(name: str) -> Contract:
     """``trade`` or ``quote``, or the path of any other contract file."""
-    path = Path(__file__).parent / "contracts" / f"{name}.avsc"
-    return parse_contract((path if path.exists() else Path(name)).read_text())
+    own = resources.files("tapeworks").joinpath("contracts", f"{name}.avsc")
+    return parse_contract(own.read_text() if own.is_file() else Path(name).read_text())
 
 
 TRADE_CONTRACT = load_contract("trade")

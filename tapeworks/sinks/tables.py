@@ -28,10 +28,14 @@ def _ensure_namespace(spark: SparkSession, name: str) -> None:
 
 
 def append_table(df: DataFrame, name: str, root: str | None = None) -> None:
-    """Append by column name. A Parquet table that does not exist yet is created below ``root``."""
+    """Append by column name. A table that does not exist yet is created, a Parquet table below ``root``."""
     spark = df.sparkSession
     if in_own_catalog(spark, name):
-        df.writeTo(name).append()
+        if spark.catalog.tableExists(name):
+            df.writeTo(name).append()
+        else:
+            _ensure_namespace(spark, name)
+            df.writeTo(name).create()
     elif spark.catalog.tableExists(name):
         df.select(spark.table(name).columns).write.insertInto(name)
     else:
@@ -80,5 +84,8 @@ def table_batch_writer(name: str) -> Callable[[DataFrame, int], None]:
     """Micro-batches into a table of a configured catalog: one atomic commit replaces the rows of the batch."""
     def write(df: DataFrame, batch_id: int) -> None:
         numbered = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        numbered.writeTo(name).overwrite(F.col("batch_id") == batch_id)
+        if df.sparkSession.catalog.tableExists(name):
+            numbered.writeTo(name).overwrite(F.col("batch_id") == batch_id)
+        else:
+            append_table(numbered, name)
     return write

@@ -92,7 +92,7 @@ def test_a_hot_cell_is_cut_into_slices(spark):
 def test_trades_are_shuffled_once_and_only_small_lists_broadcast(spark, sf_dir):
     from tapeworks.plans import fixtures as fx
 
-    plan = final_plan(with_quotes(fx.purchase_trades(spark, sf_dir), fx.event_quotes(spark, sf_dir)))
+    plan = final_plan(with_quotes(fx.event_trades(spark, sf_dir), fx.event_quotes(spark, sf_dir)))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert plan.count("Exchange hashpartitioning(symbol") >= 1
     assert all("slice" in line for line in plan.splitlines() if "Exchange" in line and "price" in line)

@@ -68,6 +68,17 @@ def test_untouched_days_are_kept_as_they_are(spark, tmp_path, table_name):
     assert stamps[1] == stamp and stamps[2] > stamp
 
 
+def test_quarantine(spark, tmp_path, table_name):
+    first, second = two_days(spark)
+    name, root = table_name("rejected"), str(tmp_path)
+    since = datetime(2024, 5, 1, 17)
+    jobs.quarantine(spark, first.unionByName(second), name, root=root, as_of=since)
+    assert [r.reasons for r in spark.table(name).collect()] == ["unparsable"]
+    jobs.quarantine(spark, first.unionByName(second), name, root=root, since=since)
+    assert sorted((r.trade_id or "", r.reasons) for r in spark.table(name).collect()) == [
+        ("", "unparsable"), ("c", "duplicate_trade_id")]
+
+
 def test_cut_off(spark):
     df = bronze(spark, payload(), ingested="2024-05-01 17:00:00").unionByName(
         bronze(spark, payload(), ingested="2024-05-01 17:00:00.001"))

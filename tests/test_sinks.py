@@ -102,6 +102,43 @@ def test_versions_without_success_do_not_count(spark, tmp_path):
     assert files.versions(spark, root) == [10]
 
 
+@pytest.mark.parametrize("exists", [False, True])
+def test_calls_to_a_catalog_of_its_own(monkeypatch, exists):
+    """Which writer calls are made; no such catalog is on the classpath."""
+    calls = []
+
+    class Writer:
+        def __getattr__(self, step):
+            return lambda *a: (calls.append((step, *map(str, a))), self)[1]
+
+    class Frame:
+        class sparkSession:
+            class catalog:
+                tableExists = staticmethod(lambda name: exists)
+
+            sql = staticmethod(lambda text: calls.append(("sql", text)))
+
+        def writeTo(self, name):
+            calls.append(("to", name))
+            return Writer()
+
+        def withColumn(self, *_):
+            return self
+
+    name = "lakehouse.bronze.trades"
+    tables.append_table(Frame(), name)
+    tables.replace_table(Frame(), name, properties={"format-version": "2"})
+    tables.table_batch_writer(name)(Frame(), 3)
+    made = [c for c in calls if c[0] not in ("sql", "to")]
+    replaced = [("tableProperty", "format-version", "2"), ("createOrReplace",)]
+    if exists:
+        assert made[0] == ("append",) and made[1:3] == replaced
+        assert made[3][0] == "overwrite" and "batch_id" in made[3][1] and "3" in made[3][1]
+    else:
+        assert made == [("create",), *replaced, ("create",)]
+    assert {c[1] for c in calls if c[0] == "to"} == {name}
+
+
 def test_jdbc_options():
     got = jdbc.jdbc_options("jdbc:x", "trades", driver="d", batchsize="5")
     assert got == {"batchsize": "5", "isolationLevel": "NONE", "numPartitions": "16", "driver": "d",
