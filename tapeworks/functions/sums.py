@@ -24,11 +24,15 @@ def exact_sum(x: Column, scale: int = 4) -> Column:
     left_over = x - scaled / unit
     # Differences below this are the rounding of one double operation, not digits of the value.
     rest = F.when(~fits, x).when(F.abs(left_over) > 1e-12 * (1.0 + F.abs(x)), left_over)
-    high = F.sum(F.shiftright(whole, 20)).cast("decimal(19,0)")
-    low = F.sum(whole.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(19,0)")
-    units = high * F.lit(1 << 20).cast("decimal(7,0)") + low
+    high = F.sum(F.shiftright(whole, 20))
+    low = F.sum(whole.bitwiseAND(F.lit((1 << 20) - 1)))
+    # Below 2^53 units one division of doubles is already the nearest double; above, decimals are.
+    small = (F.abs(high) < (1 << 32)) & (low < (1 << 52))
     one_unit = F.lit(f"{10 ** -scale:.{scale}f}").cast(f"decimal({scale + 1},{scale})")
-    exact = (units * one_unit).cast("double")
+    wide = high.cast("decimal(19,0)") * F.lit(1 << 20).cast("decimal(7,0)") + low.cast("decimal(19,0)")
+    exact = F.when(small, (F.shiftleft(high, 20) + low).cast("double") / unit).otherwise(
+        (wide * one_unit).cast("double")
+    )
     return F.coalesce(exact + F.coalesce(F.sum(rest), F.lit(0.0)), F.sum(rest))
 
 
