@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks.functions.skew import left_lookup
 from tapeworks.functions.sums import exact_sum
 
 BAR_COLUMNS = ["symbol", "minute", "open", "high", "low", "close", "volume", "trade_count"]
@@ -98,10 +99,7 @@ def repair_bars(bars: DataFrame, trades: DataFrame, width: str = "1 minute", ts:
     keys = ["symbol", "minute"]
     compared = truth.join(bars.select(BAR_COLUMNS), keys, "left")
     good = compared.filter(F.col("trade_count") == F.col("expected")).select(BAR_COLUMNS)
-    stale = compared.filter(~F.col("trade_count").eqNullSafe(F.col("expected"))).select(keys)
-    again = (
-        trades.withColumn("minute", F.window(ts, width)["start"])
-        .join(stale, keys, "left_semi")
-        .drop("minute")
-    )
+    stale = compared.filter(~F.col("trade_count").eqNullSafe(F.col("expected"))).select(*keys, "expected")
+    placed = trades.withColumn("minute", F.window(ts, width)["start"])
+    again = left_lookup(placed, stale, keys, "expected").filter(F.col("found").isNotNull()).select(trades.columns)
     return good.unionByName(ohlcv(again, width, ts))

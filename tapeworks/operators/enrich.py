@@ -5,13 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUOTE_FIELDS = ("bid", "ask")
-
+from tapeworks.functions.skew import HOT_KEYS_AT_MOST, HOT_ROWS, dealt, hot_limit
 
-# A cell of time with more trades than a ten-thousandth of all is hot; there can be no more than ten thousand.
-HOT_CELLS_AT_MOST = 10_000
-# Smaller cells are never cut.
-SLICE_ROWS = 1_000_000
+QUOTE_FIELDS = ("bid", "ask")
 
 
 def _cell(ts: str, seconds: int) -> Column:
@@ -20,11 +16,9 @@ def _cell(ts: str, seconds: int) -> Column:
 
 def _hot_cells(counts: DataFrame, slice_rows: int) -> DataFrame:
     """Cells that one task should not hold, and into how many slices to cut each."""
-    per_slice = F.greatest(
-        F.lit(slice_rows).cast("double"), counts.select(F.sum("trades") / F.lit(HOT_CELLS_AT_MOST)).scalar()
-    )
-    return counts.filter(F.col("trades") > per_slice).select(
-        "symbol", "cell", F.ceil(F.col("trades") / per_slice).cast("int").alias("slices")
+    limit = hot_limit(counts, "trades", slice_rows)
+    return counts.filter(F.col("trades") > limit).select(
+        "symbol", "cell", F.ceil(F.col("trades") / limit).cast("int").alias("slices")
     )
 
 
@@ -50,7 +44,7 @@ def _in_every_slice(rows: DataFrame, hot: DataFrame) -> DataFrame:
 
 
 def prevailing_quotes(
-    trades: DataFrame, quotes: DataFrame, cell_seconds: int = 900, slice_rows: int = SLICE_ROWS
+    trades: DataFrame, quotes: DataFrame, cell_seconds: int = 900, slice_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add ``quote``, the newest quote of the symbol at or before the trade, or NULL.
 
@@ -75,11 +69,9 @@ def prevailing_quotes(
     counts = placed.filter(~nowhere).groupBy("symbol", "cell").agg(F.count(F.lit(1)).alias("trades"))
     hot = _hot_cells(counts, slice_rows)
 
-    # Also copies of one trade are dealt out, by the task that read them.
-    deal = F.xxhash64(F.spark_partition_id(), *trades.columns)
-    slices = F.when(nowhere, F.lit(HOT_CELLS_AT_MOST)).otherwise(F.coalesce("slices", F.lit(1)))
-    dealt = placed.join(F.broadcast(hot), ["symbol", "cell"], "left").select(
-        *trades.columns, "cell", F.pmod(deal, slices).cast("int").alias("slice"),
+    slices = F.when(nowhere, F.lit(HOT_KEYS_AT_MOST)).otherwise(F.coalesce("slices", F.lit(1)))
+    asking = placed.join(F.broadcast(hot), ["symbol", "cell"], "left").select(
+        *trades.columns, "cell", dealt(trades.columns, slices).alias("slice"),
         F.col("trade_ts").alias("at"), F.lit(2).alias("turn"),
     )
     first = F.timestamp_seconds(F.col("cell") * cell_seconds)
@@ -90,7 +82,7 @@ def prevailing_quotes(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        dealt.unionByName(known, allowMissingColumns=True)
+        asking.unionByName(known, allowMissingColumns=True)
         .withColumn("quote", F.last("quote", ignorenulls=True).over(so_far))
         .filter("turn = 2")
         .select(*trades.columns, "quote")

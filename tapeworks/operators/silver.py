@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions.payload import parse_payload
+from tapeworks.functions.skew import HOT_ROWS, left_lookup
 from tapeworks.functions.times import event_time
 from tapeworks.schemas import SILVER, TRADE_PAYLOAD
 from tapeworks.sinks.files import staged
@@ -92,17 +93,15 @@ def reject_reasons(trades: DataFrame) -> Column:
     return F.when(nothing, F.array(F.lit("unparsable"))).otherwise(F.array_compact(F.array(*reasons)))
 
 
-def rejects(bronze: DataFrame, stage: str | None = None) -> DataFrame:
+def rejects(bronze: DataFrame, stage: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every Bronze record that does not reach Silver, with the reasons.
 
     The parsed records are needed twice; with a ``stage`` folder they are written there, and the raw payload is
     read and parsed only once.
 
     The newest record of every repeated trade comes from an aggregate that combines before its shuffle, and is
-    joined back to the records. It has one row per trade, so adaptive execution can split a hot trade on the
-    other side; records that are bad anyway get a key of their own, so that missing ids do not meet in one
-    task. Exact re-deliveries of the winning record (same partition and offset) are the same record and are
-    not listed.
+    looked up for every record. Exact re-deliveries of the winning record (same partition and offset) are the
+    same record and are not listed.
     """
     parsed = parse_trades(bronze)
     flagged = parsed.select(
@@ -117,13 +116,12 @@ def rejects(bronze: DataFrame, stage: str | None = None) -> DataFrame:
         .groupBy(F.col("trade_id").alias("match"))
         .agg(F.max(place).alias("winner"), F.count(F.lit(1)).alias("copies"))
         .filter(F.col("copies") > 1)
-        .select("match", "winner")
     )
-    own_key = F.concat_ws("#", F.lit("rejected"), *LINEAGE)
-    matched = flagged.withColumn("match", F.when(is_good, F.col("trade_id")).otherwise(own_key)).join(
-        repeated, "match", "left"
+    matched = left_lookup(
+        flagged.withColumn("match", F.when(is_good, F.col("trade_id"))), repeated, ["match"], "copies", hot_rows
     )
-    lost = F.col("winner").isNotNull() & ~place.eqNullSafe(F.col("winner"))
+    winner = F.col("found.winner")
+    lost = winner.isNotNull() & ~place.eqNullSafe(winner)
     return matched.filter(~is_good | lost).select(
         "trade_id", "symbol", "side", "price", "quantity", *NEWEST,
         F.when(is_good, F.array(F.lit("duplicate_trade_id"))).otherwise(F.col("reasons")).alias("reasons"),

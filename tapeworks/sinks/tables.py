@@ -80,6 +80,13 @@ def replace_table(
     prune_versions(spark, home)
 
 
+def build_model(
+    spark: SparkSession, name: str, sql: str, root: str | None = None, properties: Mapping[str, str] | None = None
+) -> None:
+    """Materialise a SQL model as a table, swapped in whole."""
+    replace_table(spark.sql(sql), name, root, properties)
+
+
 def table_batch_writer(name: str) -> Callable[[DataFrame, int], None]:
     """Micro-batches into a table of a configured catalog: one atomic commit replaces the rows of the batch."""
     def write(df: DataFrame, batch_id: int) -> None:

@@ -22,6 +22,11 @@ def test_ties_are_decided_by_the_trade_id(spark):
     assert len(rows) == 2
 
 
+def test_minutes_before_1970(spark):
+    row = bars.ohlcv(trades(spark, ("a", "S", 1.0, 1.0, "1969-12-31 23:59:58.500"))).first()
+    assert naive(row.minute) == naive(utc("1969-12-31 23:59:00"))
+
+
 def test_parts_merge_in_any_order(spark):
     rows = [(f"{i:03}", f"S{i % 2}", float(i * 37 % 101), 0.1, f"2024-05-01 10:0{i % 3}:{i % 60:02}") for i in range(90)]
     whole = trades(spark, *rows)

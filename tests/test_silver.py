@@ -63,8 +63,9 @@ def test_hot_rejects(spark):
         F.lit("2024-05-01").cast("timestamp").alias("source_ts"),
         F.lit("2024-05-01").cast("timestamp").alias("ingestion_time"),
     )
-    got = Counter(r.reasons[0] for r in silver.rejects(raw).collect())
-    assert got == {"duplicate_trade_id": 299, "missing_trade_id": 300}
+    for hot_rows in (silver.HOT_ROWS, 10):
+        got = Counter(r.reasons[0] for r in silver.rejects(raw, hot_rows=hot_rows).collect())
+        assert got == {"duplicate_trade_id": 299, "missing_trade_id": 300}
     assert silver.to_silver(raw).count() == 301
 
 

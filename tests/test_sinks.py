@@ -34,6 +34,23 @@ def test_replace_with_other_columns(spark, tmp_path, table_name):
     assert spark.table(name).columns == ["id", "s"]
 
 
+def test_sql_model_equals_the_operator(spark, sf_dir, tmp_path, table_name):
+    from tapeworks.operators.gold import daily_trade_metrics
+    from tapeworks.plans import fixtures as fx
+
+    clean, daily, root = table_name("silver"), table_name("gold"), str(tmp_path)
+    tables.replace_table(fx.silver_with_gaps(spark, sf_dir), clean, root)
+    tables.build_model(spark, daily, f"""
+        WITH amounts AS (
+          SELECT coalesce(date(source_ts), date(ingestion_time)) AS trade_date, symbol, quantity,
+                 lower(side) = 'buy' AS bought
+          FROM {clean} WHERE coalesce(source_ts, ingestion_time) IS NOT NULL)
+        SELECT trade_date, symbol, count(*) AS trades, sum(if(bought, quantity, 0D)) AS buy_qty
+        FROM amounts GROUP BY 1, 2""", root)
+    wanted = daily_trade_metrics(spark.table(clean)).select("trade_date", "symbol", "trades", "buy_qty")
+    assert sorted(spark.table(daily).collect()) == sorted(wanted.collect())
+
+
 def test_failed_replace_leaves_the_table(spark, tmp_path, table_name):
     name, root = table_name("t"), str(tmp_path)
     tables.replace_table(spark.range(3), name, root)
