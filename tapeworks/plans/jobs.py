@@ -11,7 +11,7 @@ from tapeworks.operators.gold import daily_trade_metrics, trade_date
 from tapeworks.operators.quality import check, counted, not_null, raise_on_failure
 from tapeworks.operators.silver import rejects, to_silver, unseen_trades
 from tapeworks.session import workspace
-from tapeworks.sinks.files import staged
+from tapeworks.sinks.files import clustered_by_day, staged
 from tapeworks.sinks.tables import append_table, replace_table
 
 # The daily run takes in what has arrived by then.
@@ -47,12 +47,15 @@ def bronze_to_silver(
 ) -> int:
     """Build Silver anew (``full``) or add what it does not have yet (``incremental``); returns rows written.
 
+    A full build clusters Silver by day, as increments do by themselves: Gold then reads the days it renews.
+
     An incremental run takes records ingested after ``since``. A newer record of a trade Silver already has is
     not applied; a full run keeps the newest of all. Running the same increment again adds nothing.
     """
     rows = Observation()
     if mode == "full":
-        replace_table(counted(to_silver(arrived(bronze, None, as_of)), rows), silver, root)
+        anew = clustered_by_day(to_silver(arrived(bronze, None, as_of)), trade_date())
+        replace_table(counted(anew, rows), silver, root)
     elif mode == "incremental":
         batch = staged(to_silver(arrived(bronze, since, as_of)), workspace(spark, "silver-increment"))
         new = unseen_trades(batch, spark.table(silver)) if spark.catalog.tableExists(silver) else batch

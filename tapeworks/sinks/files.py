@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.functions.times import month_key
@@ -25,6 +25,16 @@ def write_by_month(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -
     )
 
 
+def clustered_by_day(df: DataFrame, day: Column, then: str = "symbol") -> DataFrame:
+    """Rows of a day together and sorted, so that readers of few days skip most files and row groups.
+
+    Days of very different size become files of similar size. No column is added.
+    """
+    name = "clustering_day"
+    together = df.withColumn(name, day).hint("rebalance", name)
+    return together.sortWithinPartitions(name, then).drop(name)
+
+
 def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
     """Raw records in one folder per ingestion day; days of very different size become files of similar size."""
     dated = df.withColumn("ingest_date", F.to_date("ingestion_time"))

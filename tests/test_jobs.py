@@ -31,6 +31,19 @@ def test_full_build_keeps_the_newest(spark, tmp_path, table_name):
     assert {r.trade_id: r.price for r in spark.table(name).collect()} == {"a": 99.0, "b": 10.5, "c": 10.5, "late": 10.5}
 
 
+def test_full_build_is_clustered_by_day(spark, sf_dir, tmp_path, table_name):
+    import glob
+
+    import pyarrow.parquet as pq
+    from tapeworks.plans import fixtures as fx
+
+    name = table_name("silver")
+    jobs.bronze_to_silver(spark, fx.cold_bronze(spark, sf_dir), name, root=str(tmp_path))
+    for path in glob.glob(str(tmp_path / "**" / "*.parquet"), recursive=True):
+        days = [(r["source_ts"].date(), r["symbol"]) for r in pq.read_table(path, columns=["source_ts", "symbol"]).to_pylist()]
+        assert days == sorted(days)
+
+
 def test_increment_adds_only_new_trades(spark, tmp_path, table_name):
     first, second = two_days(spark)
     name, root = table_name("silver"), str(tmp_path)
