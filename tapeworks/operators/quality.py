@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeworks.operators.silver import REQUIRED, parse_trades, reject_reasons
+from tapeworks.operators.silver import parse_trades, reject_reasons
 from tapeworks.schemas import Contract
 
 
@@ -141,10 +141,3 @@ def stage_counts(bronze: DataFrame) -> DataFrame:
 def counted(df: DataFrame, observation: Observation, name: str = "rows") -> DataFrame:
     """Count the rows that flow to a sink while it is written, instead of computing everything again."""
     return df.observe(observation, F.count(F.lit(1)).alias(name))
-
-
-__all__ = [
-    "REQUIRED", "QualityError", "Rule", "accepted_values", "check", "check_unique", "contract_rules",
-    "contract_violations", "counted", "not_null", "quote_ranges", "raise_on_failure", "required",
-    "schema_profile", "stage_counts", "trade_ranges",
-]

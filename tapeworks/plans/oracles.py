@@ -199,6 +199,9 @@ def all_oracles() -> dict[str, str]:
     gaps_daily = f"{gaps}, {_daily('gaps')}"
     asof = f"{e}, {_BEST_QUOTES}, {_asof()}"
     hot = "select trade_id, symbol, side, price, quantity, date_trunc('second', trade_ts) as trade_ts from e"
+    in_time = _WITH_T.replace(
+        "from lineitem", "from lineitem where l_shipdate + interval 1 hour <= timestamp '1999-03-31 17:00:00'"
+    )
     silver_columns = "trade_id, symbol, price, quantity, side, trade_ts, source_ts, ingestion_time"
     return {
         "bronze_envelope": f"{e} {_BRONZE} from e",
@@ -250,7 +253,8 @@ def all_oracles() -> dict[str, str]:
             select trade_date, symbol, buy_qty_part, sell_qty_part, buy_notional_part, sell_notional_part from base""",
         "daily_trade_metrics": f"{silver_daily} select {_DAILY_COLUMNS} from daily",
         "daily_qty": f"{gaps_daily} select trade_date, symbol, trades, buy_qty, sell_qty, net_qty from daily",
-        "daily_notional": f"{gaps_daily} select trade_date, symbol, buy_notional, sell_notional, gross_notional from daily",
+        "daily_notional": f"""{gaps_daily}
+            select trade_date, symbol, buy_notional, sell_notional, gross_notional from daily""",
         "daily_vwap": f"{gaps_daily} select trade_date, symbol, avg_buy_price, avg_sell_price from daily",
         "trades_enriched": asof,
         "trades_enriched_stream":
@@ -267,7 +271,8 @@ def all_oracles() -> dict[str, str]:
             select {silver_columns} from late where n = 1 and trade_id not in (select trade_id from early)""",
         "ohlcv_1m": f"{e} {_MINUTE_BARS}",
         "open_close": f"{e}, bars as ({_MINUTE_BARS}) select symbol, minute, open, close from bars",
-        "high_low_volume": f"{e}, bars as ({_MINUTE_BARS}) select symbol, minute, high, low, volume, trade_count from bars",
+        "high_low_volume": f"""{e}, bars as ({_MINUTE_BARS})
+            select symbol, minute, high, low, volume, trade_count from bars""",
         "bars_merge": f"{e} {_MINUTE_BARS}",
         "ohlcv_rollup": f"""{e}
             select '1 hour' as width, * from ({_bars("date_trunc('hour', trade_ts)")})
@@ -356,8 +361,7 @@ def all_oracles() -> dict[str, str]:
         "silver_trades": f"{t} select {silver_columns} from silver",
         "gold_build_and_check": f"""{gaps_daily} {_rules('daily', {
             'not_null_trade_date': 'trade_date is null', 'not_null_symbol': 'symbol is null'})}""",
-        "run_daily": f"""with {_WITH_T.replace('from lineitem', "from lineitem where l_shipdate + interval 1 hour <= timestamp '1999-03-31 17:00:00'")},
-            {_daily('silver')} select {_DAILY_COLUMNS} from daily""",
+        "run_daily": f"""with {in_time}, {_daily('silver')} select {_DAILY_COLUMNS} from daily""",
         "asof_cutoff": f"""{e}
             select kafka_partition, kafka_offset, ts + interval 1 minute as ingestion_time from e
             where ts + interval 1 minute <= timestamp '2024-01-15 17:00:00'""",

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def drop_repeats(trades: DataFrame, delay: str, ts: str = "trade_ts", key: str = "trade_id", split: int = 8) -> DataFrame:
+def drop_repeats(
+    trades: DataFrame, delay: str, ts: str = "trade_ts", key: str = "trade_id", split: int = 8
+) -> DataFrame:
     """Keep the first arrival of each key within the watermark.
 
     A first pass drops repeats inside ``split`` slices of a key, so that a key sent over and over is spread

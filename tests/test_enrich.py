@@ -52,7 +52,8 @@ def test_age_limit_against_brute_force(spark):
 
 
 def test_trades_without_quote_or_time_stay(spark):
-    t = [("a", "S", 10.0, 1.0, "2024-05-01 10:00:00"), ("b", "S", 10.0, 1.0, None), ("c", None, 1.0, 1.0, "2024-05-01 10:00:00")]
+    at = "2024-05-01 10:00:00"
+    t = [("a", "S", 10.0, 1.0, at), ("b", "S", 10.0, 1.0, None), ("c", None, 1.0, 1.0, at)]
     q = [("S", 9.0, 11.0, "2024-05-01 10:00:00.001"), ("S", 9.0, 11.0, None)]
     assert found(with_quotes(trades(spark, *t), quotes(spark, *q))) == {k: (None, None) for k in "abc"}
 

@@ -5,7 +5,7 @@ from helpers import bronze, payload
 
 from tapeworks import cli
 from tapeworks.operators.gold import daily_trade_metrics
-from tapeworks.operators.quality import QualityError
+from tapeworks.operators import quality
 from tapeworks.operators.silver import to_silver
 from tapeworks.plans import jobs
 
@@ -114,8 +114,8 @@ def test_only_the_needed_days_are_opened(spark, tmp_path):
 def test_failing_check_stops_the_run(spark, tmp_path, table_name, monkeypatch):
     first, _ = two_days(spark)
     silver, gold = table_name("silver"), table_name("gold")
-    monkeypatch.setattr(jobs, "not_null", lambda *c: __import__("tapeworks.operators.quality").operators.quality.not_null("avg_sell_price"))
-    with pytest.raises(QualityError, match="avg_sell_price"):
+    monkeypatch.setattr(jobs, "not_null", lambda *columns: quality.not_null("avg_sell_price"))
+    with pytest.raises(quality.QualityError, match="avg_sell_price"):
         jobs.run_daily(spark, first, silver, gold, root=str(tmp_path))
 
 
