@@ -447,7 +447,7 @@ def ohlcv_late_repair(spark, sf_dir):
         ),
         batches=2,
     )
-    trades = hot.to_trades(to_bronze(envelope))
+    trades = files.staged(hot.to_trades(to_bronze(envelope)), workspace(spark, "parsed-trades"))
     return bars.repair_bars(spark.read.parquet(path), trades)
 
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from tapeworks.operators.gold import daily_trade_metrics, trade_date
 from tapeworks.operators.quality import check, counted, not_null, raise_on_failure
 from tapeworks.operators.silver import rejects, to_silver, unseen_trades
-from tapeworks.session import workspace
-from tapeworks.sinks.files import clustered_by_day, staged
+from tapeworks.sinks.files import clustered_by_day, scratch, staged
 from tapeworks.sinks.tables import append_table, replace_table
 
 # The daily run takes in what has arrived by then.
@@ -57,9 +56,10 @@ def bronze_to_silver(
         anew = clustered_by_day(to_silver(arrived(bronze, None, as_of)), trade_date())
         replace_table(counted(anew, rows), silver, root)
     elif mode == "incremental":
-        batch = staged(to_silver(arrived(bronze, since, as_of)), workspace(spark, "silver-increment"))
-        new = unseen_trades(batch, spark.table(silver)) if spark.catalog.tableExists(silver) else batch
-        append_table(counted(new, rows), silver, root)
+        with scratch(spark, "silver-increment") as folder:
+            batch = staged(to_silver(arrived(bronze, since, as_of)), folder)
+            new = unseen_trades(batch, spark.table(silver)) if spark.catalog.tableExists(silver) else batch
+            append_table(counted(new, rows), silver, root)
     else:
         raise ValueError("mode is full or incremental")
     return rows.get["rows"]
@@ -73,8 +73,9 @@ def quarantine(
 
     Duplicates are those within the period. The reasons are stored as one comma-separated text.
     """
-    lost = rejects(arrived(bronze, since, as_of), workspace(spark, "parsed-records"))
-    append_table(lost.withColumn("reasons", F.array_join("reasons", ",")), name, root)
+    with scratch(spark, "parsed-records") as folder:
+        lost = rejects(arrived(bronze, since, as_of), folder)
+        append_table(lost.withColumn("reasons", F.array_join("reasons", ",")), name, root)
 
 
 def refreshed_gold(silver: DataFrame, gold: DataFrame, since: datetime) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.functions.times import month_key
+from tapeworks.session import workspace
 
 
 def write_by_month(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
@@ -91,6 +93,17 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
         fs.delete(path, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A folder of the shared space for one job; deleted when the job is done or has failed."""
+    folder = workspace(spark, purpose)
+    try:
+        yield folder
+    finally:
+        path, fs = _filesystem(spark, folder)
+        fs.delete(path, True)
+
+
 def staged(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from the files.
 

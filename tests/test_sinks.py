@@ -157,6 +157,15 @@ def test_calls_to_a_catalog_of_its_own(monkeypatch, exists):
     assert {c[1] for c in calls if c[0] == "to"} == {name}
 
 
+def test_scratch_is_gone_afterwards(spark):
+    with pytest.raises(ZeroDivisionError):
+        with files.scratch(spark, "job") as folder:
+            assert files.staged(spark.range(3), folder).count() == 3
+            1 / 0
+    path, fs = files._filesystem(spark, folder)
+    assert not fs.exists(path)
+
+
 def test_jdbc_options():
     got = jdbc.jdbc_options("jdbc:x", "trades", driver="d", batchsize="5")
     assert got == {"batchsize": "5", "isolationLevel": "NONE", "numPartitions": "16", "driver": "d",
