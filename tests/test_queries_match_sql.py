@@ -5,6 +5,8 @@ from compare import connect, difference, duck_rows, spark_rows
 from helpers import final_plan
 
 import __spark_entry__ as entry_points
+from tapeworks.plans.catalog import all_queries
+from tapeworks.plans.oracles import all_oracles
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +15,9 @@ def duck(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 # Nodes that would not survive large tables: all pairs, one task for everything, rows handed to Python.
@@ -21,7 +25,7 @@ UNSCALABLE = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalP
               "FlatMapGroupsInPandas", "windowspecdefinition(source_ts", "RowDataSourceScan"]
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(name, spark, sf_dir, duck):
     df = entry_points.queries()[name](spark, sf_dir)
     plan = final_plan(df)
