@@ -23,7 +23,7 @@ Compute = Callable[[pa.RecordBatch], Sequence[pa.Array]]
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Small Arrow batches, so that a batch of very long texts still fits a Python worker."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "") != str(BATCH_ROWS):
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(BATCH_ROWS):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 

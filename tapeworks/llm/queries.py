@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeworks.llm import bpe
+from tapeworks.llm import bpe, mixing
 from tapeworks.llm.columns import table
 
 # Where the public vocabularies lie on this machine; the driver reads the file and broadcasts it.
@@ -20,9 +20,15 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, WORD_BPE)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.taken_words(mixing.mix(docs)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op4_bpe": op4_bpe,
+        "op8_mixing": op8_mixing,
     }
 
 
