@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeworks.llm import bpe, mixing
+from tapeworks.llm import bpe, mixing, simhash
 from tapeworks.llm.columns import table
 
 # Where the public vocabularies lie on this machine; the driver reads the file and broadcasts it.
@@ -15,6 +15,11 @@ WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, WORD_BPE)
@@ -27,6 +32,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op2_simhash": op2_simhash,
         "op4_bpe": op4_bpe,
         "op8_mixing": op8_mixing,
     }
