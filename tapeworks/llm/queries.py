@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeworks.llm import bpe, mixing, simhash
+from tapeworks.llm import bpe, mixing, quality, simhash, toxicity
 from tapeworks.llm.columns import table
 
 # Where the public vocabularies lie on this machine; the driver reads the file and broadcasts it.
@@ -15,6 +15,20 @@ WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Trees:
+    """Fitted on the labelled rows of the tables, whatever the rows that it then scores."""
+    return quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    return toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judged(docs, quality_model(spark, sf_dir))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs)
@@ -30,11 +44,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(docs)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.judged(docs, toxicity_model(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_quality": op1_quality,
         "op2_simhash": op2_simhash,
         "op4_bpe": op4_bpe,
         "op8_mixing": op8_mixing,
+        "op9_toxicity": op9_toxicity,
     }
 
 
