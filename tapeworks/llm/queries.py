@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, mixing, quality, simhash, toxicity
+from tapeworks.llm import bpe, html_consensus, mixing, quality, simhash, toxicity
 from tapeworks.llm.columns import table
 
 # Where the public vocabularies lie on this machine; the driver reads the file and broadcasts it.
@@ -49,6 +50,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(docs, toxicity_model(spark, sf_dir))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_consensus.extracted(pages, keep=["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -56,6 +62,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_bpe": op4_bpe,
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
+        "op10_html": op10_html,
     }
 
 
