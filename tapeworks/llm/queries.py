@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, html_consensus, mixing, quality, simhash, toxicity
+from tapeworks.llm import bpe, html_consensus, mixing, quality, simhash, toxicity, warc
 from tapeworks.llm.columns import table
+from tapeworks.session import workspace
 
 # Where the public vocabularies lie on this machine; the driver reads the file and broadcasts it.
 WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
@@ -55,10 +56,18 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_consensus.extracted(pages, keep=["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = workspace(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
         "op2_simhash": op2_simhash,
+        "op3_warc": op3_warc,
         "op4_bpe": op4_bpe,
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
