@@ -16,6 +16,9 @@ from tapeworks.sinks.files import staged
 BATCH_ROWS = 512
 SLICE_BYTES = 8 << 20
 
+# Rows of a file of narrow intermediate results.
+FILE_ROWS = 50_000
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 Compute = Callable[[pa.RecordBatch], Sequence[pa.Array]]
@@ -32,8 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows, written once to the shared folder and read back; lost executors do not bring the work back."""
+def stage(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """The rows, written once to the shared folder and read back; lost executors do not bring the work back.
+
+    With the (largest) number of rows known, the files are no more than hold FILE_ROWS each.
+    """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     return staged(df, workspace(df.sparkSession, purpose))
 
 

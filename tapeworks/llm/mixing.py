@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,10 +97,10 @@ def fitted(budget: int, sizes: Sequence[int], counts: Sequence[int]) -> list[int
     return take
 
 
-def _fit_source(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("size")
-    take = fitted(int(rows["budget"].iloc[0]), rows["size"].tolist(), rows["docs"].tolist())
-    return rows.assign(take=take)[["source", "size", "take"]]
+def _fit_source(rows: pa.Table) -> pa.Table:
+    rows = rows.sort_by("size")
+    take = fitted(rows["budget"][0].as_py(), rows["size"].to_pylist(), rows["docs"].to_pylist())
+    return rows.select(["source", "size"]).append_column("take", pa.array(take, pa.int64()))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, seed: int = 7,
@@ -115,16 +115,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3, seed
     """
     units = stage(
         docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), word_count(text).alias("size"))
-        .groupBy("id", "source", "size").agg(F.count("*").alias("rows")), "mix-units")
-    lengths = stage(units.groupBy("source", "size").agg(F.sum("rows").alias("docs")), "mix-lengths")
+        .groupBy("id", "source", "size").agg(F.count("*").alias("rows")), "mix-units", docs.count())
+    lengths = units.groupBy("source", "size").agg(F.sum("rows").alias("docs"))
     sizes = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"))
-    aims = stage(targets(sizes, weights, most).withColumn(
+    aims = targets(sizes, weights, most).withColumn(
         "base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    ).withColumn("budget", F.round(F.col("target") - F.col("base") * F.col("source_size")).cast("long")), "mix-aims")
+    ).withColumn("budget", F.round(F.col("target") - F.col("base") * F.col("source_size")).cast("long"))
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
     budgeted = lengths.alias("a").join(aims.alias("b"), same).select("a.source", "size", "docs", "budget")
-    takes = stage(
-        budgeted.groupBy("source").applyInPandas(_fit_source, "source string, size long, take long"), "mix-takes")
+    takes = budgeted.groupBy("source").applyInArrow(_fit_source, "source string, size long, take long")
 
     # Of each source and length the first ``take`` by hash: whole parts, and the first of the part that is cut.
     hashed = units.withColumn("hash", F.xxhash64(F.lit(seed), "id", "source", "size")) \

@@ -146,13 +146,15 @@ def near_links(values: DataFrame, radius: int = 3, members: int = SHARD_MEMBERS)
     rows = values.withColumn("mask", F.explode(F.array(*(F.lit(_signed(m)).cast("long") for m in masks))))
     rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
     small: DataFrame | None = None
+    count = values.count() * len(masks)
     while True:
-        rows = stage(rows, "shards")
+        rows = stage(rows, "shards", count)
         counts = rows.groupBy("mask", "value").agg(F.count("*").alias("members"))
-        many = stage(counts.filter(F.col("members") > members), "large-shards")
+        many = stage(counts.filter(F.col("members") > members), "large-shards", count // members)
         # Only a few bits are free in the end: such a shard has no more members than they have values.
         free = min(BITS - m.bit_count() for m in masks)
-        last = free < 4 * (radius + 1) or many.isEmpty()
+        held = many.agg(F.sum("members")).first()[0] or 0
+        last = free < 4 * (radius + 1) or not held
         part = rows if last else rows.join(many.select("mask", "value"), ["mask", "value"], "left_anti")
         part = part.select("mask", "value", "fp")
         small = part if small is None else small.union(part)
@@ -160,8 +162,8 @@ def near_links(values: DataFrame, radius: int = 3, members: int = SHARD_MEMBERS)
             break
         finer = F.create_map(*(x for m in masks for x in (F.lit(_signed(m)).cast("long"), F.array(
             *(F.lit(_signed(b)).cast("long") for b in blocks(m, radius))))))
-        held = left_lookup(rows, many, ["mask", "value"], "members", HOT_ROWS).filter("found is not null")
-        rows = held.select("fp", F.explode(finer[F.col("mask")]).alias("mask"))
+        large = left_lookup(rows, many, ["mask", "value"], "members", HOT_ROWS).filter("found is not null")
+        rows, count = large.select("fp", F.explode(finer[F.col("mask")]).alias("mask")), held * (radius + 1)
         rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
         masks = [b for m in masks for b in blocks(m, radius)]
     return small.repartition("mask", "value").sortWithinPartitions("mask", "value", "fp") \
@@ -174,9 +176,11 @@ def hex_of(fp: str):
 
 def _classes(prints: DataFrame, id_col: str, radius: int) -> DataFrame:
     """One row per fingerprint: fp, docs, least (smallest id), root, component_id."""
-    classes = stage(prints.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("docs")), "classes")
-    rooted = with_roots(classes, "fp", near_links(classes.select("fp"), radius))
-    return smallest_member(stage(rooted, "rooted"), "least", "component_id")
+    grouped = prints.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("docs"))
+    classes = stage(grouped, "classes", prints.count())
+    count = classes.count()
+    rooted = with_roots(classes, "fp", near_links(classes.select("fp"), radius), count)
+    return smallest_member(stage(rooted, "rooted", count), "least", "component_id")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id",
