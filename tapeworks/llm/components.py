@@ -49,8 +49,8 @@ def components(links: DataFrame, rows: int | None = None) -> DataFrame:
 
 def with_roots(nodes: DataFrame, node: str, links: DataFrame, rows: int | None = None) -> DataFrame:
     """nodes, one row each, with ``root``: the smallest node reachable, itself where nothing links to it."""
-    found = components(links, rows)
-    return nodes.join(found, nodes[node] == found["node"], "left") \
+    found = components(links, rows).select(F.col("node").alias("__node"), "root")
+    return nodes.join(found, F.col(node) == F.col("__node"), "left") \
         .select(*nodes.columns, F.coalesce("root", node).alias("root"))
 
 
