@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, html_consensus, mixing, quality, simhash, syncmers, toxicity, warc
+from tapeworks.llm import bpe, embedding_itq, html_consensus, mixing, quality, simhash, syncmers, toxicity, warc
 from tapeworks.llm.columns import table
 from tapeworks.session import workspace
 
@@ -67,12 +67,17 @@ def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
         "op2_simhash": op2_simhash,
         "op3_warc": op3_warc,
         "op4_bpe": op4_bpe,
+        "op5_embeddings": op5_embeddings,
         "op7_syncmers": op7_syncmers,
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
