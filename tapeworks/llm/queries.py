@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, embedding_itq, html_consensus, mixing, quality, simhash, syncmers, toxicity, warc
+from tapeworks.llm import bpe, embedding_itq, html_consensus, licences, mixing, quality, simhash, syncmers, toxicity, warc
 from tapeworks.llm.columns import table
 from tapeworks.session import workspace
 
@@ -71,6 +71,11 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_itq.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.found(docs, licences.train(docs)).drop("text")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -78,6 +83,7 @@ def llm_queries() -> dict[str, Query]:
         "op3_warc": op3_warc,
         "op4_bpe": op4_bpe,
         "op5_embeddings": op5_embeddings,
+        "op6_licences": op6_licences,
         "op7_syncmers": op7_syncmers,
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
