@@ -22,6 +22,9 @@ VARIANTS = 40
 TRAINING_DOCUMENTS = 1_000
 TRAINING_PARAGRAPHS = 4_000
 
+LINE_END = r"\r\n|\r|\n"
+SENTENCE_END = r"(?<=[.!?])\s+(?=\p{Lu})"
+
 # Notices by family, with a name for each.
 TEMPLATES = (
     ("MIT", "MIT-short", "Released under the MIT License."),
@@ -160,7 +163,7 @@ def fit(features: list[list[int]], families: list[str | None], ridge: float = 1e
 def _variants(spark: SparkSession) -> DataFrame:
     """Templates with some of their words left out, and with foreign words around, by a hash."""
     templates = spark.createDataFrame([(f, t) for f, _, t in TEMPLATES], "family string, text string")
-    each = templates.withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
+    each = templates.withColumn("text", F.explode(F.split("text", SENTENCE_END))).withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
     words = F.split(normalised(F.col("text")), " ")
     kept = F.filter(words, lambda w, i: F.pmod(F.xxhash64("v", w, i), F.lit(20)) >= F.col("v") % 5)
     foreign = F.transform(F.sequence(F.lit(1), F.col("v") % 3), lambda k: F.concat(F.lit("x"), F.hex(F.xxhash64("v", k) % 9999)))
@@ -169,8 +172,12 @@ def _variants(spark: SparkSession) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, nth, paragraph): the lines of each text, numbered from 0, but for blank ones."""
-    split = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text), r"\r\n|\r|\n")).alias("nth", "paragraph"))
+    """(id, line, nth, paragraph): the sentences of the lines of each text, both numbered from 0, but for blank ones.
+
+    A notice may stand amid other sentences of a line, so these are judged one by one.
+    """
+    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text), LINE_END)).alias("line", "whole"))
+    split = lines.select("id", "line", F.posexplode(F.split("whole", SENTENCE_END)).alias("nth", "paragraph"))
     return split.filter(F.trim("paragraph") != "")
 
 
@@ -183,7 +190,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Model:
     ids = docs.select(id_col).filter(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(F.lit(3), id_col), id_col) \
         .limit(TRAINING_DOCUMENTS)
     some = paragraphs(docs.join(F.broadcast(ids), id_col), id_col, text)
-    some = some.orderBy(F.xxhash64("id", "nth"), "id", "nth").limit(TRAINING_PARAGRAPHS)
+    some = some.orderBy(F.xxhash64("id", "line", "nth"), "id", "line", "nth").limit(TRAINING_PARAGRAPHS)
     ordinary = spark.createDataFrame([(t,) for t in ORDINARY for _ in range(5)], "paragraph string")
     known = {g for _, _, t in TEMPLATES for g in _triples(_plain(t))}
     unknown = with_features(some.select("paragraph").union(ordinary)).select("words", "features").collect()
@@ -216,9 +223,9 @@ def _summed(weights: Column) -> Column:
 
 def found(docs: DataFrame, model: Model, at_least: float = 0.5, similar: float = 0.6, id_col: str = "doc_id",
           text: str = "text") -> DataFrame:
-    """The paragraphs of the texts that are licence notices.
+    """The paragraphs of the texts, sentence by sentence, that are licence notices.
 
-    Columns: id, paragraph (its line, from 0), text, family, probability (of this family), unknown (probability that
+    Columns: id, paragraph (its line, from 0), sentence (its place in the line), text, family, probability (of this family), unknown (probability that
     it is no licence), template, similarity, confirmed. A paragraph is given if it is no licence with a probability
     under ``1 - at_least``, and confirmed if it shares ``similar`` of its pairs of words, or of the template's if
     those are fewer, with a template of the family. Null and empty texts give no rows, nor do documents without
@@ -244,7 +251,7 @@ def found(docs: DataFrame, model: Model, at_least: float = 0.5, similar: float =
             F.size(t["pairs"]), F.size("pairs")))).alias("similarity"), (-i).alias("order"), t["name"].alias("name")))
     confirmed = scored.withColumn("template", F.array_max(compared))
     return confirmed.select(
-        F.col("id").alias(id_col), F.col("nth").cast("long").alias("paragraph"), F.col("paragraph").alias(text),
-        F.col("best.family").alias("family"), (F.col("licence") * F.col("share")).alias("probability"),
+        F.col("id").alias(id_col), F.col("line").cast("long").alias("paragraph"), F.col("nth").cast("long").alias("sentence"),
+        F.col("paragraph").alias(text), F.col("best.family").alias("family"), (F.col("licence") * F.col("share")).alias("probability"),
         (1 - F.col("licence")).alias("unknown"), F.col("template.name").alias("template"),
         F.col("template.similarity").alias("similarity"), (F.col("template.similarity") >= similar).alias("confirmed"))
