@@ -164,8 +164,8 @@ def near_links(values: DataFrame, radius: int = 3, members: int = SHARD_MEMBERS)
             *(F.lit(_signed(b)).cast("long") for b in blocks(m, radius))))))
         large = left_lookup(rows, many, ["mask", "value"], "members", HOT_ROWS).filter("found is not null")
         rows, count = large.select("fp", F.explode(finer[F.col("mask")]).alias("mask")), held * (radius + 1)
-        rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
-        masks = [b for m in masks for b in blocks(m, radius)]
+        rows = rows.distinct().withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
+        masks = sorted({b for m in masks for b in blocks(m, radius)})
     return small.repartition("mask", "value").sortWithinPartitions("mask", "value", "fp") \
         .mapInArrow(_shard_links(radius), "a long, b long")
 
@@ -210,7 +210,8 @@ def deduplicated(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str =
     classes = stage(_classes(narrow, "id", radius), "components")
     # The fingerprint of the kept row: among those that hold the smallest id of a component, the smallest one.
     best = classes.groupBy("root").agg(F.min(F.struct(
-        F.col("least").isNull(), "least", "fp")).alias("best")).select("best.least", "best.fp")
-    rows = prints.join(best, prints["__fp"].eqNullSafe(best["fp"]) & prints[id_col].eqNullSafe(best["least"]))
+        F.col("least").isNull(), "least", "fp")).alias("best")).select(
+            F.col("best.least").alias("__least"), F.col("best.fp").alias("__best"))
+    rows = prints.join(best, (F.col("__fp") == F.col("__best")) & F.col(id_col).eqNullSafe(F.col("__least")))
     first = F.row_number().over(Window.partitionBy("__fp", id_col).orderBy(F.xxhash64(text)))
     return rows.withColumn("__nth", first).filter("__nth = 1").select(*[f"`{c}`" for c in columns])
