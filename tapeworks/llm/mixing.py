@@ -65,10 +65,10 @@ def targets(sources: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
 
 
 def fitted(budget: int, sizes: Sequence[int], counts: Sequence[int]) -> list[int]:
-    """How many documents of each size to take: at most their counts, and as many words of the budget as can be.
+    """How many documents of each size to take: at most their counts, with as nearly the budget's words as can be.
 
     In proportion first, then the longest first until at most EXACT_WORDS are left, then the subset sum, whose sets
-    of reachable sums are the bits of integers.
+    of reachable sums are the bits of integers. Of two sums equally near the smaller one is met.
     """
     total = sum(s * c for s, c in zip(sizes, counts))
     if total <= 0 or budget <= 0:
@@ -81,15 +81,19 @@ def fitted(budget: int, sizes: Sequence[int], counts: Sequence[int]) -> list[int
         more = min(counts[i] - take[i], max(0, rest - EXACT_WORDS) // sizes[i])
         take[i] += more
         rest -= more * sizes[i]
-    reach, steps, mask = 1, [], (1 << (rest + 1)) - 1
+    reach, steps, mask = 1, [], (1 << (2 * rest + 1)) - 1
     for i in order:
-        left, power = min(counts[i] - take[i], rest // sizes[i]), 1
+        left, power = min(counts[i] - take[i], 2 * rest // sizes[i]), 1
         while left and not reach >> rest & 1:
             n = min(power, left)
             steps.append((i, n, reach))
             reach = (reach | reach << n * sizes[i]) & mask
             left, power = left - n, power * 2
-    at = reach.bit_length() - 1
+    below = (reach & ((1 << (rest + 1)) - 1)).bit_length() - 1
+    above = reach >> rest
+    at = rest + (above & -above).bit_length() - 1 if above else below
+    if rest - below <= at - rest:
+        at = below
     for i, n, before in reversed(steps):
         if not before >> at & 1:
             take[i] += n
