@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
@@ -30,6 +31,9 @@ SHORT = 24
 # White space of str.split that is none to the tokenizer's pattern.
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
+# Blocks in which the tokenizers library lowers letters that are newer than Python's tables.
+_NEWER_LETTERS = re.compile("[\u1c89\ua7c0-\ua7ff\U00010d50-\U00010d65\U00016ea0-\U00016eb8]")
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte: itself, or the next one from U+0100 on."""
@@ -166,9 +170,13 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         import regex
+        from tokenizers import Regex, normalizers, pre_tokenizers
 
         self.v, self.merger = vocabulary, Merger(vocabulary)
-        self.words = regex.compile(vocabulary.pattern).findall
+        self.find_words = regex.compile(vocabulary.pattern).findall
+        # Unicode grows: what characters that Python's tables lack are is for the library's own tables to say.
+        self.newer_words = pre_tokenizers.Split(Regex(vocabulary.pattern), "removed", invert=True).pre_tokenize_str
+        self.newer_lower = normalizers.Lowercase().normalize_str
         self.not_space = regex.compile(r"\S+").findall
         self.marks = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))))
         # By chunk between white space, and by fragment.
@@ -183,6 +191,12 @@ class Encoder:
         held = (held & (first != 0x20)) | (second == 0x20)
         return np.append(np.flatnonzero(~held) + 1, len(words))
 
+    def words(self, chunk: str) -> list[str]:
+        """The words of a chunk by the vocabulary's pattern."""
+        if not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk):
+            return [word for word, _ in self.newer_words(chunk)]
+        return self.find_words(chunk)
+
     def learn(self, chunks: set[str]) -> None:
         """Works out the ids of all chunks that are not known yet."""
         if len(self.chunks) > KEPT_CHUNKS:
@@ -210,7 +224,7 @@ class Encoder:
         if not text.isascii():
             # A capital sigma is lowered alone, without a look at where in the word it stands.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        text = self.newer_lower(text) if _NEWER_LETTERS.search(text) else text.lower()
         return self.not_space(text) if any(c in text for c in _SEPARATORS) else text.split()
 
     def pieces(self, text: str) -> list[list[str] | bytes]:
