@@ -201,8 +201,8 @@ def with_words(docs: DataFrame, text: str = "text", keep: Sequence[str] | None =
 
 
 def _beginnings(words: Column, n: int) -> Column:
-    longer = F.filter(words, lambda w: F.length(w) > n)
-    return F.transform(longer, lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
+    long = F.filter(words, lambda w: F.length(w) >= n)
+    return F.transform(long, lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
 
 
 def learned_terms(sample: DataFrame, text: str = "text", support: int = 4, odds: float = 4.5,
@@ -228,7 +228,8 @@ def learned_terms(sample: DataFrame, text: str = "text", support: int = 4, odds:
     rate = F.log((F.col("toxic") + 0.5) / (toxic_texts + 1)) - F.log((F.coalesce("clean", F.lit(0)) + 0.5) / (clean_texts + 1))
     strong = marked.join(counted, "term", "left").filter(rate >= odds)
     found = {r[0]: r[1] for r in strong.orderBy(F.desc("toxic"), "term").select("term", "toxic").limit(terms).collect()}
-    by_stem = {t.rstrip("*"): t for t in sorted(found)}  # a word goes before the beginning spelt like it
+    # Of a word and the beginning spelt like it the one with more support counts, the word if they are equal.
+    by_stem = {t.rstrip("*"): t for t in sorted(found, key=lambda t: (found[t], not t.endswith("*")))}
     kept: list[str] = []
     for stem in sorted(by_stem, key=lambda s: (len(s), s)):
         term = by_stem[stem]
