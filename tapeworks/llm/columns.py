@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +27,13 @@ Compute = Callable[[pa.RecordBatch], Sequence[pa.Array]]
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, so that a batch of very long texts still fits a Python worker."""
+    """Small Arrow batches, so that a batch of very long texts still fits a Python worker.
+
+    Python workers look for this package where the driver found it, beside what --py-files gives them.
+    """
+    home, workers = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if home not in (paths := workers.get("PYTHONPATH", "").split(os.pathsep)):
+        workers["PYTHONPATH"] = os.pathsep.join(filter(None, [home, *paths]))
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(BATCH_ROWS):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark

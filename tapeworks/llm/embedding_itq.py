@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tapeworks.functions.skew import left_lookup
 from tapeworks.llm.columns import prepared, stage
 from tapeworks.llm.components import HOT_ROWS, smallest_member, with_roots
+from tapeworks.llm.labelled import sampled
 
 # Vectors that the rotations are learned on at most, the first by a hash; all vectors are indexed.
 TRAINING_VECTORS = 4_096
@@ -219,7 +220,7 @@ def near_duplicates(rows: DataFrame, least: float = 0.9, id_col: str = "vec_id",
     if common is not None:
         dims = common[0]
         alike = classes.filter(F.size("vec") == dims)
-        sample = alike.orderBy(F.xxhash64("vec"), "node").limit(TRAINING_VECTORS).select("vec").collect()
+        sample = sampled(alike.select("vec"), "vec", TRAINING_VECTORS).collect()
         codes = learned(_units(pa.array([r[0] for r in sample], pa.list_(pa.float32())), dims), tables)
         links = stage(near_vectors(alike, dims, codes, least, block), "vector-links")
         pairs = links.select(F.col("node").alias("a"), F.col("root").alias("b"))

@@ -18,6 +18,18 @@ def _order(id_col: str) -> Column:
     return F.xxhash64(F.lit(11), id_col)
 
 
+def sampled(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` of the rows, the first by a hash of the key.
+
+    A threshold on the hash that about four times as many rows pass keeps what the tasks hand over from growing with
+    the table.
+    """
+    share = 4 * most / max(1, rows.count())
+    if share < 1:
+        rows = rows.filter(_order(key) < F.lit(round((2 * share - 1) * 2**63)))
+    return rows.orderBy(_order(key), key).limit(most)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAINING_ROWS,
                   id_col: str = "doc_id") -> DataFrame:
     """docs that have a 0 or 1 as label and are not held out, with the label as ``target``.
@@ -26,7 +38,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = TR
     of an id and a number each is broadcast.
     """
     usable = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
-    chosen = usable.groupBy(id_col).agg(F.max(label).alias("target")).orderBy(_order(id_col), id_col).limit(rows)
+    chosen = sampled(usable.groupBy(id_col).agg(F.max(label).alias("target")), id_col, rows)
     return docs.drop("target").join(F.broadcast(chosen), id_col)
 
 

@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeworks.llm.labelled import sampled
+
 # Buckets of the hashed features.
 BUCKETS = 1 << 15
 # Variants of each template, documents and paragraphs of them that the classifier is fitted on.
@@ -187,8 +189,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Model:
     Paragraphs that share three words in a row with a template are no examples of the unknown class.
     """
     spark = docs.sparkSession
-    ids = docs.select(id_col).filter(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(F.lit(3), id_col), id_col) \
-        .limit(TRAINING_DOCUMENTS)
+    ids = sampled(docs.select(id_col).filter(F.col(id_col).isNotNull()).distinct(), id_col, TRAINING_DOCUMENTS)
     some = paragraphs(docs.join(F.broadcast(ids), id_col), id_col, text)
     some = some.orderBy(F.xxhash64("id", "line", "nth"), "id", "line", "nth").limit(TRAINING_PARAGRAPHS)
     ordinary = spark.createDataFrame([(t,) for t in ORDINARY for _ in range(5)], "paragraph string")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tapeworks.functions.skew import left_lookup
 from tapeworks.llm.columns import stage
 from tapeworks.llm.components import HOT_ROWS
+from tapeworks.llm.labelled import sampled
 
 # Fixed values of the formats: magic numbers of skippable frames, and what a record's head says.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -166,8 +167,8 @@ def _dictionary(pages: DataFrame, html: str, id_col: str) -> bytes:
     """A dictionary trained on the first pages by hash, none of them long; empty if there are too few to train on."""
     import zstandard
 
-    short = pages.filter(F.length(html) <= PAGE_CHARS).select(id_col, html)
-    rows = short.orderBy(F.xxhash64(id_col), id_col).limit(DICTIONARY_PAGES).collect()
+    short = pages.filter(F.col(id_col).isNotNull() & (F.length(html) <= PAGE_CHARS)).select(id_col, html)
+    rows = sampled(short, id_col, DICTIONARY_PAGES).collect()
     samples = [record(r[0], None, r[1].encode(), None, "1970-01-01T00:00:00Z") for r in rows]
     if len(samples) < 16:
         return b""

@@ -1,0 +1,108 @@
+"""Ids and texts of the forced-boundary encoder against the tokenizers library."""
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tapeworks.llm import bpe
+from tapeworks.llm.queries import WORD_BPE
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(WORD_BPE)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(WORD_BPE, encoding="utf-8") as file:
+        return bpe.Encoder(bpe.Vocabulary(file.read()))
+
+
+def ids(encoder, text):
+    return np.frombuffer(encoder.encode([text])[0], dtype=np.int32).tolist()
+
+
+ODD = ["", " ", "it's we'LL <|endoftext|>x<|startoftext|>", "<|endoftext|", "ΑΣ Σ İstanbul", "a\x1cb c\x85d", "é é",
+       "👩‍👩‍👧 １２３ Ⅷ ٣", "\x00\x07", "a" * 3000, "日本語のテキスト" * 40, "don't 'S 'sx", "x​y﻿ 　z", "ab" * 13, ":\U0003d000 a\U00016ea0b \u1c89\ua7cb x\u0558y \U0002b73a1"]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_odd_texts(text, library, encoder):
+    assert ids(encoder, text) == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    library, own = Tokenizer.from_file(WORD_BPE), _shared()
+    assert ids(own, text) == library.encode(text, add_special_tokens=False).ids
+
+
+_kept = []
+
+
+def _shared():
+    if not _kept:
+        with open(WORD_BPE, encoding="utf-8") as file:
+            _kept.append(bpe.Encoder(bpe.Vocabulary(file.read())))
+    return _kept[0]
+
+
+def test_cuts_never_split_a_token(encoder):
+    for token in list(encoder.v.ids)[:20000]:
+        word = token.removesuffix(encoder.v.end)
+        if token.endswith(encoder.v.end) and word.isascii() and word.isalpha():
+            assert encoder.cuts(word.encode() + b" ").tolist() == [len(word) + 1]
+
+
+def test_long_and_short_fragments_merge_alike(encoder):
+    random.seed(3)
+    for _ in range(200):
+        fragment = "".join(random.choices("aeiothnrs", k=random.randint(2, bpe.SHORT - 1))).encode() + b" "
+        assert encoder.merger.merge([fragment]) == [encoder.merger._merge_long(fragment)]
+
+
+def test_full_stores_start_anew(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 3)
+    monkeypatch.setattr(bpe, "KEPT_FRAGMENTS", 3)
+    with open(WORD_BPE, encoding="utf-8") as file:
+        small = bpe.Encoder(bpe.Vocabulary(file.read()))
+    for text in ("one two three four five", "six seven eight nine", "one six two seven"):
+        assert ids(small, text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_round_trip(spark, library):
+    rows = [(1, "Hello  World, it's", "x"), (2, None, "y"), (3, "", None), (1, "Hello  World, it's", "x"), (None, "z" * 200_000, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    encoded = bpe.encode(docs, WORD_BPE)
+    assert encoded.columns == ["doc_id", "text", "ids"]  # a clashing column is replaced
+    decoded = bpe.decode(encoded, WORD_BPE).collect()
+    assert len(decoded) == 5
+    for r in decoded:
+        wanted = library.encode(r["text"] or "", add_special_tokens=False).ids
+        assert r["ids"] == wanted
+        assert r["decoded"] == library.decode(wanted, skip_special_tokens=False)
+    assert bpe.encode(docs.limit(0), WORD_BPE).count() == 0
+    odd_ids = spark.createDataFrame([(None,), ([],), ([320, None, -1, 999_999],)], "ids array<int>")
+    texts = [r[0] for r in bpe.decode(odd_ids, WORD_BPE, keep=[]).collect()]
+    assert texts == ["", "", library.id_to_token(320)]
+
+
+def test_query(spark, sf_dir, library):
+    from hashlib import sha256
+
+    from tapeworks.llm.queries import llm_queries
+
+    texts = {r[0]: r[1] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    found = llm_queries()["op4_bpe"](spark, sf_dir).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        wanted = library.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
+        assert r["n_tokens"] == len(wanted)
+        assert r["ids_sha256"] == sha256(" ".join(map(str, wanted)).encode()).hexdigest()
+        assert r["decoded_sha256"] == sha256(library.decode(wanted, skip_special_tokens=False).encode()).hexdigest()

@@ -1,0 +1,122 @@
+"""Fingerprints, shards and components against plain versions."""
+
+import random
+import re
+
+import xxhash
+
+from tapeworks.llm import components, simhash
+
+
+def plain_fingerprint(text, k=3):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    shingles = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(values, near):
+    parent = {v: v for v in values}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ordered = sorted(values)
+    for i, a in enumerate(ordered):
+        for b in ordered[i + 1 :]:
+            if near(a, b):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {v: root(v) for v in values}
+
+
+def signed(x):
+    return x - 2**64 if x >> 63 else x
+
+
+def test_fingerprint():
+    for text in [None, "", " \n", "One", "One two", "A b C d É f", "x\x1cy z w", "w " * 70_000 + "end", "a b c a b c a b c"]:
+        assert simhash.fingerprint(text) == signed(plain_fingerprint(text))
+
+
+def test_tree_finds_what_is_within():
+    random.seed(1)
+    values = [random.getrandbits(12) for _ in range(300)]
+    tree = simhash.Tree()
+    for v in values:
+        tree.add(v)
+    for v in values[:50]:
+        assert set(tree.within(v, 3)) == {w for w in values if (v ^ w).bit_count() <= 3}
+
+
+def test_blocks_cover_what_is_free():
+    for mask in (0, *simhash.blocks(0, 3)):
+        parts = [b ^ mask for b in simhash.blocks(mask, 3)]
+        assert sum(p.bit_count() for p in parts) == 64 - mask.bit_count()
+        assert all(p & mask == 0 for p in parts)
+
+
+def test_near_links_lose_no_pair_when_shards_are_cut(spark):
+    random.seed(2)
+    values = set()
+    for _ in range(6):
+        seed = random.getrandbits(64)
+        values.add(seed)
+        for _ in range(40):
+            x = seed
+            for b in random.sample(range(64), random.randint(1, 4)):
+                x ^= 1 << b
+            values.add(x)
+    wanted = plain_components({signed(v) for v in values}, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 3)
+    frame = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    for members in (4, 1000):
+        links = simhash.near_links(frame, members=members)
+        assert all(((a ^ b) & (2**64 - 1)).bit_count() >= 1 for a, b in links.collect())
+        found = {r["fp"]: r["root"] for r in components.with_roots(frame, "fp", links).collect()}
+        assert found == wanted
+
+
+def test_components_of_a_chain_a_hub_and_nothing(spark):
+    chain = [(i, i + 1) for i in range(0, 60)]
+    hub = [(1000, 1000 + i) for i in range(1, 400)] + [(1399, 5000), (7, 7)]
+    links = spark.createDataFrame(chain + hub + [(1001, 1000)], "a long, b long")
+    found = {r[0]: r[1] for r in components.components(links).collect()}
+    assert {n for n, r in found.items() if r == 0} == set(range(1, 61))
+    assert {n for n, r in found.items() if r == 1000} == {*range(1001, 1400), 5000}
+    assert components.components(links.limit(0)).count() == 0
+
+
+ROWS = [(5, "The quick brown fox jumps", "a"), (3, "the QUICK brown  fox jumps", "b"), (9, None, "c"), (8, "", "d"),
+        (None, " ", "e"), (7, "something else entirely is here", "f"), (7, "something else entirely is here", "g"),
+        (None, "a lonely text without an id", "h")]
+
+
+def test_near_duplicates(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string, fp string")
+    found = simhash.near_duplicates(docs).collect()
+    assert len(found) == len(ROWS)
+    wanted = [("5", 3), ("3", 3), ("9", 8), ("8", 8), ("None", 8), ("7", 7), ("7", 7), ("None", None)]
+    assert sorted(((str(r[0]), r[2]) for r in found), key=str) == sorted(wanted, key=str)
+    assert {r[1] for r in found if r[2] == 8} == {"0" * 16}
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_group_stays(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string, fp string")
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r[0]) for r in kept.collect())) == ["3", "7", "8", "None"]
+
+
+def test_query_against_all_pairs(spark, sf_dir):
+    from tapeworks.llm.queries import llm_queries
+
+    texts = {r[0]: r[1] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    prints = {i: plain_fingerprint(t) for i, t in texts.items()}
+    wanted = plain_components(set(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    found = llm_queries()["op2_simhash"](spark, sf_dir).collect()
+    assert {r["doc_id"]: r["fingerprint"] for r in found} == {i: f"{p:016x}" for i, p in prints.items()}
+    assert {r["doc_id"]: r["component_id"] for r in found} == wanted
