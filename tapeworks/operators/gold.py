@@ -58,3 +58,11 @@ def daily_trade_metrics(silver: DataFrame) -> DataFrame:
         "buy_notional", "sell_notional", "gross_notional",
         "avg_buy_price", "avg_sell_price", "ingested_at",
     )
+
+
+def daily_fees(silver: DataFrame, rate: float = 0.0000125, decimals: int = 9) -> DataFrame:
+    """Fees per day and symbol: a share of each trade's notional, to ``decimals`` places, summed without loss."""
+    fee = F.round(F.col("price") * F.col("quantity") * F.lit(rate), decimals)
+    dated = silver.filter(F.coalesce("source_ts", "ingestion_time").isNotNull())
+    return dated.groupBy(trade_date().alias("trade_date"), "symbol").agg(
+        F.round(exact_sum(fee), decimals).alias("fees"))

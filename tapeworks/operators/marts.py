@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tapeworks.functions.sums import exact_avg, exact_sum
 from tapeworks.operators.gold import gold_base, side_metrics, side_sums
 
+# Finer than the tick of any market; coarser than the rounding of doubles.
+QUOTE_DECIMALS = 8
+
 
 def _cutoff(df: DataFrame, ts: str, age: str, now: datetime | None) -> Column:
     """``now`` minus an age; without ``now`` the newest event counts as now (a scalar subquery, no join)."""
@@ -113,8 +116,12 @@ def risk_metrics(silver: DataFrame, rows: int = 20) -> DataFrame:
 
 
 def quote_bars(quotes: DataFrame, width: str = "1 minute") -> DataFrame:
-    """Mean, smallest and largest mid and spread per symbol and bucket."""
-    mid, spread = (F.col("bid") + F.col("ask")) / 2, F.col("ask") - F.col("bid")
+    """Mean, smallest and largest mid and spread per symbol and bucket, both to the eighth decimal.
+
+    A difference of two prices carries the rounding of both, which is no part of the spread.
+    """
+    mid = F.round((F.col("bid") + F.col("ask")) / 2, QUOTE_DECIMALS)
+    spread = F.round(F.col("ask") - F.col("bid"), QUOTE_DECIMALS)
     bars = quotes.withColumns({"mid": mid, "spread": spread}).groupBy(
         "symbol", F.window("event_ts", width).alias("bucket")
     ).agg(

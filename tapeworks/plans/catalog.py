@@ -211,6 +211,11 @@ def daily_notional(spark, sf_dir):
     return metrics.select("trade_date", "symbol", "buy_notional", "sell_notional", "gross_notional")
 
 
+@query
+def daily_fees(spark, sf_dir):
+    return gold.daily_fees(fx.silver_with_gaps(spark, sf_dir))
+
+
 @query
 def daily_vwap(spark, sf_dir):
     metrics = gold.daily_trade_metrics(fx.silver_with_gaps(spark, sf_dir))

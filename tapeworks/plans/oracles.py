@@ -255,6 +255,10 @@ def all_oracles() -> dict[str, str]:
         "daily_qty": f"{gaps_daily} select trade_date, symbol, trades, buy_qty, sell_qty, net_qty from daily",
         "daily_notional": f"""{gaps_daily}
             select trade_date, symbol, buy_notional, sell_notional, gross_notional from daily""",
+        "daily_fees": f"""{gaps}
+            select coalesce(cast(source_ts as date), cast(ingestion_time as date)) as trade_date, symbol,
+                   cast(sum(cast(round(price * quantity * 0.0000125, 9) as decimal(28,9))) as double) as fees
+            from gaps where coalesce(source_ts, ingestion_time) is not null group by 1, 2""",
         "daily_vwap": f"{gaps_daily} select trade_date, symbol, avg_buy_price, avg_sell_price from daily",
         "trades_enriched": asof,
         "trades_enriched_stream":
@@ -352,7 +356,7 @@ def all_oracles() -> dict[str, str]:
                                        rows between unbounded preceding and current row) as max_drawdown,
                    gross_exposure
             from returns""",
-        "quote_bars": f"""{e}, m as (select *, (bid + ask) / 2 as mid, ask - bid as spread from q)
+        "quote_bars": f"""{e}, m as (select *, round((bid + ask) / 2, 8) as mid, round(ask - bid, 8) as spread from q)
             select symbol, date_trunc('minute', event_ts) as minute,
                    {_sum4('mid')} / count(*) as avg_mid, min(mid) as min_mid, max(mid) as max_mid,
                    {_sum4('spread')} / count(*) as avg_spread, min(spread) as min_spread, max(spread) as max_spread,

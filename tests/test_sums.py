@@ -4,6 +4,7 @@ import math
 import random
 from fractions import Fraction
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -47,6 +48,15 @@ def test_fine_and_huge_values_are_not_rounded_away(spark):
     assert math.isnan(total(spark, [float("inf"), float("-inf")]))
 
 
+@pytest.mark.parametrize("value", [1e-13, 100000000.00003, 1234567.8900005, 2e-20, 3.14159265358979])
+def test_no_digit_is_cut_off(spark, value):
+    true = float(Fraction(value) * 1000)
+    for parts in (1, 3, 7):
+        got = total(spark, [value] * 1000, parts=parts)
+        assert abs(got - true) <= math.ulp(true)
+    assert math.isclose(total(spark, [1e-25] * 1000), 1e-22, rel_tol=1e-12)
+
+
 def test_many_large_units_do_not_overflow(spark):
     big = 900000000000.0
     df = spark.range(200000).select(F.lit(big).alias("x"))
