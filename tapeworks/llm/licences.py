@@ -63,6 +63,8 @@ TEMPLATES = (
     ("Unlicense", "Unlicense-short", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All-rights", "All rights reserved. No part of this publication may be reproduced without prior written permission."),
 )
+# A notice has at least one of these in it; sentences without are unknown, and the classifier is not asked.
+CUES = ("licen", "permission", "copyright", "domain", "redistribut", "reserved", "commons", "software", "unencumbered", "waived")
 # Paragraphs with words of licences that are none.
 ORDINARY = (
     "You need a driving licence to rent a car.", "The license plate of the car was found under the bridge.",
@@ -95,6 +97,13 @@ def with_features(paragraphs: DataFrame, text: str = "paragraph") -> DataFrame:
     return worded.withColumn("features", _buckets(F.concat("words", _pairs(F.col("words")))))
 
 
+def _has_cue(text: Column) -> Column:
+    lowered, found = F.lower(text), F.lit(False)
+    for cue in CUES:
+        found = found | F.contains(lowered, F.lit(cue))
+    return found
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights by bucket: of being a licence at all, with its calibration, and of each family."""
@@ -170,7 +179,7 @@ def _variants(spark: SparkSession) -> DataFrame:
     kept = F.filter(words, lambda w, i: F.pmod(F.xxhash64("v", w, i), F.lit(20)) >= F.col("v") % 5)
     foreign = F.transform(F.sequence(F.lit(1), F.col("v") % 3), lambda k: F.concat(F.lit("x"), F.hex(F.xxhash64("v", k) % 9999)))
     around = F.when(F.col("v") % 3 == 0, kept).when(F.col("v") % 3 == 1, F.concat(foreign, kept)).otherwise(F.concat(kept, foreign))
-    return each.select("family", F.array_join(around, " ").alias("paragraph"))
+    return each.filter(_has_cue(F.col("text"))).select("family", F.array_join(around, " ").alias("paragraph"))
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -232,7 +241,8 @@ def found(docs: DataFrame, model: Model, at_least: float = 0.5, similar: float =
     those are fewer, with a template of the family. Null and empty texts give no rows, nor do documents without
     notices; repeated rows and ids give their rows again; ties go to the family and template that comes first.
     """
-    featured = with_features(paragraphs(docs, id_col, text))
+    cued = paragraphs(docs.filter(_has_cue(F.col(text))), id_col, text).filter(_has_cue(F.col("paragraph")))
+    featured = with_features(cued)
     norm = F.sqrt(F.size("features"))
     gate = _constant(np.round(model.gate, 5).tolist(), "array<double>")
     margin = _summed(gate) / norm + model.gate_bias
