@@ -88,18 +88,21 @@ def high_low_volume(trades: DataFrame, width: str = "1 minute", ts: str = "trade
 
 
 def repair_bars(bars: DataFrame, trades: DataFrame, width: str = "1 minute", ts: str = "trade_ts") -> DataFrame:
-    """Bars that agree with the trades: good ones are kept, missing or short ones rebuilt.
+    """Bars that agree with the trades: good ones are kept, missing or differing ones rebuilt.
 
-    Trades per bucket are counted with a cheap hash aggregate; open and close are worked out only for
-    buckets whose count differs from the stored bar.
+    Count, high, low and volume per bucket come from a cheap hash aggregate; open and close are worked out only for
+    buckets in which one of them differs from the stored bar. Bars of buckets without trades are dropped.
     """
-    truth = _bucket(trades, ts, width).agg(F.count(F.lit(1)).alias("expected")).select(
-        "symbol", F.col("bucket.start").alias("minute"), "expected"
+    keys, facts = ["symbol", "minute"], ["trade_count", "high", "low", "volume"]
+    truth = high_low_volume(trades, width, ts).select(
+        *keys, *[F.col(c).alias(f"true_{c}") for c in facts], F.col("trade_count").alias("expected")
     )
-    keys = ["symbol", "minute"]
+    same = F.lit(True)
+    for c in facts:
+        same = same & F.col(c).eqNullSafe(F.col(f"true_{c}"))
     compared = truth.join(bars.select(BAR_COLUMNS), keys, "left")
-    good = compared.filter(F.col("trade_count") == F.col("expected")).select(BAR_COLUMNS)
-    stale = compared.filter(~F.col("trade_count").eqNullSafe(F.col("expected"))).select(*keys, "expected")
+    good = compared.filter(same).select(BAR_COLUMNS)
+    stale = compared.filter(~same).select(*keys, "expected")
     placed = trades.withColumn("minute", F.window(ts, width)["start"])
     again = left_lookup(placed, stale, keys, "expected").filter(F.col("found").isNotNull()).select(trades.columns)
     return good.unionByName(ohlcv(again, width, ts))

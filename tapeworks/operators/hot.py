@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions.payload import parse_payload
@@ -22,9 +22,21 @@ def to_hot(df: DataFrame, value: str = "raw_value", keep: tuple[str, ...] = ())
     return to_trades(df, value, keep).withColumn("trade_ts", whole_second(F.col("trade_ts")))
 
 
+def _lacking() -> Column:
+    """The columns of the hot table in which a row has no value; NaN is one."""
+    return F.array_compact(F.array(*[
+        F.when(F.col(name).isNull(), F.lit(f"missing_{name}")) for name in HOT_TRADE.fieldNames()
+    ]))
+
+
 def storable(hot: DataFrame) -> DataFrame:
     """Rows with a value in every column; the hot table has no nullable column."""
-    return hot.dropna(subset=HOT_TRADE.fieldNames())
+    return hot.filter(F.size(_lacking()) == 0)
+
+
+def unstorable(hot: DataFrame) -> DataFrame:
+    """All other rows, with what each lacks as ``reasons``."""
+    return hot.withColumn("reasons", F.array_join(_lacking(), ",")).filter("reasons <> ''")
 
 
 def to_quotes(df: DataFrame, value: str = "raw_value", keep: tuple[str, ...] = ()) -> DataFrame:

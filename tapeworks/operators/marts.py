@@ -14,10 +14,30 @@ from tapeworks.operators.gold import gold_base, side_metrics, side_sums
 QUOTE_DECIMALS = 8
 
 
-def _cutoff(df: DataFrame, ts: str, age: str, now: datetime | None) -> Column:
-    """``now`` minus an age; without ``now`` the newest event counts as now (a scalar subquery, no join)."""
-    newest = F.lit(now).cast("timestamp") if now is not None else df.select(F.max(ts)).scalar()
-    return newest - F.expr(f"interval {age}")
+# How far a producer's clock may run ahead of the broker's.
+TOLERANCE = "5 minutes"
+
+
+def in_time(trades: DataFrame, tolerance: str = TOLERANCE, ts: str = "trade_ts", clock: str = "source_ts") -> DataFrame:
+    """Trades whose own time is not ahead of the broker's; those ahead are for :func:`ahead_of_time`."""
+    return trades.filter(F.col(ts) <= F.col(clock) + F.expr(f"interval {tolerance}"))
+
+
+def ahead_of_time(trades: DataFrame, tolerance: str = TOLERANCE, ts: str = "trade_ts",
+                  clock: str = "source_ts") -> DataFrame:
+    """Trades that :func:`in_time` leaves out, with the reason: a time ahead of the broker's, or none."""
+    late = F.col(ts) > F.col(clock) + F.expr(f"interval {tolerance}")
+    reason = F.when(F.col(ts).isNull() | F.col(clock).isNull(), F.lit("missing_time")).when(late, F.lit("time_ahead"))
+    return trades.withColumn("reasons", reason).filter("reasons IS NOT NULL")
+
+
+def _recent(trades: DataFrame, age: str, now: datetime | None, tolerance: str) -> DataFrame:
+    """Trades of the last ``age``. Now is ``now``, or the broker's newest time (a scalar subquery, no join).
+
+    Producers set the time of a trade, the broker that of the record: so no single trade can move the clock.
+    """
+    newest = F.lit(now).cast("timestamp") if now is not None else trades.select(F.max("source_ts")).scalar()
+    return in_time(trades, tolerance).filter(F.col("trade_ts") >= newest - F.expr(f"interval {age}"))
 
 
 def _last(value: str, ts: str = "trade_ts", tie: str = "trade_id") -> Column:
@@ -25,18 +45,20 @@ def _last(value: str, ts: str = "trade_ts", tie: str = "trade_id") -> Column:
                                                            F.col(value).alias("value"))))
 
 
-def latest_price(trades: DataFrame, ttl: str = "1 hour", now: datetime | None = None) -> DataFrame:
-    """Newest price per symbol; symbols that have not traded for ``ttl`` are gone."""
-    recent = trades.filter(F.col("trade_ts") >= _cutoff(trades, "trade_ts", ttl, now))
+def latest_price(trades: DataFrame, ttl: str = "1 hour", now: datetime | None = None,
+                 tolerance: str = TOLERANCE) -> DataFrame:
+    """Newest price per symbol; symbols that have not traded for ``ttl`` are gone. Trades have a ``source_ts``."""
+    recent = _recent(trades, ttl, now, tolerance)
     return recent.groupBy("symbol").agg(_last("price").alias("last")).select(
         "symbol", F.col("last.value").alias("price"), F.col("last.ts").alias("trade_ts"),
         F.col("last.tie").alias("trade_id"),
     )
 
 
-def live_volume(trades: DataFrame, window: str = "1 hour", now: datetime | None = None) -> DataFrame:
-    """Quantity and notional per symbol over the last ``window``."""
-    recent = trades.filter(F.col("trade_ts") >= _cutoff(trades, "trade_ts", window, now))
+def live_volume(trades: DataFrame, window: str = "1 hour", now: datetime | None = None,
+                tolerance: str = TOLERANCE) -> DataFrame:
+    """Quantity and notional per symbol over the last ``window``. Trades have a ``source_ts``."""
+    recent = _recent(trades, window, now, tolerance)
     return recent.groupBy("symbol").agg(
         exact_sum(F.col("quantity")).alias("volume"),
         exact_sum(F.col("price") * F.col("quantity")).alias("notional"),

@@ -44,18 +44,24 @@ def accepted_values(column: str, values: Sequence[str]) -> Rule:
 
 
 def trade_ranges(earliest: str, latest: str) -> list[Rule]:
-    """Plausible Silver rows."""
+    """Plausible Silver rows; what is NULL or NaN is not plausible."""
     bounds = F.col("trade_ts").between(F.lit(earliest).cast("timestamp"), F.lit(latest).cast("timestamp"))
     return [
-        Rule("price_positive", F.col("price") <= 0),
-        Rule("quantity_positive", F.col("quantity") <= 0),
-        Rule("symbol_not_blank", F.col("symbol") == ""),
-        Rule("event_time_in_bounds", ~bounds),
+        Rule("price_positive", ~_holds((F.col("price") > 0) & ~F.isnan("price"))),
+        Rule("quantity_positive", ~_holds((F.col("quantity") > 0) & ~F.isnan("quantity"))),
+        Rule("symbol_not_blank", ~_holds(F.trim("symbol") != "")),
+        Rule("event_time_in_bounds", ~_holds(bounds)),
     ]
 
 
 def quote_ranges() -> list[Rule]:
-    return [Rule("ask_not_below_bid", F.col("ask") < F.col("bid"))]
+    numbers = ~F.isnan("ask") & ~F.isnan("bid")
+    return [Rule("ask_not_below_bid", ~_holds((F.col("ask") >= F.col("bid")) & numbers))]
+
+
+def _holds(test: Column) -> Column:
+    """A test that came out as NULL does not hold."""
+    return F.coalesce(test, F.lit(False))
 
 
 def _verdict(results: DataFrame) -> DataFrame:
@@ -84,24 +90,40 @@ def raise_on_failure(results: DataFrame) -> None:
         raise QualityError("; ".join(failed))
 
 
-def contract_rules(contract: Contract, typed: str = "typed", keyed: str = "keyed") -> list[Rule]:
-    """Rules for a payload read twice: as the contract's struct and as a map of strings."""
+def contract_rules(contract: Contract, typed: str = "typed", keyed: str = "keyed", kinds: str = "kinds") -> list[Rule]:
+    """Rules for a payload read as the contract's struct, as a map of strings, and as the JSON type of each field.
+
+    Reading as a struct turns a number, truth value or object into text where the contract has a string, so the
+    type of the raw value decides there.
+    """
     rules = []
     for f in contract.fields:
-        raw, value = F.col(keyed)[f.name], F.col(typed)[f.name]
+        raw, value, kind = F.col(keyed)[f.name], F.col(typed)[f.name], F.col(kinds)[f.name]
         if not f.nullable:
             rules.append(Rule(f"{f.name}:missing", F.col(keyed).isNotNull() & raw.isNull()))
-        rules.append(Rule(f"{f.name}:wrong_type", raw.isNotNull() & value.isNull()))
+        wrong = value.isNull()
+        if isinstance(f.spark_type, T.StringType):
+            wrong = wrong | F.coalesce(kind != "STRING", F.lit(False))
+        rules.append(Rule(f"{f.name}:wrong_type", raw.isNotNull() & wrong))
         if f.symbols:
             rules.append(Rule(f"{f.name}:not_in_enum", value.isNotNull() & ~value.isin(*f.symbols)))
     return [Rule("payload:unparsable", F.col(keyed).isNull()), *rules]
 
 
+def _json_kinds(value: str, contract: Contract) -> Column:
+    """The JSON type of each of the contract's fields, as the engine names it; NULL where the payload is no JSON."""
+    parsed = F.try_parse_json(value)
+    return F.struct(*[
+        F.schema_of_variant(F.try_variant_get(parsed, f"$['{f.name}']", "variant")).alias(f.name) for f in contract.fields
+    ])
+
+
 def contract_violations(bronze: DataFrame, contract: Contract, value: str = "raw_value") -> DataFrame:
     """Violations of a contract, per field and kind, in one pass over the raw payload."""
     as_map = F.from_json(value, T.MapType(T.StringType(), T.StringType()))
     read = bronze.select(F.inline(F.array(F.struct(
-        F.from_json(value, contract.schema).alias("typed"), as_map.alias("keyed")
+        F.from_json(value, contract.schema).alias("typed"), as_map.alias("keyed"),
+        _json_kinds(value, contract).alias("kinds"),
     ))))
     return check(read, contract_rules(contract))
 

@@ -22,7 +22,8 @@ from tapeworks.streaming import runs
 from tapeworks.streaming.bars import closed_bars, read_bars, start_bars
 from tapeworks.streaming.dedupe import drop_repeats
 from tapeworks.streaming.dual_sink import start_dual_sink
-from tapeworks.streaming.state_tables import read_latest, start_enrichment, start_latest_price
+from tapeworks.streaming.enrichment import start_enrichment
+from tapeworks.streaming.latest import read_latest, start_latest_price
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -319,12 +320,12 @@ def schema_profile(spark, sf_dir):
 
 @query
 def latest_price(spark, sf_dir):
-    return marts.latest_price(fx.event_trades(spark, sf_dir))
+    return marts.latest_price(fx.live_trades(spark, sf_dir))
 
 
 @query
 def live_volume(spark, sf_dir):
-    return marts.live_volume(fx.event_trades(spark, sf_dir))
+    return marts.live_volume(fx.live_trades(spark, sf_dir))
 
 
 @query
@@ -431,6 +432,19 @@ def dual_sink_hot(spark, sf_dir):
     return spark.read.parquet(hot_path).select(HOT_TRADE.fieldNames())
 
 
+@query
+def dual_sink_rejects(spark, sf_dir):
+    bronze, hot_path, rejects, checkpoint = (workspace(spark, p) for p in ("bronze", "hot", "rejects", "checkpoint"))
+    replay_shuffled(
+        fx.untidy_envelope(spark, sf_dir),
+        lambda stream: start_dual_sink(
+            stream, files.bronze_batch_writer(bronze), files.month_batch_writer(hot_path, "trade_ts"), checkpoint,
+            runs.CATCH_UP, write_rejects=lambda df, batch_id: files.write_batch(df, rejects, batch_id),
+        ),
+    )
+    return spark.read.parquet(rejects).select(*silver.LINEAGE, "reasons")
+
+
 @query
 def ohlcv_stream(spark, sf_dir):
     path, checkpoint = workspace(spark, "stream-bars"), workspace(spark, "checkpoint")
@@ -473,24 +487,24 @@ def stream_dedupe(spark, sf_dir):
 
 @query
 def latest_price_stream(spark, sf_dir):
-    root, checkpoint = workspace(spark, "latest"), workspace(spark, "checkpoint")
+    path, checkpoint = workspace(spark, "latest"), workspace(spark, "checkpoint")
     replay_shuffled(
-        fx.trades_envelope(spark, sf_dir),
+        fx.live_envelope(spark, sf_dir),
         lambda stream: start_latest_price(
-            hot.to_trades(stream, "value"), root, checkpoint, trigger=runs.CATCH_UP
+            hot.to_trades(to_bronze(stream), keep=("source_ts",)), path, checkpoint, trigger=runs.CATCH_UP
         ),
     )
-    return read_latest(spark, root)
+    return read_latest(spark, path)
 
 
 @query
 def trades_enriched_stream(spark, sf_dir):
-    path, root, checkpoint = (workspace(spark, p) for p in ("enriched", "quotes-state", "checkpoint"))
+    path, quotes, checkpoint = (workspace(spark, p) for p in ("enriched", "quotes", "checkpoint"))
     both = fx.trades_envelope(spark, sf_dir).unionByName(fx.quotes_envelope(spark, sf_dir))
     replay_in_order(
         both,
         lambda stream: start_enrichment(
-            to_bronze(stream), path, root, checkpoint, within="1 day", lateness="1 hour", trigger=runs.CATCH_UP
+            to_bronze(stream), path, quotes, checkpoint, within="1 day", trigger=runs.CATCH_UP
         ),
     )
     return spark.read.parquet(path).drop("batch_id")

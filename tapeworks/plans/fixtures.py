@@ -105,6 +105,23 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_trades(spark, sf_dir).select(HOT_TRADE.fieldNames())
 
 
+def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event trades of which a few say that they happened ten years later."""
+    wrong = F.col("event_id") % 997 == 3
+    later = F.when(wrong, F.col("trade_ts") + F.expr("interval 10 years")).otherwise(F.col("trade_ts"))
+    return _event_trades(spark, sf_dir).withColumn("trade_ts", later)
+
+
+def live_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those trades with the broker's time beside their own."""
+    return _live(spark, sf_dir).withColumn("source_ts", F.col("ts")).select(*HOT_TRADE.fieldNames(), "source_ts")
+
+
+def live_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _live(spark, sf_dir)
+    return _envelope(rows, TRADES_TOPIC, _payload(rows))
+
+
 def _envelope(rows: DataFrame, topic: str, value: Column) -> DataFrame:
     return rows.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
@@ -156,7 +173,11 @@ def quotes_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def untidy_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a Bronze record in one of fifteen well or badly formed ways, by its number."""
+    return to_bronze(untidy_envelope(spark, sf_dir))
+
+
+def untidy_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a record in one of seventeen well or badly formed ways, by its number."""
     rows = _event_trades(spark, sf_dir)
     name = F.col("trade_id")
     millis = F.unix_millis("trade_ts").cast("string")
@@ -185,9 +206,11 @@ def untidy_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         text(side='"side":"\\tbuy"'),
         text(when='"trade_ts":-1500'),
         text(when='"timestamp":"2024-03-01T10:20:30.250Z"'),
+        text(symbol='"symbol":{"name":"SYM"}'),
+        text(side='"side":null'),
     ]
     form = F.col("event_id") % len(forms)
     value = F.when(form == 0, forms[0])
     for number, variant in enumerate(forms[1:], start=1):
         value = value.when(form == number, variant)
-    return to_bronze(_envelope(rows, TRADES_TOPIC, value))
+    return _envelope(rows, TRADES_TOPIC, value)

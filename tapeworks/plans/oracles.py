@@ -145,24 +145,47 @@ def _rules(source: str, rules: dict[str, str]) -> str:
     return f"select rule, failures, failures <> 0 as should_warn, failures <> 0 as should_error from ({counted})"
 
 
-# How each of the fifteen payload forms must come out of parsing.
+# The seventeen payload forms as text, and what the other engine's own JSON functions read in them. A bare NaN is
+# no JSON there; a payload that differs from JSON in nothing else is read with the text "NaN" in its place.
 _UNTIDY = """
-u as (
-  select *, event_id % 15 as form from e
+raw as (
+  select *, event_id % 17 as form, cast(price as varchar) as px, cast(epoch_us(trade_ts) // 1000 as varchar) as ms from e
+),
+parts as (
+  select *,
+         case form when 7 then '"trade_id":5' when 9 then '"TRADE_ID":"' || trade_id || '"'
+                   else '"trade_id":"' || trade_id || '"' end as p_id,
+         case form when 11 then '"symbol":"  "' when 15 then '"symbol":{"name":"SYM"}' else '"symbol":"SYM"' end as p_symbol,
+         case form when 12 then '"side":"\\tbuy"' when 16 then '"side":null' else '"side":"BUY"' end as p_side,
+         case form when 6 then '"price":"' || px || '"' when 8 then '"price":NaN'
+                   when 10 then '"price":' || px || ',"zzz":1' else '"price":' || px end as p_price,
+         case form when 13 then '"trade_ts":-1500' when 14 then '"timestamp":"2024-03-01T10:20:30.250Z"'
+                   else '"trade_ts":' || ms end as p_when
+  from raw
+),
+texts as (
+  select *, '{' || concat_ws(',', p_id, p_symbol, p_side, p_price, '"quantity":2.5', p_when) || '}' as good_text
+  from parts
+),
+payloads as (
+  select *, case form when 1 then '{not json' when 2 then good_text[:-2] when 3 then '' when 4 then null
+                      when 5 then '[' || good_text || ',{"trade_id":"second"}]' else good_text end as payload
+  from texts
+),
+jsons as (
+  select *, replace(payload, ':NaN', ':"NaN"') as j,
+         coalesce(payload like '%:NaN%', false) as price_is_nan
+  from payloads
 ),
 outcome as (
-  select kafka_partition, kafka_offset, form,
-         form between 1 and 5 as broken,
-         case when form = 7 then '5' when form between 1 and 5 or form = 9 then null else trade_id end as trade_id,
-         case when form between 1 and 5 then null when form = 11 then '  ' else 'SYM' end as symbol,
-         case when form between 1 and 5 then null when form = 12 then chr(9) || 'buy' else 'BUY' end as side,
-         case when form between 1 and 5 or form in (6, 8) then null else price end as price,
-         form = 8 as price_is_nan,
-         case when form not between 1 and 5 then 2.5::double end as quantity,
-         case when form between 1 and 5 then null
-              when form = 13 then timestamp '1969-12-31 23:59:58.5'
-              when form = 14 then timestamp '2024-03-01 10:20:30.25' else trade_ts end as trade_ts
-  from u
+  select kafka_partition, kafka_offset, price_is_nan, o as j,
+         o is null as broken,
+         o ->> '$.trade_id' as trade_id, o ->> '$.symbol' as symbol, o ->> '$.side' as side,
+         case when json_type(o, '$.price') in ('DOUBLE', 'UBIGINT', 'BIGINT') then cast(o ->> '$.price' as double) end as price,
+         cast(o ->> '$.quantity' as double) as quantity,
+         coalesce(make_timestamp(cast(o ->> '$.trade_ts' as bigint) * 1000),
+                  cast(left(o ->> '$.timestamp', 23) as timestamp)) as trade_ts
+  from (select *, case when json_valid(j) and json_type(j) = 'OBJECT' then cast(j as json) end as o from jsons)
 )"""
 
 _QUALITY_T = {
@@ -175,23 +198,31 @@ _QUALITY_T = {
 
 _WRONG_SIDE = "side not in ('buy', 'sell')"
 
+
+
+def _field(name: str, string: bool) -> dict[str, str]:
+    kind = f"json_type(j, '$.{name}')"
+    wrong = f"{kind} <> 'VARCHAR'" if string else f"{kind} not in ('DOUBLE', 'UBIGINT', 'BIGINT') and not price_is_nan"
+    return {
+        f"{name}:missing": f"not broken and coalesce({kind} = 'NULL', true)",
+        f"{name}:wrong_type": f"coalesce({kind} <> 'NULL' and {wrong}, false)",
+    }
+
+
 _CONTRACT = {
     "payload:unparsable": "broken",
-    "trade_id:missing": "not broken and form = 9",
-    "trade_id:wrong_type": "false",
-    "symbol:missing": "false",
-    "symbol:wrong_type": "false",
-    "side:missing": "false",
-    "side:wrong_type": "false",
-    "side:not_in_enum": "form = 12",
-    "price:missing": "false",
-    "price:wrong_type": "form = 6",
-    "quantity:missing": "false",
-    "quantity:wrong_type": "false",
-    "trade_ts:missing": "form = 14",
-    "trade_ts:wrong_type": "false",
+    **_field("trade_id", True), **_field("symbol", True), **_field("side", True),
+    "side:not_in_enum": "side not in ('BUY', 'SELL')",
+    **_field("price", False), **_field("quantity", False), **_field("trade_ts", False),
 }
 
+# Reasons in the order of the columns.
+_MISSING = "concat_ws(',', " + ", ".join(
+    f"case when {test} then 'missing_{name}' end" for name, test in {
+        "trade_id": "trade_id is null", "symbol": "symbol is null", "side": "side is null",
+        "price": "price is null", "quantity": "quantity is null", "trade_ts": "trade_ts is null"}.items()) + ")"
+_HOT_OUTCOME = "price is null and not price_is_nan"
+
 
 def all_oracles() -> dict[str, str]:
     t, e, gaps = f"with {_WITH_T}", f"with {_WITH_E}", f"with {_WITH_GAPS}"
@@ -202,6 +233,10 @@ def all_oracles() -> dict[str, str]:
     in_time = _WITH_T.replace(
         "from lineitem", "from lineitem where l_shipdate + interval 1 hour <= timestamp '1999-03-31 17:00:00'"
     )
+    latest = f"""{e}
+        select symbol, arg_max(price, row(trade_ts, trade_id)) as price, max(trade_ts) as trade_ts,
+               arg_max(trade_id, row(trade_ts, trade_id)) as trade_id
+        from e where trade_ts >= (select max(ts) from e) - interval 1 hour and event_id % 997 <> 3 group by symbol"""
     silver_columns = "trade_id, symbol, price, quantity, side, trade_ts, source_ts, ingestion_time"
     return {
         "bronze_envelope": f"{e} {_BRONZE} from e",
@@ -226,9 +261,15 @@ def all_oracles() -> dict[str, str]:
         "hot_parse": f"{e} {hot}",
         "json_edge_cases": f"""{e}, {_UNTIDY}
             select kafka_partition, kafka_offset, trade_id, symbol, side, price, price_is_nan, quantity, trade_ts,
-                   case when broken then 'unparsable' when form in (6, 8) then 'missing_price'
-                        when form = 9 then 'missing_trade_id' when form = 12 then 'invalid_side' else '' end as reasons
+                   case when broken then 'unparsable' else concat_ws(',',
+                     case when trade_id is null then 'missing_trade_id' end, case when symbol is null then 'missing_symbol' end,
+                     case when side is null then 'missing_side' end, case when price is null then 'missing_price' end,
+                     case when quantity is null then 'missing_quantity' end,
+                     case when lower(trim(side, ' ')) not in ('buy', 'sell') then 'invalid_side' end) end as reasons
             from outcome""",
+        "dual_sink_rejects": f"""{e}, {_UNTIDY}
+            select kafka_partition, kafka_offset, {_MISSING.replace('price is null', _HOT_OUTCOME)} as reasons
+            from outcome where reasons <> ''""",
         "silver_parse": f"""{e}
             select trade_id, symbol, price, quantity, side, trade_ts, ts as source_ts,
                    ts + interval 1 minute as ingestion_time, kafka_partition, kafka_offset from e""",
@@ -297,31 +338,25 @@ def all_oracles() -> dict[str, str]:
             {_rules('repeated', {'unique_trade_id': 'true'})}""",
         "quality_ranges": f"""{t}, {_WITH_E}
             {_rules('silver', {
-                'price_positive': 'price <= 0', 'quantity_positive': 'quantity <= 0', 'symbol_not_blank': "symbol = ''",
+                'price_positive': 'price is null or isnan(price) or price <= 0',
+                'quantity_positive': 'quantity is null or isnan(quantity) or quantity <= 0',
+                'symbol_not_blank': "symbol is null or trim(symbol) = ''",
                 'event_time_in_bounds':
-                    "trade_ts not between timestamp '1996-01-01' and timestamp '2001-01-01'"})}
+                    "coalesce(trade_ts not between timestamp '1996-01-01' and timestamp '2001-01-01', true)"})}
             union all {_rules('q', {'ask_not_below_bid': 'ask < bid'})}""",
         "schema_profile": f"""{e}, {_UNTIDY},
-            keys as (
-              select unnest(['trade_id', 'symbol', 'side', 'price', 'quantity', 'trade_ts', 'TRADE_ID', 'zzz',
-                             'timestamp']) as key)
-            select key, count(*) filter (where not broken and case key
-                       when 'trade_id' then form <> 9 when 'TRADE_ID' then form = 9 when 'zzz' then form = 10
-                       when 'trade_ts' then form <> 14 when 'timestamp' then form = 14 else true end) as rows,
-                   cast(0 as bigint) as nulls,
-                   key in ('trade_id', 'symbol', 'side', 'price', 'quantity', 'trade_ts') as in_contract
-            from outcome, keys group by key""",
-        "latest_price": f"""{e}
-            select symbol, arg_max(price, row(trade_ts, trade_id)) as price, max(trade_ts) as trade_ts,
-                   arg_max(trade_id, row(trade_ts, trade_id)) as trade_id
-            from e where trade_ts >= (select max(trade_ts) from e) - interval 1 hour group by symbol""",
-        "latest_price_stream": f"""{e}
-            select symbol, arg_max(price, row(trade_ts, trade_id)) as price, max(trade_ts) as trade_ts,
-                   arg_max(trade_id, row(trade_ts, trade_id)) as trade_id
-            from e where trade_ts >= (select max(trade_ts) from e) - interval 1 hour group by symbol""",
+            seen as (select unnest(json_keys(j)) as key, j from outcome where not broken),
+            known as (select unnest(['trade_id', 'symbol', 'side', 'price', 'quantity', 'trade_ts']) as key),
+            found as (
+              select key, count(*) as rows, count(*) filter (where json_type(json_extract(j, '$.' || key)) = 'NULL') as nulls
+              from seen group by key)
+            select key, coalesce(rows, 0) as rows, coalesce(nulls, 0) as nulls, known.key is not null as in_contract
+            from found full join known using (key)""",
+        "latest_price": latest,
+        "latest_price_stream": latest,
         "live_volume": f"""{e}
             select symbol, {_sum4('quantity')} as volume, {_sum4('price * quantity')} as notional, count(*) as trades
-            from e where trade_ts >= (select max(trade_ts) from e) - interval 1 hour group by symbol""",
+            from e where trade_ts >= (select max(ts) from e) - interval 1 hour and event_id % 997 <> 3 group by symbol""",
         "active_positions": f"""{t}
             select symbol, {_sum4("case when side = 'buy' then quantity else -quantity end")} as position
             from silver group by symbol having position <> 0""",

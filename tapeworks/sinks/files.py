@@ -44,9 +44,13 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ()) -> None:
-    """Write a micro-batch into folders of its own; the same batch again replaces them and nothing else."""
+    """Write a micro-batch into folders of its own; the same batch again replaces them and nothing else.
+
+    Rows of a folder are brought together first, into files of the size that adaptive execution aims at.
+    """
+    numbered = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        (numbered.hint("rebalance", *by) if by else numbered.hint("rebalance"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by, "batch_id").parquet(path)
     )
@@ -62,11 +66,50 @@ def bronze_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
 def month_batch_writer(path: str, ts: str) -> Callable[[DataFrame, int], None]:
     """Hot trades or bars by month and batch, sorted for reading."""
     def write(df: DataFrame, batch_id: int) -> None:
-        dated = df.withColumn("month", month_key(F.col(ts)))
-        write_batch(dated.sortWithinPartitions("month", "symbol", ts), path, batch_id, ["month"])
+        write_batch(df.withColumn("month", month_key(F.col(ts))), path, batch_id, ["month"])
     return write
 
 
+def compact(
+    spark: SparkSession, path: str, by: str, value: str, merge: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Bring the batches of one folder ``by=value`` together in few files, under the number of the newest of them.
+
+    ``merge`` may reduce the rows on the way. The rows are written aside first, and named as finished by one rename;
+    a run that stops after that is completed by the next, which finds the finished rows. Not to be run while the
+    folder is written to; readers may miss the folder for the moment of the swap.
+    """
+    _finish_compaction(spark, path, by)
+    home = f"{path}/{by}={value}"
+    folder, fs = _filesystem(spark, home)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    numbers = [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
+    if len(numbers) < 2:
+        return
+    rows = spark.read.parquet(home).drop("batch_id")
+    merged = merge(rows) if merge else rows
+    aside, _ = _filesystem(spark, f"{path}/_compacting")
+    fs.delete(aside, True)
+    target = f"{path}/_compacting/{by}={value}/batch_id={max(numbers)}"
+    merged.hint("rebalance").write.mode("overwrite").parquet(target)
+    fs.rename(aside, _filesystem(spark, f"{path}/_compacted")[0])
+    _finish_compaction(spark, path, by)
+
+
+def _finish_compaction(spark: SparkSession, path: str, by: str) -> None:
+    """Puts finished rows in the place of the batches that they are made of."""
+    done, fs = _filesystem(spark, f"{path}/_compacted")
+    if not fs.exists(done):
+        return
+    for entry in fs.listStatus(done):
+        name = entry.getPath().getName()
+        if name.startswith(f"{by}="):
+            home = _filesystem(spark, f"{path}/{name}")[0]
+            fs.delete(home, True)
+            fs.rename(entry.getPath(), home)
+    fs.delete(done, True)
+
+
 def _filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

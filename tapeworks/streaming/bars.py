@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks.operators.bars import BAR_COLUMNS, merge_bars, partial_bars
-from tapeworks.sinks.files import month_batch_writer
+from tapeworks.sinks.files import compact, month_batch_writer
 from tapeworks.streaming.runs import start_batches
 
 
@@ -24,6 +24,12 @@ def start_bars(
     )
 
 
+def compact_bars(spark: SparkSession, path: str, months: list[int], width: str = "1 minute") -> None:
+    """Merge the parts of finished months into one per bucket, in few files; see :func:`~tapeworks.sinks.files.compact`."""
+    for month in months:
+        compact(spark, path, "month", str(month), lambda parts: merge_bars(parts, width))
+
+
 def read_bars(spark: SparkSession, path: str, width: str = "1 minute", months: list[int] | None = None) -> DataFrame:
     """One row per symbol and bucket from all parts, of the given months (yyyymm) only if named."""
     parts = spark.read.parquet(path)

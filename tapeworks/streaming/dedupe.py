@@ -5,22 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_KEY = "dedupe_key"
+
 
 def drop_repeats(
     trades: DataFrame, delay: str, ts: str = "trade_ts", key: str = "trade_id", split: int = 8
 ) -> DataFrame:
     """Keep the first arrival of each key within the watermark.
 
-    A first pass drops repeats inside ``split`` slices of a key, so that a key sent over and over is spread
-    over that many tasks; the second sees at most ``split`` rows of it. ``split=1`` leaves the first pass out
-    and halves the state, for feeds without hot keys.
+    Rows without a key are repeats of nothing: their place in the topic stands in for it, so that only the same
+    record delivered again is dropped. A first pass drops repeats inside ``split`` slices of a key, so that a key
+    sent over and over is spread over that many tasks; the second sees at most ``split`` rows of it. ``split=1``
+    leaves the first pass out and halves the state, for feeds without hot keys.
     """
-    marked = trades.withWatermark(ts, delay)
+    own_place = F.concat_ws(":", F.lit("#"), "kafka_partition", "kafka_offset")
+    marked = trades.withWatermark(ts, delay).withColumn(_KEY, F.coalesce(F.col(key), own_place))
     if split > 1:
         place = F.xxhash64("kafka_partition", "kafka_offset")
         marked = (
             marked.withColumn("slice", F.pmod(place, F.lit(split)))
-            .dropDuplicatesWithinWatermark([key, "slice"])
+            .dropDuplicatesWithinWatermark([_KEY, "slice"])
             .drop("slice")
         )
-    return marked.dropDuplicatesWithinWatermark([key])
+    return marked.dropDuplicatesWithinWatermark([_KEY]).drop(_KEY)

@@ -2,37 +2,67 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery
 
-from tapeworks.operators.hot import storable, to_hot
+from tapeworks.operators.hot import storable, to_hot, unstorable
+from tapeworks.operators.quality import counted
+from tapeworks.operators.silver import LINEAGE
+from tapeworks.schemas import HOT_TRADE
 from tapeworks.sources.envelope import to_bronze
 from tapeworks.streaming.runs import start_batches
 
 BatchWriter = Callable[[DataFrame, int], None]
+Report = Callable[[int, dict[str, int]], None]
 
+_log = logging.getLogger(__name__)
 
-def dual_sink_step(write_bronze: BatchWriter, write_hot: BatchWriter) -> BatchWriter:
-    """Both writers must replace what they wrote for the same batch before: a failure between them repeats both.
 
-    The batch is kept for the second sink, so the source is read once. Records the hot table cannot store stay
-    in Bronze.
+def _log_counts(batch_id: int, counts: dict[str, int]) -> None:
+    _log.info("batch %d: %s", batch_id, ", ".join(f"{n} {name}" for name, n in counts.items()))
+
+
+def dual_sink_step(
+    write_bronze: BatchWriter, write_hot: BatchWriter, write_rejects: BatchWriter | None = None,
+    report: Report = _log_counts,
+) -> BatchWriter:
+    """All writers must replace what they wrote for the same batch before: a failure between them repeats all.
+
+    The batch is kept for the other sinks, so the source is read once. Records the hot table cannot store stay in
+    Bronze, and go to the rejects, if these are kept, with what they lack. ``report`` gets the rows of each sink,
+    counted while they were written.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_bronze(batch, batch_id)
-            write_hot(storable(to_hot(batch)), batch_id)
+            parsed = to_hot(batch, keep=LINEAGE)
+            writes = {
+                "bronze": (write_bronze, batch),
+                "hot": (write_hot, storable(parsed).select(HOT_TRADE.fieldNames())),
+                "rejects": (write_rejects or _count_only, unstorable(parsed)),
+            }
+            counts = {}
+            for name, (write, rows) in writes.items():
+                seen = Observation()
+                write(counted(rows, seen), batch_id)
+                counts[name] = seen.get["rows"]
+            report(batch_id, counts)
         finally:
             batch.unpersist()
     return step
 
 
+def _count_only(df: DataFrame, batch_id: int) -> None:
+    df.write.format("noop").mode("overwrite").save()
+
+
 def start_dual_sink(
     envelope: DataFrame, write_bronze: BatchWriter, write_hot: BatchWriter, checkpoint: str,
-    trigger: dict | None = None,
+    trigger: dict | None = None, write_rejects: BatchWriter | None = None, report: Report = _log_counts,
 ) -> StreamingQuery:
     """The ingestion time is stamped on the stream, before the batch function: a repeated batch keeps it."""
-    return start_batches(to_bronze(envelope), dual_sink_step(write_bronze, write_hot), checkpoint, trigger)
+    step = dual_sink_step(write_bronze, write_hot, write_rejects, report)
+    return start_batches(to_bronze(envelope), step, checkpoint, trigger)

@@ -64,3 +64,10 @@ def test_open_close_skips_missing_prices(spark):
     row = bars.open_close(df).first()
     assert (row.open, row.close) == (2.0, 2.0)
     assert df.filter(F.col("price").isNull()).count() == 1
+
+
+def test_equal_counts_with_other_content_are_repaired(spark):
+    told = trades(spark, ("a", "S", 9.0, 5.0, "2024-05-01 10:00:01"), ("b", "S", 1.0, 1.0, "2024-05-01 10:00:02"))
+    stored = bars.ohlcv(trades(spark, ("b", "S", 1.0, 1.0, "2024-05-01 10:00:02"), ("b", "S", 1.0, 1.0, "2024-05-01 10:00:02")))
+    (bar,) = bars.repair_bars(stored, told).collect()
+    assert (bar.open, bar.high, bar.low, bar.close, bar.volume, bar.trade_count) == (9.0, 9.0, 1.0, 1.0, 6.0, 2)

@@ -72,3 +72,18 @@ def test_counting_while_writing(spark, tmp_path):
     seen = Observation()
     quality.counted(spark.range(7), seen).write.parquet(str(tmp_path / "t"))
     assert seen.get == {"rows": 7}
+
+
+def test_nothing_and_nan_are_out_of_range(spark):
+    rows = [("a", "S", "buy", float("nan"), None, None), ("b", None, "buy", 1.0, float("nan"), "1999-01-01 00:00:00")]
+    found = {r.rule: r.failures for r in quality.check(silver(spark, *rows), quality.trade_ranges("1996-01-01", "2001-01-01")).collect()}
+    assert found == {"price_positive": 1, "quantity_positive": 2, "symbol_not_blank": 1, "event_time_in_bounds": 1}
+
+
+def test_json_types_of_texts(spark):
+    good = payload()
+    rows = [good, good.replace('"a"', "5"), good.replace('"AAPL"', '{"name": "x"}'), good.replace('"BUY"', "true"),
+            good.replace('"BUY"', "null"), good.replace('"AAPL"', "[1]")]
+    found = {r.rule: r.failures for r in quality.contract_violations(bronze(spark, *rows), TRADE_CONTRACT).collect()}
+    assert {r: n for r, n in found.items() if n} == {
+        "trade_id:wrong_type": 1, "symbol:wrong_type": 2, "side:wrong_type": 1, "side:not_in_enum": 1, "side:missing": 1}

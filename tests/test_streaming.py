@@ -7,10 +7,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tapeworks.operators import bars, hot
 from tapeworks.sinks import files
 from tapeworks.sources import envelope as source
-from tapeworks.streaming import runs, state_tables
-from tapeworks.streaming.bars import closed_bars, read_bars, start_bars
+from tapeworks.operators import enrich, marts
+from tapeworks.streaming import runs
+from tapeworks.streaming.bars import closed_bars, compact_bars, read_bars, start_bars
 from tapeworks.streaming.dedupe import drop_repeats
 from tapeworks.streaming.dual_sink import start_dual_sink
+from tapeworks.streaming.enrichment import start_enrichment
+from tapeworks.streaming.latest import read_latest, start_latest_price
 
 
 class Feed:
@@ -19,8 +22,8 @@ class Feed:
     def __init__(self, spark, folder):
         self.spark, self.path, self.sent = spark, str(folder / "source"), 0
 
-    def send(self, *values, topic="trades_raw"):
-        df = envelope(self.spark, *values, topic=topic, first_offset=self.sent)
+    def send(self, *values, topic="trades_raw", ts="2024-05-01 10:00:01"):
+        df = envelope(self.spark, *values, topic=topic, ts=ts, first_offset=self.sent)
         self.sent += len(values)
         df.coalesce(1).write.mode("append").parquet(self.path)
 
@@ -141,36 +144,123 @@ def test_repeats_are_dropped_across_batches(spark, feed, tmp_path, split):
         ["hot", "t0", "t1", "t2", "t3", "t4"])
 
 
-def test_latest_price_survives_a_failure_and_expires(spark, feed, tmp_path):
-    at = millis("2024-05-01 10:00:00")
-    root, checkpoint = str(tmp_path / "latest"), str(tmp_path / "cp")
-    start = lambda s: state_tables.start_latest_price(hot.to_trades(s, "value"), root, checkpoint, trigger=runs.CATCH_UP)
-    assert state_tables.read_latest(spark, root).count() == 0
-    feed.send(payload(trade_id="1", symbol="A", price=1.0, trade_ts=at), payload(trade_id="2", symbol="B", trade_ts=at))
+def test_rows_without_an_id_are_repeats_of_nothing(spark, feed, tmp_path):
+    feed.send(*[payload(trade_id=None)] * 3, payload(trade_id="a"))
+    feed.send(*[payload(trade_id=None)] * 3, payload(trade_id="a"))
+    out = str(tmp_path / "out")
+    feed.run(lambda s: runs.start_files(
+        drop_repeats(hot.to_trades(source.to_bronze(s), keep=("kafka_partition", "kafka_offset")), "1 hour"),
+        out, str(tmp_path / "cp"), runs.CATCH_UP))
+    assert Counter(r.trade_id for r in spark.read.parquet(out).collect()) == Counter({None: 6, "a": 1})
+
+
+def test_what_the_hot_table_cannot_hold_is_counted_and_kept(spark, feed, tmp_path):
+    feed.send(payload(trade_id="a"), payload(trade_id="b", symbol=None), '{"price":NaN,"trade_id":"n","symbol":"S","side":"BUY","quantity":1.0,"trade_ts":1}')
+    feed.send("{broken", payload(trade_id="c"))
+    paths = {n: str(tmp_path / n) for n in ("bronze", "hot", "rejects")}
+    counts = {}
+    feed.run(lambda s: start_dual_sink(
+        s, files.bronze_batch_writer(paths["bronze"]), files.month_batch_writer(paths["hot"], "trade_ts"),
+        str(tmp_path / "cp"), runs.CATCH_UP, write_rejects=lambda df, n: files.write_batch(df, paths["rejects"], n),
+        report=counts.__setitem__))
+    assert counts == {0: {"bronze": 3, "hot": 2, "rejects": 1}, 1: {"bronze": 2, "hot": 1, "rejects": 1}}
+    assert {r.trade_id for r in spark.read.parquet(paths["hot"]).collect()} == {"a", "n", "c"}
+    assert sorted(r.reasons for r in spark.read.parquet(paths["rejects"]).collect()) == [
+        "missing_symbol", "missing_trade_id,missing_symbol,missing_side,missing_price,missing_quantity,missing_trade_ts"]
+
+
+AT = "2024-05-01 10:00:00"
+
+
+def start_latest(tmp_path):
+    return lambda s: start_latest_price(
+        hot.to_trades(source.to_bronze(s), keep=("source_ts",)), str(tmp_path / "latest"), str(tmp_path / "cp"),
+        trigger=runs.CATCH_UP)
+
+
+def latest(spark, tmp_path):
+    return {r.symbol: r.price for r in read_latest(spark, str(tmp_path / "latest")).collect()}
+
+
+def test_latest_price_over_batches_expires_when_read(spark, feed, tmp_path):
+    start, at = start_latest(tmp_path), millis(AT)
+    feed.send(payload(trade_id="1", symbol="A", price=1.0, trade_ts=at), payload(trade_id="2", symbol="B", trade_ts=at), ts=AT)
     feed.run(start)
-    feed.send(payload(trade_id="3", symbol="A", price=3.0, trade_ts=at + 1800000))
-    feed.send(payload(trade_id="0", symbol="A", price=9.0, trade_ts=at + 60000))
+    feed.send(payload(trade_id="3", symbol="A", price=3.0, trade_ts=at + 1800000), ts="2024-05-01 10:30:00")
+    feed.send(payload(trade_id="0", symbol="A", price=9.0, trade_ts=at + 60000), ts="2024-05-01 10:30:01")
     feed.run(start)
-    got = {r.symbol: r.price for r in state_tables.read_latest(spark, root).collect()}
-    assert got == {"A": 3.0, "B": 10.5}
-    feed.send(payload(trade_id="4", symbol="A", price=4.0, trade_ts=at + 3600001))
+    assert latest(spark, tmp_path) == {"A": 3.0, "B": 10.5}
+    feed.send(payload(trade_id="4", symbol="A", price=4.0, trade_ts=at + 3600001), ts="2024-05-01 11:00:01")
     feed.run(start)
-    assert {r.symbol: r.price for r in state_tables.read_latest(spark, root).collect()} == {"A": 4.0}
+    assert latest(spark, tmp_path) == {"A": 4.0}
+
+
+def test_one_wrong_time_does_not_move_the_clock(spark, feed, tmp_path):
+    start, at = start_latest(tmp_path), millis(AT)
+    wrong = payload(trade_id="w", symbol="W", price=7.0, trade_ts=millis("9999-01-01 00:00:00"))
+    feed.send(payload(trade_id="1", symbol="A", price=1.0, trade_ts=at), wrong, ts=AT)
+    feed.run(start)
+    feed.send(payload(trade_id="2", symbol="B", price=2.0, trade_ts=at + 1000), ts="2024-05-01 10:00:01")
+    feed.run(start)
+    assert latest(spark, tmp_path) == {"A": 1.0, "B": 2.0}
+    trades = hot.to_trades(bronze(spark, payload(trade_id="1", symbol="A", price=1.0, trade_ts=at), wrong, ts=AT), keep=("source_ts",))
+    assert {r.symbol: r.price for r in marts.latest_price(trades).collect()} == {"A": 1.0}
+    assert [r.symbol for r in marts.live_volume(trades).collect()] == ["A"]
+    assert [(r.trade_id, r.reasons) for r in marts.ahead_of_time(trades).collect()] == [("w", "time_ahead")]
+
+
+def quote(ms, bid, at=AT, symbol="AAPL"):
+    return '{"symbol":"%s","bid":%s,"ask":%s,"event_ts":%d}' % (symbol, bid, bid + 1, millis(at) + ms)
 
 
 def test_enrichment_uses_quotes_of_earlier_batches(spark, feed, tmp_path):
-    at = millis("2024-05-01 10:00:00")
-    quote = lambda ms, bid: '{"symbol":"AAPL","bid":%s,"ask":%s,"event_ts":%d}' % (bid, bid + 1, at + ms)
-    out, root, checkpoint = (str(tmp_path / n) for n in ("out", "quotes", "cp"))
-    start = lambda s: state_tables.start_enrichment(
-        source.to_bronze(s), out, root, checkpoint, within="10 minutes", trigger=runs.CATCH_UP)
-    feed.send(quote(0, 10.0), quote(1000, 11.0), topic="market_data_raw")
+    at = millis(AT)
+    out, quotes, checkpoint = (str(tmp_path / n) for n in ("out", "quotes", "cp"))
+    start = lambda s: start_enrichment(source.to_bronze(s), out, quotes, checkpoint, trigger=runs.CATCH_UP)
+    feed.send(quote(0, 10.0), quote(1000, 11.0), quote(0, 99.0, at="2030-01-01 00:00:00"), topic="market_data_raw")
     feed.run(start)
     feed.send(payload(trade_id="a", trade_ts=at + 500), payload(trade_id="b", trade_ts=at + 2000),
-              payload(trade_id="old", trade_ts=at + 700000), payload(trade_id="before", trade_ts=at - 1), "{broken")
+              payload(trade_id="old", trade_ts=at + 700000), payload(trade_id="before", trade_ts=at - 1), "{broken",
+              payload(trade_id="nobody", symbol=None), payload(trade_id="far", trade_ts=millis("9999-01-01 00:00:00")))
     feed.run(start)
     got = {r.trade_id: r.bid for r in spark.read.parquet(out).collect()}
-    assert got == {"a": 10.0, "b": 11.0, "old": None, "before": None}
-    feed.send(quote(3600000, 12.0), topic="market_data_raw")
+    assert got == {"a": 10.0, "b": 11.0, "old": None, "before": None, None: None, "nobody": None, "far": None}
+    feed.send(payload(trade_id="later", trade_ts=at + 3000))
     feed.run(start)
-    assert state_tables.read_state(spark, root, state_tables.QUOTE).count() == 1
+    assert {r.trade_id: r.bid for r in spark.read.parquet(out).collect()} == {**got, "later": 11.0}
+
+
+def test_stream_equals_batch_on_gaps(spark, feed, tmp_path):
+    at = millis(AT)
+    trades = [payload(trade_id=None, trade_ts=at + 10), payload(trade_id="s", symbol=None), payload(trade_id="t", trade_ts=None),
+              '{"price":NaN,"trade_id":"n","symbol":"AAPL","side":"BUY","quantity":1.0,"trade_ts":%d}' % (at + 20), "{"]
+    quotes = [quote(0, 10.0), quote(5, 20.0).replace("20.0", "null", 1)]
+    feed.send(*quotes, topic="market_data_raw")
+    feed.send(*trades)
+    out = str(tmp_path / "out")
+    feed.run(lambda s: start_enrichment(source.to_bronze(s), out, str(tmp_path / "q"), str(tmp_path / "cp"), trigger=runs.CATCH_UP))
+    batch = enrich.with_quotes(hot.to_trades(bronze(spark, *trades)), hot.to_quotes(bronze(spark, *quotes)), "10 minutes")
+    stored = spark.read.parquet(out).select(batch.columns)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, batch.collect()))
+
+
+def test_fifty_batches_become_few_files(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    write = files.month_batch_writer(path, "minute")
+    trades = [payload(trade_id=f"t{i:03}", price=float(i), trade_ts=millis(AT) + 7000 * i) for i in range(100)]
+    for n in range(50):
+        write(bars.partial_bars(hot.to_trades(bronze(spark, *trades[2 * n : 2 * n + 2]))), n)
+    count = lambda: len(spark.read.parquet(path).inputFiles())
+    before = read_bars(spark, path).collect()
+    assert count() == 50
+    for stop in (True, False):
+        if stop:  # as if the run had stopped between the two renames
+            finish, files._finish_compaction = files._finish_compaction, lambda *_: None
+            compact_bars(spark, path, [202405])
+            files._finish_compaction = finish
+            assert count() == 50
+        compact_bars(spark, path, [202405, 202406])
+        assert count() == 1
+        assert sorted(read_bars(spark, path).collect()) == sorted(before)
+    write(bars.partial_bars(hot.to_trades(bronze(spark, *trades[:1]))), 50)
+    assert count() == 2
