@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeworks.operators.silver import parse_trades, reject_reasons
+from tapeworks.operators.silver import LINEAGE
 from tapeworks.schemas import Contract
 
 
@@ -145,21 +145,41 @@ def schema_profile(bronze: DataFrame, contract: Contract, value: str = "raw_valu
     ).withColumn("in_contract", F.col("key").isin(*[f.name for f in contract.fields]))
 
 
-def stage_counts(bronze: DataFrame) -> DataFrame:
-    """Records in, rejected, duplicates and Silver rows, in one aggregate over the parsed records."""
-    parsed = parse_trades(bronze)
-    staged = parsed.withColumn("good", F.size(reject_reasons(parsed)) == 0)
-    counts = staged.agg(
-        F.count(F.lit(1)).alias("bronze_rows"),
-        F.count_if(~F.col("good")).alias("rejected_rows"),
-        F.count_if("good").alias("clean_rows"),
-        F.count_distinct(F.when(F.col("good"), F.col("trade_id"))).alias("silver_rows"),
-    )
-    return counts.withColumn("duplicate_rows", F.col("clean_rows") - F.col("silver_rows")).select(
-        "bronze_rows", "rejected_rows", "clean_rows", "duplicate_rows", "silver_rows"
+def stage_counts(records: DataFrame) -> DataFrame:
+    """What became of the records that :func:`~tapeworks.operators.silver.flagged` gives; the columns add up.
+
+    Bronze rows are rejected or clean; clean ones are re-deliveries of the same broker record, duplicates of a trade
+    with another record, or rows of Silver. Both shuffles carry one row for each record or trade; rejected rows
+    are one row of each task.
+    """
+    good = F.size("reasons") == 0
+    place = [F.when(good, F.col(c)).alias(c) for c in ("trade_id", *LINEAGE)]
+    by_record = records.select(good.alias("good"), *place).groupBy("good", "trade_id", *LINEAGE).agg(
+        F.count(F.lit(1)).alias("rows"))
+    by_trade = by_record.groupBy("good", "trade_id").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("records"))
+
+    def total(value: Column, when: Column = F.col("good")) -> Column:
+        return F.coalesce(F.sum(F.when(when, value)), F.lit(0))
+
+    return by_trade.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("bronze_rows"),
+        total(F.col("rows"), ~F.col("good")).alias("rejected_rows"),
+        total(F.col("rows")).alias("clean_rows"),
+        total(F.col("rows") - F.col("records")).alias("redelivered_rows"),
+        total(F.col("records") - 1).alias("duplicate_rows"),
+        F.count_if("good").alias("silver_rows"),
     )
 
 
+def reconciled(silver: DataFrame, gold: DataFrame) -> DataFrame:
+    """Rows of Silver, those of them without any day, and trades in Gold; nothing should be left over."""
+    dated = F.coalesce("source_ts", "ingestion_time").isNotNull()
+    of_silver = silver.agg(F.count(F.lit(1)).alias("silver_rows"), F.count_if(~dated).alias("undated_rows"))
+    of_gold = gold.agg(F.coalesce(F.sum("trades"), F.lit(0)).alias("gold_trades"))
+    left_over = F.col("silver_rows") - F.col("undated_rows") - F.col("gold_trades")
+    return of_silver.select("*", of_gold.scalar().alias("gold_trades")).withColumn("left_over", left_over)
+
+
 def counted(df: DataFrame, observation: Observation, name: str = "rows") -> DataFrame:
     """Count the rows that flow to a sink while it is written, instead of computing everything again."""
     return df.observe(observation, F.count(F.lit(1)).alias(name))

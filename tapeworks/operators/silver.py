@@ -65,14 +65,22 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     return keep_newest(clean(parse_trades(bronze))).select(SILVER.fieldNames())
 
 
-def unseen_trades(batch: DataFrame, silver: DataFrame, key: str = "trade_id") -> DataFrame:
-    """Rows of a de-duplicated batch whose key is not in Silver yet.
+# What a trade says, apart from when its record came; in Silver's own form.
+CONTENT = ("symbol", "price", "quantity", "side", "trade_ts")
 
-    Only Silver's key column is read, and only keys the batch also has reach the anti-join. Silver is not cut
-    down to the batch's dates: a trade sent again on a later day must be found too.
+
+def content() -> Column:
+    """A hash by which a record that repeats a trade is told from one that changes it."""
+    return F.xxhash64(*CONTENT)
+
+
+def against_known(batch: DataFrame, keys: DataFrame, key: str = "trade_id") -> DataFrame:
+    """batch with ``known``, the content that Silver holds under the same key, or NULL.
+
+    ``keys`` has one row per key of Silver. Where it is bucketed by the key, only the batch is shuffled. Silver is not
+    cut down to the batch's dates: a trade sent again on a later day must be found too.
     """
-    known = silver.select(key).join(batch.select(key), key, "left_semi")
-    return batch.join(known, key, "left_anti")
+    return batch.join(keys.select(key, F.col("content").alias("known")), key, "left")
 
 
 def _missing(field: str, kind: str) -> Column:
@@ -93,36 +101,47 @@ def reject_reasons(trades: DataFrame) -> Column:
     return F.when(nothing, F.array(F.lit("unparsable"))).otherwise(F.array_compact(F.array(*reasons)))
 
 
-def rejects(bronze: DataFrame, stage: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every Bronze record that does not reach Silver, with the reasons.
+def flagged(bronze: DataFrame) -> DataFrame:
+    """All parsed records with the reasons why they cannot enter Silver; the payload is read once."""
+    parsed = parse_payload(bronze, TRADE_PAYLOAD, keep=["kafka_topic", "ingestion_time", *NEWEST])
+    when = event_time(F.col("trade_ts"), F.col("timestamp"))
+    timed = parsed.withColumn("trade_ts", when).select("kafka_topic", *SILVER.fieldNames(), *LINEAGE)
+    return timed.withColumn("reasons", reject_reasons(timed))
+
+
+def accepted(records: DataFrame) -> DataFrame:
+    """The :func:`flagged` records without a reason, as Silver has them."""
+    return standardize(records.filter(F.size("reasons") == 0)).drop("reasons")
+
+
+_REJECT_COLUMNS = ("trade_id", "symbol", "side", "price", "quantity", *NEWEST)
 
-    The parsed records are needed twice; with a ``stage`` folder they are written there, and the raw payload is
-    read and parsed only once.
 
-    The newest record of every repeated trade comes from an aggregate that combines before its shuffle, and is
-    looked up for every record. Exact re-deliveries of the winning record (same partition and offset) are the
-    same record and are not listed.
+def rejected(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The :func:`flagged` records that do not reach Silver, with the reasons. The records are used three times.
+
+    Bad records are just filtered out. The newest record of every repeated trade comes from an aggregate that
+    combines before its shuffle, and is looked up for the good records only. Exact re-deliveries of the winning
+    record (same partition and offset) are the same record and are not listed.
     """
-    parsed = parse_trades(bronze)
-    flagged = parsed.select(
-        "trade_id", "symbol", "side", "price", "quantity", *NEWEST, reject_reasons(parsed).alias("reasons")
-    )
-    if stage is not None:
-        flagged = staged(flagged, stage)
-    is_good = F.size("reasons") == 0
+    good = records.filter(F.size("reasons") == 0).select(*_REJECT_COLUMNS)
+    bad = records.filter(F.size("reasons") > 0).select(*_REJECT_COLUMNS, "reasons")
     place = F.struct(*NEWEST)
     repeated = (
-        flagged.filter(is_good)
-        .groupBy(F.col("trade_id").alias("match"))
+        good.groupBy(F.col("trade_id").alias("match"))
         .agg(F.max(place).alias("winner"), F.count(F.lit(1)).alias("copies"))
         .filter(F.col("copies") > 1)
     )
-    matched = left_lookup(
-        flagged.withColumn("match", F.when(is_good, F.col("trade_id"))), repeated, ["match"], "copies", hot_rows
-    )
+    matched = left_lookup(good.withColumn("match", F.col("trade_id")), repeated, ["match"], "copies", hot_rows)
     winner = F.col("found.winner")
-    lost = winner.isNotNull() & ~place.eqNullSafe(winner)
-    return matched.filter(~is_good | lost).select(
-        "trade_id", "symbol", "side", "price", "quantity", *NEWEST,
-        F.when(is_good, F.array(F.lit("duplicate_trade_id"))).otherwise(F.col("reasons")).alias("reasons"),
-    )
+    lost = matched.filter(winner.isNotNull() & ~place.eqNullSafe(winner))
+    return bad.unionByName(lost.select(*_REJECT_COLUMNS, F.array(F.lit("duplicate_trade_id")).alias("reasons")))
+
+
+def rejects(bronze: DataFrame, stage: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every Bronze record that does not reach Silver, with the reasons.
+
+    With a ``stage`` folder the parsed records are written there, and the raw payload is read and parsed only once.
+    """
+    records = flagged(bronze).select(*_REJECT_COLUMNS, "reasons")
+    return rejected(staged(records, stage) if stage is not None else records, hot_rows)

@@ -233,6 +233,17 @@ def all_oracles() -> dict[str, str]:
     in_time = _WITH_T.replace(
         "from lineitem", "from lineitem where l_shipdate + interval 1 hour <= timestamp '1999-03-31 17:00:00'"
     )
+    # Runs of three days, each over what had arrived since the one before; the first record of a trade to enter stays.
+    increments = """
+        runs as (
+          select *, case when ingestion_time <= timestamp '1998-06-30 17:00:00' then 1
+                         when ingestion_time <= timestamp '1998-07-20 17:00:00' then 2
+                         when ingestion_time <= timestamp '1999-03-31 17:00:00' then 3 end as run from clean),
+        placed as (
+          select *, row_number() over (partition by run, trade_id order by source_ts desc nulls last,
+                                       kafka_partition desc, kafka_offset desc) as n from runs where run is not null),
+        newest as (select * from placed where n = 1),
+        grown as (select * from newest qualify row_number() over (partition by trade_id order by run) = 1)"""
     latest = f"""{e}
         select symbol, arg_max(price, row(trade_ts, trade_id)) as price, max(trade_ts) as trade_ts,
                arg_max(trade_id, row(trade_ts, trade_id)) as trade_id
@@ -323,12 +334,14 @@ def all_oracles() -> dict[str, str]:
             select '1 hour' as width, * from ({_bars("date_trunc('hour', trade_ts)")})
             union all
             select '1 day' as width, * from ({_bars("cast(date_trunc('day', trade_ts) as timestamp)")})""",
-        "stage_counts": f"""{t}
-            select (select count(*) from t) as bronze_rows,
-                   (select count(*) from t) - (select count(*) from clean) as rejected_rows,
-                   (select count(*) from clean) as clean_rows,
-                   (select count(*) from clean) - (select count(*) from lineage) as duplicate_rows,
-                   (select count(*) from lineage) as silver_rows""",
+        "stage_counts": f"""{t},
+            counts as (
+              select (select count(*) from t) as bronze_rows, (select count(*) from clean) as clean_rows,
+                     (select count(*) from (select distinct trade_id, kafka_partition, kafka_offset from clean)) as records,
+                     (select count(*) from lineage) as silver_rows)
+            select bronze_rows, bronze_rows - clean_rows as rejected_rows, clean_rows,
+                   clean_rows - records as redelivered_rows, records - silver_rows as duplicate_rows, silver_rows
+            from counts""",
         "quality_not_null": f"""{silver_daily} {_rules('daily', {
             'not_null_trade_date': 'trade_date is null', 'not_null_symbol': 'symbol is null',
             'not_null_avg_buy_price': 'avg_buy_price is null'})}""",
@@ -401,6 +414,18 @@ def all_oracles() -> dict[str, str]:
         "gold_build_and_check": f"""{gaps_daily} {_rules('daily', {
             'not_null_trade_date': 'trade_date is null', 'not_null_symbol': 'symbol is null'})}""",
         "run_daily": f"""with {in_time}, {_daily('silver')} select {_DAILY_COLUMNS} from daily""",
+        "run_daily_incremental": f"""{t}, {increments}, {_daily('grown')} select {_DAILY_COLUMNS} from daily""",
+        "changed_trades": f"""{t}, {increments}
+            select late.trade_id, late.kafka_partition, late.kafka_offset,
+                   case late.run when 2 then '19980630T170000000000..19980720T170000000000'
+                                 else '19980720T170000000000..19990331T170000000000' end as period
+            from newest late join grown on late.trade_id = grown.trade_id and late.run > grown.run
+            where (late.symbol, late.price, late.quantity, late.side, late.trade_ts)
+               is distinct from (grown.symbol, grown.price, grown.quantity, grown.side, grown.trade_ts)""",
+        "gold_reconciled": f"""{gaps_daily}
+            select (select count(*) from gaps) as silver_rows,
+                   (select count(*) from gaps where coalesce(source_ts, ingestion_time) is null) as undated_rows,
+                   (select cast(sum(trades) as bigint) from daily) as gold_trades, cast(0 as bigint) as left_over""",
         "asof_cutoff": f"""{e}
             select kafka_partition, kafka_offset, ts + interval 1 minute as ingestion_time from e
             where ts + interval 1 minute <= timestamp '2024-01-15 17:00:00'""",

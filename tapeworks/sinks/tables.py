@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,15 +27,19 @@ def _ensure_namespace(spark: SparkSession, name: str) -> None:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
 
 
-def append_table(df: DataFrame, name: str, root: str | None = None) -> None:
-    """Append by column name. A table that does not exist yet is created, a Parquet table below ``root``."""
+def append_table(df: DataFrame, name: str, root: str | None = None, by: Sequence[str] = ()) -> None:
+    """Append by column name. A table that does not exist yet is created, a Parquet table below ``root``.
+
+    ``by`` partitions a table that a configured catalog creates.
+    """
     spark = df.sparkSession
     if in_own_catalog(spark, name):
         if spark.catalog.tableExists(name):
             df.writeTo(name).append()
         else:
             _ensure_namespace(spark, name)
-            df.writeTo(name).create()
+            writer = df.writeTo(name)
+            (writer.partitionedBy(*map(F.col, by)) if by else writer).create()
     elif spark.catalog.tableExists(name):
         df.select(spark.table(name).columns).write.insertInto(name)
     else:
@@ -43,7 +47,8 @@ def append_table(df: DataFrame, name: str, root: str | None = None) -> None:
 
 
 def replace_table(
-    df: DataFrame, name: str, root: str | None = None, properties: Mapping[str, str] | None = None
+    df: DataFrame, name: str, root: str | None = None, properties: Mapping[str, str] | None = None,
+    by: Sequence[str] = (),
 ) -> None:
     """Replace a table's whole content; readers see the old or the new content, never a part.
 
@@ -58,16 +63,16 @@ def replace_table(
         writer = df.writeTo(name)
         for key, value in properties.items():
             writer = writer.tableProperty(key, value)
-        writer.createOrReplace()
+        (writer.partitionedBy(*map(F.col, by)) if by else writer).createOrReplace()
         return
     if root is None:
         raise ValueError("a Parquet table needs the folder that holds its versions")
     home = f"{root}/{name.split('.')[-1]}"
     number = max(versions(spark, home), default=0) + 1
     location = version_path(home, number)
-    df.write.mode("overwrite").parquet(location)
+    df.write.mode("overwrite").partitionBy(*by).parquet(location)
     exists = spark.catalog.tableExists(name)
-    if exists and spark.table(name).dtypes == df.dtypes:
+    if exists and dict(spark.table(name).dtypes) == dict(df.dtypes):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     else:
         if exists:
@@ -80,6 +85,31 @@ def replace_table(
     prune_versions(spark, home)
 
 
+def replace_partitions(df: DataFrame, name: str, root: str | None, by: Sequence[str]) -> None:
+    """Replace the rows of those values of ``by`` that df has; all other folders of the table stay as they are."""
+    spark = df.sparkSession
+    if in_own_catalog(spark, name):
+        df.writeTo(name).overwritePartitions()
+        return
+    home = f"{root}/{name.split('.')[-1]}"
+    location = version_path(home, max(versions(spark, home)))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(location)
+    spark.catalog.refreshTable(name)
+
+
+def bucketed_table(df: DataFrame, name: str, root: str | None, key: str, buckets: int, mode: str = "overwrite") -> None:
+    """Write or append a table whose rows lie in buckets by the key: joins on it need not shuffle the table."""
+    spark = df.sparkSession
+    if not in_own_catalog(spark, name):
+        writer = df.write.format("parquet").bucketBy(buckets, key).sortBy(key).mode(mode)
+        writer.option("path", f"{root}/{name.split('.')[-1]}").saveAsTable(name)
+    elif mode == "append":
+        df.writeTo(name).append()
+    else:
+        _ensure_namespace(spark, name)
+        df.writeTo(name).partitionedBy(F.bucket(buckets, key)).createOrReplace()
+
+
 def build_model(
     spark: SparkSession, name: str, sql: str, root: str | None = None, properties: Mapping[str, str] | None = None
 ) -> None:
@@ -88,11 +118,15 @@ def build_model(
 
 
 def table_batch_writer(name: str) -> Callable[[DataFrame, int], None]:
-    """Micro-batches into a table of a configured catalog: one atomic commit replaces the rows of the batch."""
+    """Raw records of micro-batches into a table of a configured catalog, by ingestion day and batch.
+
+    One atomic commit replaces the rows of the batch; no file holds rows of two batches.
+    """
     def write(df: DataFrame, batch_id: int) -> None:
-        numbered = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        numbered = df.withColumns({
+            "ingest_date": F.to_date("ingestion_time"), "batch_id": F.lit(batch_id).cast("bigint")})
         if df.sparkSession.catalog.tableExists(name):
             numbered.writeTo(name).overwrite(F.col("batch_id") == batch_id)
         else:
-            append_table(numbered, name)
+            append_table(numbered, name, by=["ingest_date", "batch_id"])
     return write

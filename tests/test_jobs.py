@@ -1,12 +1,13 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from helpers import bronze, payload
 
+from pyspark.sql import functions as F
 from tapeworks import cli
 from tapeworks.operators.gold import daily_trade_metrics
 from tapeworks.operators import quality
-from tapeworks.operators.silver import to_silver
+from tapeworks.operators.silver import against_known, to_silver
 from tapeworks.plans import jobs
 
 DAY1, DAY2 = "2024-05-01 10:00:00", "2024-05-02 10:00:00"
@@ -21,7 +22,7 @@ def two_days(spark):
 
 
 def gold_rows(df):
-    return sorted(tuple(r) for r in df.drop("ingested_at").collect())
+    return sorted(tuple(r) for r in df.select(sorted(set(df.columns) - {"ingested_at"})).collect())
 
 
 def test_full_build_keeps_the_newest(spark, tmp_path, table_name):
@@ -39,7 +40,7 @@ def test_full_build_is_clustered_by_day(spark, sf_dir, tmp_path, table_name):
 
     name = table_name("silver")
     jobs.bronze_to_silver(spark, fx.cold_bronze(spark, sf_dir), name, root=str(tmp_path))
-    for path in glob.glob(str(tmp_path / "**" / "*.parquet"), recursive=True):
+    for path in glob.glob(str(tmp_path / name / "**" / "*.parquet"), recursive=True):
         days = [(r["source_ts"].date(), r["symbol"]) for r in pq.read_table(path, columns=["source_ts", "symbol"]).to_pylist()]
         assert days == sorted(days)
 
@@ -50,13 +51,95 @@ def test_increment_adds_only_new_trades(spark, tmp_path, table_name):
     both = first.unionByName(second)
     since = datetime(2024, 5, 1, 17)
     assert jobs.bronze_to_silver(spark, both, name, mode="incremental", root=root, as_of=since) == 2
-    assert jobs.bronze_to_silver(spark, both, name, mode="incremental", root=root, since=since) == 2
+    assert jobs.bronze_to_silver(spark, both, name, mode="incremental", root=root) == 2
+    assert jobs.bronze_to_silver(spark, both, name, mode="incremental", root=root) == 0
     assert jobs.bronze_to_silver(spark, both, name, mode="incremental", root=root, since=since) == 0
     assert {r.trade_id: r.price for r in spark.table(name).collect()} == {"a": 10.5, "b": 10.5, "c": 10.5, "late": 10.5}
     with pytest.raises(ValueError):
         jobs.bronze_to_silver(spark, both, name, mode="other", root=root)
 
 
+def records(spark, *rows):
+    """(payload, ingested, partition, offset) as Bronze records."""
+    frames = [bronze(spark, value, ts=at, ingested=at).withColumns({
+        "kafka_partition": F.lit(p).cast("int"), "kafka_offset": F.lit(o).cast("long")}) for value, at, p, o in rows]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def ids(spark, name):
+    return sorted(r.trade_id for r in spark.table(name).collect())
+
+
+def test_a_missed_day_is_made_up_for(spark, tmp_path, table_name):
+    days = [(payload(trade_id=i), f"2024-05-0{d} 10:00:00", 0, d) for d, i in ((1, "a"), (2, "b"), (3, "c"))]
+    silver, gold, root = table_name("silver"), table_name("gold"), str(tmp_path)
+    for day in (1, 3):
+        jobs.run_daily(spark, records(spark, *days), silver, gold, day=date(2024, 5, day), mode="incremental", root=root)
+    assert ids(spark, silver) == ["a", "b", "c"]
+    assert gold_rows(spark.table(gold)) == gold_rows(daily_trade_metrics(spark.table(silver)))
+
+
+def test_a_record_committed_after_the_cut_off_is_taken_by_the_next_run(spark, tmp_path, table_name):
+    seen = [(payload(trade_id="a"), "2024-05-01 16:00:00", 0, 1), (payload(trade_id="z"), "2024-05-01 16:59:00", 1, 5)]
+    late = [(payload(trade_id="b"), "2024-05-01 16:59:58", 0, 2), (payload(trade_id="p"), "2024-05-01 10:00:00", 2, 0)]
+    silver, gold, root = table_name("silver"), table_name("gold"), str(tmp_path)
+    jobs.run_daily(spark, records(spark, *seen), silver, gold, day=date(2024, 5, 1), mode="incremental", root=root)
+    jobs.run_daily(spark, records(spark, *seen, *late), silver, gold, day=date(2024, 5, 2), mode="incremental", root=root)
+    assert ids(spark, silver) == ["a", "b", "p", "z"]
+    assert gold_rows(spark.table(gold)) == gold_rows(daily_trade_metrics(spark.table(silver)))
+
+
+def test_a_failed_run_is_done_again(spark, tmp_path, table_name, monkeypatch):
+    first, second = two_days(spark)
+    silver, gold, lost, root = table_name("silver"), table_name("gold"), table_name("lost"), str(tmp_path)
+    both = first.unionByName(second)
+    run = lambda day: jobs.run_daily(spark, both, silver, gold, day=day, mode="incremental", root=root, rejects=lost)
+    run(date(2024, 5, 1))
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "build_and_check_gold", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(date(2024, 5, 2))
+    for _ in range(2):
+        run(date(2024, 5, 2))
+        assert ids(spark, silver) == ["a", "b", "c", "late"]
+        assert gold_rows(spark.table(gold)) == gold_rows(daily_trade_metrics(spark.table(silver)))
+    # A trade that the failed run had already added is no change of itself.
+    assert sorted(r.reasons for r in spark.table(lost).collect()) == ["changed_trade", "duplicate_trade_id", "unparsable"]
+
+
+def test_changes_are_kept_apart_from_repeats(spark, tmp_path, table_name):
+    at = "2024-05-01 10:00:00"
+    silver, lost, root = table_name("silver"), table_name("lost"), str(tmp_path)
+    jobs.bronze_to_silver(spark, records(spark, (payload(trade_id="a"), at, 0, 1), (payload(trade_id="b"), at, 0, 2)), silver,
+                          mode="incremental", root=root)
+    more = records(spark, (payload(trade_id="a"), at, 0, 3), (payload(trade_id="b", price=99.0), at, 0, 4))
+    assert jobs.bronze_to_silver(spark, more, silver, mode="incremental", root=root, rejects=lost) == 0
+    assert [(r.trade_id, r.price, r.reasons) for r in spark.table(lost).collect()] == [("b", 99.0, "changed_trade")]
+
+
+def test_times_with_a_zone(spark):
+    df = records(spark, (payload(), "2024-05-01 21:00:00", 0, 1)).withColumn("ingest_date", F.to_date("ingestion_time"))
+    zone = timezone(timedelta(hours=5))
+    assert jobs.arrived(df, since=datetime(2024, 5, 2, 1, 0, tzinfo=zone)).count() == 1
+    assert jobs.arrived(df, since=datetime(2024, 5, 2, 2, 0, tzinfo=zone)).count() == 0
+    assert jobs.arrived(df, as_of=datetime(2024, 5, 2, 2, 0, tzinfo=zone)).count() == 1
+
+
+def test_keys_of_silver_are_not_shuffled(spark, tmp_path, table_name):
+    from helpers import final_plan
+
+    first, second = two_days(spark)
+    name, root = table_name("silver"), str(tmp_path)
+    jobs.bronze_to_silver(spark, first, name, root=root)
+    keys = jobs.silver_keys(spark, name, root)
+    batch = spark.range(5).select(F.col("id").cast("string").alias("trade_id"))
+    plan = final_plan(against_known(batch, keys.hint("merge")))
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
 def test_incremental_gold_equals_a_full_build(spark, tmp_path, table_name):
     first, second = two_days(spark)
     silver, gold, root = table_name("silver"), table_name("gold"), str(tmp_path)
@@ -85,11 +168,13 @@ def test_quarantine(spark, tmp_path, table_name):
     first, second = two_days(spark)
     name, root = table_name("rejected"), str(tmp_path)
     since = datetime(2024, 5, 1, 17)
-    jobs.quarantine(spark, first.unionByName(second), name, root=root, as_of=since)
+    both = first.unionByName(second)
+    jobs.quarantine(spark, both, name, root=root, as_of=since)
     assert [r.reasons for r in spark.table(name).collect()] == ["unparsable"]
-    jobs.quarantine(spark, first.unionByName(second), name, root=root, since=since)
-    assert sorted((r.trade_id or "", r.reasons) for r in spark.table(name).collect()) == [
-        ("", "unparsable"), ("c", "duplicate_trade_id")]
+    for _ in range(2):  # the same period again replaces what it had
+        jobs.quarantine(spark, both, name, root=root, since=since)
+        assert sorted((r.trade_id or "", r.reasons) for r in spark.table(name).collect()) == [
+            ("", "unparsable"), ("c", "duplicate_trade_id")]
 
 
 def test_cut_off(spark):
@@ -131,5 +216,7 @@ def test_command_line(spark, tmp_path, table_name):
     assert spark.table(gold).count() == 2
     cli.main(["daily", "--bronze", path, "--silver", silver, "--gold", gold, "--root", root, "--day", "2024-05-01"], spark)
     assert spark.table(gold).count() == 1
+    lost = spark.table(f"{silver}_rejects").filter("period = '..20240501T170000000000'")
+    assert [r.reasons for r in lost.collect()] == ["unparsable"]
     with pytest.raises(SystemExit):
         cli.main(["stream"], spark)

@@ -3,6 +3,7 @@ from helpers import bronze, final_plan, payload, silver
 
 from pyspark.sql import Observation
 from tapeworks.operators import quality
+from tapeworks.operators.silver import flagged, rejects, to_silver
 from tapeworks.schemas import QUOTE_CONTRACT, TRADE_CONTRACT
 
 
@@ -64,8 +65,13 @@ def test_profile_shows_a_renamed_key(spark):
 
 def test_stage_counts_add_up(spark):
     df = bronze(spark, payload(), payload(), payload(trade_id="b"), payload(side="x"), "{")
-    assert quality.stage_counts(df).first().asDict() == {
-        "bronze_rows": 5, "rejected_rows": 2, "clean_rows": 3, "duplicate_rows": 1, "silver_rows": 2}
+    again = df.unionByName(df.filter("kafka_offset = 1"))  # one record delivered twice
+    counts = quality.stage_counts(flagged(again)).first().asDict()
+    assert counts == {"bronze_rows": 6, "rejected_rows": 2, "clean_rows": 4, "redelivered_rows": 1, "duplicate_rows": 1,
+                      "silver_rows": 2}
+    assert rejects(again).count() == counts["rejected_rows"] + counts["duplicate_rows"]
+    assert to_silver(again).count() == counts["silver_rows"]
+    assert set(quality.stage_counts(flagged(df.limit(0))).first()) == {0}
 
 
 def test_counting_while_writing(spark, tmp_path):

@@ -69,8 +69,9 @@ def test_hot_rejects(spark):
     assert silver.to_silver(raw).count() == 301
 
 
-def test_unseen_trades(spark):
+def test_what_silver_knows_of_a_batch(spark):
     batch = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "trade_id string, n int")
-    known = spark.createDataFrame([("b",), ("x",)], "trade_id string")
-    assert {r.trade_id for r in silver.unseen_trades(batch, known).collect()} == {"a", "c"}
-    assert silver.unseen_trades(batch, known.filter("false")).count() == 3
+    keys = spark.createDataFrame([("b", 7), ("x", 8)], "trade_id string, content long")
+    found = {r.trade_id: r.known for r in silver.against_known(batch, keys).collect()}
+    assert found == {"a": None, "b": 7, "c": None}
+    assert silver.against_known(batch, keys.filter("false")).filter("known is null").count() == 3
