@@ -398,7 +398,7 @@ def run_daily(spark, sf_dir):
     clean, daily = _fresh_name("silver_trades"), _fresh_name("gold_daily")
     jobs.run_daily(spark, fx.cold_bronze(spark, sf_dir), clean, daily, day=RUN_DAY,
                    root=workspace(spark, "daily-job"))
-    return scan(spark, daily).drop("ingested_at")
+    return scan(spark, daily).drop("ingested_at", "trade_month")
 
 
 @query
@@ -406,7 +406,7 @@ def run_daily_incremental(spark, sf_dir):
     clean, daily, root = _fresh_name("silver_trades"), _fresh_name("gold_daily"), workspace(spark, "daily-increments")
     for day in RUN_DAYS:
         jobs.run_daily(spark, fx.cold_bronze(spark, sf_dir), clean, daily, day=day, mode="incremental", root=root)
-    return scan(spark, daily).drop("ingested_at")
+    return scan(spark, daily).drop("ingested_at", "trade_month")
 
 
 @query

@@ -9,6 +9,7 @@ from datetime import date, datetime, time, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tapeworks.functions.times import month_key
 from tapeworks.operators.gold import daily_trade_metrics, trade_date
 from tapeworks.operators.quality import check, counted, not_null, raise_on_failure
 from tapeworks.operators.silver import accepted, against_known, content, flagged, keep_newest, rejected, rejects
@@ -222,23 +223,32 @@ def gold_of_days(silver: DataFrame, days: Sequence[date]) -> DataFrame:
     return daily_trade_metrics(silver.filter(in_span & trade_date().isin(list(days))))
 
 
+def _by_month(metrics: DataFrame) -> DataFrame:
+    return metrics.withColumn("trade_month", month_key(F.col("trade_date"))).hint("rebalance", "trade_month")
+
+
 def build_gold(
     spark: SparkSession, silver: str, gold: str, *, root: str | None = None, since: datetime | None = None,
     days: Sequence[date] | None = None,
 ) -> None:
     """Build Gold anew, or only some days: those given, or with ``since`` those of Silver rows ingested after it.
 
-    Gold has a folder for each day; only the folders of these days are written.
+    Gold has a folder for each month, whose number is its last column: a day alone would be a tiny file. Only the
+    folders of the months with these days are written, with their other days as they were.
     """
     source = spark.table(silver)
     if not spark.catalog.tableExists(gold) or (since is None and days is None):
-        replace_table(daily_trade_metrics(source), gold, root, by=["trade_date"])
+        replace_table(_by_month(daily_trade_metrics(source)), gold, root, by=["trade_month"])
         return
     if days is None:
         touched = source.filter(F.col("ingestion_time") > _bound(since))
         days = [r.day for r in touched.select(trade_date().alias("day")).distinct().collect() if r.day is not None]
     if days:
-        replace_partitions(gold_of_days(source, days), gold, root, ["trade_date"])
+        months = sorted({d.year * 100 + d.month for d in days})
+        stored = spark.table(gold).filter(F.col("trade_month").isin(months) & ~F.col("trade_date").isin(list(days)))
+        with scratch(spark, "gold-months") as folder:
+            anew = _by_month(stored.drop("trade_month").unionByName(gold_of_days(source, days)))
+            replace_partitions(staged(anew, folder), gold, root, ["trade_month"])
 
 
 def check_gold(spark: SparkSession, gold: str) -> DataFrame:

@@ -98,10 +98,13 @@ def replace_partitions(df: DataFrame, name: str, root: str | None, by: Sequence[
 
 
 def bucketed_table(df: DataFrame, name: str, root: str | None, key: str, buckets: int, mode: str = "overwrite") -> None:
-    """Write or append a table whose rows lie in buckets by the key: joins on it need not shuffle the table."""
+    """Write or append a table whose rows lie in buckets by the key: joins on it need not shuffle the table.
+
+    The rows are brought together by bucket first, so that each write adds one file to a bucket.
+    """
     spark = df.sparkSession
     if not in_own_catalog(spark, name):
-        writer = df.write.format("parquet").bucketBy(buckets, key).sortBy(key).mode(mode)
+        writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).mode(mode)
         writer.option("path", f"{root}/{name.split('.')[-1]}").saveAsTable(name)
     elif mode == "append":
         df.writeTo(name).append()
