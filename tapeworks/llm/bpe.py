@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from tapeworks.llm.columns import Compute, add_columns
 
 # Results kept by a task, of chunks between white space and of fragments; full stores start anew.
-KEPT_CHUNKS = 500_000
-KEPT_FRAGMENTS = 250_000
+KEPT_CHUNKS = 300_000
+KEPT_FRAGMENTS = 150_000
 # Symbols of a fragment that is merged together with others.
 SHORT = 24
 
