@@ -269,7 +269,8 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", text: str
                           "__host", "left")
     else:
         lookup = chosen.withColumnRenamed("host", "__host")
-        found = left_lookup(rows, lookup, ["__host"], "pages", HOT_ROWS).withColumn("__path", F.col("found.path"))
+        held = rows.select("__host", F.struct(*columns).alias("__row"))
+        found = left_lookup(held, lookup, ["__host"], "pages", HOT_ROWS).select("__row.*", F.col("found.path").alias("__path"))
 
     def make() -> Compute:
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:

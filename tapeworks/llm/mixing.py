@@ -166,14 +166,15 @@ def _own_copies(each: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text: str = "text",
                     source: str = "source") -> DataFrame:
     """The documents that the mix takes, each as often as it takes it, with the columns of docs."""
-    kept = without(docs, ["__size", "__nth"])
+    kept = without(docs, ["__size", "__nth", "__id", "__source", "__words", "__rows", "__copies", "__own", "__copy"])
     numbered = docs.select(*kept).withColumn("__size", word_count(text)).withColumn("__nth", F.row_number().over(
         Window.partitionBy(id_col, source, "__size").orderBy(F.xxhash64(text))))
-    what = mixed.select(F.col(id_col).alias("m_id"), F.col(source).alias("m_source"), F.col("size").alias("m_size"),
-                        "rows", "copies")
-    found = numbered.join(what, numbered[id_col].eqNullSafe(F.col("m_id")) & numbered[source].eqNullSafe(
-        F.col("m_source")) & (F.col("__size") == F.col("m_size")))
-    own = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("__nth") <= F.col("copies") % F.col("rows"), 1).otherwise(0)
+    what = mixed.select(F.col(id_col).alias("__id"), F.col(source).alias("__source"), F.col("size").alias("__words"),
+                        F.col("rows").alias("__rows"), F.col("copies").alias("__copies"))
+    found = numbered.join(what, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source"))
+                          & (F.col("__size") == F.col("__words")))
+    more = F.when(F.col("__nth") <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
+    own = (F.floor(F.col("__copies") / F.col("__rows")) + more).cast("long")
     return found.withColumn("__own", own).filter("__own > 0").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__own").cast("long")))
+        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__own")))
     ).select(*[f"`{c}`" for c in kept])
