@@ -91,5 +91,42 @@ def llm_queries() -> dict[str, Query]:
     }
 
 
+# Base32 of a SHA-1: five hexadecimal digits make four of its characters.
+_OP3 = """
+with hashed as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, upper(sha1(coalesce(html, ''))) as hex from pages
+), spelt as (
+  select page_id, payload_bytes,
+         array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda b:
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((cast('0x' || hex[5 * g + 1 : 5 * g + 5] as bigint) >> b) & 31) + 1]
+         ), '')), '') as payload_digest
+  from hashed
+), firsts as (select *, min(page_id) over (partition by payload_digest) as first from spelt)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to
+from firsts"""
+
+_OP5 = """
+with recursive vectors as (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings
+), usable as (
+  select vec_id, v, sqrt(list_dot_product(v, v)) as norm from vectors
+  where v is not null and len(v) = 64 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(v, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b
+    on a.vec_id <> b.vec_id and list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.9
+), reach as (
+  select vec_id, vec_id as other from embeddings
+  union
+  select reach.vec_id, links.b from reach join links on reach.other = links.a
+), least as (select vec_id, min(other) as component_id from reach group by vec_id)
+select vec_id, (select count(*) from links where links.a = vec_id) as n_links, component_id,
+       vec_id = component_id as kept
+from least"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {}
+    """The others are beyond SQL: trained models, seeded hashes, tokenizers, parsers."""
+    return {"op3_warc": _OP3, "op5_embeddings": _OP5}
