@@ -128,10 +128,10 @@ def silver_keys(spark: SparkSession, silver: str, root: str | None) -> DataFrame
 
 @dataclass(frozen=True)
 class SilverRun:
-    """What a run has done: rows written, the days its records belong to, and how far it has come."""
+    """What a run has done: rows written, the days its records belong to (None: all), and how far it has come."""
 
     rows: int
-    days: list[date]
+    days: list[date] | None
     reached: Progress | None
 
 
@@ -151,7 +151,7 @@ def _silver_run(
         # What is looked at a second time has to be the rows that were read, or come before they are read.
         reached = _reached(records if mode == "incremental" else taken, before, as_of)
         newest, lost = keep_newest(accepted(records)), rejected(records)
-        days: list[date] = []
+        days: list[date] | None = None
         if mode == "full" or not spark.catalog.tableExists(silver):
             anew = clustered_by_day(newest.select(SILVER.fieldNames()), trade_date())
             replace_table(counted(anew, rows), silver, root)
@@ -164,8 +164,7 @@ def _silver_run(
             changed = compared.filter(F.col("known") != content())
             lost = lost.unionByName(changed.select(
                 *[c for c in lost.columns if c != "reasons"], F.array(F.lit("changed_trade")).alias("reasons")))
-        if mode == "incremental":
-            found = newest.select(trade_date().alias("day")).distinct().collect()
+            found = compared.select(trade_date().alias("day")).distinct().collect()
             days = sorted(r.day for r in found if r.day is not None)
         if rejects is not None:
             keep_rejects(lost, rejects, root, since or (before and before.as_of), as_of)
@@ -277,5 +276,5 @@ def run_daily(
     """
     as_of = cut_off(day) if day is not None else None
     run = _silver_run(spark, bronze, silver, mode, root, since, as_of, rejects)
-    build_and_check_gold(spark, silver, gold, root=root, days=run.days if mode == "incremental" else None)
+    build_and_check_gold(spark, silver, gold, root=root, days=run.days)
     _store_progress(spark, silver, run.reached, root)
