@@ -210,3 +210,13 @@ def test_html_query(spark, sf_dir):
         plain = re.sub(r"</?b>", "", re.sub(r"<(?:/?(?:p|h1)|br)>", " ", article))
         wanted = " ".join(html_module.unescape(plain).split())
         assert (found[page["page_id"]]["text"], found[page["page_id"]]["n_chars"]) == (wanted, len(wanted))
+
+
+# --- notices without cue words
+
+def test_notices_without_common_words(spark, licence_model):
+    texts = ["Available under CC BY 4.0.", "Dedicated to the public under CC0 1.0 Universal.",
+             "Some text. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = licences.found(docs, licence_model).filter("confirmed").collect()
+    assert sorted((r["doc_id"], r["sentence"], r["family"]) for r in found) == [(0, 0, "CC-BY"), (1, 0, "CC0"), (2, 1, "MPL-2.0")]
