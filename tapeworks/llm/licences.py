@@ -1,6 +1,6 @@
-"""Licence scans: a trained classifier of paragraphs, made of DataFrame functions only.
+"""Licence scans: a trained classifier of sentences of paragraphs, made of DataFrame functions only.
 
-Words and pairs of words of a paragraph fall into hashed buckets. One logistic regression over them says whether the
+A sentence goes on over the line ends of its paragraph, so a notice wrapped at some column is judged whole. Words and pairs of words of a paragraph fall into hashed buckets. One logistic regression over them says whether the
 paragraph is a licence notice at all, calibrated so that the rest is the probability of the unknown class; a second
 one says which family. What is predicted is compared with the family's templates and so confirmed or not. The
 weights are fitted by the driver on a bounded sample; scoring is a lookup of array elements.
@@ -25,7 +25,13 @@ TRAINING_DOCUMENTS = 1_000
 TRAINING_PARAGRAPHS = 4_000
 
 LINE_END = r"\r\n|\r|\n"
-SENTENCE_END = r"(?<=[.!?])\s+(?=\p{Lu})"
+SENTENCE_END = r"\s(?<=[.!?]\s)\s*(?=\p{Lu})"
+# What a comment has at the beginning of its lines.
+COMMENT = r"^[ \t]*(?:(?:#+|/\*+|\*+/|\*+|//+|--+|;+|%+|<!--)(?=[ \t]|$)[ \t]*)+"
+# No text is wrapped at more columns; longer lines are paragraphs of their own.
+WRAP_COLUMNS = 200
+# Stands before a line's number where lines are put together; two noncharacters, which are in no text.
+_MARK, _END = "\ufdd0", "\ufdd1"
 
 # Notices by family, with a name for each.
 TEMPLATES = (
@@ -89,10 +95,15 @@ def _buckets(grams: Column) -> Column:
     return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
 
 
+def _once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """df with the column; filters on it are not pushed below, where they would compute it again for each use."""
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
 def with_features(paragraphs: DataFrame, text: str = "paragraph") -> DataFrame:
     """paragraphs with ``words`` and ``features``, the bucket of each word and each pair of words."""
-    worded = paragraphs.withColumn("words", F.split(normalised(F.col(text)), " "))
-    return worded.withColumn("features", _buckets(F.concat("words", _pairs(F.col("words")))))
+    worded = _once(paragraphs, "words", F.split(normalised(F.col(text)), " "))
+    return _once(worded, "features", _buckets(F.concat("words", _pairs(F.col("words")))))
 
 
 @dataclass(frozen=True)
@@ -174,12 +185,44 @@ def _variants(spark: SparkSession) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, line, nth, paragraph): the sentences of the lines of each text, both numbered from 0, but for blank ones.
+    """(id, line, nth, paragraph, parts): the sentences of each text, but for blank ones.
 
-    A notice may stand amid other sentences of a line, so these are judged one by one.
+    ``line`` is where the sentence begins, ``nth`` its place there, both from 0. A sentence goes on over line ends
+    up to a blank line, a line of more than WRAP_COLUMNS or a sentence end; comment marks are no part of it. One of
+    several lines has ``parts``, what stands in each of them: (line, nth, paragraph).
     """
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text), LINE_END)).alias("line", "whole"))
-    split = lines.select("id", "line", F.posexplode(F.split("whole", SENTENCE_END)).alias("nth", "paragraph"))
+    lines = _once(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "lines", F.split("text", LINE_END))
+    lines = _once(lines, "cleaned", F.transform("lines", lambda x: F.when(
+        F.substring(F.ltrim(x), 1, 1).rlike("[#/*;%<\\t-]"), F.regexp_replace(x, COMMENT, "")).otherwise(x))).select(
+        "id", F.col("cleaned").alias("lines"))
+
+    def begins(line: Column, i: Column) -> Column:
+        before = F.get("lines", i - 1)
+        apart = (F.trim(before) == "") | (F.trim(line) == "") | (F.length(before) > WRAP_COLUMNS) | (F.length(line) > WRAP_COLUMNS)
+        return (i == 0) | apart | (F.substring(F.rtrim(before), -1, 1).isin(".", "!", "?") & F.substring(F.ltrim(line), 1, 1).rlike(r"\p{Lu}"))
+
+    # A group is a line and those that go on from it, each behind its number between marks.
+    marked = F.transform("lines", lambda x, i: F.concat(
+        F.when(begins(x, i), F.lit(_END)).otherwise(F.lit(" ")), F.lit(_MARK), i.cast("string"), F.lit(_MARK), x))
+    groups = lines.select("id", F.explode(F.split(F.substring(F.array_join(marked, ""), 2, (1 << 31) - 1), _END)).alias("group"))
+    number = rf"{_MARK}(\d+){_MARK}"
+    groups = _once(groups, "sentences", F.split("group", SENTENCE_END.replace(r"(?=", rf"(?=(?:{number})?"))).drop("group")
+    groups = _once(groups, "lasts", F.transform("sentences", lambda x: F.when(
+        F.contains(x, F.lit(_MARK)), F.regexp_extract(x, rf"(?s)^.*{number}", 1).try_cast("int"))))
+    each = groups.select("id", "lasts", F.posexplode("sentences").alias("k", "sentence"))
+    each = each.withColumn("lead", F.when(F.startswith("sentence", F.lit(_MARK)), F.regexp_extract("sentence", rf"^{number}", 1).try_cast("int")))
+    each = _once(each, "seen", F.coalesce("lead", F.array_max(F.slice("lasts", 1, F.col("k")))))
+    each = _once(each, "nth", F.when(F.col("lead").isNotNull(), 0).otherwise(
+        (F.col("k") + 1 - F.array_position("lasts", F.col("seen"))).cast("int")))
+    pieces = F.split("sentence", rf"(?={number})")
+    parts = F.transform(pieces, lambda x: F.struct(
+        F.coalesce(F.regexp_extract(x, rf"^{number}", 1).try_cast("int"), F.col("seen")).alias("line"),
+        F.when(F.startswith(x, F.lit(_MARK)), 0).otherwise(F.col("nth")).alias("nth"),
+        F.trim(F.regexp_replace(x, number, "")).alias("paragraph")))
+    several = F.get("lasts", F.col("k")).isNotNull() & (F.col("lead").isNull() | (F.col("lead") < F.get("lasts", F.col("k"))))
+    text = F.when(F.contains("sentence", F.lit(_MARK)), F.regexp_replace("sentence", number, "")).otherwise(F.col("sentence"))
+    split = each.select("id", F.col("seen").alias("line"), "nth", text.alias("paragraph"),
+                        F.when(several, parts).alias("parts"))
     return split.filter(F.trim("paragraph") != "")
 
 
@@ -222,6 +265,33 @@ def _summed(weights: Column) -> Column:
     return F.aggregate("features", F.lit(0.0), lambda total, i: total + F.get(weights, i))
 
 
+def _licensed(rows: DataFrame, model: Model) -> DataFrame:
+    """rows with their features and ``licence``, the probability that a paragraph is a licence notice at all."""
+    gate = _constant(np.round(model.gate, 5).tolist(), "array<double>")
+    margin = _summed(gate) / F.sqrt(F.size("features")) + model.gate_bias
+    return _once(with_features(rows), "licence", 1 / (1 + F.exp(-(F.lit(model.slope) * margin + model.shift))))
+
+
+def _named(rows: DataFrame, model: Model, at_least: float) -> DataFrame:
+    """rows with the ``best`` family, its ``share`` of the probability, and the ``template`` of it that is most alike; null for no licence."""
+    norm, scores = F.sqrt(F.size("features")), []
+    for k, name in enumerate(model.families):
+        weights = _constant(np.round(model.family[:, k], 5).tolist(), "array<double>")
+        score = _summed(weights) / norm + float(model.family_bias[k])
+        scores.append(F.struct(score.alias("score"), F.lit(-k).alias("order"), F.lit(name).alias("family")))
+    scored = _once(rows, "scores", F.when(F.col("licence") >= at_least, F.array(*scores))).withColumn("best", F.array_max("scores"))
+    rest = F.aggregate("scores", F.lit(0.0), lambda total, s: total + F.exp(s["score"] - F.col("best.score")))
+    scored = _once(scored.withColumn("share", 1 / rest), "pairs", F.array_distinct(_pairs(F.col("words"))))
+    own = F.filter(_template_table(), lambda t: t["family"] == F.col("best.family"))
+
+    def compared(t: Column, i: Column) -> Column:
+        common = F.size(F.array_intersect(t["pairs"], F.col("pairs")))
+        return F.struct((common / F.greatest(F.lit(1), F.least(F.size(t["pairs"]), F.size("pairs")))).alias("similarity"),
+                        (-i).alias("order"), t["name"].alias("name"), (common / F.size(t["pairs"])).alias("held"))
+
+    return _once(scored, "template", F.array_max(F.transform(own, compared)))
+
+
 def found(docs: DataFrame, model: Model, at_least: float = 0.5, similar: float = 0.6, id_col: str = "doc_id",
           text: str = "text") -> DataFrame:
     """The paragraphs of the texts, sentence by sentence, that are licence notices.
@@ -229,29 +299,24 @@ def found(docs: DataFrame, model: Model, at_least: float = 0.5, similar: float =
     Columns: id, paragraph (its line, from 0), sentence (its place in the line), text, family, probability (of this family), unknown (probability that
     it is no licence), template, similarity, confirmed. A paragraph is given if it is no licence with a probability
     under ``1 - at_least``, and confirmed if it shares ``similar`` of its pairs of words, or of the template's if
-    those are fewer, with a template of the family. Null and empty texts give no rows, nor do documents without
-    notices; repeated rows and ids give their rows again; ties go to the family and template that comes first.
+    those are fewer, with a template of the family. A sentence of several lines is judged as one; its lines are
+    given, too, if it is not confirmed, or if they hold as much of a template of another family. Null and empty texts
+    give no rows, nor do documents without notices; repeated rows and ids give their rows again; ties go to the family
+    and template that comes first.
     """
-    featured = with_features(paragraphs(docs, id_col, text))
-    norm = F.sqrt(F.size("features"))
-    gate = _constant(np.round(model.gate, 5).tolist(), "array<double>")
-    margin = _summed(gate) / norm + model.gate_bias
-    licence = 1 / (1 + F.exp(-(F.lit(model.slope) * margin + model.shift)))
-    likely = featured.withColumn("licence", licence).filter(F.col("licence") >= at_least)
-    scores = []
-    for k, name in enumerate(model.families):
-        weights = _constant(np.round(model.family[:, k], 5).tolist(), "array<double>")
-        score = _summed(weights) / norm + float(model.family_bias[k])
-        scores.append(F.struct(score.alias("score"), F.lit(-k).alias("order"), F.lit(name).alias("family")))
-    scored = likely.withColumn("scores", F.array(*scores)).withColumn("best", F.array_max("scores"))
-    rest = F.aggregate("scores", F.lit(0.0), lambda total, s: total + F.exp(s["score"] - F.col("best.score")))
-    scored = scored.withColumn("share", 1 / rest).withColumn("pairs", F.array_distinct(_pairs(F.col("words"))))
-    own = F.filter(_template_table(), lambda t: t["family"] == F.col("best.family"))
-    compared = F.transform(own, lambda t, i: F.struct(
-        (F.size(F.array_intersect(t["pairs"], F.col("pairs"))) / F.greatest(F.lit(1), F.least(
-            F.size(t["pairs"]), F.size("pairs")))).alias("similarity"), (-i).alias("order"), t["name"].alias("name")))
-    confirmed = scored.withColumn("template", F.array_max(compared))
-    return confirmed.select(
+    kept = ["id", "line", "nth", "paragraph"]
+    wholes = _licensed(paragraphs(docs, id_col, text), model).filter((F.col("licence") >= at_least) | F.col("parts").isNotNull())
+    wholes = _once(_named(wholes, model, at_least), "whole", F.when(
+        (F.col("licence") >= at_least) & (F.col("template.similarity") >= similar), F.col("best.family")))
+    own = F.when(F.col("licence") >= at_least, F.array(F.struct(*kept[1:], F.lit(None).cast("string").alias("whole"))))
+    lines = F.transform("parts", lambda p: F.struct(*(p[c].alias(c) for c in kept[1:]), F.coalesce("whole", F.lit("")).alias("whole")))
+    nothing = F.filter(lines, lambda _: F.lit(False))
+    candidates = F.when(F.col("parts").isNull(), own).otherwise(F.concat(F.coalesce(own, nothing), lines))
+    judged = wholes.select("id", F.inline(candidates))
+    judged = _named(_licensed(judged, model).filter(F.col("licence") >= at_least), model, at_least)
+    other = (F.col("best.family") != F.col("whole")) & (F.col("template.held") >= similar) & (F.col("template.similarity") >= similar)
+    given = judged.filter(F.col("whole").isNull() | (F.col("whole") == "") | other)
+    return given.select(
         F.col("id").alias(id_col), F.col("line").cast("long").alias("paragraph"), F.col("nth").cast("long").alias("sentence"),
         F.col("paragraph").alias(text), F.col("best.family").alias("family"), (F.col("licence") * F.col("share")).alias("probability"),
         (1 - F.col("licence")).alias("unknown"), F.col("template.name").alias("template"),

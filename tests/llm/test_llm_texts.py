@@ -212,7 +212,18 @@ def test_html_query(spark, sf_dir):
         assert (found[page["page_id"]]["text"], found[page["page_id"]]["n_chars"]) == (wanted, len(wanted))
 
 
-# --- notices without cue words
+# --- notices without cue words, notices over several lines
+
+WRAPPED = """Some words of the file
+/*
+ * This program is free software: you can redistribute it
+ * and/or modify it under the terms of the GNU General
+ * Public License as published by the Free Software
+ * Foundation, either version 3 of the License, or (at your
+ * option) any later version.
+ */
+int main"""
+
 
 def test_notices_without_common_words(spark, licence_model):
     texts = ["Available under CC BY 4.0.", "Dedicated to the public under CC0 1.0 Universal.",
@@ -220,3 +231,15 @@ def test_notices_without_common_words(spark, licence_model):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = licences.found(docs, licence_model).filter("confirmed").collect()
     assert sorted((r["doc_id"], r["sentence"], r["family"]) for r in found) == [(0, 0, "CC-BY"), (1, 0, "CC0"), (2, 1, "MPL-2.0")]
+
+
+def test_wrapped_notices(spark, licence_model):
+    grant = "Permission is hereby granted, free of\ncharge, to any person obtaining a copy\nof this software and associated\ndocumentation files, to deal in the\nSoftware without restriction"
+    docs = spark.createDataFrame([(1, WRAPPED), (2, f"A beginning.\n\n{grant}\n\nAn end"), (3, "Released under the MIT License\nLicensed under CC BY 4.0"),
+                                  (4, "One\ntwo. Three goes\non. Four")], "doc_id long, text string")
+    found = licences.found(docs, licence_model).collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["sentence"], r["family"], r["confirmed"]) for r in found) == [
+        (1, 2, 0, "GPL", True), (2, 2, 0, "MIT", True), (3, 0, 0, "MIT", True), (3, 1, 0, "CC-BY", True)]
+    assert {r["text"] for r in found if r["doc_id"] == 2} == {" ".join(grant.split())}
+    places = licences.paragraphs(docs.filter("doc_id = 4")).collect()
+    assert [(r["line"], r["nth"], r["paragraph"]) for r in places] == [(0, 0, "One two."), (1, 1, "Three goes on."), (2, 1, "Four")]
