@@ -120,3 +120,10 @@ def test_held_out_accuracy(name, label, wanted, spark):
     assert len(found) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     held = [r for r in found if r["held_out"] and r["doc_id"] in labels]
     assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in held]) >= wanted
+
+
+def test_commonest_word_is_over_the_whole_text():
+    at = quality.STATISTICS.index("commonest_word")
+    words = [f"w{i}" if i % 10 else "spam" for i in range(1, 1001)]
+    for shift in range(10):
+        assert quality.statistics(" ".join(words[shift:] + words[:shift]))[at] == 0.1
