@@ -25,21 +25,20 @@ from tapeworks.llm.labelled import sampled
 TRAINING_VECTORS = 4_096
 TABLES = 28
 KEY_BITS = 16
+# Probability that two vectors just at the least cosine meet in one of the planned tables.
+RECALL = 0.995
 # Members of a bucket that are compared in one block; larger buckets are dealt out.
 BLOCK = 512
 
 
 @dataclass(frozen=True)
 class Codes:
-    """The learned rotations, as one matrix of projections; every KEY_BITS columns give the key of a table."""
+    """The learned rotations, as one matrix of projections; every ``bits`` columns give the key of a table."""
 
     mean: np.ndarray
     projections: np.ndarray
     bits: int
-
-    @property
-    def tables(self) -> int:
-        return self.projections.shape[1] // self.bits
+    tables: int
 
     def keys(self, unit: np.ndarray) -> np.ndarray:
         """The key of each vector in each table."""
@@ -48,11 +47,34 @@ class Codes:
         return (signs.reshape(len(unit), self.tables, self.bits) @ weights).astype(np.uint16)
 
 
+def planned(unit: np.ndarray, rows: int, least: float) -> tuple[int, int]:
+    """How many tables of how many bits find two vectors just at a cosine of ``least`` with a probability of RECALL.
+
+    Codes are of centred vectors, between which the angle is larger the nearer they are to the mean; that of a
+    hundredth of the sample is larger still. Among the numbers of bits the one with least work is taken: a row for
+    each table, and the vectors in its bucket. Without bits there is one bucket, and all pairs are compared.
+    """
+    centred = unit - (unit.mean(axis=0) if len(unit) else 0)
+    short = np.quantile((centred**2).sum(axis=1), 0.01) if len(unit) else 1.0
+    cosine = max(-1.0, 1 - (1 - least) / max(short, 1e-9))
+    agree = 1 - np.arccos(cosine) / np.pi
+
+    def needed(bits: int) -> int:
+        together = agree**bits
+        return 1 if together >= RECALL else int(np.ceil(np.log(1 - RECALL) / np.log1p(-max(together, 1e-9))))
+
+    most = min(KEY_BITS, unit.shape[1])
+    bits = min(range(most + 1), key=lambda b: needed(b) * (1 + rows / 2**b / BLOCK))
+    return needed(bits), bits
+
+
 def learned(unit: np.ndarray, tables: int = TABLES, bits: int = KEY_BITS, rounds: int = 30, seed: int = 5) -> Codes:
     """Rotations by iterative quantisation: codes and rotation are fitted to each other in turn, from random starts."""
     dims = unit.shape[1]
     bits = min(bits, dims)
     mean = unit.mean(axis=0) if len(unit) else np.zeros(dims)
+    if not bits:
+        return Codes(mean, np.zeros((dims, 0)), 0, tables)
     centred = unit - mean
     random = np.random.default_rng(seed)
     axes = np.linalg.eigh(centred.T @ centred)[1][:, ::-1]
@@ -67,7 +89,7 @@ def learned(unit: np.ndarray, tables: int = TABLES, bits: int = KEY_BITS, rounds
             rotation = (left @ right).T
         order = random.permutation(dims)[: per_rotation * bits]
         found.append((axes @ rotation)[:, order])
-    return Codes(mean, np.hstack(found)[:, : tables * bits], bits)
+    return Codes(mean, np.hstack(found)[:, : tables * bits], bits, tables)
 
 
 def usable(vector: str) -> Column:
@@ -201,11 +223,11 @@ def _coded(classes: DataFrame, codes: Codes, dims: int) -> DataFrame:
 
 
 def near_duplicates(rows: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector: str = "embedding",
-                    tables: int = TABLES, block: int = BLOCK) -> DataFrame:
+                    tables: int | None = None, block: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept) for each row; the id is an integer.
 
     Links join vectors with a cosine of at least ``least`` in double precision; none is made below it. Equal vectors
-    are always linked; others if a table finds them. Vectors that are null or zero, or hold null or non-finite
+    are always linked; others if a table finds them, ``tables`` of KEY_BITS or, if not given, as many as RECALL needs. Vectors that are null or zero, or hold null or non-finite
     components, link with nothing; one of another length than the commonest links with equal ones only. kept marks
     the smallest id of a component. Rows without an id count as links, and are never kept. Repeated rows are
     vectors of their own; an empty table gives an empty result.
@@ -221,7 +243,8 @@ def near_duplicates(rows: DataFrame, least: float = 0.9, id_col: str = "vec_id",
         dims = common[0]
         alike = classes.filter(F.size("vec") == dims)
         sample = sampled(alike.select("vec"), "vec", TRAINING_VECTORS).collect()
-        codes = learned(_units(pa.array([r[0] for r in sample], pa.list_(pa.float32())), dims), tables)
+        units = _units(pa.array([r[0] for r in sample], pa.list_(pa.float32())), dims)
+        codes = learned(units, *((tables,) if tables else planned(units, alike.count(), least)))
         links = stage(near_vectors(alike, dims, codes, least, block), "vector-links")
         pairs = links.select(F.col("node").alias("a"), F.col("root").alias("b"))
         count = classes.count()

@@ -96,3 +96,30 @@ def test_recall_on_the_table(spark):
     counts = near.sum(axis=1)
     assert all(found[r["vec_id"]] <= c for r, c in zip(rows, counts))
     assert sum(found.values()) >= 0.9 * counts.sum()
+
+
+@pytest.mark.parametrize("common", [0.0, 0.6, 0.83])
+def test_recall_just_at_the_least_cosine(common):
+    random = np.random.default_rng(3)
+    mean = np.eye(64)[0] * common
+
+    def around(n):
+        v = random.standard_normal((n, 64))
+        v[:, 0] = 0
+        return mean + v / np.linalg.norm(v, axis=1, keepdims=True) * np.sqrt(1 - common**2)
+
+    a = around(2000)
+    angle = np.arccos(random.uniform(0.90, 0.92, 2000))[:, None]
+    away = around(2000) - mean
+    away -= (away * (a - mean)).sum(axis=1, keepdims=True) / (1 - common**2) * (a - mean)
+    # Both share the common part, so it is the rest that turns.
+    rest = 1 - (1 - np.cos(angle)) / (1 - common**2)
+    b = mean + rest * (a - mean) + np.sqrt(1 - rest**2) * away / np.linalg.norm(away, axis=1, keepdims=True) * np.sqrt(1 - common**2)
+    cosines = (a * b).sum(axis=1)
+    assert np.allclose(np.linalg.norm(b, axis=1), 1) and cosines.min() > 0.899 and cosines.max() < 0.921
+    sample = around(4096)
+    tables, bits = embedding_itq.planned(sample, 1_000_000, 0.9)
+    assert bits >= 8
+    codes = embedding_itq.learned(sample, tables, bits, rounds=10)
+    assert (codes.keys(a) == codes.keys(b)).any(axis=1).mean() >= 0.98
+    assert embedding_itq.planned(sample, 500, 0.9) == (1, 0)  # all pairs
