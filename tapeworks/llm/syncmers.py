@@ -2,13 +2,16 @@
 
 A run of K bytes is a closed syncmer if the smallest hash of its runs of S bytes is that of the first or the last one.
 Whether it is depends on its own bytes alone, so the same passage has the same anchors in every document, at the same
-distances. A fingerprint is the smallest ANCHORS of the anchors' hashes; the likeness of two is what they share.
+distances. A fingerprint is all anchors of a text, in order and with their distances, so that passages common to two
+texts are found from their fingerprints; the likeness of two is the share of their anchors that match.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeworks.llm.columns import Compute, add_columns, byte_sizes, slices
+from tapeworks.llm.columns import SLICE_BYTES, Compute, add_columns, byte_sizes, slices
 
 K, S = 12, 4
-ANCHORS = 64
 _PIECE = 1 << 20
 
 
@@ -66,41 +68,66 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([at + a for a, at, _ in parts]), np.concatenate([h for _, _, h in parts])
 
 
-def sketch(text: str | None, size: int = ANCHORS) -> np.ndarray:
-    """The smallest different anchor hashes, by their upper 32 bits."""
-    _, hashes = anchors((text or "").encode())
-    return np.unique((hashes >> np.uint64(32)).astype(np.uint32))[:size]
+@dataclass(frozen=True)
+class Sketch:
+    """All anchors of a text, in order: their byte positions and the upper 32 bits of their hashes."""
 
+    at: np.ndarray
+    hashes: np.ndarray
 
-def shown(numbers: np.ndarray) -> str:
-    """A sketch as hexadecimal digits, eight for each anchor; empty for an empty text."""
-    return numbers.astype(">u4").tobytes().hex()
+    def __len__(self) -> int:
+        return len(self.at)
 
+    @cached_property
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(self.hashes, return_counts=True)
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int = ANCHORS) -> float:
-    """The share of two texts' anchors that is common to both, judged by the sketches; 1 for equal ones.
 
-    Of the smallest hashes of both together some are in both: that estimates the common part of the union, from
-    which follows twice the common part over the sum. Two empty texts are alike, an empty and another one are not.
+def sketch(text: str | None) -> Sketch:
+    """Every anchor of the text."""
+    at, hashes = anchors((text or "").encode())
+    return Sketch(at, (hashes >> np.uint64(32)).astype(np.uint32))
+
+
+_SHOWN = np.dtype([("gap", "u1"), ("hash", ">u4")])
+
+
+def shown(of: Sketch) -> str:
+    """A fingerprint as hexadecimal digits, ten for each anchor: its distance from the one before (from the text's
+    beginning, if it is the first), which is at most K - S, and its hash; empty for an empty text."""
+    numbers = np.empty(len(of), dtype=_SHOWN)
+    numbers["gap"], numbers["hash"] = np.diff(of.at, prepend=0), of.hashes
+    return numbers.tobytes().hex()
+
+
+def read(fingerprint: str) -> Sketch:
+    """The anchors that a fingerprint shows."""
+    numbers = np.frombuffer(bytes.fromhex(fingerprint), dtype=_SHOWN)
+    return Sketch(np.cumsum(numbers["gap"].astype(np.int64)), numbers["hash"].astype(np.uint32))
+
+
+def likeness(a: Sketch, b: Sketch) -> float:
+    """Twice the anchors that match over those of both texts; 1 for equal ones.
+
+    An anchor of one text matches at most one of the other, the first of a hash the first, and so on. Two empty texts
+    are alike, an empty and another one are not.
     """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)[:size]
-    common = len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True)) / len(union)
-    return 2 * common / (1 + common)
+    _, i, j = np.intersect1d(a.counted[0], b.counted[0], assume_unique=True, return_indices=True)
+    return float(2 * np.minimum(a.counted[1][i], b.counted[1][j]).sum() / (len(a) + len(b)))
 
 
-def matched(left: str, right: str) -> list[tuple[int, int, int]]:
+def matched_anchors(left: Sketch, right: Sketch) -> list[tuple[int, int, int]]:
     """Passages common to two texts, by position: (byte in left, byte in right, length), in order.
 
     Anchors with the same hash are paired; pairs at one distance between the texts that overlap or touch make up
     one passage. Hashes that stand more than once in a text say nothing about positions and are left out.
     """
     places = []
-    for text in (left, right):
-        at, hashes = anchors(text.encode())
-        value, first, count = np.unique(hashes, return_index=True, return_counts=True)
-        places.append(dict(zip(value[count == 1].tolist(), at[first[count == 1]].tolist())))
+    for side in (left, right):
+        value, first, count = np.unique(side.hashes, return_index=True, return_counts=True)
+        places.append(dict(zip(value[count == 1].tolist(), side.at[first[count == 1]].tolist())))
     pairs = sorted((places[1][h] - a, a) for h, a in places[0].items() if h in places[1])
     runs: list[list[int]] = []
     for shift, a in pairs:
@@ -111,6 +138,11 @@ def matched(left: str, right: str) -> list[tuple[int, int, int]]:
     return sorted((a, a + shift, end - a) for shift, a, end in runs)
 
 
+def matched(left: str, right: str) -> list[tuple[int, int, int]]:
+    """``matched_anchors`` of two texts."""
+    return matched_anchors(sketch(left), sketch(right))
+
+
 def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint",
                  keep: Sequence[str] | None = None) -> DataFrame:
     """docs with each whole text's fingerprint; null like empty, equal texts alike, repeated rows stay.
@@ -192,7 +224,7 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, out, held = to_arrow_schema(schema), [], None
+        arrow, out, size, held = to_arrow_schema(schema), [], 0, None
         for key, value, ahead in rows(batches):
             own = sketch(value)
             if held is not None:
@@ -201,10 +233,11 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
                 other = sketch(changed)
                 out.append((before, len(before_text), hashlib.sha256(changed.encode()).hexdigest(), shown(before_sketch),
                             shown(other), likeness(before_sketch, other), likeness(before_sketch, own)))
+                size += 10 * (len(before_sketch) + len(other))
             held = None if ahead else (key, value, own)
-            if len(out) == 1000:
+            if len(out) == 1000 or size > SLICE_BYTES:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
-                out = []
+                out, size = [], 0
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 

@@ -243,3 +243,20 @@ def test_wrapped_notices(spark, licence_model):
     assert {r["text"] for r in found if r["doc_id"] == 2} == {" ".join(grant.split())}
     places = licences.paragraphs(docs.filter("doc_id = 4")).collect()
     assert [(r["line"], r["nth"], r["paragraph"]) for r in places] == [(0, 0, "One two."), (1, 1, "Three goes on."), (2, 1, "Four")]
+
+
+# --- fingerprints of long texts
+
+
+def test_passages_are_found_from_fingerprints_of_long_texts():
+    passage = words(50, "shared")
+    left, right = (words(10_000, a) + " " + passage + " " + words(10_000, b) for a, b in (("a", "b"), ("c", "d")))
+    prints = [syncmers.sketch(text) for text in (left, right)]
+    assert syncmers.likeness(*prints) > 0.001
+    again = [syncmers.read(syncmers.shown(p)) for p in prints]
+    assert all(np.array_equal(p.at, q.at) and np.array_equal(p.hashes, q.hashes) for p, q in zip(prints, again))
+    assert max(np.diff(prints[0].at)) <= syncmers.K - syncmers.S
+    a, b, length = max(syncmers.matched_anchors(*again), key=lambda m: m[2])
+    assert length > len(passage) - 3 * syncmers.K and left[a : a + length] == right[b : b + length]
+    half = words(5_000, "a")
+    assert abs(syncmers.likeness(syncmers.sketch(half), syncmers.sketch(half + words(5_000, "z"))) - 2 / 3) < 0.01
