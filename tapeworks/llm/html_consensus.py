@@ -43,9 +43,11 @@ NEVER_NAMES = frozenset(
     "comment comments disqus reply replies share sharing social related newsletter subscribe signup login popup "
     "modal overlay widget form".split())
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
+# Quotes hold a value only right after "="; the second is for a tag whose quoted value does not end.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)*+)>""")
+_OPEN_QUOTE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z][\w-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ATTRIBUTE = re.compile(r"""([a-zA-Z][\w-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _DIGITS = re.compile(r"\d+")
 _NAME_PARTS = re.compile(r"[a-z]+")
 
@@ -120,7 +122,7 @@ def blocks(html: str) -> Iterator[Block]:
                 block.linked += len(piece)
         if mark < 0:
             break
-        tag_match = _TAG.match(html, mark)
+        tag_match = _TAG.match(html, mark) or _OPEN_QUOTE.match(html, mark)
         if tag_match is None:
             other = _OTHER.match(html, mark)
             if other is not None:

@@ -260,3 +260,17 @@ def test_passages_are_found_from_fingerprints_of_long_texts():
     assert length > len(passage) - 3 * syncmers.K and left[a : a + length] == right[b : b + length]
     half = words(5_000, "a")
     assert abs(syncmers.likeness(syncmers.sketch(half), syncmers.sketch(half + words(5_000, "z"))) - 2 / 3) < 0.01
+
+
+# --- odd quotes in tags
+
+
+@pytest.mark.parametrize("tag", ["<a href=/x title=Don't>", "<a href=/x?q=\"a>", "<a title=5\" href='y'>", "<a \"=x>", "<a href=\"/x>"])
+def test_unbalanced_quotes(tag):
+    assert html.main_text(f"<div><p>one {tag}two</a> three</p><p>four</p></div>", None) == "one two three four"
+
+
+def test_another_quote_later():
+    page = "<div><p>one <a title=Don't>two</a> isn't three</p><p title = 'a > b'>four</p></div>"
+    assert html.main_text(page, None) == "one two isn't three four"
+    assert html._attributes("title=Don't hidden") == {"title": "Don't", "hidden": ""}
