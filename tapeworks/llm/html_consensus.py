@@ -2,7 +2,8 @@
 
 Each page's containers are scored by the running text in them. The scores are summed over all pages of a host by
 the containers' paths, made general (tags and classes, digits hidden). Every page is then read again, and the text
-under its host's winning path is what it gives; a page without such a container gives its own best one.
+under its host's winning path is what it gives, with what stands beside it in the container around. A page without such
+a container gives its own best one, and so does one with hardly any text there, unless the host has voted that down.
 """
 
 from __future__ import annotations
@@ -173,13 +174,13 @@ def blocks(html: str) -> Iterator[Block]:
         yield block
 
 
-def container_scores(html: str) -> dict[str, float]:
+def container_scores(html: str | list[Block]) -> dict[str, float]:
     """For each general path of the page, the score of its containers: running text in them, less what is linked.
 
     A container counts half of what its inner containers do; article and main count double.
     """
     elements: dict[int, Element] = {}
-    for block in blocks(html):
+    for block in blocks(html) if isinstance(html, str) else html:
         size = len(block.text())
         block.element.chars += max(0, size - 2 * block.linked)
         element = block.element
@@ -200,8 +201,35 @@ def best_path(scores: dict[str, float]) -> str | None:
     return min(scores, key=lambda path: (-scores[path], path), default=None)
 
 
-def main_text(html: str, path: str | None) -> str:
-    """The text under all containers with the path; under the page's best one if it has none."""
+def whole_path(found: list[Block], path: str) -> str:
+    """The highest container around the path that has text of its own, and at least half of whose text is under the path.
+
+    Text counts less what is linked; an article or main is not left.
+    """
+    own: dict[str, int] = {}
+    held: dict[str, int] = {}
+    for block in found:
+        size, element = max(0, len(block.text()) - 2 * block.linked), block.element
+        own[element.path] = own.get(element.path, 0) + size
+        while size and element is not None:
+            held[element.path] = held.get(element.path, 0) + size
+            element = element.parent
+    best = at = path
+    while at and re.split(r"[.>]", at[at.rindex(">") + 1 :], maxsplit=1)[0] not in ("article", "main"):
+        at = at[: at.rindex(">")]
+        if 2 * held.get(path, 0) < held.get(at, 0):
+            break
+        if own.get(at):
+            best = at
+    return best
+
+
+def main_text(html: str, path: str | None, usual: Sequence[str] = ()) -> str:
+    """The text under all containers with the path, and beside them in the container around (see ``whole_path``).
+
+    It is that of the page's best path if there is none, or if that one scores more than twice as much and is not
+    among the ``usual`` paths of the host, which had their votes.
+    """
     found = list(blocks(html))
 
     def under(wanted: str | None) -> list[Block]:
@@ -214,9 +242,16 @@ def main_text(html: str, path: str | None) -> str:
                 kept.append(block)
         return kept
 
+    scores = container_scores(found)
+    best = best_path(scores)
     chosen = under(path) if path is not None else []
-    if not any(block.text() for block in chosen):
-        chosen = under(best_path(container_scores(html)))
+    other = best is not None and best not in usual and scores[best] > 2 * scores.get(path, 0.0)
+    if other or not any(block.text() for block in chosen):
+        path, chosen = best, under(best)
+    if path is not None and chosen:
+        inner = {id(block) for block in chosen}
+        around = under(whole_path(found, path))
+        chosen = [block for block in around if id(block) in inner or len(block.text()) > 2 * block.linked]
     return " ".join(filter(None, (block.text() for block in chosen)))
 
 
@@ -227,31 +262,42 @@ def host_of(url: str) -> Column:
 
 
 def votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, path, votes, pages): each page shares a thousand votes among its paths by their scores."""
+    """(host, path, votes, pages, firsts): each page shares a thousand votes among its paths by their scores.
+
+    ``firsts`` are the pages whose first path it is; over all paths of a host these are its pages.
+    """
     def make() -> Compute:
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
             rows = []
             for page in batch.column(html).to_pylist():
                 scores = container_scores(page or "")
                 total = sum(scores.values())
-                rows.append([{"path": p, "votes": round(1000 * s / total)} for p, s in scores.items()])
-            return [pa.array(rows, pa.list_(pa.struct([("path", pa.string()), ("votes", pa.int64())])))]
+                rows.append([{"path": p, "votes": round(1000 * s / total), "first": int(k == 0)}
+                             for k, (p, s) in enumerate(scores.items())])
+            return [pa.array(rows, pa.list_(pa.struct([("path", pa.string()), ("votes", pa.int64()), ("first", pa.int64())])))]
         return compute
 
     fields = T.StructType([T.StructField("paths", T.ArrayType(T.StructType([
-        T.StructField("path", T.StringType()), T.StructField("votes", T.LongType())])))])
+        T.StructField("path", T.StringType()), T.StructField("votes", T.LongType()),
+        T.StructField("first", T.LongType())])))])
     scored = add_columns(pages.select(host_of(url).alias("host"), F.col(html).alias("__html")).withColumnRenamed(
         "__html", html), html, fields, make, ["host"])
     return scored.select("host", F.explode("paths").alias("p")).groupBy("host", "p.path").agg(
-        F.sum("p.votes").alias("votes"), F.count("*").alias("pages"))
+        F.sum("p.votes").alias("votes"), F.count("*").alias("pages"), F.sum("p.first").alias("firsts"))
 
 
 def winners(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, path, pages): the path with most votes of each host, the smaller path among equals."""
-    counted = votes(pages, url, html)
-    most = counted.groupBy("host").agg(F.max("votes").alias("most"), F.max("pages").alias("rows"))
-    return counted.join(most, "host").filter("votes = most").groupBy("host").agg(
-        F.min("path").alias("path"), F.max("rows").alias("pages"))
+    """(host, path, pages, usual): the path with most votes of each host, the smaller path among equals.
+
+    ``usual`` are the paths that at least half of the host's pages have; there are at most twice as many as a page has
+    on average.
+    """
+    counted = stage(votes(pages, url, html), "html-votes")
+    most = counted.groupBy("host").agg(F.max("votes").alias("most"), F.max("pages").alias("rows"), F.sum("firsts").alias("all"))
+    known = counted.join(most, "host")
+    return known.groupBy("host").agg(
+        F.min(F.when(F.col("votes") == F.col("most"), F.col("path"))).alias("path"), F.max("rows").alias("pages"),
+        F.sort_array(F.collect_list(F.when(2 * F.col("pages") >= F.col("all"), F.col("path")))).alias("usual"))
 
 
 def extracted(pages: DataFrame, url: str = "url", html: str = "html", text: str = "text",
@@ -263,24 +309,26 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", text: str
     replaced.
     """
     chosen = stage(winners(pages, url, html), "html-winners")
-    hosts, chars = chosen.agg(F.count("*"), F.coalesce(F.sum(F.length("host") + F.length("path")), F.lit(0))).first()
-    columns = [c for c in without(pages, [text, "__host", "__path"]) if keep is None or c in keep or c == html]
+    hosts, chars = chosen.agg(F.count("*"), F.coalesce(F.sum(
+        F.length("host") + F.length("path") + F.length(F.array_join("usual", " "))), F.lit(0))).first()
+    columns = [c for c in without(pages, [text, "__host", "__path", "__usual"]) if keep is None or c in keep or c == html]
     rows = pages.select(*columns, host_of(url).alias("__host"))
     if hosts <= BROADCAST_HOSTS and chars <= BROADCAST_CHARS:
-        found = rows.join(F.broadcast(chosen.select(F.col("host").alias("__host"), F.col("path").alias("__path"))),
-                          "__host", "left")
+        found = rows.join(F.broadcast(chosen.select(F.col("host").alias("__host"), F.col("path").alias("__path"),
+                                                         F.col("usual").alias("__usual"))), "__host", "left")
     else:
         lookup = chosen.withColumnRenamed("host", "__host")
         held = rows.select("__host", F.struct(*columns).alias("__row"))
-        found = left_lookup(held, lookup, ["__host"], "pages", HOT_ROWS).select("__row.*", F.col("found.path").alias("__path"))
+        found = left_lookup(held, lookup, ["__host"], "pages", HOT_ROWS).select(
+            "__row.*", F.col("found.path").alias("__path"), F.col("found.usual").alias("__usual"))
 
     def make() -> Compute:
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            pairs = zip(batch.column(html).to_pylist(), batch.column("__path").to_pylist())
-            return [pa.array([main_text(page or "", path) for page, path in pairs], pa.string())]
+            rows = zip(*(batch.column(c).to_pylist() for c in (html, "__path", "__usual")))
+            return [pa.array([main_text(page or "", path, usual or ()) for page, path, usual in rows], pa.string())]
         return compute
 
     out = [c for c in columns if keep is None or c in keep]
-    read = found.select(*columns, "__path")
-    return add_columns(read, html, T.StructType([T.StructField(text, T.StringType())]), make, [*out, "__path"]) \
+    read = found.select(*columns, "__path", "__usual")
+    return add_columns(read, html, T.StructType([T.StructField(text, T.StringType())]), make, [*out, "__path", "__usual"]) \
         .select(*out, text)

@@ -274,3 +274,21 @@ def test_another_quote_later():
     page = "<div><p>one <a title=Don't>two</a> isn't three</p><p title = 'a > b'>four</p></div>"
     assert html.main_text(page, None) == "one two isn't three four"
     assert html._attributes("title=Don't hidden") == {"title": "Don't", "hidden": ""}
+
+
+# --- text around the winning path
+
+
+def test_text_around_the_winner_is_kept(spark):
+    section = "<div class=section><p>" + "section words " * 70 + "</p></div>"
+    usual = f"<html><body><div class=top><a href=/>Home</a></div><div class=content><h1>Heading</h1><p>The lead</p>{section}{section}<p><a href=/n>Next page</a></p></div></body></html>"
+    listed = "<html><body><div class=text><p>Before it</p><ul>" + "<li>item of the list</li>" * 30 + "</ul><p>After it</p></div></body></html>"
+    story = "<html><body><div class=section>Few</div><div class=story><p>" + "another template " * 50 + "</p></div></body></html>"
+    rows = [(i, f"http://a/{i}", usual) for i in range(6)] + [(i, f"http://b/{i}", listed) for i in range(6, 9)] + [(9, "http://a/9", story)]
+    near = "<html><body><div class=content><div class=section>Few</div></div><div class=story><p>" + "another template " * 50 + "</p></div></body></html>"
+    rows.append((10, "http://a/10", near))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["page_id"]: r["text"] for r in html.extracted(pages).collect()}
+    assert all(texts[i] == "Heading The lead " + " ".join(["section words " * 140]).strip() for i in range(6))
+    assert all(texts[i].startswith("Before it item") and texts[i].endswith("list After it") for i in range(6, 9))
+    assert texts[9] == texts[10] == ("another template " * 50).strip()
