@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, embedding_itq, html_consensus, licences, mixing, quality, simhash, syncmers, toxicity, warc
+from tapeworks.llm import bpe, centroids, embedding_itq, html_consensus, licences, mixing, quality, simhash, syncmers, toxicity, warc
 from tapeworks.llm.columns import table
 from tapeworks.session import workspace
 
@@ -76,6 +76,10 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.found(docs, licences.train(docs)).drop("text")
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -88,6 +92,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
         "op10_html": op10_html,
+        "op12_centroids": op12_centroids,
     }
 
 
@@ -127,6 +132,38 @@ select vec_id, (select count(*) from links where links.a = vec_id) as n_links, c
 from least"""
 
 
+def _op12(rounds: int = 10) -> str:
+    """Every round spelt out: vectors go to their nearest centroid, centroids to the floors of the means."""
+    steps = ["""
+with v as materialized (
+  select row_number() over () as nth, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as x
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c0 as materialized (
+  select row_number() over (order by sha256('3:' || vec_id), x) - 1 as c, x from v
+  qualify row_number() over (order by sha256('3:' || vec_id), x) <= 8
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as materialized (
+  select nth, vec_id, c, v.x,
+         list_sum(list_transform(list_zip(v.x, k.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as d
+  from v cross join c{r} k qualify row_number() over (partition by nth order by d, c) = 1
+)""")
+        if r < rounds:
+            steps.append(f"""s{r} as materialized (
+  select c, i, sum(e) as s, count(*) as n
+  from (select c, unnest(x) as e, unnest(range(1, 65)) as i from a{r}) group by c, i
+), c{r + 1} as materialized (
+  select k.c, coalesce(m.x, k.x) as x from c{r} k left join (
+    select c, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as x from s{r} group by c) m on k.c = m.c
+)""")
+    return ", ".join(steps) + f"""
+select vec_id, cast(a.c as int) as cluster, cast(d as bigint) as distance,
+       cast(sum(d) over (partition by a.c) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+       sha256(array_to_string(k.x, ',')) as centroid_sha256
+from a{rounds} a join c{rounds} k on a.c = k.c"""
+
+
 def llm_oracles() -> dict[str, str]:
     """The others are beyond SQL: trained models, seeded hashes, tokenizers, parsers."""
-    return {"op3_warc": _OP3, "op5_embeddings": _OP5}
+    return {"op3_warc": _OP3, "op5_embeddings": _OP5, "op12_centroids": _op12()}
