@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.llm import bpe, centroids, embedding_itq, html_consensus, licences, mixing, quality, simhash, syncmers, toxicity, warc
-from tapeworks.llm.columns import table
+from tapeworks.llm import (
+    bpe, centroids, embedding_itq, html_consensus, licences, mixing, periodic_runs, quality, simhash, syncmers, toxicity,
+    warc,
+)
+from tapeworks.llm.columns import WORDS, table
 from tapeworks.session import workspace
 
 # Where the public vocabularies lie on this machine; the driver reads the file and broadcasts it.
@@ -80,6 +83,37 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32 of the id divides by ten, the words from some place on repeat with some period."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        start = g % n
+        period = 1 + F.floor((n - start) / (3 + g % 8))
+        place = F.transform(F.sequence(F.lit(0).cast("long"), n - F.lit(1).cast("long")),
+                            lambda i: F.when(i < start, i).otherwise(start + (i - start) % period).cast("int"))
+        return F.concat_ws(" ", F.transform(place, lambda i: F.get(words, i)))
+
+    # Bound as an element of an array, the words are found once.
+    words = F.array(F.regexp_extract_all("text", F.lit(WORDS), F.lit(0)))
+    edited = F.get(F.transform(words, lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.lit(""))), 0)
+    return docs.select("doc_id", F.when(h % 10 == 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.with_runs(with_planted_runs(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period)))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    longest = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                           F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                           F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    start, length, period = -F.col("best.col2"), F.col("best.length"), -F.col("best.col3")
+    return longest.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"),
+                          F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -93,6 +127,7 @@ def llm_queries() -> dict[str, Query]:
         "op9_toxicity": op9_toxicity,
         "op10_html": op10_html,
         "op12_centroids": op12_centroids,
+        "op13_runs": op13_runs,
     }
 
 
