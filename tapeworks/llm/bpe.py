@@ -11,30 +11,43 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Sequence
-from functools import lru_cache
+from collections.abc import Iterable, Sequence
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeworks.llm.columns import Compute, add_columns
 
-# Results kept by a task, of chunks between white space and of fragments; full stores start anew.
-KEPT_CHUNKS = 300_000
-KEPT_FRAGMENTS = 150_000
+# Bytes of results that a task keeps, of chunks between white space and of fragments, and what an entry takes beside
+# its key and value.
+KEPT_CHUNKS = 72 << 20
+KEPT_FRAGMENTS = 28 << 20
+ENTRY_BYTES = 200
 # Symbols of a fragment that is merged together with others.
 SHORT = 24
 
-# White space of str.split that is none to the tokenizer's pattern.
-_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
-
 # Blocks in which the tokenizers library lowers letters that are newer than Python's tables.
 _NEWER_LETTERS = re.compile("[\u1c89\ua7c0-\ua7ff\U00010d50-\U00010d65\U00016ea0-\U00016eb8]")
 
 
+# Marks behind a word that cut it off for certain; no pattern of a vocabulary joins them to letters.
+_ENDINGS = frozenset(",.;:!?")
+
+
+def _is_latin1(text: str) -> bool:
+    """Whether all characters are below U+0100, where every text is composed."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte: itself, or the next one from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -74,10 +87,10 @@ class Vocabulary:
 
 
 class Merger:
-    """Merges many fragments at once: fragments of one length are the rows of a matrix of ids.
+    """Merges many fragments at once: their symbols stand one behind the other, linked to their neighbours.
 
-    Every round merges one pair in each row that still has one, that of the lowest rank, leftmost first; so all
-    rows that go on keep one length. Ranks are looked up anew only beside the merge.
+    Every round merges one pair in each fragment that still has one, that of the lowest rank, leftmost first. Ranks
+    are looked up anew only beside the merge.
     """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
@@ -100,46 +113,51 @@ class Merger:
 
     def merge(self, fragments: Sequence[bytes]) -> list[bytes]:
         """The ids of each fragment as 32-bit numbers; a fragment that ends a word has a space behind it."""
-        found: list[bytes] = [b""] * len(fragments)
-        by_kind: dict[tuple[int, bool], list[int]] = {}
-        for i, fragment in enumerate(fragments):
-            if len(fragment) > SHORT:
-                found[i] = self._merge_long(fragment)
-            else:
-                by_kind.setdefault((len(fragment), fragment.endswith(b" ")), []).append(i)
-        for (width, ends_word), rows in by_kind.items():
-            symbols = np.frombuffer(b"".join([fragments[i] for i in rows]), dtype=np.uint8).astype(np.int64)
-            symbols = symbols.reshape(len(rows), width)[:, : width - ends_word]
-            symbols[:, -1] += 256 * ends_word
-            self._merge_equal(self.first[symbols], np.array(rows), found)
-        return found
-
-    def _merge_equal(self, ids: np.ndarray, rows: np.ndarray, found: list[bytes]) -> None:
-        ranks = self.ranks_of(ids[:, :-1], ids[:, 1:])
-        while True:
-            width = ids.shape[1]
-            if width > 1:
-                at = ranks.argmin(axis=1)
-                best = np.take_along_axis(ranks, at[:, None], axis=1)[:, 0]
-                on = best < self.never
-            else:
-                on = np.zeros(len(rows), dtype=bool)
-            for i, row in zip(rows[~on].tolist(), ids[~on].astype(np.int32)):
-                found[i] = row[row >= 0].tobytes()
-            if not on.any():
-                return
-            ids, ranks, rows, at, best = ids[on], ranks[on], rows[on], at[on][:, None], best[on]
-            np.put_along_axis(ids, at, self.into[best][:, None], axis=1)
-            columns = np.arange(width - 1)[None, :]
-            ids = np.take_along_axis(ids, columns + (columns > at), axis=1)
-            ranks = np.take_along_axis(ranks, columns[:, :-1] + (columns[:, :-1] >= at), axis=1)
-            for beside in (at - 1, at):
-                inside = (beside[:, 0] >= 0) & (beside[:, 0] < width - 2)
-                pos = beside[inside]
-                pair = [np.take_along_axis(ids[inside], pos + k, axis=1) for k in (0, 1)]
-                new = ranks[inside]
-                np.put_along_axis(new, pos, self.ranks_of(*pair), axis=1)
-                ranks[inside] = new
+        short = [f for f in fragments if len(f) <= SHORT]
+        found = iter(self._merge_short(short))
+        return [next(found) if len(f) <= SHORT else self._merge_long(f) for f in fragments]
+
+    def _merge_short(self, fragments: Sequence[bytes]) -> list[bytes]:
+        byte = np.frombuffer(b"".join(fragments) + b"\0", dtype=np.uint8)
+        symbol = byte[:-1] != 0x20
+        ids = self.first[byte[:-1].astype(np.int64) + 256 * (byte[1:] == 0x20)][symbol]
+        ends = np.cumsum([len(f) for f in fragments], dtype=np.int64)
+        sizes = np.diff(np.cumsum(symbol)[ends - 1], prepend=0)
+        owner = np.repeat(np.arange(len(fragments)), sizes)
+        # One more place, which is nobody's, stands for no neighbour.
+        none = len(ids)
+        ids, owner = np.append(ids, -1), np.append(owner, -1)
+        after, before = np.arange(1, none + 2), np.arange(-1, none)
+        after[-1] = before[0] = none
+        ranks = np.full(none + 1, self.never)
+        beside = np.flatnonzero(owner[:-1] == owner[1:])
+        ranks[beside] = self.ranks_of(ids[beside], ids[beside + 1])
+        alive = np.ones(none + 1, dtype=bool)
+        places = np.flatnonzero(np.isin(owner, owner[ranks < self.never])) if none else np.zeros(0, dtype=np.int64)
+        while len(places):
+            held, own = ranks[places], owner[places]
+            starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            lengths = np.diff(np.append(starts, len(places)))
+            best = np.minimum.reduceat(held, starts)
+            least = np.flatnonzero((held == np.repeat(best, lengths)) & (held < self.never))
+            at = places[least[np.append(True, np.diff(own[least]) != 0)[: len(least)]]]
+            going = np.repeat(best < self.never, lengths)
+            into, gone = self.into[ranks[at]], after[at]
+            ids[at], alive[gone], ranks[gone] = into, False, self.never
+            behind = after[gone]
+            after[at] = behind
+            inside = owner[behind] == owner[at]
+            before[behind[inside]] = at[inside]
+            ranks[at] = np.where(inside, self.ranks_of(into, ids[behind]), self.never)
+            ahead = before[at]
+            inside = owner[ahead] == owner[at]
+            ahead, into = ahead[inside], into[inside]
+            ranks[ahead] = self.ranks_of(ids[ahead], into)
+            places = places[going & alive[places]]
+        kept = (alive & (ids >= 0))[:none]
+        flat = ids[:none][kept].astype(np.int32).tobytes()
+        bounds = np.append(0, 4 * np.cumsum(np.bincount(owner[:none][kept], minlength=len(fragments)))).tolist()
+        return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _merge_long(self, fragment: bytes) -> bytes:
         """The same merges from a queue, whose cost hardly grows faster than the fragment."""
@@ -165,6 +183,33 @@ class Merger:
         return np.array([ids[p] for p in parts if p is not None and p in ids], dtype=np.int32).tobytes()
 
 
+class Kept:
+    """Results by key within a bound of bytes. When half of it is full, what has not been asked for since the last
+    time goes."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.held = most, 0
+        self.recent: dict = {}
+        self.earlier: dict = {}
+
+    def missing(self, keys: Iterable) -> list:
+        """The keys that are not known; known ones count as asked for, and are in ``recent`` afterwards."""
+        recent, earlier = self.recent, self.earlier
+        other = [key for key in keys if key not in recent]
+        again = [key for key in other if key in earlier]
+        self.add(again, [earlier[key] for key in again])
+        return [key for key in other if key not in recent] if again else other
+
+    def add(self, keys: Sequence, values: Sequence) -> None:
+        self.recent.update(zip(keys, values))
+        self.held += ENTRY_BYTES * len(keys) + sum(map(len, keys)) + sum(map(len, values))
+
+    def settle(self) -> None:
+        """To be called when nothing in ``recent`` is needed at once."""
+        if self.held > self.most // 2:
+            self.earlier, self.recent, self.held = (self.recent, {}, 0) if self.held <= self.most else ({}, {}, 0)
+
+
 class Encoder:
     """Ids of texts; keeps what it has worked out, within bounds."""
 
@@ -179,9 +224,10 @@ class Encoder:
         self.newer_lower = normalizers.Lowercase().normalize_str
         self.not_space = regex.compile(r"\S+").findall
         self.marks = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))))
+        self.newer_composed = normalizers.NFC().normalize_str
+        self.combining = regex.compile(r"\p{M}").search
         # By chunk between white space, and by fragment.
-        self.chunks: dict[str, bytes] = {}
-        self.fragments: dict[bytes, bytes] = {}
+        self.chunks, self.fragments = Kept(KEPT_CHUNKS), Kept(KEPT_FRAGMENTS)
 
     def cuts(self, words: bytes) -> np.ndarray:
         """Where fragments end: at pairs of bytes that no token holds. Every word has a space behind it."""
@@ -197,55 +243,92 @@ class Encoder:
             return [word for word, _ in self.newer_words(chunk)]
         return self.find_words(chunk)
 
-    def learn(self, chunks: set[str]) -> None:
-        """Works out the ids of all chunks that are not known yet."""
-        if len(self.chunks) > KEPT_CHUNKS:
-            self.chunks.clear()
-        if len(self.fragments) > KEPT_FRAGMENTS:
-            self.fragments.clear()
-        new = [chunk for chunk in chunks if chunk not in self.chunks]
-        if not new:
-            return
+    def learn(self, chunks: Iterable[str]) -> None:
+        """Works out the ids of all chunks that are not known yet.
+
+        Letters with one mark behind them are known if both are.
+        """
+        missing = self.chunks.missing(chunks)
+        ending = [chunk for chunk in missing if chunk[-1] in _ENDINGS and chunk[:-1].isalpha()]
+        if ending:
+            parts = {chunk[:-1] for chunk in ending} | {chunk[-1] for chunk in ending}
+            split = set(ending)
+            whole = [chunk for chunk in missing if chunk not in split and chunk not in parts]
+            self._work_out([*whole, *self.chunks.missing(parts)])
+            known = self.chunks.recent
+            self.chunks.add(ending, [known[chunk[:-1]] + known[chunk[-1]] for chunk in ending])
+        elif missing:
+            self._work_out(missing)
+
+    def _work_out(self, new: list[str]) -> None:
         words = [(chunk if chunk.isalpha() else " ".join(self.words(chunk))).encode() for chunk in new]
         joined = b" ".join(words) + b" "
         ends = self.cuts(joined)
         bounds = [0, *ends.tolist()]
         fragments = [joined[a:b] for a, b in zip(bounds, bounds[1:])]
-        unknown = list({f for f in fragments if f not in self.fragments})
-        self.fragments.update(zip(unknown, self.merger.merge(unknown)))
-        ids = list(map(self.fragments.__getitem__, fragments))
+        unknown = self.fragments.missing(set(fragments))
+        self.fragments.add(unknown, self.merger.merge(unknown))
+        ids = list(map(self.fragments.recent.__getitem__, fragments))
+        self.fragments.settle()
         last = np.searchsorted(ends, np.cumsum([len(w) + 1 for w in words])) + 1
         first = [0, *last.tolist()]
-        self.chunks.update((chunk, ids[a] if b - a == 1 else b"".join(ids[a:b]))
-                           for chunk, a, b in zip(new, first, first[1:]))
-
-    def chunked(self, text: str) -> list[str]:
-        """What the normaliser leaves of the text, cut at white space."""
-        if not text.isascii():
+        self.chunks.add(new, [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(first, first[1:])])
+
+    def normal(self, text: str) -> str:
+        """What the normaliser leaves of the text, with no other white space than that of ASCII."""
+        if text.isascii() or _is_latin1(text) and "\x85" not in text and "\xa0" not in text:
+            text = text.lower()
+        else:
+            # Marks that the library's older tables lack neither compose nor change places there.
+            compose = self.newer_composed if self.combining(text) else partial(unicodedata.normalize, "NFC")
             # A capital sigma is lowered alone, without a look at where in the word it stands.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = self.newer_lower(text) if _NEWER_LETTERS.search(text) else text.lower()
-        return self.not_space(text) if any(c in text for c in _SEPARATORS) else text.split()
-
-    def pieces(self, text: str) -> list[list[str] | bytes]:
-        """Lists of chunks, and between them the ids of special tokens that stand in the text."""
-        if "<" not in text or not self.marks.search(text):
-            return [self.chunked(text)]
+            text = compose(text).replace("Σ", "σ")
+            text = self.newer_lower(text) if _NEWER_LETTERS.search(text) else text.lower()
+            return " ".join(self.not_space(text))
+        return text
+
+    def pieces(self, text: str) -> list[str | int]:
+        """The text between special tokens, and the ids of those."""
         found, at = [], 0
         for mark in self.marks.finditer(text):
-            found += [self.chunked(text[at : mark.start()]), np.int32(self.v.special[mark[0]]).tobytes()]
+            found += [text[at : mark.start()], self.v.special[mark[0]]]
             at = mark.end()
-        return [*found, self.chunked(text[at:])]
+        return [*found, text[at:]]
+
+    def encode_flat(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids end, and the ids of all texts in one array."""
+        marked = [i for i, t in enumerate(texts) if "<" in t and self.marks.search(t)]
+        if not marked:
+            return self._encode_unmarked(texts)
+        cut = [self.pieces(t) if i in set(marked) else [t] for i, t in enumerate(texts)]
+        ends, ids = self._encode_unmarked([p for pieces in cut for p in pieces if isinstance(p, str)])
+        starts, found, sizes = iter(zip(np.append(0, ends), ends)), [], []
+        for pieces in cut:
+            own = [np.array([p], dtype=np.int32) if isinstance(p, int) else ids[slice(*next(starts))] for p in pieces]
+            found += own
+            sizes.append(sum(map(len, own)))
+        return np.cumsum(sizes), np.concatenate(found)
+
+    def _encode_unmarked(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.ascii_split_whitespace(pa.array([self.normal(t) for t in texts], pa.large_string()))
+        chunks = split.flatten().dictionary_encode()
+        different = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(c for c in different if c)
+        known = self.chunks.recent
+        values = [known[c] if c else b"" for c in different]
+        self.chunks.settle()
+        held = np.frombuffer(b"".join(values), dtype=np.int32)
+        sizes = np.array([len(v) >> 2 for v in values], dtype=np.int64)
+        starts, at = np.cumsum(sizes) - sizes, np.asarray(chunks.indices)
+        sizes = sizes[at]
+        ends = np.cumsum(sizes)
+        ids = held[np.repeat(starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        return np.append(0, ends)[np.asarray(split.offsets)[1:]], ids
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as 32-bit numbers."""
-        cut = [self.pieces(text) for text in texts]
-        self.learn({chunk for pieces in cut for piece in pieces if isinstance(piece, list) for chunk in piece})
-        known = self.chunks.__getitem__
-        return [
-            b"".join([piece if isinstance(piece, bytes) else b"".join(map(known, piece)) for piece in pieces])
-            for pieces in cut
-        ]
+        ends, ids = self.encode_flat(texts)
+        return [ids[a:b].tobytes() for a, b in zip(np.append(0, ends), ends)]
 
 
 @lru_cache(maxsize=2)
@@ -269,9 +352,8 @@ def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: str =
         encoder = encoder_of(shared.value)
 
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            found = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
-            ends = np.cumsum([0, *(len(f) // 4 for f in found)], dtype=np.int32)
-            return [pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(found), np.int32))]
+            ends, found = encoder.encode_flat([t or "" for t in batch.column(text).to_pylist()])
+            return [pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), found)]
 
         return compute
 

@@ -67,13 +67,46 @@ def test_long_and_short_fragments_merge_alike(encoder):
         assert encoder.merger.merge([fragment]) == [encoder.merger._merge_long(fragment)]
 
 
-def test_full_stores_start_anew(library, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 3)
-    monkeypatch.setattr(bpe, "KEPT_FRAGMENTS", 3)
+def test_every_mark_between_two_others(library, encoder):
+    """Composing goes by the library's tables, whatever Python's know of a mark."""
+    import regex
+
+    marks = regex.findall(r"\p{M}", "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000))
+    assert len(marks) > 2000
+    for pattern in ("a{}\u0320", "a\u0301{}\u0320 e", "{}"):
+        texts = [pattern.format(m) for m in marks]
+        wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, np.int32).tolist() for x in encoder.encode(texts)] == wanted
+
+
+def test_words_with_a_mark_behind_them(library, encoder):
+    for text in ("end. end, end; end: end! end?", "x. ?. .? !! a.b. é. ß? I. 9.", "n't. it's. \u1c89.", "." * 30 + " a.."):
+        assert ids(encoder, text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_full_stores_forget_what_is_not_asked_for(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 30_000)
+    monkeypatch.setattr(bpe, "KEPT_FRAGMENTS", 20_000)
     with open(WORD_BPE, encoding="utf-8") as file:
         small = bpe.Encoder(bpe.Vocabulary(file.read()))
-    for text in ("one two three four five", "six seven eight nine", "one six two seven"):
+    for i in range(40):
+        text = f"the same words, and others: x{i} " + " ".join(f"{chr(97 + i % 26)}q{j}" for j in range(i))
         assert ids(small, text) == library.encode(text, add_special_tokens=False).ids
+        assert small.chunks.held <= 30_000 and small.fragments.held <= 20_000
+    assert not small.chunks.missing(["same"])
+
+
+def test_long_words_do_not_pile_up(library):
+    with open(WORD_BPE, encoding="utf-8") as file:
+        own = bpe.Encoder(bpe.Vocabulary(file.read()))
+    rng = random.Random(5)
+    for _ in range(12):
+        text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=1_500_000))
+        own.encode([text])
+        for kept, bound in ((own.chunks, bpe.KEPT_CHUNKS), (own.fragments, bpe.KEPT_FRAGMENTS)):
+            for side in (kept.recent, kept.earlier):
+                assert sum(len(k) + len(v) for k, v in side.items()) <= bound
+    assert ids(own, text) == library.encode(text, add_special_tokens=False).ids
 
 
 def test_round_trip(spark, library):
