@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks.llm import (
-    bpe, centroids, embedding_itq, html_consensus, licences, mixing, periodic_runs, quality, simhash, syncmers, toxicity,
-    warc,
+    bpe, centroids, embedding_itq, html_consensus, licences, mixing, packing, periodic_runs, quality, simhash, syncmers,
+    toxicity, warc,
 )
 from tapeworks.llm.columns import WORDS, table
 from tapeworks.session import workspace
 
-# Where the public vocabularies lie on this machine; the driver reads the file and broadcasts it.
-WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
+# A public vocabulary; the driver reads the file and broadcasts it.
+WORD_BPE = str(public_tokenizers.path("word_bpe_49k.json"))
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +80,11 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.found(docs, licences.train(docs)).drop("text")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), WORD_BPE)
+    return packing.packed(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings"))
 
@@ -126,6 +132,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
         "op10_html": op10_html,
+        "op11_packing": op11_packing,
         "op12_centroids": op12_centroids,
         "op13_runs": op13_runs,
     }

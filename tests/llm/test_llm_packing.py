@@ -1,0 +1,122 @@
+"""Packing: every token once, without gaps, in about as few sequences as sequential best-fit needs."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tapeworks.llm import packing
+from tapeworks.llm.queries import WORD_BPE, op11_packing
+
+
+def plain_best_fit(sizes, capacity):
+    left = []
+    for size in sorted(sizes, reverse=True):
+        holding = [i for i, gap in enumerate(left) if gap >= size]
+        if holding:
+            i = min(holding, key=lambda i: left[i])
+        else:
+            i = len(left)
+            left.append(capacity)
+        left[i] -= size
+    return len(left)
+
+
+def check_sequences(rows, capacity):
+    """rows of (sequence, offset, size): all in, one behind the other, none beyond the capacity."""
+    by_sequence = defaultdict(list)
+    for sequence, offset, size in rows:
+        by_sequence[sequence].append((offset, size))
+    for held in by_sequence.values():
+        at = 0
+        for offset, size in sorted(held):
+            assert offset == at
+            at += size
+        assert at <= capacity
+    return len(by_sequence)
+
+
+SIZES = {
+    "any": lambda r: r.randint(1, 100), "tiny": lambda r: r.randint(1, 4), "equal": lambda r: 3,
+    "halves": lambda r: 51, "thirds": lambda r: r.randint(32, 36), "large": lambda r: r.randint(60, 100),
+    "skewed": lambda r: min(100, int(r.paretovariate(0.8))),
+}
+
+
+@pytest.mark.parametrize("kind", SIZES)
+@pytest.mark.parametrize("range_rows", [40, 100_000])
+def test_sequences_of_all_kinds_of_sizes(spark, kind, range_rows):
+    rng = random.Random(kind)
+    sizes = [SIZES[kind](rng) for _ in range(500)]
+    df = spark.createDataFrame([(i, s, "x") for i, s in enumerate(sizes)], "n long, length long, OFFSET string").repartition(3)
+    found = packing.packed(df, capacity=100, range_rows=range_rows)
+    assert found.columns == ["n", "length", "sequence_id", "offset"]
+    rows = found.collect()
+    assert sorted((r.n, r.length) for r in rows) == list(enumerate(sizes))
+    n = check_sequences([(r.sequence_id, r.offset, r.length) for r in rows], 100)
+    assert -(-sum(sizes) // 100) <= n <= plain_best_fit(sizes, 100) * (1 if range_rows > 1000 else 1.05) + 1
+
+
+def test_a_sweep_is_best_fit():
+    rng = random.Random(3)
+    for _ in range(50):
+        sizes = sorted((rng.randint(1, 50) for _ in range(rng.randint(0, 60))), reverse=True)
+        places, left = packing.best_fit(sizes, [], 50)
+        assert len(left) == plain_best_fit(sizes, 50) and min(places, default=0) >= 0
+        gaps = [rng.randint(1, 50) for _ in range(20)]
+        places, left = packing.best_fit(sizes, gaps)
+        assert all(p >= 0 or size > max((g for g in left), default=0) for p, size in zip(places, sizes))
+        assert [g - sum(s for s, p in zip(sizes, places) if p == i) for i, g in enumerate(gaps)] == left
+
+
+def test_ranges_match_by_rank():
+    blocks = packing.matched_ranges({(0, 0): (10, 1, 2), (1, 0): (3, 5, 6), (2, 1): (4, 12, 20), (3, 1): (9, 30, 40)}, 100)
+    met = [(b.piece_cell, b.first_piece, b.n_pieces, b.gap_cell, b.first_gap, b.n_gaps) for b in blocks]
+    assert met == [(1, 0, 3, 2, 0, 2), (0, 0, 10, 2, 2, 2)]
+    many = packing.matched_ranges({(0, 0): (1000, 1, 1), (5, 1): (1000, 1, 1)}, 100)
+    assert [(b.parts, b.n_pieces, b.n_gaps) for b in many] == [(20, 1000, 1000)]
+    assert packing.matched_ranges({(0, 1): (5, 9, 9), (1, 0): (5, 10, 10)}, 100) == []
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (2, 0), (3, -4), (4, 101), (5, 100), (6, 1), (6, 1), (None, 99)]
+    df = spark.createDataFrame(rows, "a long, length int")
+    found = packing.packed(df, capacity=100).collect()
+    assert sorted((r.a or 0) for r in found if r.sequence_id is None) == [1, 2, 3, 4]
+    assert check_sequences([(r.sequence_id, r.offset, r.length) for r in found if r.sequence_id is not None], 100) == 3
+    assert packing.packed(df.limit(0)).count() == 0
+    assert packing.packed(df.filter("length = 100"), capacity=100).count() == 1
+    assert packing.packed(df.filter("length = 0"), capacity=100).first().offset is None
+
+
+def expected_pieces(rows):
+    library = Tokenizer.from_file(WORD_BPE)
+    for key, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [1]
+        for k in range(0, len(ids), 4096):
+            cut = np.array(ids[k : k + 4096], dtype="<u4")
+            yield key, k // 4096, k, len(cut), zlib.crc32(cut.tobytes())
+
+
+def test_query(spark, tmp_path):
+    rng = random.Random(1)
+    words = ["the", "of", "packing", "sequence", "zyxq", "é", "12"]
+    rows = [(i, " ".join(rng.choices(words, k=int(rng.paretovariate(0.5)) % 9000))) for i in range(150)]
+    rows += [(1, None), (None, ""), (None, "a " * 4095), (7, "a " * 4096), (8, "a " * 8191)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = op11_packing(spark, str(tmp_path))
+    assert [t for _, t in found.dtypes] == ["bigint", "int", "bigint", "bigint", "bigint", "bigint", "bigint"]
+    found = found.collect()
+    own = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found]
+    assert sorted(own, key=str) == sorted(expected_pieces(rows), key=str)
+    n = check_sequences([(r.sequence_id, r.offset, r.length) for r in found], 4096)
+    assert n <= plain_best_fit([r.length for r in found], 4096)
+
+
+def test_query_on_the_table(spark, sf_dir):
+    found = op11_packing(spark, sf_dir).agg(F.sum("length"), F.countDistinct("sequence_id")).first()
+    assert found[1] == -(-found[0] // 4096)
