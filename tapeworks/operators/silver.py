@@ -74,13 +74,13 @@ def content() -> Column:
     return F.xxhash64(*CONTENT)
 
 
-def against_known(batch: DataFrame, keys: DataFrame, key: str = "trade_id") -> DataFrame:
+def against_known(batch: DataFrame, known: DataFrame, key: str = "trade_id") -> DataFrame:
     """batch with ``known``, the content that Silver holds under the same key, or NULL.
 
-    ``keys`` has one row per key of Silver. Where it is bucketed by the key, only the batch is shuffled. Silver is not
-    cut down to the batch's dates: a trade sent again on a later day must be found too.
+    ``known`` has one row for each key of the batch that Silver holds. Silver is not cut down to the batch's dates: a
+    trade sent again on a later day must be found too.
     """
-    return batch.join(keys.select(key, F.col("content").alias("known")), key, "left")
+    return batch.join(known.select(key, F.col("content").alias("known")), key, "left")
 
 
 def _missing(field: str, kind: str) -> Column:

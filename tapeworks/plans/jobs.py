@@ -14,13 +14,13 @@ from tapeworks.operators.gold import daily_trade_metrics, trade_date
 from tapeworks.operators.quality import check, counted, not_null, raise_on_failure
 from tapeworks.operators.silver import accepted, against_known, content, flagged, keep_newest, rejected, rejects
 from tapeworks.schemas import SILVER
+from tapeworks.session import shared_root
 from tapeworks.sinks.files import clustered_by_day, scratch, staged
-from tapeworks.sinks.tables import append_table, bucketed_table, replace_partitions, replace_table
+from tapeworks.sinks.keys import KeyIndex
+from tapeworks.sinks.tables import append_table, clear_partition, location, replace_partitions, replace_table
 
 # The daily run takes in what has arrived by then.
 CUT_OFF = time(17, 0)
-# Buckets of the table of Silver's keys; an increment is shuffled into as many.
-KEY_BUCKETS = 64
 
 
 def cut_off(day: date) -> datetime:
@@ -79,7 +79,7 @@ def not_taken_yet(bronze: DataFrame, progress: Progress | None, as_of: datetime
     That is what was ingested after the last run's time, and what stands at a higher offset than that run has seen:
     records stamped before its time but committed after it. Records of a topic partition become visible in the
     order of their offsets, so there is nothing else. Both are literals, which files without such records are
-    skipped by.
+    skipped by. A record that has no place in a topic is looked at by every run; Silver takes its trade once.
     """
     if progress is None:
         return arrived(bronze, None, as_of)
@@ -89,7 +89,7 @@ def not_taken_yet(bronze: DataFrame, progress: Progress | None, as_of: datetime
         here = (F.col("kafka_topic") == topic) & (F.col("kafka_partition") == partition)
         new = new | (here & (F.col("kafka_offset") > offset))
         known = known | here
-    return arrived(bronze, None, as_of).filter(new | ~known)
+    return arrived(bronze, None, as_of).filter(F.coalesce(new, F.lit(False)) | ~F.coalesce(known, F.lit(False)))
 
 
 def _reached(records: DataFrame, before: Progress | None, as_of: datetime | None) -> Progress | None:
@@ -112,16 +112,17 @@ def _store_progress(spark: SparkSession, silver: str, progress: Progress | None,
     replace_table(stored.withColumn("as_of", F.col("as_of").cast("timestamp")), f"{silver}_progress", root)
 
 
-def silver_keys(spark: SparkSession, silver: str, root: str | None) -> DataFrame:
-    """Silver's keys with a hash of what each trade says, bucketed by the key.
+def silver_keys(spark: SparkSession, silver: str, root: str | None) -> KeyIndex:
+    """The index of Silver's keys with a hash of what each trade says.
 
-    They are made anew from Silver where their number differs from its rows: at first, after a full build, or after a
-    run that failed between the two tables.
+    It is made anew from Silver where it is not that of the table as it is: at first, after a full build, or after a run
+    that failed between the two.
     """
-    name = f"{silver}_keys"
-    if not spark.catalog.tableExists(name) or spark.table(name).count() != spark.table(silver).count():
-        bucketed_table(spark.table(silver).select("trade_id", content().alias("content")), name, root, "trade_id", KEY_BUCKETS)
-    return spark.table(name)
+    home = f"{root or shared_root(spark) + '/tapeworks'}/{silver.split('.')[-1]}_keys"
+    index, of = KeyIndex(spark, home, "trade_id"), location(spark, silver)
+    if not index.is_of(of):
+        index.build(spark.table(silver).select("trade_id", content().alias("content")), of)
+    return index
 
 
 # --- Silver ------------------------------------------------------------------------------------------------
@@ -156,11 +157,14 @@ def _silver_run(
             anew = clustered_by_day(newest.select(SILVER.fieldNames()), trade_date())
             replace_table(counted(anew, rows), silver, root)
         else:
-            compared = staged(against_known(newest, silver_keys(spark, silver, root)), f"{folder}/compared")
+            index = silver_keys(spark, silver, root)
+            newest = staged(newest, f"{folder}/newest")
+            known = staged(index.known(newest.select("trade_id")), f"{folder}/known")
+            compared = against_known(newest, known)
             new = compared.filter(F.col("known").isNull()).select(SILVER.fieldNames())
+            index.begin()
             append_table(counted(new, rows), silver, root)
-            bucketed_table(
-                new.select("trade_id", content().alias("content")), f"{silver}_keys", root, "trade_id", KEY_BUCKETS, "append")
+            index.add(new.select("trade_id", content().alias("content")), rows.get["rows"])
             changed = compared.filter(F.col("known") != content())
             lost = lost.unionByName(changed.select(
                 *[c for c in lost.columns if c != "reasons"], F.array(F.lit("changed_trade")).alias("reasons")))
@@ -196,9 +200,12 @@ def keep_rejects(
     The reasons are stored as one comma-separated text.
     """
     period = "..".join(_utc(m).strftime("%Y%m%dT%H%M%S%f") if m else "" for m in (since, as_of))
+    spark, rows = lost.sparkSession, Observation()
     labelled = lost.withColumn("reasons", F.array_join("reasons", ",")).withColumn("period", F.lit(period))
-    if lost.sparkSession.catalog.tableExists(name):
-        replace_partitions(labelled, name, root, ["period"])
+    if spark.catalog.tableExists(name):
+        replace_partitions(counted(labelled, rows), name, root, ["period"])
+        if not rows.get["rows"]:
+            clear_partition(spark, name, root, "period", period)
     else:
         replace_table(labelled, name, root, by=["period"])
 

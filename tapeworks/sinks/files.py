@@ -136,6 +136,44 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
         fs.delete(path, True)
 
 
+def write_note(spark: SparkSession, root: str, text: str) -> None:
+    """Puts a small text in the place of the one that is there; readers see the old or the new one, whole."""
+    folder, fs = _filesystem(spark, root)
+    number = max(_notes(fs, folder), default=0) + 1
+    aside, place = (spark._jvm.org.apache.hadoop.fs.Path(folder, n) for n in (f"_{number}", str(number)))
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(aside, place)
+    for old in _notes(fs, folder):
+        if old < number:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, str(old)), False)
+
+
+def read_note(spark: SparkSession, root: str) -> str | None:
+    """The text that was last put there."""
+    folder, fs = _filesystem(spark, root)
+    numbers = _notes(fs, folder)
+    if not numbers:
+        return None
+    stream = fs.open(spark._jvm.org.apache.hadoop.fs.Path(folder, str(max(numbers))))
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def _notes(fs, folder) -> list[int]:
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return [int(n) for n in names if n.isdigit()]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the library's own; nothing happens if there is none."""
+    folder, fs = _filesystem(spark, path)
+    fs.delete(folder, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A folder of the shared space for one job; deleted when the job is done or has failed."""

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeworks.sinks.files import prune_versions, version_path, versions
+from tapeworks.sinks.files import delete, prune_versions, version_path, versions
 
 
 def in_own_catalog(spark: SparkSession, name: str) -> bool:
@@ -97,20 +97,20 @@ def replace_partitions(df: DataFrame, name: str, root: str | None, by: Sequence[
     spark.catalog.refreshTable(name)
 
 
-def bucketed_table(df: DataFrame, name: str, root: str | None, key: str, buckets: int, mode: str = "overwrite") -> None:
-    """Write or append a table whose rows lie in buckets by the key: joins on it need not shuffle the table.
+def clear_partition(spark: SparkSession, name: str, root: str | None, by: str, value: str) -> None:
+    """Remove the rows that have one value of a partition column; a replacement without rows would leave them."""
+    if in_own_catalog(spark, name):
+        spark.sql(f"DELETE FROM {name} WHERE {by} = '{value}'")
+        return
+    home = f"{root}/{name.split('.')[-1]}"
+    delete(spark, f"{version_path(home, max(versions(spark, home)))}/{by}={value}")
+    spark.catalog.refreshTable(name)
 
-    The rows are brought together by bucket first, so that each write adds one file to a bucket.
-    """
-    spark = df.sparkSession
-    if not in_own_catalog(spark, name):
-        writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).mode(mode)
-        writer.option("path", f"{root}/{name.split('.')[-1]}").saveAsTable(name)
-    elif mode == "append":
-        df.writeTo(name).append()
-    else:
-        _ensure_namespace(spark, name)
-        df.writeTo(name).partitionedBy(F.bucket(buckets, key)).createOrReplace()
+
+def location(spark: SparkSession, name: str) -> str:
+    """Where a table's content lies. A replaced Parquet table of the session catalog lies elsewhere than before."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else name
 
 
 def build_model(
