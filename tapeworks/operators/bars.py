@@ -87,22 +87,58 @@ def high_low_volume(trades: DataFrame, width: str = "1 minute", ts: str = "trade
     ).select("symbol", F.col("bucket.start").alias("minute"), "high", "low", "volume", "trade_count")
 
 
+# What the trades of a bucket are, whatever their order: the sums of the two halves of a hash of each.
+CONTENT = ("content_high", "content_low")
+
+
+def _content(ts: str) -> list[Column]:
+    digest = F.xxhash64("trade_id", "price", "quantity", ts)
+    halves = F.shiftrightunsigned(digest, 32), digest.bitwiseAND(F.lit((1 << 32) - 1))
+    return [F.sum(half).alias(name) for half, name in zip(halves, CONTENT)]
+
+
+def contents(trades: DataFrame, width: str = "1 minute", ts: str = "trade_ts") -> DataFrame:
+    """(symbol, minute, trade_count, content): which trades make up each bucket, however often each came.
+
+    Sums of whole numbers, equal for equal trades in any order and any number of parts; a hash aggregate.
+    """
+    return _bucket(trades, ts, width).agg(F.count(F.lit(1)).alias("trade_count"), *_content(ts)).select(
+        "symbol", F.col("bucket.start").alias("minute"), "trade_count", *CONTENT)
+
+
+def traced_bars(trades: DataFrame, width: str = "1 minute", ts: str = "trade_ts") -> DataFrame:
+    """Finished bars with what :func:`repair_bars` knows their trades by."""
+    place = _edge("price", ts, "trade_id")
+    return _bucket(trades, ts, width).agg(
+        F.min(place).alias("first"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max(place).alias("last"), exact_sum(F.col("quantity")).alias("volume"),
+        F.count(F.lit(1)).alias("trade_count"), *_content(ts),
+    ).select("symbol", F.col("bucket.start").alias("minute"), F.col("first.value").alias("open"), "high", "low",
+             F.col("last.value").alias("close"), "volume", "trade_count", *CONTENT)
+
+
 def repair_bars(bars: DataFrame, trades: DataFrame, width: str = "1 minute", ts: str = "trade_ts") -> DataFrame:
     """Bars that agree with the trades: good ones are kept, missing or differing ones rebuilt.
 
-    Count, high, low and volume per bucket come from a cheap hash aggregate; open and close are worked out only for
-    buckets in which one of them differs from the stored bar. Bars of buckets without trades are dropped.
+    A bar is good if it was made of the very trades of its bucket, each as often as it is there. Bars that do not say
+    what they were made of (see :func:`traced_bars`) are all rebuilt. Bars of buckets without trades are dropped.
     """
-    keys, facts = ["symbol", "minute"], ["trade_count", "high", "low", "volume"]
-    truth = high_low_volume(trades, width, ts).select(
+    keys, facts = ["symbol", "minute"], ["trade_count", *CONTENT]
+    if not set(CONTENT) <= set(bars.columns):
+        return ohlcv(trades, width, ts)
+    truth = contents(trades, width, ts).select(
         *keys, *[F.col(c).alias(f"true_{c}") for c in facts], F.col("trade_count").alias("expected")
     )
     same = F.lit(True)
     for c in facts:
         same = same & F.col(c).eqNullSafe(F.col(f"true_{c}"))
-    compared = truth.join(bars.select(BAR_COLUMNS), keys, "left")
+    # A null symbol is one like any other.
+    stored = bars.select(F.col("symbol").alias("of"), F.col("minute").alias("at"), *BAR_COLUMNS[2:], *CONTENT)
+    compared = truth.join(stored, F.col("symbol").eqNullSafe(F.col("of")) & (F.col("minute") == F.col("at")), "left")
     good = compared.filter(same).select(BAR_COLUMNS)
     stale = compared.filter(~same).select(*keys, "expected")
     placed = trades.withColumn("minute", F.window(ts, width)["start"])
+    unnamed = placed.filter(F.col("symbol").isNull()).select(trades.columns)
     again = left_lookup(placed, stale, keys, "expected").filter(F.col("found").isNotNull()).select(trades.columns)
-    return good.unionByName(ohlcv(again, width, ts))
+    of_none = ohlcv(unnamed, width, ts).join(stale.filter(F.col("symbol").isNull()).select("minute"), "minute", "left_semi")
+    return good.unionByName(ohlcv(again, width, ts)).unionByName(of_none)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tapeworks.operators.bars import BAR_COLUMNS, merge_bars, partial_bars
+from tapeworks.operators.bars import BAR_COLUMNS, merge_bars, partial_bars, traced_bars
 from tapeworks.sinks.files import compact, month_batch_writer
 from tapeworks.streaming.runs import start_batches
 
@@ -41,6 +41,7 @@ def read_bars(spark: SparkSession, path: str, width: str = "1 minute", months: l
 def closed_bars(trades: DataFrame, delay: str, width: str = "1 minute", ts: str = "trade_ts") -> DataFrame:
     """A stream of finished bars: each appears once, when the watermark has passed its end.
 
-    Trades later than ``delay`` are not counted; ``repair_bars`` puts that right from Bronze.
+    Trades later than ``delay`` are not counted; ``repair_bars`` puts that right from Bronze, by the trades that each
+    bar says it is made of.
     """
-    return partial_bars(trades.withWatermark(ts, delay), width, ts).select(BAR_COLUMNS)
+    return traced_bars(trades.withWatermark(ts, delay), width, ts)

@@ -47,7 +47,7 @@ def test_repair(spark):
         ("a", "S", 1.0, 1.0, "2024-05-01 10:00:01"), ("b", "S", 2.0, 1.0, "2024-05-01 10:00:02"),
         ("c", "S", 3.0, 1.0, "2024-05-01 10:01:00"), ("d", "T", 4.0, 1.0, "2024-05-01 10:02:00"),
     )
-    stored = bars.ohlcv(full.filter("trade_id in ('b', 'c')"))
+    stored = bars.traced_bars(full.filter("trade_id in ('b', 'c')"))
     assert sorted(bars.repair_bars(stored, full).collect()) == sorted(bars.ohlcv(full).collect())
 
 
@@ -68,6 +68,33 @@ def test_open_close_skips_missing_prices(spark):
 
 def test_equal_counts_with_other_content_are_repaired(spark):
     told = trades(spark, ("a", "S", 9.0, 5.0, "2024-05-01 10:00:01"), ("b", "S", 1.0, 1.0, "2024-05-01 10:00:02"))
-    stored = bars.ohlcv(trades(spark, ("b", "S", 1.0, 1.0, "2024-05-01 10:00:02"), ("b", "S", 1.0, 1.0, "2024-05-01 10:00:02")))
+    stored = bars.traced_bars(trades(spark, ("b", "S", 1.0, 1.0, "2024-05-01 10:00:02"), ("b", "S", 1.0, 1.0, "2024-05-01 10:00:02")))
     (bar,) = bars.repair_bars(stored, told).collect()
     assert (bar.open, bar.high, bar.low, bar.close, bar.volume, bar.trade_count) == (9.0, 9.0, 1.0, 1.0, 6.0, 2)
+
+
+def test_a_trade_that_came_twice_instead_of_another_is_repaired(spark):
+    """Count, high, low and volume agree, open and close do not."""
+    a, b, c = (("a", "S", 1.0, 1.0, "2024-05-01 10:00:01"), ("b", "S", 9.0, 1.0, "2024-05-01 10:00:02"),
+               ("c", "S", 1.0, 1.0, "2024-05-01 10:00:03"))
+    truth = trades(spark, a, b, c)
+    for made_of in ((a, b, a), (a, b), (c, b, c), (a, b, c, c)):
+        stored = bars.traced_bars(trades(spark, *made_of))
+        assert bars.repair_bars(stored, truth).collect() == bars.ohlcv(truth).collect()
+
+
+def test_good_bars_are_kept_as_they_are(spark):
+    full = trades(spark, ("a", "S", 1.0, 1.0, "2024-05-01 10:00:01"), ("b", None, 2.0, 1.0, "2024-05-01 10:00:02"),
+                  ("c", None, 3.0, 1.0, "2024-05-01 10:01:02"), (None, "S", None, 1.0, "2024-05-01 10:00:05"))
+    marked = bars.traced_bars(full).withColumn("volume", F.lit(-1.0))
+    stored = marked.filter("symbol = 'S' or minute < timestamp '2024-05-01 10:01:00'")
+    repaired = {(r.symbol, r.minute.minute): r.volume for r in bars.repair_bars(stored, full).collect()}
+    assert repaired == {("S", 0): -1.0, (None, 0): -1.0, (None, 1): 1.0}
+    assert sorted(map(str, bars.repair_bars(bars.ohlcv(full), full).collect())) == sorted(map(str, bars.ohlcv(full).collect()))
+
+
+def test_contents_do_not_depend_on_order_or_parts(spark):
+    rows = [(f"{i}", "S", float(i % 7), 0.1 * i, f"2024-05-01 10:0{i % 2}:{i % 60:02}") for i in range(120)]
+    one, other = trades(spark, *rows), trades(spark, *rows[::-1]).repartition(5)
+    assert sorted(bars.contents(one).collect()) == sorted(bars.contents(other).collect())
+    assert "SortAggregate" not in final_plan(bars.contents(one))
