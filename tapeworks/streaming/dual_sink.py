@@ -31,34 +31,32 @@ def dual_sink_step(
 ) -> BatchWriter:
     """All writers must replace what they wrote for the same batch before: a failure between them repeats all.
 
-    The batch is kept for the other sinks, so the source is read once. Records the hot table cannot store stay in
-    Bronze, and go to the rejects, if these are kept, with what they lack. ``report`` gets the rows of each sink,
-    counted while they were written.
+    The batch is parsed once and kept with its payloads, and every sink takes its rows and columns from that. Records
+    the hot table cannot store stay in Bronze, and go to the rejects, if these are kept, with what they lack. ``report``
+    gets the rows of each sink, counted while they were written.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        parsed = to_hot(batch, keep=tuple(batch.columns)).persist()
         try:
-            parsed = to_hot(batch, keep=LINEAGE)
             writes = {
-                "bronze": (write_bronze, batch),
+                "bronze": (write_bronze, parsed.select(batch.columns)),
                 "hot": (write_hot, storable(parsed).select(HOT_TRADE.fieldNames())),
-                "rejects": (write_rejects or _count_only, unstorable(parsed)),
             }
+            if write_rejects is not None:
+                lost = unstorable(parsed).select(*HOT_TRADE.fieldNames(), *LINEAGE, "reasons")
+                writes["rejects"] = (write_rejects, lost)
             counts = {}
             for name, (write, rows) in writes.items():
                 seen = Observation()
                 write(counted(rows, seen), batch_id)
                 counts[name] = seen.get["rows"]
+            counts.setdefault("rejects", counts["bronze"] - counts["hot"])
             report(batch_id, counts)
         finally:
-            batch.unpersist()
+            parsed.unpersist()
     return step
 
 
-def _count_only(df: DataFrame, batch_id: int) -> None:
-    df.write.format("noop").mode("overwrite").save()
-
-
 def start_dual_sink(
     envelope: DataFrame, write_bronze: BatchWriter, write_hot: BatchWriter, checkpoint: str,
     trigger: dict | None = None, write_rejects: BatchWriter | None = None, report: Report = _log_counts,
