@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +84,27 @@ def check_unique(df: DataFrame, key: str) -> DataFrame:
     ))
 
 
+def newest_by(df: DataFrame, key: str, ts: str) -> DataFrame:
+    """(key, newest): the newest time of each key; rows without a time add their key, with no time of their own."""
+    return df.groupBy(key).agg(F.max(ts).alias("newest"))
+
+
+def stale(df: DataFrame, key: str, ts: str, within: str, now: datetime | None = None) -> DataFrame:
+    """(key, newest) for every key whose newest time is older than ``within`` before now, or that has none.
+
+    Now is the table's newest time unless given.
+    """
+    newest = newest_by(df, key, ts)
+    clock = F.lit(now).cast("timestamp") if now is not None else newest.select(F.max("newest")).scalar()
+    return newest.filter(~_holds(F.col("newest") >= clock - F.expr(f"interval {within}")))
+
+
+def check_fresh(df: DataFrame, key: str, ts: str, within: str, now: datetime | None = None) -> DataFrame:
+    """One line, a rule over the table: how many keys are :func:`stale`."""
+    late = stale(df, key, ts, within, now).agg(F.count(F.lit(1)).alias("failures"))
+    return _verdict(late.select(F.lit(f"fresh_{key}").alias("rule"), "failures"))
+
+
 def raise_on_failure(results: DataFrame) -> None:
     """Stop the job when a rule failed. One line per rule reaches the driver."""
     failed = [f"{r.rule}: {r.failures} rows" for r in results.filter("should_error").collect()]
@@ -90,42 +112,45 @@ def raise_on_failure(results: DataFrame) -> None:
         raise QualityError("; ".join(failed))
 
 
-def contract_rules(contract: Contract, typed: str = "typed", keyed: str = "keyed", kinds: str = "kinds") -> list[Rule]:
-    """Rules for a payload read as the contract's struct, as a map of strings, and as the JSON type of each field.
+_CORRUPT = "__corrupt"
+# What values of a JSON text are to the engine, by the contract's type.
+_KINDS = {T.StringType: "STRING", T.BooleanType: "BOOLEAN", T.LongType: "BIGINT", T.IntegerType: "BIGINT",
+          T.DoubleType: "BIGINT|DOUBLE|FLOAT|DECIMAL.*", T.FloatType: "BIGINT|DOUBLE|FLOAT|DECIMAL.*"}
+
+
+def contract_rules(contract: Contract, read: str = "read", kinds: str = "kinds") -> list[Rule]:
+    """Rules for a payload whose fields are read as they come, and for the JSON type of each field.
 
-    Reading as a struct turns a number, truth value or object into text where the contract has a string, so the
-    type of the raw value decides there.
+    A JSON null counts as missing, as a field that is not there does.
     """
-    rules = []
+    broken = F.col(read).isNull() | F.col(read)[_CORRUPT].isNotNull()
+    rules = [Rule("payload:unparsable", broken)]
     for f in contract.fields:
-        raw, value, kind = F.col(keyed)[f.name], F.col(typed)[f.name], F.col(kinds)[f.name]
+        kind = F.col(kinds)[f.name]
         if not f.nullable:
-            rules.append(Rule(f"{f.name}:missing", F.col(keyed).isNotNull() & raw.isNull()))
-        wrong = value.isNull()
-        if isinstance(f.spark_type, T.StringType):
-            wrong = wrong | F.coalesce(kind != "STRING", F.lit(False))
-        rules.append(Rule(f"{f.name}:wrong_type", raw.isNotNull() & wrong))
+            rules.append(Rule(f"{f.name}:missing", ~broken & kind.isNull()))
+        fits = kind.rlike(f"^({_KINDS.get(type(f.spark_type), '.*')})$")
+        if isinstance(f.spark_type, T.IntegerType):
+            fits = fits & F.try_variant_get(F.col(read)[f.name], "$", "int").isNotNull()
+        rules.append(Rule(f"{f.name}:wrong_type", ~broken & kind.isNotNull() & ~fits))
         if f.symbols:
-            rules.append(Rule(f"{f.name}:not_in_enum", value.isNotNull() & ~value.isin(*f.symbols)))
-    return [Rule("payload:unparsable", F.col(keyed).isNull()), *rules]
-
-
-def _json_kinds(value: str, contract: Contract) -> Column:
-    """The JSON type of each of the contract's fields, as the engine names it; NULL where the payload is no JSON."""
-    parsed = F.try_parse_json(value)
-    return F.struct(*[
-        F.schema_of_variant(F.try_variant_get(parsed, f"$['{f.name}']", "variant")).alias(f.name) for f in contract.fields
-    ])
+            # Of a field of another type the text is looked at.
+            value = F.coalesce(F.try_variant_get(F.col(read)[f.name], "$", "string"), F.to_json(F.col(read)[f.name]))
+            rules.append(Rule(f"{f.name}:not_in_enum", ~broken & kind.isNotNull() & ~value.isin(*f.symbols)))
+    return rules
 
 
 def contract_violations(bronze: DataFrame, contract: Contract, value: str = "raw_value") -> DataFrame:
-    """Violations of a contract, per field and kind, in one pass over the raw payload."""
-    as_map = F.from_json(value, T.MapType(T.StringType(), T.StringType()))
+    """Violations of a contract, per field and kind, in one reading of the raw payload.
+
+    Each field of the contract is read as a VARIANT, which keeps its type; the parser runs once for a record.
+    """
+    schema = T.StructType([*(T.StructField(f.name, T.VariantType()) for f in contract.fields),
+                           T.StructField(_CORRUPT, T.StringType())])
     read = bronze.select(F.inline(F.array(F.struct(
-        F.from_json(value, contract.schema).alias("typed"), as_map.alias("keyed"),
-        _json_kinds(value, contract).alias("kinds"),
-    ))))
-    return check(read, contract_rules(contract))
+        F.from_json(value, schema, {"columnNameOfCorruptRecord": _CORRUPT}).alias("read")))))
+    kinds = F.struct(*[F.nullif(F.schema_of_variant(F.col("read")[f.name]), F.lit("VOID")).alias(f.name) for f in contract.fields])
+    return check(read.select("read", F.inline(F.array(F.struct(kinds.alias("kinds"))))), contract_rules(contract))
 
 
 def schema_profile(bronze: DataFrame, contract: Contract, value: str = "raw_value") -> DataFrame:
@@ -180,6 +205,30 @@ def reconciled(silver: DataFrame, gold: DataFrame) -> DataFrame:
     return of_silver.select("*", of_gold.scalar().alias("gold_trades")).withColumn("left_over", left_over)
 
 
+# Offsets of one topic partition that one task orders at most.
+OFFSETS_AT_ONCE = 1 << 20
+
+
+def missing_offsets(records: DataFrame, at_once: int = OFFSETS_AT_ONCE) -> DataFrame:
+    """(kafka_topic, kafka_partition, first_offset, last_offset, records): the ranges of offsets that are not there.
+
+    That is what a stream has lost when it goes on over data that the broker no longer has. Looked for is between the
+    first and the last offset of each partition. Repeated records are one. A partition is cut into stretches of
+    offsets, each ordered by itself; what lies between stretches is found on one row for each of them.
+    """
+    place, offset = ["kafka_topic", "kafka_partition"], F.col("kafka_offset")
+    seen = records.filter(offset.isNotNull()).select(*place, "kafka_offset").distinct() \
+        .withColumn("stretch", F.floor(offset / at_once))
+    inside = Window.partitionBy(*place, "stretch").orderBy("kafka_offset")
+    between = Window.partitionBy(*place).orderBy("stretch")
+    stretches = seen.groupBy(*place, "stretch").agg(F.min("kafka_offset").alias("at"), F.max("kafka_offset").alias("until"))
+    after = seen.select(*place, offset.alias("at"), F.lag("kafka_offset").over(inside).alias("before")).unionByName(
+        stretches.select(*place, "at", F.lag("until").over(between).alias("before")))
+    return after.filter(F.col("at") - F.col("before") > 1).select(
+        *place, (F.col("before") + 1).alias("first_offset"), (F.col("at") - 1).alias("last_offset"),
+        (F.col("at") - F.col("before") - 1).alias("records"))
+
+
 def counted(df: DataFrame, observation: Observation, name: str = "rows") -> DataFrame:
     """Count the rows that flow to a sink while it is written, instead of computing everything again."""
     return df.observe(observation, F.count(F.lit(1)).alias(name))

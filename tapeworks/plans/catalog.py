@@ -35,6 +35,7 @@ CUT_OFF_DAY = date(2024, 1, 15)
 PRUNE_DAYS = (date(2024, 1, 10), date(2024, 1, 12))
 # Day by day, so that a run with no run the day before it is among them.
 RUN_DAYS = (date(1998, 6, 30), date(1998, 7, 20), date(1999, 3, 31))
+FRESH_WITHIN = "20 days"
 RANGE_BOUNDS = ("1996-01-01", "2001-01-01")
 
 # A SQL model of Gold, as analysts keep them: sums in decimals, for this engine's own SQL.
@@ -330,7 +331,19 @@ def quality_unique(spark, sf_dir):
 @query
 def quality_ranges(spark, sf_dir):
     on_trades = quality.check(fx.silver_trades(spark, sf_dir), quality.trade_ranges(*RANGE_BOUNDS))
-    return on_trades.unionByName(quality.check(fx.event_quotes(spark, sf_dir), quality.quote_ranges()))
+    on_quotes = quality.check(fx.event_quotes(spark, sf_dir), quality.quote_ranges())
+    fresh = quality.check_fresh(fx.silver_trades(spark, sf_dir), "symbol", "trade_ts", FRESH_WITHIN)
+    return on_trades.unionByName(on_quotes).unionByName(fresh)
+
+
+@query
+def stale_symbols(spark, sf_dir):
+    return quality.stale(fx.silver_trades(spark, sf_dir), "symbol", "trade_ts", FRESH_WITHIN)
+
+
+@query
+def missing_offsets(spark, sf_dir):
+    return quality.missing_offsets(fx.lossy_bronze(spark, sf_dir), at_once=1000)
 
 
 @query
@@ -367,8 +380,7 @@ def portfolio_summary(spark, sf_dir):
 
 @query
 def risk_metrics(spark, sf_dir):
-    # Standard deviations differ between engines in the last digits.
-    return marts.risk_metrics(fx.silver_trades(spark, sf_dir)).withColumn("volatility", F.round("volatility", 6))
+    return marts.risk_metrics(fx.silver_trades(spark, sf_dir))
 
 
 @query

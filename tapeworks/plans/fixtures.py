@@ -145,6 +145,13 @@ def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.withColumn("ingestion_time", F.col("source_ts") + F.expr("interval 1 minute"))
 
 
+def lossy_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those records, some stretches of offsets lost, and some records twice."""
+    bronze, place = events_bronze(spark, sf_dir), F.col("kafka_offset") + 17 * F.col("kafka_partition")
+    kept = bronze.filter((F.floor(place / 7) % 13 != 5) & (F.floor(place / 900) % 5 != 2))
+    return kept.unionByName(kept.filter(place % 31 == 1))
+
+
 def lineitem_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broker records with repeated trades."""
     bronze = cold_bronze(spark, sf_dir)

@@ -65,6 +65,18 @@ def _sum4(x: str) -> str:
     return f"cast(sum(cast({x} as decimal(18,4))) as double)"
 
 
+def _exact_sum(x: str) -> str:
+    """Doubles in whole units of four decimals, and what is finer than these in whole numbers of 2^-100.
+
+    What is within a unit in the last place of the value is its own rounding, and no part of it.
+    """
+    units = f"round_even({x} * 10000.0::double, 0)"
+    fine = f"({x} - {units} / 10000.0::double)"
+    small = f"case when abs{fine} > {2.0**-52!r}::double * abs({x}) then {fine} else 0.0::double end"
+    return (f"(cast(sum(cast({units} as hugeint)) as double) / 10000.0::double"
+            f" + cast(sum(cast({small} * {2.0**100!r}::double as hugeint)) as double) / {2.0**100!r}::double)")
+
+
 def _base(source: str) -> str:
     return f"""
 base as (
@@ -196,6 +208,8 @@ _QUALITY_T = {
     "required_quantity": "quantity is null or isnan(quantity)",
 }
 
+_STALE = """select symbol, max(trade_ts) as newest from silver group by symbol
+            having coalesce(max(trade_ts) < (select max(trade_ts) from silver) - interval 20 days, true)"""
 _WRONG_SIDE = "side not in ('buy', 'sell')"
 
 
@@ -356,7 +370,17 @@ def all_oracles() -> dict[str, str]:
                 'symbol_not_blank': "symbol is null or trim(symbol) = ''",
                 'event_time_in_bounds':
                     "coalesce(trade_ts not between timestamp '1996-01-01' and timestamp '2001-01-01', true)"})}
-            union all {_rules('q', {'ask_not_below_bid': 'ask < bid'})}""",
+            union all {_rules('q', {'ask_not_below_bid': 'ask < bid'})}
+            union all {_rules(f'({_STALE})', {'fresh_symbol': 'true'})}""",
+        "stale_symbols": f"{t} {_STALE}",
+        "missing_offsets": f"""{e},
+            kept as (select kafka_partition, kafka_offset from e
+                     where (kafka_offset + 17 * kafka_partition) // 7 % 13 <> 5
+                       and (kafka_offset + 17 * kafka_partition) // 900 % 5 <> 2),
+            steps as (select *, lag(kafka_offset) over (partition by kafka_partition order by kafka_offset) as before from kept)
+            select 'trades_raw' as kafka_topic, kafka_partition, before + 1 as first_offset, kafka_offset - 1 as last_offset,
+                   kafka_offset - before - 1 as records
+            from steps where kafka_offset - before > 1""",
         "schema_profile": f"""{e}, {_UNTIDY},
             seen as (select unnest(json_keys(j)) as key, j from outcome where not broken),
             known as (select unnest(['trade_id', 'symbol', 'side', 'price', 'quantity', 'trade_ts']) as key),
@@ -397,17 +421,20 @@ def all_oracles() -> dict[str, str]:
                                             rows between unbounded preceding and current row) - 1 as drawdown
               from daily)
             select trade_date, symbol, close, daily_return,
-                   round(stddev_samp(daily_return) over (partition by symbol order by trade_date
-                                                         rows between 19 preceding and current row), 6) as volatility,
+                   case when count(daily_return) over last > 1 then sqrt(cast(cast(
+                     count(daily_return) over last * sum(units * units) over last - sum(units) over last * sum(units) over last
+                     as varchar) as double) / (count(daily_return) over last * (count(daily_return) over last - 1)))
+                     / 1e12::double end as volatility,
                    drawdown,
                    min(drawdown) over (partition by symbol order by trade_date
                                        rows between unbounded preceding and current row) as max_drawdown,
                    gross_exposure
-            from returns""",
-        "quote_bars": f"""{e}, m as (select *, round((bid + ask) / 2, 8) as mid, round(ask - bid, 8) as spread from q)
+            from (select *, cast(round_even(daily_return * 1e12::double, 0) as hugeint) as units from returns)
+            window last as (partition by symbol order by trade_date rows between 19 preceding and current row)""",
+        "quote_bars": f"""{e}, m as (select *, (bid + ask) / 2 as mid, ask - bid as spread from q)
             select symbol, date_trunc('minute', event_ts) as minute,
-                   {_sum4('mid')} / count(*) as avg_mid, min(mid) as min_mid, max(mid) as max_mid,
-                   {_sum4('spread')} / count(*) as avg_spread, min(spread) as min_spread, max(spread) as max_spread,
+                   {_exact_sum('mid')} / count(*) as avg_mid, min(mid) as min_mid, max(mid) as max_mid,
+                   {_exact_sum('spread')} / count(*) as avg_spread, min(spread) as min_spread, max(spread) as max_spread,
                    count(*) as quotes
             from m group by symbol, minute""",
         "silver_trades": f"{t} select {silver_columns} from silver",

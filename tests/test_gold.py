@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from helpers import final_plan, silver, utc
 
 from pyspark.sql import functions as F
@@ -89,3 +90,27 @@ def test_latest_price_expires(spark):
     assert [r.symbol for r in marts.latest_price(df, "1 hour", later).collect()] == ["S"]
     assert marts.latest_price(df, "10 minutes", later).count() == 0
     assert [(r.symbol, r.volume, r.notional) for r in marts.live_volume(df).collect()] == [("S", 3.0, 9.0)]
+
+
+def test_quotes_of_any_size(spark):
+    from helpers import quotes
+
+    at = "2024-05-01 10:00:01"
+    (bar,) = marts.quote_bars(quotes(spark, ("S", 3e-9, 5e-9, at), ("S", 3e-9, 4e-9, at))).collect()
+    assert (bar.min_mid, bar.max_mid, bar.min_spread, bar.max_spread) == (3.5e-9, 4e-9, 4e-9 - 3e-9, 5e-9 - 3e-9)
+    assert bar.avg_mid == pytest.approx(3.75e-9, rel=1e-12) and bar.avg_spread == pytest.approx(1.5e-9, rel=1e-12)
+
+
+def test_rolling_deviation(spark):
+    import random
+    import statistics
+
+    rng = random.Random(2)
+    rows = [(k, i, None if i % 9 == 4 else rng.choice([0.0, rng.gauss(0, 0.02), rng.gauss(0, 100)])) for k in "ab" for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, i int, x double")
+    for width in (2, 5, 20):
+        found = df.withColumn("d", marts.rolling_deviation("x", ["k"], "i", width)).collect()
+        for r in found:
+            last = [x for k, i, x in rows if k == r.k and r.i - width < i <= r.i and x is not None]
+            assert r.d is None if len(last) < 2 else r.d == pytest.approx(statistics.stdev(last), abs=1e-11, rel=1e-10)
+    assert sorted(map(str, found)) == sorted(map(str, df.repartition(7).withColumn("d", marts.rolling_deviation("x", ["k"], "i", 20)).collect()))

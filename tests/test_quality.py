@@ -1,5 +1,5 @@
 import pytest
-from helpers import bronze, final_plan, payload, silver
+from helpers import bronze, final_plan, payload, silver, utc
 
 from pyspark.sql import Observation
 from tapeworks.operators import quality
@@ -93,3 +93,42 @@ def test_json_types_of_texts(spark):
     found = {r.rule: r.failures for r in quality.contract_violations(bronze(spark, *rows), TRADE_CONTRACT).collect()}
     assert {r: n for r, n in found.items() if n} == {
         "trade_id:wrong_type": 1, "symbol:wrong_type": 2, "side:wrong_type": 1, "side:not_in_enum": 1, "side:missing": 1}
+
+
+def test_stale_keys(spark):
+    rows = silver(spark, ("a", "S", "buy", 1.0, 1.0, "2024-05-01 10:00:00"), ("b", "T", "buy", 1.0, 1.0, "2024-05-01 08:59:59"),
+                  ("c", "U", "buy", 1.0, 1.0, None), ("d", "S", "buy", 1.0, 1.0, "2024-04-01 10:00:00"),
+                  ("e", None, "buy", 1.0, 1.0, "2024-05-01 09:00:00"))
+    late = quality.stale(rows, "symbol", "trade_ts", "1 hour")
+    assert sorted(r.symbol for r in late.collect()) == ["T", "U"]
+    assert [tuple(r) for r in quality.check_fresh(rows, "symbol", "trade_ts", "1 hour").collect()] == [("fresh_symbol", 2, True, True)]
+    now = utc("2024-05-01 12:00:00")
+    assert quality.check_fresh(rows, "symbol", "trade_ts", "1 hour", now).first().failures == 4
+    assert quality.check_fresh(rows.limit(0), "symbol", "trade_ts", "1 hour").first().failures == 0
+    with pytest.raises(quality.QualityError, match="fresh_symbol: 2"):
+        quality.raise_on_failure(quality.check_fresh(rows, "symbol", "trade_ts", "1 hour"))
+
+
+def test_missing_offsets(spark):
+    import random
+
+    rng = random.Random(1)
+    there = {(p, o) for p in (0, 1, None) for o in rng.sample(range(50, 400), 150)} | {(2, 7), (3, None)}
+    rows = [("t", p, o) for p, o in there for _ in range(rng.randint(1, 3))]
+    df = spark.createDataFrame(rows, "kafka_topic string, kafka_partition int, kafka_offset long")
+    expected = set()
+    for p in (0, 1, None):
+        offsets = sorted(o for q, o in there if q == p)
+        expected |= {("t", p, a + 1, b - 1, b - a - 1) for a, b in zip(offsets, offsets[1:]) if b - a > 1}
+    for at_once in (1, 10, 64, 1 << 20):
+        assert {tuple(r) for r in quality.missing_offsets(df, at_once).collect()} == expected
+    assert quality.missing_offsets(df.limit(0)).count() == 0
+
+
+def test_contract_is_read_once(spark):
+    df = bronze(spark, payload(), payload(price="x"), payload(side="HOLD"), payload(symbol=None), "{", payload(trade_ts=...))
+    found = quality.contract_violations(df, TRADE_CONTRACT)
+    plan = final_plan(found)
+    assert plan.count("from_json") == 1 and "parse_json" not in plan
+    assert {r.rule: r.failures for r in found.collect() if r.failures} == {
+        "payload:unparsable": 1, "price:wrong_type": 1, "side:not_in_enum": 1, "symbol:missing": 1, "trade_ts:missing": 1}
