@@ -3,12 +3,14 @@
 A run of K bytes is a closed syncmer if the smallest hash of its runs of S bytes is that of the first or the last one.
 Whether it is depends on its own bytes alone, so the same passage has the same anchors in every document, at the same
 distances. A fingerprint is all anchors of a text, in order and with their distances, so that passages common to two
-texts are found from their fingerprints; the likeness of two is the share of their anchors that match.
+texts are found from their fingerprints; the likeness of two is the share of their anchors that match in order.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -55,67 +57,162 @@ def _anchors_of_piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Byte positions and 64-bit hashes of the text's closed syncmers, in order.
 
-    A text shorter than K bytes is one anchor, an empty one has none. Long texts are gone through in pieces that
-    overlap by K - 1 bytes, so none is cut short and no anchor lost.
+    A text that has none, as one shorter than K bytes, is one anchor as a whole; an empty one has none. Long texts are
+    gone through in pieces that overlap by K - 1 bytes, so none is cut short and no anchor lost.
     """
+    at, hashes = _syncmers(data)
+    if len(at) or not data:
+        return at, hashes
+    return np.zeros(1, dtype=np.int64), np.frombuffer(hashlib.blake2b(data, digest_size=8).digest(), dtype="<u8")
+
+
+def _syncmers(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     if len(data) < K:
-        digest = hashlib.blake2b(data, digest_size=8).digest()
-        one = min(1, len(data))
-        return np.zeros(one, dtype=np.int64), np.frombuffer(digest, dtype="<u8")[:one]
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     if len(data) <= _PIECE:
         return _anchors_of_piece(data)
     parts = [(a, *_anchors_of_piece(data[a : a + _PIECE + K - 1])) for a in range(0, len(data) - K + 1, _PIECE)]
     return np.concatenate([at + a for a, at, _ in parts]), np.concatenate([h for _, _, h in parts])
 
 
+# Bits of a hash in a fingerprint; with the distance, at most K - S, an anchor takes three bytes.
+HASH_BITS = 20
+
+
 @dataclass(frozen=True)
 class Sketch:
-    """All anchors of a text, in order: their byte positions and the upper 32 bits of their hashes."""
+    """All anchors of a text, in order: their byte positions and the upper bits of their hashes.
+
+    ``rim`` is a hash of what lies before the first and behind the last anchor, and of these two; with it, texts that
+    differ in a byte anywhere have different sketches.
+    """
 
     at: np.ndarray
     hashes: np.ndarray
+    rim: int
 
     def __len__(self) -> int:
         return len(self.at)
 
     @cached_property
-    def counted(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(self.hashes, return_counts=True)
+    def codes(self) -> np.ndarray:
+        """Each anchor's distance from the one before (from the text's beginning, if it is the first) and its hash."""
+        return np.diff(self.at, prepend=0).astype(np.uint32) << np.uint32(HASH_BITS) | self.hashes
 
 
 def sketch(text: str | None) -> Sketch:
     """Every anchor of the text."""
-    at, hashes = anchors((text or "").encode())
-    return Sketch(at, (hashes >> np.uint64(32)).astype(np.uint32))
-
-
-_SHOWN = np.dtype([("gap", "u1"), ("hash", ">u4")])
+    data = (text or "").encode()
+    at, hashes = anchors(data)
+    rim = 0
+    if len(at):
+        ends = data[: at[0]], data[at[-1] + K :], hashes[[0, -1]].tobytes()
+        rim = int.from_bytes(hashlib.blake2b(b"".join(len(e).to_bytes(4, "big") + e for e in ends), digest_size=3).digest())
+    return Sketch(at, (hashes >> np.uint64(64 - HASH_BITS)).astype(np.uint32), rim)
 
 
 def shown(of: Sketch) -> str:
-    """A fingerprint as hexadecimal digits, ten for each anchor: its distance from the one before (from the text's
-    beginning, if it is the first), which is at most K - S, and its hash; empty for an empty text."""
-    numbers = np.empty(len(of), dtype=_SHOWN)
-    numbers["gap"], numbers["hash"] = np.diff(of.at, prepend=0), of.hashes
-    return numbers.tobytes().hex()
+    """A fingerprint in base 64, four characters for the rim and four for each anchor's code; empty for an empty text.
+
+    An anchor stands for about four and a half bytes of prose, so a fingerprint is shorter than its text.
+    """
+    if not len(of):
+        return ""
+    numbers = np.append(np.uint32(of.rim), of.codes).astype(">u4")
+    return base64.b64encode(numbers.view(np.uint8).reshape(-1, 4)[:, 1:].tobytes()).decode()
 
 
 def read(fingerprint: str) -> Sketch:
     """The anchors that a fingerprint shows."""
-    numbers = np.frombuffer(bytes.fromhex(fingerprint), dtype=_SHOWN)
-    return Sketch(np.cumsum(numbers["gap"].astype(np.int64)), numbers["hash"].astype(np.uint32))
+    held = np.frombuffer(base64.b64decode(fingerprint), dtype=np.uint8).reshape(-1, 3).astype(np.uint32)
+    numbers = held[:, 0] << 16 | held[:, 1] << 8 | held[:, 2]
+    codes = numbers[1:]
+    return Sketch(np.cumsum((codes >> HASH_BITS).astype(np.int64)), codes & np.uint32((1 << HASH_BITS) - 1),
+                  int(numbers[0]) if len(numbers) else 0)
+
+
+def _equal_at_first(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values are equal before the first that differ; looked at in ever longer stretches."""
+    n, at, width = min(len(a), len(b)), 0, 64
+    while at < n:
+        end = min(n, at + width)
+        differing = np.flatnonzero(a[at:end] != b[at:end])
+        if len(differing):
+            return at + int(differing[0])
+        at, width = end, 2 * width
+    return n
+
+
+def _increasing(values: list[int]) -> list[int]:
+    """Places of a longest increasing run of values, not side by side."""
+    ends: list[int] = []
+    places: list[int] = []
+    before = [-1] * len(values)
+    for i, value in enumerate(values):
+        at = bisect_left(ends, value)
+        if at == len(ends):
+            ends.append(value)
+            places.append(i)
+        else:
+            ends[at], places[at] = value, i
+        before[i] = places[at - 1] if at else -1
+    found = []
+    i = places[-1] if places else -1
+    while i >= 0:
+        found.append(i)
+        i = before[i]
+    return found[::-1]
+
+
+def _matched_between(a: np.ndarray, b: np.ndarray) -> int:
+    """How many anchors match in order, by runs at one distance between the texts.
+
+    Anchors that stand once on each side and match beside another one say where runs are; of these the longest
+    sequence that is in order on both sides is taken, and its runs go on as far as the anchors match.
+    """
+    if not len(a) or not len(b):
+        return 0
+    mask = np.uint32((1 << HASH_BITS) - 1)
+    sides = []
+    for codes in (a, b):
+        value, first, times = np.unique(codes & mask, return_index=True, return_counts=True)
+        sides.append((value[times == 1], first[times == 1]))
+    _, x, y = np.intersect1d(sides[0][0], sides[1][0], assume_unique=True, return_indices=True)
+    i, j = sides[0][1][x], sides[1][1][y]
+    ahead = (i + 1 < len(a)) & (j + 1 < len(b))
+    ahead[ahead] = a[i[ahead] + 1] == b[j[ahead] + 1]
+    behind = (i > 0) & (j > 0) & (a[i] == b[j])
+    behind[behind] = (a[i[behind] - 1] & mask) == (b[j[behind] - 1] & mask)
+    order = np.argsort(i[ahead | behind])
+    i, j = i[ahead | behind][order].tolist(), j[ahead | behind][order].tolist()
+    hashes_a, hashes_b = a & mask, b & mask
+    total, last_i, last_j = 0, -1, -1
+    for k in _increasing(j):
+        if i[k] <= last_i or j[k] <= last_j:
+            continue
+        room = min(i[k] - last_i, j[k] - last_j)  # anchors up to this one that may match, itself included
+        same = _equal_at_first(a[i[k] - room + 1 : i[k] + 1][::-1], b[j[k] - room + 1 : j[k] + 1][::-1])
+        # A code holds the distance to the anchor before, which may match without being as far from its own.
+        back = max(0, same - 1) + int(0 < same < room and hashes_a[i[k] - same] == hashes_b[j[k] - same])
+        on = _equal_at_first(a[i[k] + 1 :], b[j[k] + 1 :])
+        total += back + 1 + on
+        last_i, last_j = i[k] + on, j[k] + on
+    return total
 
 
 def likeness(a: Sketch, b: Sketch) -> float:
-    """Twice the anchors that match over those of both texts; 1 for equal ones.
+    """Twice the anchors that match in order, and the rim, over those of both texts; 1 for equal texts only.
 
-    An anchor of one text matches at most one of the other, the first of a hash the first, and so on. Two empty texts
-    are alike, an empty and another one are not.
+    Anchors match in order if the runs that they make up, each at one distance between the texts, follow each other in
+    both. Two empty texts are alike, an empty and another one are not.
     """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    _, i, j = np.intersect1d(a.counted[0], b.counted[0], assume_unique=True, return_indices=True)
-    return float(2 * np.minimum(a.counted[1][i], b.counted[1][j]).sum() / (len(a) + len(b)))
+    first = _equal_at_first(a.codes, b.codes)
+    rest = a.codes[first:], b.codes[first:]
+    last = _equal_at_first(rest[0][::-1], rest[1][::-1])
+    between = _matched_between(rest[0][: len(rest[0]) - last], rest[1][: len(rest[1]) - last])
+    return 2 * (first + last + between + (a.rim == b.rim)) / (len(a) + len(b) + 2)
 
 
 def matched_anchors(left: Sketch, right: Sketch) -> list[tuple[int, int, int]]:
@@ -233,7 +330,7 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
                 other = sketch(changed)
                 out.append((before, len(before_text), hashlib.sha256(changed.encode()).hexdigest(), shown(before_sketch),
                             shown(other), likeness(before_sketch, other), likeness(before_sketch, own)))
-                size += 10 * (len(before_sketch) + len(other))
+                size += 4 * (len(before_sketch) + len(other))
             held = None if ahead else (key, value, own)
             if len(out) == 1000 or size > SLICE_BYTES:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)

@@ -61,6 +61,63 @@ def test_likeness():
     assert len(syncmers.sketch("abc")) == 1 and syncmers.shown(empty) == ""
 
 
+SHORT = ["abcd efgh ij", "cfdi gdcacha", "eedifdhfifjh", "Ly. Th heing.", "x", ""]
+
+
+def test_short_texts_differ():
+    prints = [syncmers.sketch(t) for t in SHORT]
+    assert len({syncmers.shown(p) for p in prints}) == len(SHORT)
+    assert [[syncmers.likeness(p, q) for q in prints] for p in prints] == np.eye(len(SHORT)).tolist()
+    rng = random.Random(8)
+    for n in range(1, 40):
+        texts = {"".join(rng.choices("abcdefghij ", k=n)) for _ in range(60)}
+        assert len({syncmers.shown(syncmers.sketch(t)) for t in texts}) == len(texts)
+
+
+def test_one_changed_character_anywhere_is_seen():
+    text = words(40, "c")
+    for i in range(len(text)):
+        other = text[:i] + "#" + text[i + 1 :]
+        assert syncmers.likeness(syncmers.sketch(text), syncmers.sketch(other)) < 1
+        assert syncmers.shown(syncmers.sketch(text)) != syncmers.shown(syncmers.sketch(other))
+
+
+def plain_in_order(a, b):
+    """The most anchors that match in order, whatever the distances: no run can hold more."""
+    best = [0] * (len(b) + 1)
+    for x in a.hashes.tolist():
+        above = 0
+        for j, y in enumerate(b.hashes.tolist(), start=1):
+            above, best[j] = best[j], above + 1 if x == y else max(best[j], best[j - 1])
+    return best[-1]
+
+
+def test_likeness_is_of_passages_in_order():
+    whole = words(300, "o").split(" ")
+    text = " ".join(whole)
+
+    def like(changed):
+        a, b = syncmers.sketch(text), syncmers.sketch(" ".join(changed))
+        found = syncmers.likeness(a, b)
+        assert found <= 2 * (plain_in_order(a, b) + 1) / (len(a) + len(b) + 2) + 1e-9
+        return found
+
+    assert 0.45 < like(whole[150:] + whole[:150]) < 0.55
+    assert 0.30 < like(whole[200:] + whole[100:200] + whole[:100]) < 0.37
+    assert like(whole[::-1]) < 0.1
+    assert like(whole[:100] + ["other"] * 3 + whole[100:]) > 0.95
+    assert 0.75 < like([w for i, w in enumerate(whole) if i % 25]) < 0.95
+    assert 0.6 < like(whole[:100] + words(100, "q").split(" ") + whole[200:]) < 0.72
+    assert 0.75 < like(whole + whole[:150]) < 0.85
+    assert 0.68 < like(whole[50:] + whole[150:]) < 0.75
+
+
+def test_fingerprints_are_shorter_than_prose(spark):
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    shown = [len(syncmers.shown(syncmers.sketch(t))) for t in texts]
+    assert sum(shown) <= sum(len(t.encode()) for t in texts)
+
+
 TEXTS = [(4, "four " * 30), (1, words(100, 1)), (9, None), (2, ""), (7, "é" * 1001), (None, "no id " * 9), (5, "x"), (5, "another five"), (8, words(40_000, 8))]
 
 
@@ -254,7 +311,7 @@ def test_passages_are_found_from_fingerprints_of_long_texts():
     prints = [syncmers.sketch(text) for text in (left, right)]
     assert syncmers.likeness(*prints) > 0.001
     again = [syncmers.read(syncmers.shown(p)) for p in prints]
-    assert all(np.array_equal(p.at, q.at) and np.array_equal(p.hashes, q.hashes) for p, q in zip(prints, again))
+    assert all(np.array_equal(p.at, q.at) and np.array_equal(p.hashes, q.hashes) and p.rim == q.rim for p, q in zip(prints, again))
     assert max(np.diff(prints[0].at)) <= syncmers.K - syncmers.S
     a, b, length = max(syncmers.matched_anchors(*again), key=lambda m: m[2])
     assert length > len(passage) - 3 * syncmers.K and left[a : a + length] == right[b : b + length]
