@@ -8,9 +8,11 @@ a container gives its own best one, and so does one with hardly any text there,
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 from html import unescape
 
 import pyarrow as pa
@@ -25,6 +27,8 @@ from tapeworks.llm.components import HOT_ROWS
 # Winning paths are broadcast up to so many hosts and characters; beyond that they are joined by a shuffle.
 BROADCAST_HOSTS = 10_000
 BROADCAST_CHARS = 4_000_000
+# Running text, in characters, that hardly makes an article.
+HARDLY = 140
 
 # What the tags of a page mean.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -34,8 +38,8 @@ BLOCKS = CONTAINERS | frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd pre address hr br tr th thead tfoot caption summary figcaption hgroup header "
     "footer nav aside form fieldset legend option".split())
 NEVER = frozenset(
-    "head title script style noscript template textarea iframe object svg canvas nav footer aside form button select "
-    "dialog menu".split())
+    "head title script style noscript template textarea iframe object svg canvas nav footer aside button select label "
+    "legend dialog menu".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog menu alert".split())
 # Words in a class or id that mark what is not the article.
 NEVER_NAMES = frozenset(
@@ -44,6 +48,15 @@ NEVER_NAMES = frozenset(
     "comment comments disqus reply replies share sharing social related newsletter subscribe signup login popup "
     "modal overlay widget form".split())
 
+# With these, a header is that of an article.
+ARTICLE_NAMES = frozenset("article post entry story content title headline".split())
+# Tags whose end may be left out: the next of them ends the one that is open, within the tags behind them.
+ENDED_BY = {
+    "td": (("td", "th"), "table"), "th": (("td", "th"), "table"), "tr": (("td", "th", "tr"), "table"),
+    "tbody": (("td", "th", "tr", "tbody", "thead"), "table"), "tfoot": (("td", "th", "tr", "tbody", "thead"), "table"),
+    "li": (("li",), "ul ol"), "dt": (("dt", "dd"), "dl"), "dd": (("dt", "dd"), "dl"),
+}
+
 # Quotes hold a value only right after "="; the second is for a tag whose quoted value does not end.
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)*+)>""")
 _OPEN_QUOTE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -53,24 +66,33 @@ _DIGITS = re.compile(r"\d+")
 _NAME_PARTS = re.compile(r"[a-z]+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
-    """An open container: its general path, and whether it can hold main text."""
+    """An open container: a hash of its general path, and whether it can hold main text.
+
+    ``doubt`` says that its name or tag often marks what is not the article: 1 if only a part of the name does, 2 if
+    all of it. ``doubtful`` is the nearest such element from this one upwards.
+    """
 
     tag: str
     path: str
     parent: Element | None
     useful: bool
     in_article: bool
+    doubt: int = 0
     chars: float = 0.0
     inner: float = 0.0
 
+    def __post_init__(self) -> None:
+        self.depth: int = 0 if self.parent is None else self.parent.depth + 1
+        self.doubtful: Element | None = self if self.doubt or self.parent is None else self.parent.doubtful
+
     def score(self) -> float:
         own = self.chars + 0.5 * self.inner
         return 2 * own if self.tag in ("article", "main") else own
 
 
-@dataclass
+@dataclass(eq=False)
 class Block:
     """Text between two block boundaries, and the container that it stands in."""
 
@@ -78,9 +100,15 @@ class Block:
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
 
+    @cached_property
     def text(self) -> str:
         return " ".join("".join(self.pieces).split())
 
+    @property
+    def running(self) -> int:
+        """Characters less what is linked; in an article links are part of the text."""
+        return len(self.text) if self.element.in_article else max(0, len(self.text) - 2 * self.linked)
+
 
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)} if source.strip() else {}
@@ -96,10 +124,19 @@ def _excluded(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in NEVER_ROLES:
         return True
+    return False
+
+
+def _doubt(tag: str, attributes: dict[str, str], in_article: bool) -> int:
     if tag in ("html", "body", "article", "main"):
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return not NEVER_NAMES.isdisjoint(_NAME_PARTS.findall(names))
+        return 0
+    found = int(tag == "form")
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        parts = set(_NAME_PARTS.findall(name))
+        marks = parts & NEVER_NAMES
+        if marks and not (marks == {"header"} and (in_article or parts & ARTICLE_NAMES)):
+            found = max(found, 2 if parts == marks else 1)
+    return found
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -107,8 +144,44 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
-def blocks(html: str) -> Iterator[Block]:
-    """The page's blocks of text that may be main text, in page order."""
+def blocks(html: str) -> list[Block]:
+    """The page's blocks of text that may be main text, in page order.
+
+    An element of doubtful name or a form is left out, unless it is what the page's text stands in: it is kept if it
+    holds four times as much running text as stands in no such element, and, if all of its name says what it is, if
+    hardly any stands elsewhere. So wrappers are kept and what is small in them goes.
+    """
+    found = list(_all_blocks(html))
+    running = {block: block.running for block in found}
+    if not any(running.values()):
+        running = {block: len(block.text) for block in found}
+    own: dict[Element, int] = {}
+    inner: dict[Element, list[Element]] = {}
+    linked: set[Element] = set()
+    for block, size in running.items():
+        at = block.element.doubtful
+        own[at] = own.get(at, 0) + size
+        while at.parent is not None and at not in linked:
+            linked.add(at)
+            inner.setdefault(at.parent.doubtful, []).append(at)
+            at = at.parent.doubtful
+    held: dict[Element, int] = {}
+    for element in sorted({*own, *inner}, key=lambda e: -e.depth):
+        held[element] = own.get(element, 0) + sum(held[e] for e in inner.get(element, ()))
+    top = next((e for e in held if e.parent is None), None)
+    kept, clean, waiting = {top}, own.get(top, 0), list(inner.get(top, ()))
+    for doubt in (1, 2):
+        while True:
+            best = max((e for e in waiting if e.doubt == doubt), key=held.__getitem__, default=None)
+            if best is None or held[best] < 4 * clean or not held[best] or doubt == 2 and clean >= HARDLY:
+                break
+            kept.add(best)
+            clean += own.get(best, 0)
+            waiting = [e for e in waiting if e is not best] + inner.get(best, [])
+    return [block for block in found if block.element.doubtful in kept]
+
+
+def _all_blocks(html: str) -> Iterator[Block]:
     top = Element("", "", None, True, False)
     here, block, links, at = top, None, 0, 0
     while True:
@@ -156,6 +229,14 @@ def blocks(html: str) -> Iterator[Block]:
             continue
         if tag in BLOCKS and here.tag == "p":
             here = here.parent
+        if tag in ENDED_BY:
+            ended, within = ENDED_BY[tag]
+            open_one = here
+            while open_one.parent is not None and open_one.tag not in ended and open_one.tag not in within.split():
+                open_one = open_one.parent
+            while open_one.parent is not None and open_one.tag in ended:
+                here = open_one = open_one.parent
+                links = 0
         if tag in VOID:
             continue
         attributes = _attributes(tag_match[3])
@@ -164,12 +245,13 @@ def blocks(html: str) -> Iterator[Block]:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, at)
             at = end.end() if end else len(html)
             continue
-        if excluded or tag in CONTAINERS:
+        doubt = _doubt(tag, attributes, here.in_article)
+        if excluded or doubt or tag in CONTAINERS:
             if block is not None:
                 yield block
                 block = None
-            here = Element(tag, f"{here.path}>{_step(tag, attributes)}", here, here.useful and not excluded,
-                           here.in_article or tag in ("article", "main"))
+            path = hashlib.blake2b(f"{here.path}>{_step(tag, attributes)}".encode(), digest_size=8).hexdigest()
+            here = Element(tag, path, here, here.useful and not excluded, here.in_article or tag in ("article", "main"), doubt)
     if block is not None:
         yield block
 
@@ -177,24 +259,26 @@ def blocks(html: str) -> Iterator[Block]:
 def container_scores(html: str | list[Block]) -> dict[str, float]:
     """For each general path of the page, the score of its containers: running text in them, less what is linked.
 
-    A container counts half of what its inner containers do; article and main count double.
+    A container counts half of what its inner containers do; article and main count double. On a page whose whole text
+    is linked, links count like text.
     """
-    elements: dict[int, Element] = {}
-    for block in blocks(html) if isinstance(html, str) else html:
-        size = len(block.text())
-        block.element.chars += max(0, size - 2 * block.linked)
+    found = blocks(html) if isinstance(html, str) else html
+    linked_only = not any(block.running for block in found)
+    elements: set[Element] = set()
+    for block in found:
+        block.element.chars += len(block.text) if linked_only else block.running
         element = block.element
-        while element is not None and id(element) not in elements:
-            elements[id(element)] = element
+        while element is not None and element not in elements:
+            elements.add(element)
             element = element.parent
-    found: dict[str, float] = {}
-    for element in sorted(elements.values(), key=lambda e: -e.path.count(">")):
+    scores: dict[str, float] = {}
+    for element in sorted(elements, key=lambda e: -e.depth):
         score = element.score()
         if element.parent is not None:
             element.parent.inner += score
         if score > 0:
-            found[element.path] = found.get(element.path, 0.0) + score
-    return found
+            scores[element.path] = scores.get(element.path, 0.0) + score
+    return scores
 
 
 def best_path(scores: dict[str, float]) -> str | None:
@@ -208,19 +292,22 @@ def whole_path(found: list[Block], path: str) -> str:
     """
     own: dict[str, int] = {}
     held: dict[str, int] = {}
+    around: dict[str, Element] = {}
     for block in found:
-        size, element = max(0, len(block.text()) - 2 * block.linked), block.element
+        size, element = block.running, block.element
         own[element.path] = own.get(element.path, 0) + size
-        while size and element is not None:
+        while element is not None:
             held[element.path] = held.get(element.path, 0) + size
+            around.setdefault(element.path, element)
             element = element.parent
-    best = at = path
-    while at and re.split(r"[.>]", at[at.rindex(">") + 1 :], maxsplit=1)[0] not in ("article", "main"):
-        at = at[: at.rindex(">")]
-        if 2 * held.get(path, 0) < held.get(at, 0):
+    best = path
+    at = around.get(path)
+    while at is not None and at.parent is not None and at.tag not in ("article", "main"):
+        at = at.parent
+        if 2 * held.get(path, 0) < held[at.path]:
             break
-        if own.get(at):
-            best = at
+        if own.get(at.path):
+            best = at.path
     return best
 
 
@@ -230,7 +317,7 @@ def main_text(html: str, path: str | None, usual: Sequence[str] = ()) -> str:
     It is that of the page's best path if there is none, or if that one scores more than twice as much and is not
     among the ``usual`` paths of the host, which had their votes.
     """
-    found = list(blocks(html))
+    found = blocks(html)
 
     def under(wanted: str | None) -> list[Block]:
         kept = []
@@ -246,13 +333,13 @@ def main_text(html: str, path: str | None, usual: Sequence[str] = ()) -> str:
     best = best_path(scores)
     chosen = under(path) if path is not None else []
     other = best is not None and best not in usual and scores[best] > 2 * scores.get(path, 0.0)
-    if other or not any(block.text() for block in chosen):
+    if other or not any(block.text for block in chosen):
         path, chosen = best, under(best)
     if path is not None and chosen:
         inner = {id(block) for block in chosen}
         around = under(whole_path(found, path))
-        chosen = [block for block in around if id(block) in inner or len(block.text()) > 2 * block.linked]
-    return " ".join(filter(None, (block.text() for block in chosen)))
+        chosen = [block for block in around if id(block) in inner or block.running]
+    return " ".join(filter(None, (block.text for block in chosen)))
 
 
 def host_of(url: str) -> Column:
@@ -293,8 +380,9 @@ def winners(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     on average.
     """
     counted = stage(votes(pages, url, html), "html-votes")
-    most = counted.groupBy("host").agg(F.max("votes").alias("most"), F.max("pages").alias("rows"), F.sum("firsts").alias("all"))
-    known = counted.join(most, "host")
+    most = counted.groupBy("host").agg(F.max("votes").alias("most"), F.max("pages").alias("rows"), F.sum("firsts").alias("all"),
+                                       F.count("*").alias("paths"))
+    known = left_lookup(counted, most, ["host"], "paths", HOT_ROWS).select(*counted.columns, "found.most", "found.rows", "found.all")
     return known.groupBy("host").agg(
         F.min(F.when(F.col("votes") == F.col("most"), F.col("path"))).alias("path"), F.max("rows").alias("pages"),
         F.sort_array(F.collect_list(F.when(2 * F.col("pages") >= F.col("all"), F.col("path")))).alias("usual"))

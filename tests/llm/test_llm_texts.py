@@ -349,3 +349,69 @@ def test_text_around_the_winner_is_kept(spark):
     assert all(texts[i] == "Heading The lead " + " ".join(["section words " * 140]).strip() for i in range(6))
     assert all(texts[i].startswith("Before it item") and texts[i].endswith("list After it") for i in range(6, 9))
     assert texts[9] == texts[10] == ("another template " * 50).strip()
+
+
+# --- wrappers, heads, links, omitted ends
+
+ARTICLE = "<h1>The title</h1>" + "<p>" + "running text of the article " * 20 + "</p>"
+WHOLE = "The title " + ("running text of the article " * 20).strip()
+SMALL = {
+    "sidebar": "<div class=sidebar><p>Words of the side that run on for a while</p></div>",
+    "notice": "<div id=cookie-notice><p>We use cookies, and say so at some length, as one has to</p></div>",
+    "form": "<form action=/s><p>Sign up for our letters, which come every week</p><label>Name</label><input><button>Go</button></form>",
+    "comments": "<div class=comments>" + "<div class=comment><p>" + "a reader says this " * 5 + "</p></div>" * 3 + "</div>",
+}
+
+
+@pytest.mark.parametrize("opening", ["<div class='container has-sidebar'>", "<div class=social-science>", "<form id=aspnetForm>",
+                                     "<div id=page class='no-comments layout'>", "<main class=content>"])
+def test_wrappers_are_kept_and_what_is_small_goes(opening):
+    closing = f"</{opening[1:].split()[0].rstrip('>')}>"
+    for inside in ("", *SMALL.values()):
+        for outside in ("", SMALL["notice"], SMALL["comments"]):
+            page = f"<html><body>{outside}{opening}<div class=text>{ARTICLE}</div>{inside}{closing}</body></html>"
+            assert html.main_text(page, None) == WHOLE
+
+
+def test_many_comments_are_no_article():
+    comments = "<div class=comments>" + ("<p>" + "a reader says this at great length " * 40 + "</p>") * 4 + "</div>"
+    assert html.main_text(f"<body><div class=text>{ARTICLE}</div>{comments}</body>", None) == WHOLE
+    assert html.main_text(f"<body><div class=layout-with-sidebar><div class=text>{ARTICLE}</div>{comments}</div></body>", None) == WHOLE
+
+
+def test_heads_of_articles_stay():
+    body = ARTICLE.replace("<h1>The title</h1>", "")
+    for head in ("<div class=article-header><h1>The title</h1></div>", "<header><h1>The title</h1></header>",
+                 "<div class=header><h1>The title</h1></div>"):
+        assert html.main_text(f"<body><article>{head}{body}</article></body>", None) == WHOLE
+    assert html.main_text(f"<body><div class=post><div class=post-header><h1>The title</h1></div>{body}</div></body>", None) == WHOLE
+
+
+def test_an_article_may_be_a_link():
+    linked = "<p><a href=/x>" + "all of this is linked " * 20 + "</a></p>"
+    wanted = ("all of this is linked " * 20).strip()
+    assert html.main_text(f"<body><article>{linked}</article></body>", None) == wanted
+    assert html.main_text(f"<body><div class=text>{linked}</div></body>", None) == wanted
+    menu = "<ul>" + "<li><a href=/m>Menu entry</a></li>" * 30 + "</ul>"
+    assert html.main_text(f"<body><div>{menu}</div><div class=text>{ARTICLE}</div></body>", None) == WHOLE
+
+
+def test_tags_without_their_ends():
+    import time
+
+    rows = "".join(f"<tr><td>cell {i} of some words<td>and another" for i in range(4000))
+    start = time.perf_counter()
+    found = html.blocks(f"<body><table>{rows}</table></body>")
+    assert time.perf_counter() - start < 0.5
+    assert len({b.element.path for b in found}) == 1 and max(b.element.depth for b in found) < 6
+    assert len(html.main_text(f"<body><table>{rows}</table></body>", None).split()) == 4000 * 7
+    nested = "<table><tr><td>out <table><tr><td>in one<td>in two</table> again<td>next</table>"
+    assert html.main_text(nested, None) == "out in one in two again next"
+    listed = "<ul><li class=share>Share it<li>" + "an item of the list " * 9 + "<li>another <ul><li>inner</ul></ul>"
+    assert html.main_text(listed, None).startswith("an item") and html.main_text(listed, None).endswith("another inner")
+
+
+def test_paths_are_short():
+    deep = "<div class='a b c'>" * 3000 + "text " * 50 + "</div>" * 3000
+    assert max(map(len, html.container_scores(deep))) == 16
+    assert html.main_text(deep, None) == ("text " * 50).strip()
