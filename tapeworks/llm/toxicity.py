@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -126,7 +128,10 @@ class Matcher:
             else:
                 hits[end - length] = (end, term)
         if excused:
-            hits = {a: h for a, h in hits.items() if not any(x <= a and h[0] <= y for x, y in excused)}
+            # Of the exceptions that begin no later than a hit, the one that ends last decides.
+            excused.sort()
+            begins, reach = [x for x, _ in excused], list(accumulate((y for _, y in excused), max))
+            hits = {a: h for a, h in hits.items() if not (k := bisect_right(begins, a)) or reach[k - 1] < h[0]}
         return [term for _, term in hits.values()], len(words)
 
 

@@ -127,3 +127,42 @@ def test_commonest_word_is_over_the_whole_text():
     words = [f"w{i}" if i % 10 else "spam" for i in range(1, 1001)]
     for shift in range(10):
         assert quality.statistics(" ".join(words[shift:] + words[:shift]))[at] == 0.1
+
+
+def plain_found(text, terms, exceptions):
+    """Every term and exception looked for at every place."""
+    padded = f" {' '.join(toxicity.folded(text).split())} "
+
+    def places(phrase):
+        key = " ".join(toxicity.folded(phrase.rstrip("*")).split())
+        pattern = f" {key}" if phrase.endswith("*") else f" {key} "
+        return [(a, a + len(pattern) - 1) for a in range(len(padded)) if padded.startswith(pattern, a)]
+
+    excused = [p for e in exceptions for p in places(e)]
+    longest = {}
+    for term in terms:
+        for a, end in places(term):
+            if a not in longest or longest[a][0] < end:
+                longest[a] = (end, term)
+    return [t for a, (end, t) in sorted(longest.items()) if not any(x <= a and end <= y for x, y in excused)]
+
+
+def test_terms_against_a_plain_search():
+    import random
+
+    rng = random.Random(6)
+    terms, exceptions = ["trash", "stupid", "idio*", "rat", "rat race", "pig*"], ["trash can", "the stupid trash can", "rat race", "guinea pig"]
+    matcher = toxicity.Matcher(terms, exceptions)
+    words = ["trash", "can", "stupid", "the", "idiot", "1d10t", "rat", "race", "guinea", "pig", "pigs", "ok", "STUP1D"]
+    for _ in range(400):
+        text = " ".join(rng.choices(words, k=rng.randint(0, 14)))
+        assert sorted(matcher.found(text)[0]) == sorted(plain_found(text, terms, exceptions))
+
+
+def test_many_exceptions_in_time():
+    import time
+
+    matcher = toxicity.Matcher(["trash", "stupid"], ["trash can"])
+    start = time.perf_counter()
+    assert matcher.found("trash can stupid " * 50_000)[0] == ["stupid"] * 50_000
+    assert time.perf_counter() - start < 2
