@@ -31,6 +31,10 @@ VERSION = "WARC/1.1"
 IDENTICAL_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "WARC-Target-URI", "WARC-Payload-Digest",
             "WARC-Block-Digest")
+# Records that are not of a page: passed over, once their lengths and digests have been found right.
+OTHER_TYPES = frozenset(["warcinfo", "request", "metadata", "resource", "conversion", "continuation"])
+# A dictionary frame may hold the dictionary as one compressed frame, which begins like this.
+COMPRESSED = b"\x28\xb5\x2f\xfd"
 RECORD_URN = "urn:tapeworks:page:"
 
 # An archive ends after so many frames, or so many bytes; so it fits a task's memory whole.
@@ -76,20 +80,32 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 
 def _heads(data: bytes, first: str) -> tuple[dict[str, str], bytes]:
-    """The named fields of a head that begins with ``first``, and what follows it."""
+    """The fields of a head that begins with ``first``, by their names in small letters, and what follows it."""
     head, gap, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+    try:
+        lines = head.decode().split("\r\n")
+    except UnicodeDecodeError as broken:
+        raise BrokenArchive(f"a head that is not UTF-8: {broken}") from broken
     if not gap or not lines[0].startswith(first):
         raise BrokenArchive(f"no {first} head")
     fields = {}
     for line in lines[1:]:
         name, colon, value = line.partition(":")
+        name = name.strip().lower()
         if not colon or name in fields:
             raise BrokenArchive(f"bad header line {line!r}")
         fields[name] = value.strip()
     return fields, rest
 
 
+def _length(fields: dict[str, str]) -> int:
+    """What a head says of the length of its body."""
+    value = fields.get("content-length", "")
+    if not re.fullmatch(r"[0-9]{1,18}", value):
+        raise BrokenArchive(f"Content-Length {value!r}")
+    return int(value)
+
+
 def _page(urn: str) -> int | None:
     match = re.fullmatch(rf"<{RECORD_URN}(-?\d*)>", urn)
     if match is None:
@@ -108,25 +124,31 @@ class Record:
     refers_to: int | None
 
 
-def parsed(data: bytes) -> Record:
-    """The record in one frame's content; raises if a head, length or digest is not as it must be."""
+def parsed(data: bytes) -> Record | None:
+    """The record in one frame's content; None for one that is of no page, as the description of an archive.
+
+    Raises if a head, length or digest is not as it must be. Names of fields may be in any case.
+    """
     head, rest = _heads(data, VERSION)
-    if missing := [name for name in REQUIRED if name not in head]:
+    kind = head.get("warc-type", "").lower()
+    needed = REQUIRED if kind not in OTHER_TYPES else REQUIRED[:4]
+    if missing := [name for name in needed if name.lower() not in head]:
         raise BrokenArchive(f"without {missing}")
-    length = int(head["Content-Length"])
+    length = _length(head)
     block = rest[:length]
     if len(block) != length or rest[length:] != b"\r\n\r\n":
         raise BrokenArchive(f"Content-Length {length}, but {len(rest) - 4} bytes")
-    if head["WARC-Block-Digest"] != f"sha1:{digest_of(block)}":
+    if head.get("warc-block-digest", f"sha1:{digest_of(block)}") != f"sha1:{digest_of(block)}":
         raise BrokenArchive("block digest")
+    if kind in OTHER_TYPES:
+        return None
     http, payload = _heads(block, "HTTP/")
-    size, digest = int(http["Content-Length"]), head["WARC-Payload-Digest"].removeprefix("sha1:")
-    kind = head["WARC-Type"]
-    page_id, url = _page(head["WARC-Record-ID"]), head["WARC-Target-URI"]
+    size, digest = _length(http), head["warc-payload-digest"].removeprefix("sha1:")
+    page_id, url = _page(head["warc-record-id"]), head["warc-target-uri"]
     if kind == "revisit":
-        if payload or head.get("WARC-Profile") != IDENTICAL_PAYLOAD:
+        if payload or head.get("warc-profile") != IDENTICAL_PAYLOAD:
             raise BrokenArchive("revisit of an unknown profile, or with a payload")
-        return Record(page_id, url, None, size, digest, kind, _page(head["WARC-Refers-To"]))
+        return Record(page_id, url, None, size, digest, kind, _page(head.get("warc-refers-to", "")))
     if kind != "response" or len(payload) != size or digest_of(payload) != digest:
         raise BrokenArchive(f"{kind} payload of {len(payload)} bytes, {size} declared")
     return Record(page_id, url, payload, size, digest, kind, None)
@@ -149,7 +171,10 @@ def frames(archive: bytes) -> Iterator[bytes]:
             if magic == DICTIONARY_FRAME:
                 if at:
                     raise BrokenArchive("a dictionary that does not lead the archive")
-                trained = zstandard.ZstdCompressionDict(bytes(view[8:end]), dict_type=zstandard.DICT_TYPE_FULLDICT)
+                held = bytes(view[8:end])
+                if held.startswith(COMPRESSED):
+                    held = zstandard.ZstdDecompressor().decompressobj().decompress(held)
+                trained = zstandard.ZstdCompressionDict(held, dict_type=zstandard.DICT_TYPE_FULLDICT)
                 decoder = zstandard.ZstdDecompressor(dict_data=trained)
             at = end
             continue
@@ -246,7 +271,8 @@ def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
                 size = 0
                 try:
                     for frame in frames(content):
-                        held.append(parsed(frame))
+                        found = parsed(frame)
+                        held += [found] if found is not None else []
                         size += len(frame)
                         if size > 8 << 20:
                             yield _rows(held, schema, payload)

@@ -89,6 +89,30 @@ def test_broken_records(broken):
         warc.parsed(broken)
 
 
+def test_names_in_any_case_and_other_records():
+    assert warc.parsed(GOOD.replace(b"WARC-Payload-Digest", b"warc-payload-DIGEST").replace(b"WARC-Type", b"Warc-TYPE")).payload == b"hello"
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:x>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Length: 4\r\n\r\na: b\r\n\r\n"
+    assert warc.parsed(info) is None
+    for bad in (info[:-1], info.replace(b"Length: 4", b"Length: abc"), GOOD.replace(b"Content-Length: 5", b"Content-Length: -5"),
+                GOOD.replace(b"WARC-Type: response", b"WARC-Type: other"), b"\xff" + GOOD):
+        with pytest.raises(warc.BrokenArchive):
+            warc.parsed(bad)
+
+
+def test_a_compressed_dictionary(spark, tmp_path):
+    samples = [f"<html><p>page {i} of many, {i * 37 % 91} words</p></html>".encode() * 4 for i in range(200)]
+    trained = zstandard.train_dictionary(1 << 12, samples)
+    packed = zstandard.ZstdCompressor().compress(trained.as_bytes())
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:x>\r\nWARC-Date: d\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    encoder = zstandard.ZstdCompressor(dict_data=trained)
+    archive = struct.pack("<II", warc.DICTIONARY_FRAME, len(packed)) + packed + encoder.compress(info) + encoder.compress(GOOD)
+    (tmp_path / "part-0").write_bytes(archive)
+    assert [bytes(r.payload) for r in warc.read(spark, str(tmp_path)).collect()] == [b"hello"]
+    (tmp_path / "part-1").write_bytes(frame(GOOD.replace(b"Content-Length: 83", b"Content-Length: abc")))
+    with pytest.raises(Exception, match="part-1.*Content-Length"):
+        warc.read(spark, str(tmp_path)).collect()
+
+
 @pytest.mark.parametrize("broken", [
     frame(GOOD)[:-3], frame(GOOD) + b"abc", struct.pack("<II", 0x184D2A50, 99) + b"short",
     frame(GOOD) + struct.pack("<II", warc.DICTIONARY_FRAME, 0)])
