@@ -107,10 +107,10 @@ class Matcher:
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
-        for phrase in exceptions:
-            self._add(phrase, None)
         for term in terms:
             self._add(term, term)
+        for phrase in exceptions:  # a term that is an exception too is one
+            self._add(phrase, None)
         self.automaton.make_automaton()
 
     def _add(self, phrase: str, term: str | None) -> None:
