@@ -110,6 +110,67 @@ def _finish_compaction(spark: SparkSession, path: str, by: str) -> None:
     fs.delete(done, True)
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the folders that are there; nothing else is listed."""
+    return [p for p in paths if (place := _filesystem(spark, p))[1].exists(place[0])]
+
+
+def merge_batches(
+    spark: SparkSession, path: str, first: int, last: int, by: str | None = None,
+    merge: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Bring the batches from ``first`` to ``last`` together, in each folder of ``by``, as that of the last of them.
+
+    These batches must be finished: one that is written again would replace them all. ``merge`` may reduce the rows.
+    The rows are written aside and named as finished by one rename; a run that stops after that is completed by the
+    next. Readers may miss a folder for the moment of the swap.
+    """
+    _finish_merge(spark, path)
+    top, fs = _filesystem(spark, path)
+    if not fs.exists(top):
+        return
+    names = [s.getPath().getName() for s in fs.listStatus(top)]
+    homes = [n for n in names if n.startswith(f"{by}=")] if by else [""]
+    aside = f"{path}/_merging"
+    delete(spark, aside)
+    merged = False
+    for home in homes:
+        numbers = [n for n in _batches(spark, f"{path}/{home}") if first <= n <= last]
+        if len(numbers) > 1:
+            rows = spark.read.parquet(*(f"{path}/{home}/batch_id={n}" for n in numbers))
+            rows = merge(rows) if merge else rows
+            rows.hint("rebalance").write.mode("overwrite").parquet(f"{aside}/{home}/batch_id={last}")
+            merged = True
+    if merged:
+        write_note(spark, f"{aside}/_range", f"{first} {last}")
+        fs.rename(_filesystem(spark, aside)[0], _filesystem(spark, f"{path}/_merged")[0])
+        _finish_merge(spark, path)
+
+
+def _batches(spark: SparkSession, home: str) -> list[int]:
+    folder, fs = _filesystem(spark, home)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
+
+
+def _finish_merge(spark: SparkSession, path: str) -> None:
+    done, fs = _filesystem(spark, f"{path}/_merged")
+    if not fs.exists(done):
+        return
+    first, last = map(int, read_note(spark, f"{path}/_merged/_range").split())
+    names = [s.getPath().getName() for s in fs.listStatus(done)]
+    for home in ([""] if f"batch_id={last}" in names else [n for n in names if not n.startswith("_")]):
+        for number in _batches(spark, f"{path}/{home}"):
+            if first <= number <= last:
+                delete(spark, f"{path}/{home}/batch_id={number}")
+        ready, place = (_filesystem(spark, f"{root}/{home}/batch_id={last}")[0] for root in (f"{path}/_merged", path))
+        if fs.exists(ready):
+            fs.rename(ready, place)
+            if home:
+                delete(spark, f"{path}/_merged/{home}")
+    delete(spark, f"{path}/_merged")
+
+
 def _filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

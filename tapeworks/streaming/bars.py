@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks.operators.bars import BAR_COLUMNS, merge_bars, partial_bars, traced_bars
 from tapeworks.sinks.files import compact, month_batch_writer
-from tapeworks.streaming.runs import start_batches
+from tapeworks.streaming.runs import TIER, BatchStep, in_tiers, start_batches
 
 
 def start_bars(
@@ -15,13 +15,17 @@ def start_bars(
 ) -> StreamingQuery:
     """Each micro-batch adds its partial bars; :func:`read_bars` merges them.
 
-    No state is kept and no row is too late: a bucket spread over several batches has several parts. A batch
-    that is repeated replaces its own parts.
+    No state is kept and no row is too late: a bucket spread over several batches has several parts, until these are
+    merged (see :func:`~tapeworks.streaming.runs.in_tiers`). A batch that is repeated replaces its own parts.
     """
+    return start_batches(trades, bars_step(path, width), checkpoint, trigger)
+
+
+def bars_step(path: str, width: str = "1 minute", tier: int = TIER) -> BatchStep:
+    """Writes the partial bars of a batch, and merges those of earlier batches by symbol and bucket."""
     write = month_batch_writer(path, "minute")
-    return start_batches(
-        trades, lambda batch, batch_id: write(partial_bars(batch, width), batch_id), checkpoint, trigger
-    )
+    return in_tiers(lambda batch, batch_id: write(partial_bars(batch, width), batch_id), path, "month",
+                    lambda parts: merge_bars(parts, width), tier)
 
 
 def compact_bars(spark: SparkSession, path: str, months: list[int], width: str = "1 minute") -> None:

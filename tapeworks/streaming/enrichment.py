@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks.operators.enrich import with_quotes
 from tapeworks.operators.hot import to_quotes, to_trades
 from tapeworks.schemas import QUOTE
-from tapeworks.sinks.files import write_batch
+from tapeworks.sinks.files import existing, write_batch
 from tapeworks.streaming.runs import start_batches
 
 # Quotes are kept in one folder per hour of their event time.
@@ -44,9 +43,9 @@ def start_enrichment(
             # One number for each hour of the batch's trades; a wrong time adds one more, and no quotes.
             first = F.floor(F.unix_seconds(F.col("trade_ts") - F.expr(f"interval {within}")) / F.lit(CELL_SECONDS))
             asked = trades.filter(F.col("trade_ts").isNotNull()).select(first.alias("a"), _cell("trade_ts").alias("b"))
-            cells = {c for a, b in asked.distinct().collect() for c in range(a, b + 1)}
-            stored = spark.read.schema(T.StructType([*QUOTE, T.StructField("cell", T.LongType())])).parquet(quotes_path)
-            known = stored.filter(F.col("cell").isin(*cells)).select(QUOTE.fieldNames()) if cells else arrived.limit(0)
+            cells = sorted({c for a, b in asked.distinct().collect() for c in range(a, b + 1)})
+            paths = existing(spark, [f"{quotes_path}/cell={c}" for c in cells])
+            known = spark.read.schema(QUOTE).parquet(*paths).select(QUOTE.fieldNames()) if paths else arrived.limit(0)
             write_batch(with_quotes(trades, known, within), path, batch_id)
         finally:
             batch.unpersist()

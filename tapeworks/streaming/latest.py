@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks.operators.marts import TOLERANCE, latest_price
 from tapeworks.sinks.files import write_batch
-from tapeworks.streaming.runs import start_batches
+from tapeworks.streaming.runs import in_tiers, start_batches
 
 COLUMNS = ["symbol", "price", "trade_ts", "trade_id", "source_ts"]
 
@@ -29,9 +29,15 @@ def start_latest_price(
     newest = trades.groupBy("symbol").agg(
         F.max(F.when(sane & F.col("price").isNotNull(), place)).alias("last"), F.max("source_ts").alias("source_ts")
     ).select("symbol", "last.price", "last.trade_ts", "last.trade_id", "source_ts")
-    return start_batches(
-        newest, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint, trigger, mode="update"
-    )
+    step = in_tiers(lambda batch, batch_id: write_batch(batch, path, batch_id), path, merge=newest_of)
+    return start_batches(newest, step, checkpoint, trigger, mode="update")
+
+
+def newest_of(seen: DataFrame) -> DataFrame:
+    """One row per symbol: its newest trade of all that batches have written, and the broker's newest time."""
+    last = F.max(F.when(F.col("price").isNotNull(), F.struct("trade_ts", "trade_id", "price"))).alias("last")
+    return seen.groupBy("symbol").agg(last, F.max("source_ts").alias("source_ts")).select(
+        "symbol", "last.price", "last.trade_ts", "last.trade_id", "source_ts")
 
 
 def read_latest(spark: SparkSession, path: str, ttl: str = "1 hour", now: datetime | None = None) -> DataFrame:

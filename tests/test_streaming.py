@@ -1,19 +1,20 @@
 from collections import Counter
 
 import pytest
-from helpers import bronze, envelope, millis, payload
+from helpers import bronze, envelope, millis, payload, trades, utc
 
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from tapeworks.operators import bars, hot
 from tapeworks.sinks import files
 from tapeworks.sources import envelope as source
 from tapeworks.operators import enrich, marts
 from tapeworks.streaming import runs
-from tapeworks.streaming.bars import closed_bars, compact_bars, read_bars, start_bars
+from tapeworks.streaming.bars import bars_step, closed_bars, compact_bars, read_bars, start_bars
 from tapeworks.streaming.dedupe import drop_repeats
 from tapeworks.streaming.dual_sink import start_dual_sink
 from tapeworks.streaming.enrichment import start_enrichment
-from tapeworks.streaming.latest import read_latest, start_latest_price
+from tapeworks.streaming.latest import newest_of, read_latest, start_latest_price
 
 
 class Feed:
@@ -264,3 +265,85 @@ def test_fifty_batches_become_few_files(spark, tmp_path):
         assert sorted(read_bars(spark, path).collect()) == sorted(before)
     write(bars.partial_bars(hot.to_trades(bronze(spark, *trades[:1]))), 50)
     assert count() == 2
+
+
+def folders(path):
+    import glob
+
+    return sorted(glob.glob(f"{path}/**/batch_id=*", recursive=True))
+
+
+def test_two_hundred_batches_stay_in_few_files(spark, tmp_path):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path, most = str(tmp_path / "rows"), 0
+
+    def write(batch, batch_id):  # as a batch writer does, without the time that a job takes
+        home = f"{path}/month=202405/batch_id={batch_id}"
+        os.makedirs(home, exist_ok=True)
+        pq.write_table(pa.table({"symbol": ["S"], "n": [batch_id]}), f"{home}/part-0.parquet")
+
+    step = runs.in_tiers(write, path, "month")
+    nothing = spark.range(0)
+    for i in range(200):
+        step(nothing, i)
+        if i in (10, 100, 150):
+            step(nothing, i)  # a batch that is repeated replaces its own rows
+        most = max(most, len(folders(path)))
+    assert most <= 9 + 9 + 2 + 1
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == list(range(200))
+
+
+def test_bars_are_merged_while_the_stream_runs(spark, tmp_path):
+    path, rows = str(tmp_path / "bars"), []
+    step = bars_step(path, tier=3)
+    for i in range(11):
+        new = [(f"{i}", f"S{i % 2}", float(i * 37 % 101), 0.5, f"2024-05-01 10:{i % 2:02}:{i:02}")]
+        rows += new
+        step(trades(spark, *new).coalesce(1), i)
+    assert len(folders(path)) <= 2 + 2 + 2
+    assert spark.read.parquet(path).count() < 11
+    assert sorted(read_bars(spark, path).collect()) == sorted(bars.ohlcv(trades(spark, *rows)).collect())
+
+
+def test_a_merge_that_stopped_half_way_is_completed(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    for i in range(4):
+        files.write_batch(spark.range(i, i + 1).withColumn("k", F.lit(i % 2)), path, i, ["k"])
+        files.write_batch(spark.range(10 * i, 10 * i + 1).withColumn("k", F.lit(0)), f"{path}/k=9", i)
+    for stop in (1, 2, 3):
+        real, left = files.delete, [stop]
+
+        def failing(spark_, folder):
+            if "batch_id=" in folder or folder.endswith("_merged"):
+                left[0] -= 1
+                if not left[0]:
+                    raise OSError("gone")
+            real(spark_, folder)
+
+        with monkeypatch.context() as broken:
+            broken.setattr(files, "delete", failing)
+            try:
+                files.merge_batches(spark, path, 0, 3, "k")
+            except OSError:
+                pass
+        files.merge_batches(spark, path, 0, 3, "k")
+        assert sorted(r.id for r in spark.read.parquet(path).filter("k < 9").collect()) == [0, 1, 2, 3]
+    assert len(folders(path)) == 3
+
+
+def test_newest_prices_are_merged(spark, tmp_path):
+    path = str(tmp_path / "latest")
+    seen = spark.createDataFrame(
+        [("S", 1.0, utc("2024-05-01 10:00:00"), "a", utc("2024-05-01 10:00:00")), ("S", 2.0, utc("2024-05-01 10:00:05"), "b", utc("2024-05-01 10:00:05")),
+         ("T", 3.0, utc("2024-05-01 10:00:01"), "c", utc("2024-05-01 10:00:01")), ("S", None, None, None, utc("2024-05-01 10:00:09"))],
+        "symbol string, price double, trade_ts timestamp, trade_id string, source_ts timestamp")
+    for i in range(4):
+        files.write_batch(seen.limit(i + 1), path, i)
+    before = sorted(read_latest(spark, path).collect())
+    files.merge_batches(spark, path, 0, 2, merge=newest_of)
+    assert len(folders(path)) == 2 and sorted(read_latest(spark, path).collect()) == before
+    assert [r.price for r in before] == [2.0, 3.0]
