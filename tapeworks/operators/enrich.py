@@ -105,8 +105,12 @@ def with_quotes(trades: DataFrame, quotes: DataFrame, within: str | None = None,
     if within is not None:
         recent = F.col("quote.event_ts") >= F.col("trade_ts") - F.expr(f"interval {within}")
         quote = F.when(recent, quote)
-    found = prevailing_quotes(trades, quotes, **sizes).withColumn("quote", quote)
-    joined = found.select(*trades.columns, *[F.col(f"quote.{f}").alias(f) for f in QUOTE_FIELDS])
+    return priced(prevailing_quotes(trades, quotes, **sizes).withColumn("quote", quote), trades.columns)
+
+
+def priced(found: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of a trade, and what its ``quote`` says of it."""
+    joined = found.select(*columns, *[F.col(f"quote.{f}").alias(f) for f in QUOTE_FIELDS])
     mid = (F.col("bid") + F.col("ask")) / 2
     return joined.withColumns({
         "mid": mid,

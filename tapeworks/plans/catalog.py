@@ -22,7 +22,7 @@ from tapeworks.streaming import runs
 from tapeworks.streaming.bars import closed_bars, read_bars, start_bars
 from tapeworks.streaming.dedupe import drop_repeats
 from tapeworks.streaming.dual_sink import start_dual_sink
-from tapeworks.streaming.enrichment import start_enrichment
+from tapeworks.streaming.enrichment import start_enrichment, with_late_quotes
 from tapeworks.streaming.latest import read_latest, start_latest_price
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -565,3 +565,15 @@ def trades_enriched_stream(spark, sf_dir):
         ),
     )
     return spark.read.parquet(path).drop("batch_id")
+
+
+@query
+def trades_enriched_late(spark, sf_dir):
+    path, checkpoint = workspace(spark, "enriched-late"), workspace(spark, "checkpoint")
+    replay_in_order(
+        fx.late_quotes_envelope(spark, sf_dir),
+        lambda stream: runs.start_files(
+            with_late_quotes(to_bronze(stream), "400 days", within="1 day"), path, checkpoint, runs.CATCH_UP
+        ),
+    )
+    return spark.read.parquet(path).drop(*silver.LINEAGE)

@@ -179,6 +179,21 @@ def quotes_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _envelope(rows, QUOTES_TOPIC, value)
 
 
+def late_quotes_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades, and quotes that the broker gets ten days late; then one of each, years later, which ends all waiting."""
+    late = quotes_envelope(spark, sf_dir).withColumn("timestamp", F.col("timestamp") + F.expr("interval 10 days"))
+    both = trades_envelope(spark, sf_dir).unionByName(late)
+    end = both.agg(F.max("timestamp").alias("timestamp"))
+    years = F.unix_millis(F.col("timestamp") + F.expr("interval 10 years"))
+    last = {TRADES_TOPIC: F.struct(F.lit("end").alias("trade_id"), years.alias("trade_ts")),
+            QUOTES_TOPIC: F.struct(F.lit("end").alias("symbol"), years.alias("event_ts"))}
+    for topic, value in last.items():
+        row = end.select(F.lit(None).cast("binary").alias("key"), F.to_json(value).cast("binary").alias("value"),
+                         F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.lit(-1).cast("long").alias("offset"), "timestamp")
+        both = both.unionByName(row)
+    return both
+
+
 def untidy_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(untidy_envelope(spark, sf_dir))
 

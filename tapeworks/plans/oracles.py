@@ -329,6 +329,8 @@ def all_oracles() -> dict[str, str]:
         "trades_enriched": asof,
         "trades_enriched_stream":
             f"{e}, {_BEST_QUOTES}, {_asof('p.trade_ts - best.event_ts <= interval 1 day')}",
+        "trades_enriched_late":
+            f"{e}, {_BEST_QUOTES}, {_asof('p.trade_ts - best.event_ts <= interval 1 day')}",
         "silver_incremental": f"""{t},
             early as (select *, row_number() over (partition by trade_id order by source_ts desc nulls last,
                         kafka_partition desc, kafka_offset desc) as n

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tapeworks.operators.enrich import with_quotes
+from tapeworks.operators.enrich import QUOTE_FIELDS, priced, with_quotes
 from tapeworks.operators.hot import to_quotes, to_trades
-from tapeworks.schemas import QUOTE
+from tapeworks.operators.silver import LINEAGE
+from tapeworks.schemas import HOT_TRADE, QUOTE
 from tapeworks.sinks.files import existing, write_batch
 from tapeworks.streaming.runs import start_batches
 
@@ -45,9 +46,35 @@ def start_enrichment(
             asked = trades.filter(F.col("trade_ts").isNotNull()).select(first.alias("a"), _cell("trade_ts").alias("b"))
             cells = sorted({c for a, b in asked.distinct().collect() for c in range(a, b + 1)})
             paths = existing(spark, [f"{quotes_path}/cell={c}" for c in cells])
-            known = spark.read.schema(QUOTE).parquet(*paths).select(QUOTE.fieldNames()) if paths else arrived.limit(0)
+            known = spark.read.option("basePath", quotes_path).schema(QUOTE).parquet(*paths).select(QUOTE.fieldNames()) if paths else arrived.limit(0)
             write_batch(with_quotes(trades, known, within), path, batch_id)
         finally:
             batch.unpersist()
 
     return start_batches(bronze, step, checkpoint, trigger)
+
+
+def with_late_quotes(
+    bronze: DataFrame, delay: str, *, trades_topic: str = "trades_raw", quotes_topic: str = "market_data_raw",
+    within: str = "10 minutes",
+) -> DataFrame:
+    """A stream of trades, each once, with the newest quote of the last ``within``, whenever that has arrived.
+
+    Trades and quotes wait in state until both watermarks have passed a trade, so a quote that comes up to ``delay``
+    later than others still reaches it; then the trade appears, without a quote if there is none. This is an outer join
+    over a range of time and an aggregate on top of it: the state holds ``within`` and ``delay`` of both streams, and
+    the join builds the pairs of a trade and the quotes of its interval. What is later than ``delay`` is left out. Trades
+    without a time cannot wait and appear at once; the columns that tell records apart stay.
+    """
+    kept = (*LINEAGE,)
+    trades = to_trades(bronze.filter(F.col("kafka_topic") == trades_topic), keep=kept)
+    quotes = to_quotes(bronze.filter(F.col("kafka_topic") == quotes_topic)).filter("symbol IS NOT NULL AND event_ts IS NOT NULL")
+    names = [*HOT_TRADE.fieldNames(), *kept]
+    waiting = trades.filter("trade_ts IS NOT NULL").withWatermark("trade_ts", delay)
+    quoted = quotes.withColumnRenamed("symbol", "of").withWatermark("event_ts", delay)
+    in_range = (F.col("symbol") == F.col("of")) & (F.col("event_ts") <= F.col("trade_ts")) & (
+        F.col("event_ts") >= F.col("trade_ts") - F.expr(f"interval {within}"))
+    newest = F.max(F.when(F.col("of").isNotNull(), F.struct("event_ts", *reversed(QUOTE_FIELDS)))).alias("quote")
+    found = waiting.join(quoted, in_range, "left_outer").groupBy(*names).agg(newest)
+    timeless = trades.filter("trade_ts IS NULL").withColumn("quote", F.lit(None).cast(found.schema["quote"].dataType))
+    return priced(found.unionByName(timeless), names)

@@ -13,7 +13,7 @@ from tapeworks.streaming import runs
 from tapeworks.streaming.bars import bars_step, closed_bars, compact_bars, read_bars, start_bars
 from tapeworks.streaming.dedupe import drop_repeats
 from tapeworks.streaming.dual_sink import start_dual_sink
-from tapeworks.streaming.enrichment import start_enrichment
+from tapeworks.streaming.enrichment import start_enrichment, with_late_quotes
 from tapeworks.streaming.latest import newest_of, read_latest, start_latest_price
 
 
@@ -231,6 +231,24 @@ def test_enrichment_uses_quotes_of_earlier_batches(spark, feed, tmp_path):
     assert {r.trade_id: r.bid for r in spark.read.parquet(out).collect()} == {**got, "later": 11.0}
 
 
+def test_a_quote_one_batch_late_reaches_its_trade(spark, feed, tmp_path):
+    at, minute = millis(AT), 60_000
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    start = lambda s: runs.start_files(
+        with_late_quotes(source.to_bronze(s), "10 minutes", within="2 minutes"), out, checkpoint, runs.CATCH_UP)
+    got = lambda: {r.trade_id: r.bid for r in spark.read.parquet(out).collect()}
+    feed.send(payload(trade_id="a", trade_ts=at + 5000), payload(trade_id="b", trade_ts=at + 5 * minute),
+              payload(trade_id="nobody", symbol=None, trade_ts=at), payload(trade_id="t", trade_ts=None))
+    feed.run(start)
+    assert got() == {"t": None}
+    feed.send(quote(1000, 10.0), quote(4000, 11.0), quote(6000, 12.0), topic="market_data_raw")
+    feed.run(start)
+    feed.send(payload(trade_id="end", symbol="Z", trade_ts=at + 60 * minute))
+    feed.send(quote(60 * minute, 1.0), topic="market_data_raw")
+    feed.run(start)
+    assert got() == {"t": None, "a": 11.0, "b": None, "nobody": None}
+
+
 def test_stream_equals_batch_on_gaps(spark, feed, tmp_path):
     at = millis(AT)
     trades = [payload(trade_id=None, trade_ts=at + 10), payload(trade_id="s", symbol=None), payload(trade_id="t", trade_ts=None),
