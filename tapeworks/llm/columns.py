@@ -65,6 +65,22 @@ def slices(batch: pa.RecordBatch, sizes: Sequence[int], limit: int = SLICE_BYTES
         yield batch.slice(start)
 
 
+def regrouped(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in runs of about ``limit`` bytes of text, or of one row, over the borders of batches."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in slices(batch, byte_sizes(batch.column(text)), limit):
+            more = sum(byte_sizes(part.column(text)))
+            if held and size + more > limit:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+            held.append(part)
+            size += more
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def byte_sizes(values: pa.Array) -> list[int]:
     """Bytes of each value of a string or binary column; null has none."""
     import pyarrow.compute as pc

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeworks.llm.bpe import encoder_of
-from tapeworks.llm.columns import byte_sizes, prepared, slices, stage
+from tapeworks.llm.columns import prepared, regrouped, stage
 
 CAPACITY = 4096
 END_ID = 1
@@ -49,17 +49,16 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, end_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(shared.value)
-        for batch in batches:
-            for part in slices(batch, byte_sizes(batch.column("text"))):
-                ends, ids = encoder.encode_flat([t or "" for t in part.column("text").to_pylist()])
-                found = [ids[a:b].astype("<u4").tobytes() + end for a, b in zip(np.append(0, ends), ends)]
-                counts = np.array([-(-len(f) // (4 * capacity)) for f in found], dtype=np.int64)
-                row = np.repeat(np.arange(len(found)), counts)
-                number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-                cut = [found[i][4 * capacity * k : 4 * capacity * (k + 1)] for i, k in zip(row.tolist(), number.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(number * capacity),
-                     pa.array([len(c) // 4 for c in cut], pa.int64()), pa.array(cut, pa.binary())], names=names)
+        for part in regrouped(batches, "text"):
+            ends, ids = encoder.encode_flat([t or "" for t in part.column("text").to_pylist()])
+            found = [ids[a:b].astype("<u4").tobytes() + end for a, b in zip(np.append(0, ends), ends)]
+            counts = np.array([-(-len(f) // (4 * capacity)) for f in found], dtype=np.int64)
+            row = np.repeat(np.arange(len(found)), counts)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            cut = [found[i][4 * capacity * k : 4 * capacity * (k + 1)] for i, k in zip(row.tolist(), number.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id").take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(number * capacity),
+                 pa.array([len(c) // 4 for c in cut], pa.int64()), pa.array(cut, pa.binary())], names=names)
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(
