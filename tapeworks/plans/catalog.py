@@ -35,7 +35,7 @@ CUT_OFF_DAY = date(2024, 1, 15)
 PRUNE_DAYS = (date(2024, 1, 10), date(2024, 1, 12))
 # Day by day, so that a run with no run the day before it is among them.
 RUN_DAYS = (date(1998, 6, 30), date(1998, 7, 20), date(1999, 3, 31))
-FRESH_WITHIN = "20 days"
+FRESH_WITHIN = "7 days"
 RANGE_BOUNDS = ("1996-01-01", "2001-01-01")
 
 # A SQL model of Gold, as analysts keep them: sums in decimals, for this engine's own SQL.

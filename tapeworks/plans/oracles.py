@@ -209,7 +209,7 @@ _QUALITY_T = {
 }
 
 _STALE = """select symbol, max(trade_ts) as newest from silver group by symbol
-            having coalesce(max(trade_ts) < (select max(trade_ts) from silver) - interval 20 days, true)"""
+            having coalesce(max(trade_ts) < (select max(trade_ts) from silver) - interval 7 days, true)"""
 _WRONG_SIDE = "side not in ('buy', 'sell')"
 
 
