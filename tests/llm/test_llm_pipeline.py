@@ -71,7 +71,7 @@ def test_the_whole_run(spark, documents, sf):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in llm_queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in llm_queries()) == list(range(1, 14))
 
 
 def test_odd_rows_and_clashing_columns_pass_through(spark, sf):
