@@ -24,6 +24,7 @@ from tapeworks.streaming.dedupe import drop_repeats
 from tapeworks.streaming.dual_sink import start_dual_sink
 from tapeworks.streaming.enrichment import start_enrichment, with_late_quotes
 from tapeworks.streaming.latest import read_latest, start_latest_price
+from tapeworks.streaming.live import read_live_prices, read_live_volume, start_live_prices, start_live_volume
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -554,6 +555,30 @@ def latest_price_stream(spark, sf_dir):
     return read_latest(spark, path)
 
 
+@query
+def latest_price_expiring(spark, sf_dir):
+    path, checkpoint = workspace(spark, "live-prices"), workspace(spark, "checkpoint")
+    replay_in_order(
+        fx.live_envelope(spark, sf_dir),
+        lambda stream: start_live_prices(
+            hot.to_trades(to_bronze(stream), keep=("source_ts",)), path, checkpoint, trigger=runs.CATCH_UP
+        ),
+    )
+    return read_live_prices(spark, path)
+
+
+@query
+def live_volume_stream(spark, sf_dir):
+    path, checkpoint = workspace(spark, "live-volume"), workspace(spark, "checkpoint")
+    replay_shuffled(
+        fx.live_envelope(spark, sf_dir),
+        lambda stream: start_live_volume(
+            hot.to_trades(to_bronze(stream), keep=("source_ts",)), path, checkpoint, trigger=runs.CATCH_UP
+        ),
+    )
+    return read_live_volume(spark, path)
+
+
 @query
 def trades_enriched_stream(spark, sf_dir):
     path, quotes, checkpoint = (workspace(spark, p) for p in ("enriched", "quotes", "checkpoint"))

@@ -396,6 +396,11 @@ def all_oracles() -> dict[str, str]:
         "live_volume": f"""{e}
             select symbol, {_sum4('quantity')} as volume, {_sum4('price * quantity')} as notional, count(*) as trades
             from e where trade_ts >= (select max(ts) from e) - interval 1 hour and event_id % 997 <> 3 group by symbol""",
+        "latest_price_expiring": latest,
+        "live_volume_stream": f"""{e}
+            select symbol, {_sum4('quantity')} as volume, {_sum4('price * quantity')} as notional, count(*) as trades
+            from e where trade_ts >= date_trunc('minute', (select max(ts) from e)) - interval 1 hour
+              and event_id % 997 <> 3 group by symbol""",
         "active_positions": f"""{t}
             select symbol, {_sum4("case when side = 'buy' then quantity else -quantity end")} as position
             from silver group by symbol having position <> 0""",
