@@ -1,4 +1,4 @@
-"""Command line for spark-submit: ``stream``, ``bars``, ``latest``, ``enrich``, ``compact``, ``silver``, ``gold``, ``daily``.
+"""Command line for spark-submit: ``stream``, ``bars``, ``latest``, ``volume``, ``enrich``, ``compact``, ``silver``, ``gold``, ``daily``.
 
 The session, its catalogs and connectors are configured by spark-submit.
 """
@@ -21,6 +21,7 @@ from tapeworks.streaming.bars import compact_bars, start_bars
 from tapeworks.streaming.dual_sink import start_dual_sink
 from tapeworks.streaming.enrichment import start_enrichment
 from tapeworks.streaming.latest import start_latest_price
+from tapeworks.streaming.live import start_live_prices, start_live_volume
 
 
 def _is_path(target: str) -> bool:
@@ -49,8 +50,9 @@ def parser() -> argparse.ArgumentParser:
     stream = commands.add_parser("stream", help="topic to Bronze and the hot table")
     bars = commands.add_parser("bars", help="topic to minute bars in a folder")
     latest = commands.add_parser("latest", help="topic to the newest price of each symbol in a folder")
+    volume = commands.add_parser("volume", help="topic to the volumes of the last hour, by symbol and minute, in a folder")
     enrich = commands.add_parser("enrich", help="topics of trades and quotes to trades with their quotes in a folder")
-    for sub in (stream, bars, latest, enrich):
+    for sub in (stream, bars, latest, volume, enrich):
         sub.add_argument("--servers", required=True)
         sub.add_argument("--topic", default="trades_raw")
         sub.add_argument("--checkpoint", required=True)
@@ -58,8 +60,10 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--max-offsets", help="records per micro-batch at most")
         sub.add_argument("--starting-offsets", default="latest", help="earliest, latest, or offsets as JSON")
         sub.add_argument("--fail-on-data-loss", action="store_true", help="stop when the broker has dropped offsets")
-    for sub in (bars, latest, enrich):
+    for sub in (bars, latest, volume, enrich):
         sub.add_argument("--out", required=True, help="folder")
+    latest.add_argument("--ttl", help="let symbols expire in state, as '1 hour'; else they do when read")
+    volume.add_argument("--window", default="1 hour")
     stream.add_argument("--bronze", required=True, help="folder, or table of a configured catalog")
     stream.add_argument("--hot", required=True, help="folder, or table of the database at --jdbc-url")
     stream.add_argument("--rejects", help="folder for what the hot table cannot hold")
@@ -108,7 +112,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         start_bars(trades, args.out, args.checkpoint, trigger=_trigger(args)).awaitTermination()
     elif args.command == "latest":
         trades = to_trades(to_bronze(_topic(spark, args, args.topic)), keep=("source_ts",))
-        start_latest_price(trades, args.out, args.checkpoint, trigger=_trigger(args)).awaitTermination()
+        if args.ttl:
+            start_live_prices(trades, args.out, args.checkpoint, args.ttl, trigger=_trigger(args)).awaitTermination()
+        else:
+            start_latest_price(trades, args.out, args.checkpoint, trigger=_trigger(args)).awaitTermination()
+    elif args.command == "volume":
+        trades = to_trades(to_bronze(_topic(spark, args, args.topic)), keep=("source_ts",))
+        start_live_volume(trades, args.out, args.checkpoint, args.window, trigger=_trigger(args)).awaitTermination()
     elif args.command == "enrich":
         both = to_bronze(_topic(spark, args, f"{args.topic},{args.quotes_topic}"))
         start_enrichment(

@@ -6,6 +6,9 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tapeworks.schemas import HOT_TRADE
 
 # Many rows per round trip, and no transaction isolation: the store is append-only.
 JDBC_DEFAULTS = {"batchsize": "10000", "isolationLevel": "NONE"}
@@ -35,11 +38,44 @@ def _execute(df: DataFrame, options: Mapping[str, str], statement: str) -> None:
         connection.close()
 
 
+# Column types of the stores, by those of the table's schema.
+COLUMN_TYPES = {
+    "ansi": {"string": "VARCHAR(64)", "double": "DOUBLE PRECISION", "timestamp": "TIMESTAMP(6)", "bigint": "BIGINT"},
+    "columnar": {"string": "String", "double": "Float64", "timestamp": "DateTime64(6, 'UTC')", "bigint": "Int64"},
+}
+
+
+def hot_table_ddl(table: str, dialect: str = "columnar", schema: StructType = HOT_TRADE) -> str:
+    """Definition of a hot table that :func:`jdbc_batch_writer` can write to: the trades and ``batch_id``.
+
+    In the columnar dialect it is laid out by month, in order of symbol and time, as the files are; elsewhere an index is for the store to
+    add. Of the trade's columns the symbol and the time, by which it is ordered, are never missing.
+    """
+    types, ordered = COLUMN_TYPES[dialect], ("symbol", "trade_ts")
+    lines = []
+    for name, kind in [*((f.name, f.dataType.simpleString()) for f in schema), ("batch_id", "bigint")]:
+        needed = name in (*ordered, "batch_id")
+        if dialect == "columnar":
+            lines.append(f"  {name} {types[kind] if needed else f'Nullable({types[kind]})'}")
+        else:
+            lines.append(f"  {name} {types[kind]}{' NOT NULL' if needed else ''}")
+    layout = "\nENGINE = MergeTree PARTITION BY toYYYYMM(trade_ts) ORDER BY (symbol, trade_ts)" if dialect == "columnar" else ""
+    return f"CREATE TABLE {table} (\n" + ",\n".join(lines) + f"\n){layout}"
+
+
 def jdbc_batch_writer(
     options: Mapping[str, str], delete: str = "DELETE FROM {table} WHERE batch_id = {batch_id}"
 ) -> Callable[[DataFrame, int], None]:
-    """Writes micro-batches with a batch_id column; what an earlier attempt left of a batch is deleted first."""
+    """Writes micro-batches with a batch_id column; what an earlier attempt left of a batch is deleted first.
+
+    An attempt can have come before only if this writer has begun the batch already, or has begun none yet (the job may have been
+    started again); all other batches are appended without a delete.
+    """
+    begun: list[int] = []
+
     def write(df: DataFrame, batch_id: int) -> None:
-        _execute(df, options, delete.format(table=options["dbtable"], batch_id=int(batch_id)))
+        if not begun or batch_id <= begun[-1]:
+            _execute(df, options, delete.format(table=options["dbtable"], batch_id=int(batch_id)))
+        begun[:] = [batch_id]
         append_jdbc(df.withColumn("batch_id", F.lit(batch_id).cast("bigint")), options)
     return write

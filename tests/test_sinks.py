@@ -173,13 +173,35 @@ def test_jdbc_options():
                    "url": "jdbc:x", "dbtable": "trades"}
 
 
-def test_jdbc_batch_is_deleted_before_it_is_written(spark, monkeypatch):
+def test_jdbc_batch_that_may_be_a_repeat_is_deleted_first(spark, monkeypatch):
     """Order and content only; no database is started here."""
     done = []
+
+    def append(df, options):
+        done.append(df.columns)
+        if len(done) == 4:
+            raise RuntimeError("lost")
+
     monkeypatch.setattr(jdbc, "_execute", lambda df, options, statement: done.append(statement))
-    monkeypatch.setattr(jdbc, "append_jdbc", lambda df, options: done.append(df.columns))
-    jdbc.jdbc_batch_writer(jdbc.jdbc_options("jdbc:x", "hot"))(spark.range(1), 7)
-    assert done == ["DELETE FROM hot WHERE batch_id = 7", ["id", "batch_id"]]
+    monkeypatch.setattr(jdbc, "append_jdbc", append)
+    write, columns = jdbc.jdbc_batch_writer(jdbc.jdbc_options("jdbc:x", "hot")), ["id", "batch_id"]
+    write(spark.range(1), 7)
+    write(spark.range(1), 8)
+    with pytest.raises(RuntimeError):
+        write(spark.range(1), 9)
+    write(spark.range(1), 9)
+    write(spark.range(1), 10)
+    assert done == ["DELETE FROM hot WHERE batch_id = 7", columns, columns, columns,
+                    "DELETE FROM hot WHERE batch_id = 9", columns, columns]
+
+
+def test_hot_table_has_the_columns_that_are_written():
+    for dialect in jdbc.COLUMN_TYPES:
+        ddl = jdbc.hot_table_ddl("hot", dialect)
+        assert [line.split()[0] for line in ddl.splitlines()[1:8]] == [
+            "trade_id", "symbol", "side", "price", "quantity", "trade_ts", "batch_id"]
+    assert "Nullable(Float64)" in jdbc.hot_table_ddl("hot") and "ORDER BY (symbol, trade_ts)" in jdbc.hot_table_ddl("hot")
+    assert "symbol VARCHAR(64) NOT NULL" in jdbc.hot_table_ddl("hot", "ansi")
 
 
 def test_shared_folder(spark, monkeypatch):
