@@ -48,19 +48,16 @@ COLUMN_TYPES = {
 def hot_table_ddl(table: str, dialect: str = "columnar", schema: StructType = HOT_TRADE) -> str:
     """Definition of a hot table that :func:`jdbc_batch_writer` can write to: the trades and ``batch_id``.
 
-    In the columnar dialect it is laid out by month, in order of symbol and time, as the files are; elsewhere an index is for the store to
-    add. Of the trade's columns the symbol and the time, by which it is ordered, are never missing.
+    No column may be missing: rows that lack one go to the rejects (``hot.unstorable``). In the columnar dialect the table is
+    laid out by month, in order of symbol and time, as the files are; elsewhere an index is for the store to add.
     """
-    types, ordered = COLUMN_TYPES[dialect], ("symbol", "trade_ts")
-    lines = []
-    for name, kind in [*((f.name, f.dataType.simpleString()) for f in schema), ("batch_id", "bigint")]:
-        needed = name in (*ordered, "batch_id")
-        if dialect == "columnar":
-            lines.append(f"  {name} {types[kind] if needed else f'Nullable({types[kind]})'}")
-        else:
-            lines.append(f"  {name} {types[kind]}{' NOT NULL' if needed else ''}")
-    layout = "\nENGINE = MergeTree PARTITION BY toYYYYMM(trade_ts) ORDER BY (symbol, trade_ts)" if dialect == "columnar" else ""
-    return f"CREATE TABLE {table} (\n" + ",\n".join(lines) + f"\n){layout}"
+    types = COLUMN_TYPES[dialect]
+    columns = [(f.name, types[f.dataType.simpleString()]) for f in schema] + [("batch_id", types["bigint"])]
+    if dialect == "columnar":
+        needed, layout = "", "\nENGINE = MergeTree PARTITION BY toYYYYMM(trade_ts) ORDER BY (symbol, trade_ts)"
+    else:
+        needed, layout = " NOT NULL", ""
+    return f"CREATE TABLE {table} (\n" + ",\n".join(f"  {name} {kind}{needed}" for name, kind in columns) + f"\n){layout}"
 
 
 def jdbc_batch_writer(

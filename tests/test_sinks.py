@@ -200,7 +200,7 @@ def test_hot_table_has_the_columns_that_are_written():
         ddl = jdbc.hot_table_ddl("hot", dialect)
         assert [line.split()[0] for line in ddl.splitlines()[1:8]] == [
             "trade_id", "symbol", "side", "price", "quantity", "trade_ts", "batch_id"]
-    assert "Nullable(Float64)" in jdbc.hot_table_ddl("hot") and "ORDER BY (symbol, trade_ts)" in jdbc.hot_table_ddl("hot")
+    assert "price Float64" in jdbc.hot_table_ddl("hot") and "ORDER BY (symbol, trade_ts)" in jdbc.hot_table_ddl("hot")
     assert "symbol VARCHAR(64) NOT NULL" in jdbc.hot_table_ddl("hot", "ansi")
 
 
