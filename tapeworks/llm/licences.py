@@ -30,8 +30,9 @@ SENTENCE_END = r"\s(?<=[.!?]\s)\s*(?=\p{Lu})"
 COMMENT = r"^[ \t]*(?:(?:#+|/\*+|\*+/|\*+|//+|--+|;+|%+|<!--)(?=[ \t]|$)[ \t]*)+"
 # No text is wrapped at more columns; longer lines are paragraphs of their own.
 WRAP_COLUMNS = 200
-# Stands before a line's number where lines are put together; two noncharacters, which are in no text.
-_MARK, _END = "\ufdd0", "\ufdd1"
+# Stand around a line's number where lines are put together, and before groups and sentences: noncharacters. In a text they are
+# read as U+FFFD, the sign for what is no character.
+_MARK, _END, _NEXT = "\ufdd0", "\ufdd1", "\ufdd2"
 
 # Notices by family, with a name for each.
 TEMPLATES = (
@@ -69,6 +70,13 @@ TEMPLATES = (
     ("Unlicense", "Unlicense-short", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All-rights", "All rights reserved. No part of this publication may be reproduced without prior written permission."),
 )
+# What licence identifiers of a family begin with, in lines such as "SPDX-License-Identifier: MIT".
+IDENTIFIERS = (
+    ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL", "GPL"), ("LGPL", "LGPL"), ("AGPL", "AGPL"), ("BSD", "BSD"),
+    ("MPL-2.0", "MPL-2.0"), ("CC-BY", "CC-BY"), ("CC-BY-SA", "CC-BY-SA"), ("CC-BY-NC", "CC-BY-NC"), ("CC0", "CC0-1.0"),
+    ("ISC", "ISC"), ("Unlicense", "Unlicense"),
+)
+IDENTIFIER_LINE = "SPDX-License-Identifier: "
 # Paragraphs with words of licences that are none.
 ORDINARY = (
     "You need a driving licence to rent a car.", "The license plate of the car was found under the bridge.",
@@ -175,7 +183,8 @@ def fit(features: list[list[int]], families: list[str | None], ridge: float = 1e
 
 def _variants(spark: SparkSession) -> DataFrame:
     """Templates with some of their words left out, and with foreign words around, by a hash."""
-    templates = spark.createDataFrame([(f, t) for f, _, t in TEMPLATES], "family string, text string")
+    texts = [(f, t) for f, _, t in TEMPLATES] + [(f, IDENTIFIER_LINE + name) for f, name in IDENTIFIERS]
+    templates = spark.createDataFrame(texts, "family string, text string")
     each = templates.withColumn("text", F.explode(F.split("text", SENTENCE_END))).withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
     words = F.split(normalised(F.col("text")), " ")
     kept = F.filter(words, lambda w, i: F.pmod(F.xxhash64("v", w, i), F.lit(20)) >= F.col("v") % 5)
@@ -191,7 +200,8 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     up to a blank line, a line of more than WRAP_COLUMNS or a sentence end; comment marks are no part of it. One of
     several lines has ``parts``, what stands in each of them: (line, nth, paragraph).
     """
-    lines = _once(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "lines", F.split("text", LINE_END))
+    plain = F.translate(F.col(text), _MARK + _END + _NEXT, "\ufffd" * 3)
+    lines = _once(docs.select(F.col(id_col).alias("id"), plain.alias("text")), "lines", F.split("text", LINE_END))
     lines = _once(lines, "cleaned", F.transform("lines", lambda x: F.when(
         F.substring(F.ltrim(x), 1, 1).rlike("[#/*;%<\\t-]"), F.regexp_replace(x, COMMENT, "")).otherwise(x))).select(
         "id", F.col("cleaned").alias("lines"))
@@ -206,20 +216,26 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
         F.when(begins(x, i), F.lit(_END)).otherwise(F.lit(" ")), F.lit(_MARK), i.cast("string"), F.lit(_MARK), x))
     groups = lines.select("id", F.explode(F.split(F.substring(F.array_join(marked, ""), 2, (1 << 31) - 1), _END)).alias("group"))
     number = rf"{_MARK}(\d+){_MARK}"
-    groups = _once(groups, "sentences", F.split("group", SENTENCE_END.replace(r"(?=", rf"(?=(?:{number})?"))).drop("group")
-    groups = _once(groups, "lasts", F.transform("sentences", lambda x: F.when(
-        F.contains(x, F.lit(_MARK)), F.regexp_extract(x, rf"(?s)^.*{number}", 1).try_cast("int"))))
-    each = groups.select("id", "lasts", F.posexplode("sentences").alias("k", "sentence"))
-    each = each.withColumn("lead", F.when(F.startswith("sentence", F.lit(_MARK)), F.regexp_extract("sentence", rf"^{number}", 1).try_cast("int")))
-    each = _once(each, "seen", F.coalesce("lead", F.array_max(F.slice("lasts", 1, F.col("k")))))
-    each = _once(each, "nth", F.when(F.col("lead").isNotNull(), 0).otherwise(
-        (F.col("k") + 1 - F.array_position("lasts", F.col("seen"))).cast("int")))
+    groups = _once(groups, "sentences", F.split("group", SENTENCE_END.replace(r"(?=", rf"(?=(?:{number})?")))
+    # A block is a sentence in which lines begin and those after it in which none does.
+    blocked = F.transform("sentences", lambda x: F.concat(F.when(F.contains(x, F.lit(_MARK)), F.lit(_END)).otherwise(F.lit(_NEXT)), x))
+    blocks = groups.select("id", F.split(F.substring(F.array_join(blocked, ""), 2, (1 << 31) - 1), _END).alias("blocks"))
+    blocks = _once(blocks, "placed", F.transform("blocks", lambda x: F.struct(
+        F.regexp_extract(x, rf"(?s)^.*{number}", 1).try_cast("int").alias("last"), F.split(x, _NEXT).alias("sentences"))))
+    blocks = blocks.select("id", F.explode(F.transform("placed", lambda x, i: F.struct(
+        x["last"].alias("last"), x["sentences"].alias("sentences"),
+        F.get("placed", i - 1)["last"].alias("before"), F.size(F.get("placed", i - 1)["sentences"]).alias("behind")))).alias("block"))
+    each = blocks.select("id", "block.last", "block.before", "block.behind", F.posexplode("block.sentences").alias("k", "sentence"))
+    lead = F.when(F.startswith("sentence", F.lit(_MARK)), F.regexp_extract("sentence", rf"^{number}", 1).try_cast("int"))
+    each = _once(each, "lead", lead)
+    each = each.withColumn("seen", F.when(F.col("k") > 0, F.col("last")).otherwise(F.coalesce("lead", "before")))
+    each = each.withColumn("nth", F.when(F.col("k") > 0, F.col("k")).when(F.col("lead").isNotNull(), 0).otherwise(F.col("behind")))
     pieces = F.split("sentence", rf"(?={number})")
     parts = F.transform(pieces, lambda x: F.struct(
         F.coalesce(F.regexp_extract(x, rf"^{number}", 1).try_cast("int"), F.col("seen")).alias("line"),
         F.when(F.startswith(x, F.lit(_MARK)), 0).otherwise(F.col("nth")).alias("nth"),
         F.trim(F.regexp_replace(x, number, "")).alias("paragraph")))
-    several = F.get("lasts", F.col("k")).isNotNull() & (F.col("lead").isNull() | (F.col("lead") < F.get("lasts", F.col("k"))))
+    several = (F.col("k") == 0) & (F.col("lead").isNull() | (F.col("lead") < F.col("last")))
     text = F.when(F.contains("sentence", F.lit(_MARK)), F.regexp_replace("sentence", number, "")).otherwise(F.col("sentence"))
     split = each.select("id", F.col("seen").alias("line"), "nth", text.alias("paragraph"),
                         F.when(several, parts).alias("parts"))
@@ -254,10 +270,12 @@ def _triples(words: list[str]) -> set[tuple[str, ...]]:
 
 
 def _template_table() -> Column:
-    """The templates as an array of structs: family, name, pairs of words."""
-    rows = [{"family": f, "name": n, "pairs": sorted({" ".join(p) for p in zip(w, w[1:])})}
-            for f, n, t in TEMPLATES for w in [_plain(t)]]
-    return F.from_json(F.lit(json.dumps(rows)), "array<struct<family:string,name:string,pairs:array<string>>>")
+    """The templates as an array of structs: family, name, pairs of words, and whether only all of them count, as of an identifier."""
+    texts = [(f, n, t, False) for f, n, t in TEMPLATES]
+    texts += [(f, f"{f}-identifier", IDENTIFIER_LINE + name, True) for f, name in IDENTIFIERS]
+    rows = [{"family": f, "name": n, "whole": whole, "pairs": sorted({" ".join(p) for p in zip(w, w[1:])})}
+            for f, n, t, whole in texts for w in [_plain(t)]]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<family:string,name:string,whole:boolean,pairs:array<string>>>")
 
 
 def _summed(weights: Column) -> Column:
@@ -286,8 +304,9 @@ def _named(rows: DataFrame, model: Model, at_least: float) -> DataFrame:
 
     def compared(t: Column, i: Column) -> Column:
         common = F.size(F.array_intersect(t["pairs"], F.col("pairs")))
-        return F.struct((common / F.greatest(F.lit(1), F.least(F.size(t["pairs"]), F.size("pairs")))).alias("similarity"),
-                        (-i).alias("order"), t["name"].alias("name"), (common / F.size(t["pairs"])).alias("held"))
+        shared = common / F.greatest(F.lit(1), F.least(F.size(t["pairs"]), F.size("pairs")))
+        similarity = F.when(~t["whole"], shared).otherwise(F.floor(common / F.size(t["pairs"])).cast("double"))
+        return F.struct(similarity.alias("similarity"), (-i).alias("order"), t["name"].alias("name"), (common / F.size(t["pairs"])).alias("held"))
 
     return _once(scored, "template", F.array_max(F.transform(own, compared)))
 
@@ -300,15 +319,25 @@ def found(docs: DataFrame, model: Model, at_least: float = 0.5, similar: float =
     it is no licence), template, similarity, confirmed. A paragraph is given if it is no licence with a probability
     under ``1 - at_least``, and confirmed if it shares ``similar`` of its pairs of words, or of the template's if
     those are fewer, with a template of the family. A sentence of several lines is judged as one; its lines are
-    given, too, if it is not confirmed, or if they hold as much of a template of another family. Null and empty texts
-    give no rows, nor do documents without notices; repeated rows and ids give their rows again; ties go to the family
+    given, too, if it is not confirmed, or if they hold as much of a template of another family; and given instead of it if
+    one of them alone holds what it shares with the template. Null and empty texts
+    give no rows, nor do documents without notices; U+FDD0 to U+FDD2 are given as U+FFFD. A line with a licence identifier is
+    confirmed if that begins with one of the family's; of several identifiers in a line one is named. Repeated rows and ids give their rows again; ties go to the family
     and template that comes first.
     """
     kept = ["id", "line", "nth", "paragraph"]
     wholes = _licensed(paragraphs(docs, id_col, text), model).filter((F.col("licence") >= at_least) | F.col("parts").isNotNull())
     wholes = _once(_named(wholes, model, at_least), "whole", F.when(
         (F.col("licence") >= at_least) & (F.col("template.similarity") >= similar), F.col("best.family")))
-    own = F.when(F.col("licence") >= at_least, F.array(F.struct(*kept[1:], F.lit(None).cast("string").alias("whole"))))
+    best = F.filter(_template_table(), lambda t: (t["family"] == F.col("whole")) & (t["name"] == F.col("template.name")))[0]["pairs"]
+
+    def shared(text: Column) -> Column:
+        return F.size(F.array_intersect(best, _pairs(F.split(normalised(text), " "))))
+
+    wholes = _once(wholes, "alone", F.when(F.col("whole").isNotNull() & F.col("parts").isNotNull(), F.exists(
+        "parts", lambda p: shared(p["paragraph"]) >= shared(F.col("paragraph")))).otherwise(False))
+    wholes = wholes.withColumn("whole", F.when(~F.col("alone"), F.col("whole")))
+    own = F.when((F.col("licence") >= at_least) & ~F.col("alone"), F.array(F.struct(*kept[1:], F.lit(None).cast("string").alias("whole"))))
     lines = F.transform("parts", lambda p: F.struct(*(p[c].alias(c) for c in kept[1:]), F.coalesce("whole", F.lit("")).alias("whole")))
     nothing = F.filter(lines, lambda _: F.lit(False))
     candidates = F.when(F.col("parts").isNull(), own).otherwise(F.concat(F.coalesce(own, nothing), lines))

@@ -415,3 +415,33 @@ def test_paths_are_short():
     deep = "<div class='a b c'>" * 3000 + "text " * 50 + "</div>" * 3000
     assert max(map(len, html.container_scores(deep))) == 16
     assert html.main_text(deep, None) == ("text " * 50).strip()
+
+
+def test_licence_identifiers(spark, licence_model):
+    header = "# Copyright 2024 The Authors\n# SPDX-License-Identifier: %s\nimport os\n"
+    wanted = {"MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-3.0-or-later": "GPL", "LGPL-2.1-only": "LGPL", "AGPL-3.0-only": "AGPL",
+              "BSD-3-Clause": "BSD", "MPL-2.0": "MPL-2.0", "CC-BY-4.0": "CC-BY", "CC-BY-SA-4.0": "CC-BY-SA", "CC0-1.0": "CC0", "ISC": "ISC"}
+    names = [*wanted, "Zlib", "LicenseRef-Own"]
+    docs = [(i, header % n) for i, n in enumerate(names)] + [(100 + i, f"SPDX-License-Identifier: {n}") for i, n in enumerate(names)]
+    docs += [(200, "The identifier of the license was lost."), (201, "An SPDX file lists the parts of a program.")]
+    found = licences.found(spark.createDataFrame(docs, "doc_id long, text string"), licence_model).filter("confirmed").collect()
+    assert {(r.doc_id, r.family) for r in found} == {(i + k, wanted[n]) for i, n in enumerate(names) if n in wanted for k in (0, 100)}
+    assert {r.template for r in found} == {f"{f}-identifier" for f in wanted.values()}
+    assert {r.paragraph for r in found if r.doc_id < 100} == {1}
+
+
+def test_marks_in_licence_texts(spark, licence_model):
+    text = "A﷑b﷐7﷐. C﷒d.\nReleased under the MIT License.﷑ Then more."
+    docs = spark.createDataFrame([(1, text), (2, "﷐﷑﷒"), (3, "﷑\nLicensed under CC BY 4.0.")], "doc_id long, text string")
+    rows = [tuple(r)[:4] for r in licences.paragraphs(docs.filter("doc_id = 1")).orderBy("line", "nth").collect()]
+    assert rows == [(1, 0, 0, "A�b�7�."), (1, 0, 1, "C�d."), (1, 1, 0, "Released under the MIT License.� Then more.")]
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in licences.found(docs, licence_model).filter("confirmed").collect()) == [
+        (1, 1, "MIT"), (3, 1, "CC-BY")]
+
+
+def test_places_of_sentences_in_one_long_line(spark):
+    n = 20_000
+    docs = spark.createDataFrame([(1, "Ab cd. " * n + "E\nf. Gh.")], "doc_id long, text string")
+    rows = licences.paragraphs(docs).orderBy("line", "nth").collect()
+    assert [r.nth for r in rows[:n]] == list(range(n)) and [(r.line, r.nth, r.paragraph) for r in rows[n:]] == [
+        (0, n, "E"), (1, 0, "f."), (1, 1, "Gh.")]
