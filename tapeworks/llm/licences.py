@@ -200,7 +200,8 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     up to a blank line, a line of more than WRAP_COLUMNS or a sentence end; comment marks are no part of it. One of
     several lines has ``parts``, what stands in each of them: (line, nth, paragraph).
     """
-    plain = F.translate(F.col(text), _MARK + _END + _NEXT, "\ufffd" * 3)
+    marks = F.contains(text, F.lit(_MARK)) | F.contains(text, F.lit(_END)) | F.contains(text, F.lit(_NEXT))
+    plain = F.when(marks, F.translate(text, _MARK + _END + _NEXT, "\ufffd" * 3)).otherwise(F.col(text))
     lines = _once(docs.select(F.col(id_col).alias("id"), plain.alias("text")), "lines", F.split("text", LINE_END))
     lines = _once(lines, "cleaned", F.transform("lines", lambda x: F.when(
         F.substring(F.ltrim(x), 1, 1).rlike("[#/*;%<\\t-]"), F.regexp_replace(x, COMMENT, "")).otherwise(x))).select(
@@ -220,8 +221,9 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     # A block is a sentence in which lines begin and those after it in which none does.
     blocked = F.transform("sentences", lambda x: F.concat(F.when(F.contains(x, F.lit(_MARK)), F.lit(_END)).otherwise(F.lit(_NEXT)), x))
     blocks = groups.select("id", F.split(F.substring(F.array_join(blocked, ""), 2, (1 << 31) - 1), _END).alias("blocks"))
-    blocks = _once(blocks, "placed", F.transform("blocks", lambda x: F.struct(
-        F.regexp_extract(x, rf"(?s)^.*{number}", 1).try_cast("int").alias("last"), F.split(x, _NEXT).alias("sentences"))))
+    blocks = _once(blocks, "sentences", F.transform("blocks", lambda x: F.split(x, _NEXT))).drop("blocks")
+    blocks = _once(blocks, "placed", F.transform("sentences", lambda x: F.struct(
+        F.regexp_extract(x[0], rf"(?s)^.*{number}", 1).try_cast("int").alias("last"), x.alias("sentences")))).drop("sentences")
     blocks = blocks.select("id", F.explode(F.transform("placed", lambda x, i: F.struct(
         x["last"].alias("last"), x["sentences"].alias("sentences"),
         F.get("placed", i - 1)["last"].alias("before"), F.size(F.get("placed", i - 1)["sentences"]).alias("behind")))).alias("block"))
