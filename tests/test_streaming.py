@@ -249,6 +249,30 @@ def test_a_quote_one_batch_late_reaches_its_trade(spark, feed, tmp_path):
     assert got() == {"t": None, "a": 11.0, "b": None, "nobody": None}
 
 
+def test_quotes_are_looked_up_and_not_paired_with_every_trade(spark, feed, tmp_path):
+    at, minute = millis(AT), 60_000
+    start = lambda s: runs.start_files(
+        with_late_quotes(source.to_bronze(s), "10 minutes", within="2 minutes"), str(tmp_path / "out"), str(tmp_path / "cp"),
+        runs.CATCH_UP)
+    nan = '{"price":NaN,"trade_id":"nan","symbol":"AAPL","side":"BUY","quantity":1.0,"trade_ts":%d}' % (at + 3 * minute)
+    feed.send(*[payload(trade_id=f"t{i}", trade_ts=at + 10 * i, price=None if i % 7 == 0 else i / 3) for i in range(300)], nan,
+              payload(trade_id="edge", trade_ts=at + 6 * minute), payload(trade_id="over", trade_ts=at + 6 * minute + 1))
+    feed.send(*[quote(20 * i, i / 7) for i in range(150)], quote(20, 9.0), quote(20, 1.0).replace("2.0", "null"),
+              quote(4 * minute, 5.0), topic="market_data_raw")
+    feed.run(start)
+    feed.send(payload(trade_id="end", trade_ts=at + 60 * minute))
+    feed.send(quote(60 * minute, 1.0), topic="market_data_raw")
+    query = feed.run(start)
+    got = {r.trade_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert len(got) == 303 and got["edge"].bid == 5.0 and got["over"].bid is None
+    for i in range(300):
+        bid = 9.0 if i in (2, 3) else i // 2 / 7
+        assert (got[f"t{i}"].bid, got[f"t{i}"].price) == (bid, None if i % 7 == 0 else i / 3)
+    assert got["nan"].price != got["nan"].price and got["nan"].bid is None
+    operators = [o for p in query.recentProgress for o in p.stateOperators]
+    assert not any("Join" in o.operatorName for o in operators)
+
+
 def test_stream_equals_batch_on_gaps(spark, feed, tmp_path):
     at = millis(AT)
     trades = [payload(trade_id=None, trade_ts=at + 10), payload(trade_id="s", symbol=None), payload(trade_id="t", trade_ts=None),
