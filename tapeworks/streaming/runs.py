@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeworks.sinks.files import merge_batches
@@ -53,11 +54,27 @@ def in_tiers(step: BatchStep, path: str, by: str | None = None, merge: Callable[
 
 def start_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append a stream to Parquet files; the sink's own log makes each batch appear once."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or DEFAULT_TRIGGER))
-        .start()
-    )
+    with _uncounted_state(stream.sparkSession):
+        return (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or DEFAULT_TRIGGER))
+            .start()
+        )
+
+
+@contextmanager
+def _uncounted_state(spark: SparkSession) -> Iterator[None]:
+    """A stream started here does not count the rows of its state, which costs a second lookup for each one put there."""
+    name = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

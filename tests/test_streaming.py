@@ -11,7 +11,7 @@ from tapeworks.sources import envelope as source
 from tapeworks.operators import enrich, marts
 from tapeworks.streaming import runs
 from tapeworks.streaming.bars import bars_step, closed_bars, compact_bars, read_bars, start_bars
-from tapeworks.streaming.dedupe import drop_repeats
+from tapeworks.streaming.dedupe import _few_of_each, drop_repeats
 from tapeworks.streaming.dual_sink import start_dual_sink
 from tapeworks.streaming.enrichment import start_enrichment, with_late_quotes
 from tapeworks.streaming.latest import newest_of, read_latest, start_latest_price
@@ -145,6 +145,25 @@ def test_repeats_are_dropped_across_batches(spark, feed, tmp_path, split):
         ["hot", "t0", "t1", "t2", "t3", "t4"])
 
 
+def test_repeats_of_a_key_need_one_state_and_few_rows(spark, feed, tmp_path):
+    at = millis(AT)
+    hot_key = [payload(trade_id="hot", trade_ts=at + 1000 * (i % 40)) for i in range(400)]
+    feed.send(*hot_key, *[payload(trade_id=None)] * 3, *numbered(0, 5), payload(trade_id="timeless", trade_ts=None))
+    feed.send(*hot_key, *numbered(3, 5))
+    trades = lambda s: hot.to_trades(source.to_bronze(s), keep=("kafka_partition", "kafka_offset"))
+    few = trades(spark.read.schema(feed.stream().schema).parquet(feed.path)).coalesce(1)
+    few = few.mapInArrow(_few_of_each("trade_id", "trade_ts"), few.schema)
+    assert Counter(r.trade_id for r in few.collect())["hot"] <= 4
+    assert few.filter(f"trade_ts = timestamp_millis({at + 39000})").count() >= 1
+    out = str(tmp_path / "out")
+    query = feed.run(lambda s: runs.start_files(drop_repeats(trades(s), "1 hour"), out, str(tmp_path / "cp"), runs.CATCH_UP))
+    got = spark.read.parquet(out).collect()
+    assert Counter(r.trade_id for r in got) == Counter({None: 3, "hot": 1, "timeless": 1, **{f"t{i}": 1 for i in range(8)}})
+    assert next(r.kafka_offset for r in got if r.trade_id == "hot") == 0
+    assert len(query.lastProgress.stateOperators) == 1
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "true") == "true"
+
+
 def test_rows_without_an_id_are_repeats_of_nothing(spark, feed, tmp_path):
     feed.send(*[payload(trade_id=None)] * 3, payload(trade_id="a"))
     feed.send(*[payload(trade_id=None)] * 3, payload(trade_id="a"))
