@@ -78,9 +78,9 @@ def against_known(batch: DataFrame, known: DataFrame, key: str = "trade_id") ->
     """batch with ``known``, the content that Silver holds under the same key, or NULL.
 
     ``known`` has one row for each key of the batch that Silver holds. Silver is not cut down to the batch's dates: a
-    trade sent again on a later day must be found too.
+    trade sent again on a later day must be found too. The few known keys are hashed; the batch is not sorted.
     """
-    return batch.join(known.select(key, F.col("content").alias("known")), key, "left")
+    return batch.join(known.select(key, F.col("content").alias("known")).hint("shuffle_hash"), key, "left")
 
 
 def _missing(field: str, kind: str) -> Column:

@@ -147,10 +147,11 @@ def _silver_run(
     taken = arrived(bronze, since, as_of) if mode == "full" or since is not None else not_taken_yet(bronze, before, as_of)
     with scratch(spark, "silver-records") as folder:
         records = flagged(taken)
-        if mode == "incremental" or rejects is not None:
+        # What is looked at a second time has to be the rows that were read, or come before they are read: what arrives
+        # between is taken again by the next run, and is known then. So records are kept for the rejects only.
+        if rejects is not None:
             records = staged(records, f"{folder}/records")
-        # What is looked at a second time has to be the rows that were read, or come before they are read.
-        reached = _reached(records if mode == "incremental" else taken, before, as_of)
+        reached = _reached(records if mode == "incremental" and rejects is not None else taken, before, as_of)
         newest, lost = keep_newest(accepted(records)), rejected(records)
         days: list[date] | None = None
         if mode == "full" or not spark.catalog.tableExists(silver):
@@ -168,7 +169,7 @@ def _silver_run(
             changed = compared.filter(F.col("known") != content())
             lost = lost.unionByName(changed.select(
                 *[c for c in lost.columns if c != "reasons"], F.array(F.lit("changed_trade")).alias("reasons")))
-            found = compared.select(trade_date().alias("day")).distinct().collect()
+            found = newest.select(trade_date().alias("day")).distinct().collect()
             days = sorted(r.day for r in found if r.day is not None)
         if rejects is not None:
             keep_rejects(lost, rejects, root, since or (before and before.as_of), as_of)

@@ -32,6 +32,22 @@ def test_full_build_keeps_the_newest(spark, tmp_path, table_name):
     assert {r.trade_id: r.price for r in spark.table(name).collect()} == {"a": 99.0, "b": 10.5, "c": 10.5, "late": 10.5}
 
 
+def test_records_are_kept_for_rejects_only(spark, tmp_path, table_name, monkeypatch):
+    first, second = two_days(spark)
+    written, write = [], jobs.staged
+    monkeypatch.setattr(jobs, "staged", lambda df, path: written.append(path.split("/")[-1]) or write(df, path))
+    name, other = table_name("silver"), table_name("silver")
+    for lost, into in ((None, name), (table_name("lost"), other)):
+        for records in (first, second, second):
+            jobs.bronze_to_silver(spark, records, into, mode="incremental", root=str(tmp_path), rejects=lost)
+        if lost is None:
+            assert "records" not in written
+    assert written.count("records") == 3
+    got = [sorted((r.trade_id, r.price) for r in spark.table(t).collect()) for t in (name, other)]
+    assert got[0] == got[1] == [("a", 10.5), ("b", 10.5), ("c", 10.5), ("late", 10.5)]
+    assert jobs.read_progress(spark, name) == jobs.read_progress(spark, other)
+
+
 def test_full_build_is_clustered_by_day(spark, sf_dir, tmp_path, table_name):
     import glob
 
