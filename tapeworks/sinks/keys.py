@@ -133,14 +133,20 @@ class KeyIndex:
         run = Run(number, parts, max(1, -(-n * BITS_PER_KEY // (parts * PAGE_BITS))), n)
         hashed = F.xxhash64(self.key)
         cut = rows.select(self.key, "content", hashed.alias("hash"), run.part(hashed).alias("part"))
-        cut.repartition(min(parts, 1 << 16), "part").sortWithinPartitions("part", "hash").write.mode("overwrite") \
+        self._dealt(cut, parts).sortWithinPartitions("part", "hash").write.mode("overwrite") \
             .partitionBy("part").parquet(f"{self.home}/keys/run={number}")
         written = self.spark.read.parquet(f"{self.home}/keys/run={number}")
         bits = written.select("part", F.pmod(_page(self.key), F.lit(run.pages)).alias("page"), F.explode(_bits(self.key)).alias("bit"))
         pages = bits.groupBy("part", "page").agg(F.bitmap_construct_agg("bit").alias("bits"))
-        pages.repartition(min(parts, 1 << 16), "part").write.mode("overwrite").partitionBy("part").parquet(f"{self.home}/filters/run={number}")
+        self._dealt(pages, parts).write.mode("overwrite").partitionBy("part").parquet(f"{self.home}/filters/run={number}")
         return run
 
+    @staticmethod
+    def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+        """Every part in a task of its own: by a hash of its number, one task would get several and others none."""
+        tasks = min(parts, 1 << 16)
+        return rows.repartitionById(tasks, F.col("part") % tasks)
+
     def _read(self, run: Run, parts: Sequence[int] | None, kind: str = "keys") -> DataFrame:
         """Some parts of a run, all if none are named, with the run's number; folders of other parts are not listed."""
         folder = f"{self.home}/{kind}/run={run.number}"

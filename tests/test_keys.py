@@ -62,6 +62,13 @@ def test_parts_grow_with_the_keys_and_runs_are_merged(spark, index):
     assert found(index, asked(spark, range(990, 1100))) == list(range(990, 1060))
 
 
+def test_no_task_writes_two_parts(spark):
+    for parts in (1, 16, 64):
+        numbered = spark.range(640).select((F.col("id") % parts).cast("int").alias("part"))
+        dealt = KeyIndex._dealt(numbered, parts).select("part", F.spark_partition_id().alias("task")).distinct().collect()
+        assert len(dealt) == len({r.task for r in dealt}) == parts
+
+
 def test_only_parts_that_may_hold_a_key_are_read(spark, index):
     index.build(rows(spark, range(4000)), "t")
     parts = index.runs()[0].parts
