@@ -205,13 +205,24 @@ def deduplicated(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str =
     hash stays.
     """
     columns = without(docs, ["__fp"])
-    prints = stage(fingerprints(docs.select(*columns), words, text, "__fp"), "fingerprinted")
-    narrow = prints.select(F.col(id_col).alias("id"), F.col("__fp").alias("fp"))
-    classes = stage(_classes(narrow, "id", radius), "components")
+    taken, digest = docs.select(*[f"`{c}`" for c in columns]), F.xxhash64(text)
+    # Only ids, fingerprints and hashes are sorted and grouped; the texts are met once, at the end, and never sorted.
+    narrow = taken.select(F.col(id_col).alias("id"), F.col(text).alias("text"), digest.alias("digest"))
+    prints = stage(fingerprints(narrow, words, "text", "fp", ["id", "digest"]), "fingerprints")
+    classes = stage(_classes(prints.select("id", "fp"), "id", radius), "components")
     # The fingerprint of the kept row: among those that hold the smallest id of a component, the smallest one.
     best = classes.groupBy("root").agg(F.min(F.struct(
-        F.col("least").isNull(), "least", "fp")).alias("best")).select(
-            F.col("best.least").alias("__least"), F.col("best.fp").alias("__best"))
-    rows = prints.join(best, (F.col("__fp") == F.col("__best")) & F.col(id_col).eqNullSafe(F.col("__least")))
-    first = F.row_number().over(Window.partitionBy("__fp", id_col).orderBy(F.xxhash64(text)))
-    return rows.withColumn("__nth", first).filter("__nth = 1").select(*[f"`{c}`" for c in columns])
+        F.col("least").isNull(), "least", "fp")).alias("best")).select("best.least", F.col("best.fp").alias("fp"))
+    copies = prints.groupBy("id", "fp", "digest").agg(F.count("*").alias("copies")).alias("c")
+    chosen = copies.join(best.alias("b"), (F.col("c.fp") == F.col("b.fp")) & F.col("c.id").eqNullSafe(F.col("b.least")))
+    kept = chosen.groupBy("c.id", "c.fp").agg(F.min(F.struct("digest", "copies")).alias("first")).select(
+        F.col("id").alias("__id"), F.col("first.digest").alias("__kept"), F.col("first.copies").alias("__copies"))
+    kept = stage(kept, "kept")
+    here = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept"))
+    found = taken.withColumn("__digest", digest).join(kept.hint("shuffle_hash"), here)
+    own = [f"`{c}`" for c in columns]
+    if kept.filter("__copies > 1").isEmpty():
+        return found.select(*own)
+    nth = F.row_number().over(Window.partitionBy("__id", "__kept").orderBy("__copies"))
+    again = found.filter("__copies > 1").withColumn("__nth", nth).filter("__nth = 1")
+    return found.filter("__copies = 1").select(*own).unionByName(again.select(*own))

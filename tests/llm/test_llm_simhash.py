@@ -111,6 +111,20 @@ def test_one_of_each_group_stays(spark):
     assert sorted((str(r[0]) for r in kept.collect())) == ["3", "7", "8", "None"]
 
 
+def test_whole_texts_are_neither_sorted_nor_staged(spark, monkeypatch):
+    staged, stage = [], simhash.stage
+    monkeypatch.setattr(simhash, "stage", lambda df, *rest: staged.append(df.columns) or stage(df, *rest))
+    docs = spark.createDataFrame([r for r in ROWS if r[0] != 7], "doc_id long, text string, fp string")
+    kept = simhash.deduplicated(docs)
+    assert not any("text" in columns for columns in staged)
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan and "ShuffledHashJoin" in plan
+    assert sorted((str(r[0]) for r in kept.collect())) == ["3", "8", "None"]
+    same = spark.createDataFrame([(1, "a b c d", "x"), (1, "a b c d", "x"), (1, "e f g h", "y"), (2, "a b c d", "z")],
+                                 "doc_id long, text string, fp string")
+    assert sorted(r.fp for r in simhash.deduplicated(same).collect()) == ["x", "y"]
+
+
 def test_query_against_all_pairs(spark, sf_dir):
     from tapeworks.llm.queries import llm_queries
 
