@@ -23,11 +23,14 @@ from pyspark.sql import types as T
 
 from tapeworks.llm.columns import Compute, add_columns
 
-# Bytes of results that a task keeps, of chunks between white space and of fragments, and what an entry takes beside
-# its key and value.
-KEPT_CHUNKS = 72 << 20
+# Bytes of results that a task keeps, of chunks between white space and of fragments, and what an entry of the latter
+# takes beside its key and value.
+KEPT_CHUNKS = 16 << 20
 KEPT_FRAGMENTS = 28 << 20
 ENTRY_BYTES = 200
+# Unknown chunks that are worked out at once, and bytes of the rows that are encoded at once.
+NEW_CHUNKS = 1 << 13
+ENCODED_BYTES = 4 << 20
 # Symbols of a fragment that is merged together with others.
 SHORT = 24
 
@@ -210,6 +213,59 @@ class Kept:
             self.earlier, self.recent, self.held = (self.recent, {}, 0) if self.held <= self.most else ({}, {}, 0)
 
 
+class KeptChunks:
+    """Ids by chunk within a bound of bytes, in Arrow arrays: some 30 bytes an entry, where a dict takes 200.
+
+    When it is full, what has not been asked for again since the last time goes.
+    """
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.asked = np.zeros(0, dtype=bool)
+
+    @property
+    def held(self) -> int:
+        return self.keys.nbytes + self.ids.nbytes + self.asked.nbytes
+
+    @property
+    def recent(self) -> dict[str, bytes]:
+        """What has been asked for again since the store was last full."""
+        return self._entries(self.asked)
+
+    @property
+    def earlier(self) -> dict[str, bytes]:
+        return self._entries(~self.asked)
+
+    def _entries(self, which: np.ndarray) -> dict[str, bytes]:
+        return dict(zip(self.keys.filter(pa.array(which)).to_pylist(), self.ids.filter(pa.array(which)).to_pylist()))
+
+    def places(self, keys: pa.Array) -> np.ndarray:
+        """Where each key stands, -1 if it is not known; known ones count as asked for."""
+        found = np.asarray(pc.fill_null(pc.index_in(keys, value_set=self.keys), -1)).astype(np.int64)
+        self.asked[found[found >= 0]] = True
+        return found
+
+    def missing(self, keys: Sequence[str]) -> list[str]:
+        found = self.places(pa.array(keys, pa.large_string()))
+        return [key for key, place in zip(keys, found.tolist()) if place < 0]
+
+    def add(self, keys: pa.Array, ids: Sequence[pa.Array]) -> None:
+        self.keys, self.ids = pa.concat_arrays([self.keys, keys]), pa.concat_arrays([self.ids, *ids])
+        self.asked = np.append(self.asked, np.zeros(len(keys), dtype=bool))
+
+    def settle(self) -> None:
+        if self.held > self.most:
+            again = pa.array(self.asked)
+            self.keys, self.ids = self.keys.filter(again), self.ids.filter(again)
+            self.asked = np.zeros(len(self.keys), dtype=bool)
+            if self.held > self.most // 2:
+                self.clear()
+
+
 class Encoder:
     """Ids of texts; keeps what it has worked out, within bounds."""
 
@@ -227,7 +283,7 @@ class Encoder:
         self.newer_composed = normalizers.NFC().normalize_str
         self.combining = regex.compile(r"\p{M}").search
         # By chunk between white space, and by fragment.
-        self.chunks, self.fragments = Kept(KEPT_CHUNKS), Kept(KEPT_FRAGMENTS)
+        self.chunks, self.fragments = KeptChunks(KEPT_CHUNKS), Kept(KEPT_FRAGMENTS)
 
     def cuts(self, words: bytes) -> np.ndarray:
         """Where fragments end: at pairs of bytes that no token holds. Every word has a space behind it."""
@@ -243,25 +299,30 @@ class Encoder:
             return [word for word, _ in self.newer_words(chunk)]
         return self.find_words(chunk)
 
-    def learn(self, chunks: Iterable[str]) -> None:
-        """Works out the ids of all chunks that are not known yet.
+    def spaced(self, chunk: str) -> str:
+        """The words of a chunk with a space between; those of letters with one mark behind them are both."""
+        if chunk.isalpha():
+            return chunk
+        if chunk[-1] in _ENDINGS and chunk[:-1].isalpha():
+            return f"{chunk[:-1]} {chunk[-1]}"
+        return " ".join(self.words(chunk))
 
-        Letters with one mark behind them are known if both are.
+    def ids_of(self, chunks: pa.Array) -> pa.Array:
+        """The ids of each of these different chunks as 32-bit numbers; works out those that are not known yet.
+
+        An empty chunk has none (null).
         """
-        missing = self.chunks.missing(chunks)
-        ending = [chunk for chunk in missing if chunk[-1] in _ENDINGS and chunk[:-1].isalpha()]
-        if ending:
-            parts = {chunk[:-1] for chunk in ending} | {chunk[-1] for chunk in ending}
-            split = set(ending)
-            whole = [chunk for chunk in missing if chunk not in split and chunk not in parts]
-            self._work_out([*whole, *self.chunks.missing(parts)])
-            known = self.chunks.recent
-            self.chunks.add(ending, [known[chunk[:-1]] + known[chunk[-1]] for chunk in ending])
-        elif missing:
-            self._work_out(missing)
-
-    def _work_out(self, new: list[str]) -> None:
-        words = [(chunk if chunk.isalpha() else " ".join(self.words(chunk))).encode() for chunk in new]
+        places = self.chunks.places(chunks)
+        unknown = (places < 0) & (np.asarray(pc.binary_length(chunks)) > 0)
+        new = chunks.filter(pa.array(unknown))
+        places[unknown] = len(self.chunks.keys) + np.arange(len(new))
+        self.chunks.add(new, [self._work_out(new[i : i + NEW_CHUNKS].to_pylist()) for i in range(0, len(new), NEW_CHUNKS)])
+        found = self.chunks.ids.take(pa.array(places, mask=places < 0))
+        self.chunks.settle()
+        return found
+
+    def _work_out(self, new: list[str]) -> pa.Array:
+        words = [self.spaced(chunk).encode() for chunk in new]
         joined = b" ".join(words) + b" "
         ends = self.cuts(joined)
         bounds = [0, *ends.tolist()]
@@ -271,8 +332,9 @@ class Encoder:
         ids = list(map(self.fragments.recent.__getitem__, fragments))
         self.fragments.settle()
         last = np.searchsorted(ends, np.cumsum([len(w) + 1 for w in words])) + 1
-        first = [0, *last.tolist()]
-        self.chunks.add(new, [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(first, first[1:])])
+        sizes = np.append(0, np.cumsum([len(i) for i in ids]))[np.append(0, last)]
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(new), [None, pa.py_buffer(sizes.astype(np.int64)), pa.py_buffer(b"".join(ids))])
 
     def normal(self, text: str) -> str:
         """What the normaliser leaves of the text, with no other white space than that of ASCII."""
@@ -311,19 +373,18 @@ class Encoder:
 
     def _encode_unmarked(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(pa.array([self.normal(t) for t in texts], pa.large_string()))
-        chunks = split.flatten().dictionary_encode()
-        different = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self.learn(c for c in different if c)
-        known = self.chunks.recent
-        values = [known[c] if c else b"" for c in different]
-        self.chunks.settle()
-        held = np.frombuffer(b"".join(values), dtype=np.int32)
-        sizes = np.array([len(v) >> 2 for v in values], dtype=np.int64)
-        starts, at = np.cumsum(sizes) - sizes, np.asarray(chunks.indices)
-        sizes = sizes[at]
-        ends = np.cumsum(sizes)
-        ids = held[np.repeat(starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        return np.append(0, ends)[np.asarray(split.offsets)[1:]], ids
+        bounds, chunks = np.asarray(split.offsets), split.flatten().dictionary_encode()
+        del split
+        found = self.ids_of(chunks.dictionary).take(chunks.indices)
+        del chunks
+        if not (len(found) and (size := pc.sum(pc.binary_length(found)).as_py())):
+            return np.zeros(len(texts), dtype=np.int64), np.zeros(0, dtype=np.int32)
+        _, ends, ids = found.buffers()
+        ends = np.frombuffer(ends, dtype=np.int64)[bounds[1:]] >> 2
+        ids = np.frombuffer(ids, dtype=np.int32, count=size >> 2)
+        del found
+        pa.default_memory_pool().release_unused()
+        return ends, ids
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as 32-bit numbers."""
@@ -357,7 +418,8 @@ def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", ids: str =
 
         return compute
 
-    return add_columns(docs, text, T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType(), True))]), make, keep)
+    fields = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType(), True))])
+    return add_columns(docs, text, fields, make, keep, ENCODED_BYTES)
 
 
 def decode(docs: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "decoded",
@@ -365,10 +427,12 @@ def decode(docs: DataFrame, vocabulary_path: str, ids: str = "ids", text: str =
     """docs with the text that the ids stand for, special tokens included: the tokens, with a space between.
 
     That is what decode() gives for a vocabulary without a decoder. Null ids give an empty text, and ids that are
-    null or outside the vocabulary are left out, as the library does.
+    null or outside the vocabulary are left out, as the library does. The driver reads the vocabulary and broadcasts
+    its tokens by id, all that a task needs of it.
     """
     with open(vocabulary_path, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        tokens = Vocabulary(file.read()).tokens
+    shared = docs.sparkSession.sparkContext.broadcast([tokens.get(i, "") for i in range(max(tokens) + 1)])
     kept = [c for c in docs.columns if c.lower() != text.lower() and (keep is None or c in keep)]
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(text, T.StringType())])
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -376,14 +440,12 @@ def decode(docs: DataFrame, vocabulary_path: str, ids: str = "ids", text: str =
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        tokens = Vocabulary(shared.value).tokens
-        most = max(tokens) + 1
-        names = np.array([tokens.get(i, "") for i in range(most)], dtype=object)
+        names = np.array(shared.value, dtype=object)
         for batch in batches:
             texts = []
             for row in batch.column(ids):
                 known = np.asarray([] if row.values is None else row.values.drop_null(), dtype=np.int64)
-                known = known[(known >= 0) & (known < most)]
+                known = known[(known >= 0) & (known < len(names))]
                 texts.append(" ".join(names[known].tolist()))
             columns = [batch.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], schema=arrow)

@@ -66,19 +66,22 @@ def slices(batch: pa.RecordBatch, sizes: Sequence[int], limit: int = SLICE_BYTES
 
 
 def regrouped(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of all batches in runs of about ``limit`` bytes of text, or of one row, over the borders of batches."""
+    """The rows of all batches in runs of about ``limit`` bytes, or of one row, over the borders of batches.
+
+    Batches are cut by their texts; what is held counts with all its columns, so that rows without texts end too.
+    """
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         for part in slices(batch, byte_sizes(batch.column(text)), limit):
-            more = sum(byte_sizes(part.column(text)))
-            if held and size + more > limit:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, size = [], 0
+            if held and size + part.nbytes > limit:
+                joined, held, size = pa.Table.from_batches(held).combine_chunks(), [], 0
+                yield from joined.to_batches()
             held.append(part)
-            size += more
+            size += part.nbytes
     if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        joined, held = pa.Table.from_batches(held).combine_chunks(), []
+        yield from joined.to_batches()
 
 
 def byte_sizes(values: pa.Array) -> list[int]:
@@ -95,11 +98,12 @@ def without(df: DataFrame, names: Sequence[str]) -> list[str]:
 
 
 def add_columns(df: DataFrame, text: str, fields: T.StructType, make: Callable[[], Compute],
-                keep: Sequence[str] | None = None) -> DataFrame:
+                keep: Sequence[str] | None = None, over: int | None = None) -> DataFrame:
     """df with columns that ``make()(batch)`` computes from the rows of each slice.
 
     ``make`` runs once in a task, so what it builds (automata, caches) serves all the task's rows. Columns of df
-    that have the name of a new one are replaced. ``keep`` names the columns to return beside the new ones.
+    that have the name of a new one are replaced. ``keep`` names the columns to return beside the new ones. Slices of
+    ``over`` bytes, if given, go over the borders of batches.
     """
     kept = [c for c in without(df, fields.names) if keep is None or c in keep]
     schema = T.StructType([*(df.schema[c] for c in kept), *fields])
@@ -107,14 +111,17 @@ def add_columns(df: DataFrame, text: str, fields: T.StructType, make: Callable[[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
-        for batch in batches:
-            for part in slices(batch, byte_sizes(batch.column(text))):
-                new = compute(part)
-                columns = [part.column(c) for c in kept]
-                yield pa.RecordBatch.from_arrays(
-                    [a if a.type == f.type else a.cast(f.type) for a, f in zip([*columns, *new], arrow)],
-                    schema=arrow,
-                )
+        if over is None:
+            parts = (part for batch in batches for part in slices(batch, byte_sizes(batch.column(text))))
+        else:
+            parts = regrouped(batches, text, over)
+        for part in parts:
+            new = compute(part)
+            columns = [part.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays(
+                [a if a.type == f.type else a.cast(f.type) for a, f in zip([*columns, *new], arrow)],
+                schema=arrow,
+            )
 
     needed = list(dict.fromkeys([*kept, *(c for c in df.columns if c == text)]))
     return df.select(*needed).mapInArrow(run, schema)

@@ -139,3 +139,34 @@ def test_query(spark, sf_dir, library):
         assert r["n_tokens"] == len(wanted)
         assert r["ids_sha256"] == sha256(" ".join(map(str, wanted)).encode()).hexdigest()
         assert r["decoded_sha256"] == sha256(library.decode(wanted, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_many_different_chunks_take_little_memory(library):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    with open(WORD_BPE, encoding="utf-8") as file:
+        own = bpe.Encoder(bpe.Vocabulary(file.read()))
+    # The letters of a number, so that chunks differ and fragments recur.
+    names = ["".join("aeioutnshr"[int(d)] for d in str(1_000_000 + i)) for i in range(200_000)]
+    texts = [" ".join(names[i : i + 20_000]) for i in range(0, len(names), 20_000)]
+    tracemalloc.start()
+    try:
+        ends, found = own.encode_flat(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 64 << 20  # a dict of these chunks and their ids alone takes 40 MB
+    assert pa.total_allocated_bytes() < 64 << 20
+    assert found[: ends[0]].tolist() == library.encode(texts[0], add_special_tokens=False).ids
+
+
+def test_regrouped_rows_without_texts_come_to_an_end():
+    import pyarrow as pa
+
+    from tapeworks.llm.columns import regrouped
+
+    wide = pa.RecordBatch.from_pydict({"id": ["x" * 100_000] * 10, "text": pa.array([None] * 10, pa.string())})
+    groups = list(regrouped(iter([wide] * 8), "text", 4 << 20))
+    assert len(groups) == 2 and sum(g.num_rows for g in groups) == 80
