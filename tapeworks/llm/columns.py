@@ -48,9 +48,12 @@ def stage(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
 
     With the (largest) number of rows known, the files are no more than hold FILE_ROWS each.
     """
-    if rows is not None:
-        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
-    return staged(df, workspace(df.sparkSession, purpose))
+    return staged(df if rows is None else gathered(df, rows), workspace(df.sparkSession, purpose))
+
+
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """df, of at most so many narrow rows, in no more partitions than hold FILE_ROWS each."""
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
 
 
 def slices(batch: pa.RecordBatch, sizes: Sequence[int], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

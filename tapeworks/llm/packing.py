@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeworks.llm.bpe import encoder_of
-from tapeworks.llm.columns import prepared, regrouped, stage
+from tapeworks.llm.bpe import ENCODED_BYTES, encoder_of
+from tapeworks.llm.columns import gathered, prepared, regrouped, stage
 
 CAPACITY = 4096
 END_ID = 1
@@ -44,21 +44,23 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, end_
     prepared(docs.sparkSession)
     with open(vocabulary_path, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = np.uint32(end_id).tobytes()
     names = [id_col, "piece", "start", "length", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(shared.value)
-        for part in regrouped(batches, "text"):
+        for part in regrouped(batches, "text", ENCODED_BYTES):
             ends, ids = encoder.encode_flat([t or "" for t in part.column("text").to_pylist()])
-            found = [ids[a:b].astype("<u4").tobytes() + end for a, b in zip(np.append(0, ends), ends)]
-            counts = np.array([-(-len(f) // (4 * capacity)) for f in found], dtype=np.int64)
-            row = np.repeat(np.arange(len(found)), counts)
+            ids = np.insert(ids.astype("<u4"), ends, end_id)
+            sizes = np.diff(ends, prepend=0) + 1
+            counts = -(-sizes // capacity)
+            row = np.repeat(np.arange(len(sizes)), counts)
             number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            cut = [found[i][4 * capacity * k : 4 * capacity * (k + 1)] for i, k in zip(row.tolist(), number.tolist())]
+            lengths = np.minimum(capacity, sizes[row] - number * capacity)
+            bounds = np.append(0, 4 * np.cumsum(lengths)).astype(np.int32)
+            cut = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays(
                 [part.column("id").take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(number * capacity),
-                 pa.array([len(c) // 4 for c in cut], pa.int64()), pa.array(cut, pa.binary())], names=names)
+                 pa.array(lengths), cut], names=names)
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(
@@ -125,8 +127,8 @@ def _sweep_cell(cell: int, kind: np.ndarray, ids: np.ndarray, sizes: np.ndarray,
         np.concatenate([np.where(placed, -1, waiting), gap_ranks]), cell)
 
 
-def _swept(rows: DataFrame, ranges: int, opening: tuple[int, int] | None = None) -> DataFrame:
-    """A sweep of each range (``cell``) of pieces and gaps (cell, kind, id, size)."""
+def _swept(rows: DataFrame, ranges: int, most: int, opening: tuple[int, int] | None = None) -> DataFrame:
+    """A sweep of each range (``cell``) of at most so many pieces and gaps (cell, kind, id, size) in all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         cell = None
@@ -155,7 +157,7 @@ def _swept(rows: DataFrame, ranges: int, opening: tuple[int, int] | None = None)
             yield found()
 
     dealt = rows.repartition(ranges, "cell").sortWithinPartitions("cell")
-    return dealt.select("cell", "kind", "id", "size").mapInArrow(run, _SWEPT)
+    return gathered(dealt.select("cell", "kind", "id", "size"), most).mapInArrow(run, _SWEPT)
 
 
 @dataclass(frozen=True)
@@ -287,7 +289,9 @@ def assigned(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE
         sizes = {s: counts[PIECE].get(s, 0) + gaps.get(s, 0) for s in {*counts[PIECE], *gaps}}
         ranges = [(s, 0, 1) for s in sizes] if last else _ranges(sizes, range_rows)
         n_ranges = max(first + n for _, first, n in ranges)
-        swept = stage(_swept(_in_ranges(spark, rows, ranges), n_ranges, (capacity, opened) if last else None), "pack-swept")
+        total = sum(sizes.values())
+        swept = _swept(_in_ranges(spark, rows, ranges), n_ranges, total, (capacity, opened) if last else None)
+        swept = stage(swept, "pack-swept")
         results.append(swept)
         if last:
             break
@@ -296,10 +300,10 @@ def assigned(items: DataFrame, capacity: int = CAPACITY, range_rows: int = RANGE
         rest = swept.filter(F.col("kind") != PLACED)
         if blocks:
             parted = _parted(rest, blocks)
-            met = _swept(parted.filter("cell >= 0"), blocks[-1].first_part + blocks[-1].parts)
+            met = _swept(parted.filter("cell >= 0"), blocks[-1].first_part + blocks[-1].parts, total)
             alone = parted.filter("cell < 0").select(
                 "kind", "id", "size", F.lit(0).cast("long").alias("target"), "cell", F.lit(-1).cast("long").alias("rank"))
-            swept = stage(met.union(alone), "pack-matched")
+            swept = stage(met.union(alone), "pack-matched", total)
             results.append(swept)
             rest = swept.filter(F.col("kind") != PLACED)
         rows = rest.select("kind", "id", "size")
@@ -320,12 +324,12 @@ def packed(rows: DataFrame, size: str = "length", capacity: int = CAPACITY, rang
 
     As few sequences as best-fit finds, without gaps before their ends. Rows whose size is null, below 1 or above the
     capacity go into none and have nulls. Repeated rows are rows of their own, columns that have the names of the new
-    ones are replaced, an empty table gives an empty result.
+    ones are replaced, an empty table gives an empty result. It comes in no more partitions than its rows need.
     """
     kept = [c for c in rows.columns if c.lower() not in ("sequence_id", "offset")]
     numbered = stage(rows.select(*(F.col(f"`{c}`") for c in kept), F.monotonically_increasing_id().alias("__item")), "pack-items")
     items = numbered.filter(F.col(f"`{size}`").between(1, capacity)).select(
         F.col("__item").alias("id"), F.col(f"`{size}`").cast("int").alias("size"))
     found = assigned(items, capacity, range_rows).withColumnRenamed("id", "__found")
-    return numbered.join(found, F.col("__item") == F.col("__found"), "left").select(
-        *(F.col(f"`{c}`") for c in kept), "sequence_id", "offset")
+    joined = numbered.join(found, F.col("__item") == F.col("__found"), "left")
+    return gathered(joined.select(*(F.col(f"`{c}`") for c in kept), "sequence_id", "offset"), numbered.count())

@@ -120,3 +120,42 @@ def test_query(spark, tmp_path):
 def test_query_on_the_table(spark, sf_dir):
     found = op11_packing(spark, sf_dir).agg(F.sum("length"), F.countDistinct("sequence_id")).first()
     assert found[1] == -(-found[0] // 4096)
+
+
+def test_sweeps_write_as_many_files_as_their_rows_need(spark, monkeypatch):
+    """However many partitions the rows are dealt over: every file costs a fork that counts the JVM's memory again."""
+    files = []
+
+    def counted(*args):
+        found = stage(*args)
+        files.append(len(found.inputFiles()))
+        return found
+
+    stage = packing.stage
+    monkeypatch.setattr(packing, "stage", counted)
+    sizes = random.Random(2).choices(range(1, 60), k=600)
+    items = spark.createDataFrame(list(enumerate(sizes)), "id long, size int").repartition(5)
+    rows = packing.assigned(items, 60, 40).collect()
+    assert len(files) > 2 and max(files) == 1
+    size = dict(enumerate(sizes))
+    assert sorted(r["id"] for r in rows) == sorted(size)
+    held = defaultdict(list)
+    for r in rows:
+        held[r["sequence_id"]].append((r["offset"], size[r["id"]]))
+    for placed in held.values():
+        at = 0
+        for offset, n in sorted(placed):
+            assert offset == at
+            at += n
+        assert at <= 60
+
+
+def test_packed_rows_come_in_few_partitions(spark):
+    rows = spark.range(500, numPartitions=4).select(F.col("id"), (F.col("id") % 50 + 1).alias("length"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = packing.packed(rows, capacity=60, range_rows=40)
+        assert found.select(F.spark_partition_id()).distinct().count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert found.count() == 500 and found.filter("sequence_id is null").count() == 0
